@@ -19,8 +19,11 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     task and reaches the reducer as one partial value per task.
     """
     keys = list(keys)
+    # key columns come from the grouping key itself (equal to the struct's copy),
+    # so the output keeps the aggregate's hash partitioning on ``keys`` and a
+    # following join or aggregate on the same key needs no second shuffle
     return (
         df.groupBy(*keys)
         .agg(F.min(F.struct(*[F.col(c) for c in df.columns])).alias(_ROW))
-        .select(*[F.col(f"{_ROW}.{c}").alias(c) for c in df.columns])
+        .select(*[F.col(c) if c in keys else F.col(f"{_ROW}.{c}").alias(c) for c in df.columns])
     )

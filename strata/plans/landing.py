@@ -23,9 +23,10 @@ from strata.schemas import (
     REVIEW_LANDING,
     REVIEW_RAW_READ,
 )
-from strata.sources.ndjson import read_ndjson
+from strata.sources.ndjson import corrupt_text, read_ndjson, valid_rows
 
-QUARANTINE_FLAG = "_quarantine"
+STATUS_COL = "_landing_status"
+VALID, QUARANTINE = "valid", "quarantine"
 
 
 def _json_object_text(df: DataFrame, name: str):
@@ -69,35 +70,39 @@ def read_raw(spark: SparkSession, kind: str, src: str | list[str]) -> DataFrame:
 def landing_from_ndjson(spark: SparkSession, kind: str, src: str | list[str]) -> DataFrame:
     """Valid rows of an NDJSON feed, conformed (lazy; nothing is written)."""
     _, transform, _ = LANDING[kind]
-    raw = read_raw(spark, kind, src)
-    return transform(raw.where(F.col(CORRUPT_COL).isNull()))
+    return transform(valid_rows(read_raw(spark, kind, src)))
 
 
 def land_ndjson(spark: SparkSession, kind: str, src: str | list[str], dst: str, rebalance: bool = True) -> None:
     """Write the landing dataset for ``kind`` at ``dst``.
 
-    Valid rows go to ``dst/_quarantine=false``, malformed lines (original text
-    in ``_corrupt_record``, data columns NULL) to ``dst/_quarantine=true``.
+    Valid rows go to ``dst/_landing_status=valid``, malformed lines (original
+    text in ``_corrupt_record``, data columns NULL) to
+    ``dst/_landing_status=quarantine``.
     ``rebalance`` asks adaptive execution for evenly sized files instead of a
     fixed file count.
     """
     if not dst or not dst.strip():
         raise ValueError("destination path must be non-empty")
     _, transform, _ = LANDING[kind]
-    raw = read_raw(spark, kind, src).withColumn(QUARANTINE_FLAG, F.col(CORRUPT_COL).isNotNull())
-    out = transform(raw, passthrough=(CORRUPT_COL, QUARANTINE_FLAG))
+    raw = read_raw(spark, kind, src)
+    status = F.when(corrupt_text(raw).isNull(), F.lit(VALID)).otherwise(F.lit(QUARANTINE))
+    raw = raw.withColumn(STATUS_COL, status)
+    out = transform(raw, passthrough=(CORRUPT_COL, STATUS_COL))
     if rebalance:
         out = out.hint("rebalance")
-    out.write.mode("overwrite").partitionBy(QUARANTINE_FLAG).parquet(dst)
+    out.write.mode("overwrite").partitionBy(STATUS_COL).parquet(dst)
 
 
 def read_landing(spark: SparkSession, kind: str, dst: str) -> DataFrame:
     """Valid landing rows (the quarantine folder is pruned away at listing time)."""
     _, _, schema = LANDING[kind]
     df = spark.read.parquet(dst)
-    return df.where(~F.col(QUARANTINE_FLAG)).select(*[f.name for f in schema.fields])
+    return df.where(F.col(STATUS_COL) == VALID).select(*[f.name for f in schema.fields])
 
 
 def read_quarantine(spark: SparkSession, dst: str) -> DataFrame:
     """Malformed input lines captured by ``land_ndjson``."""
-    return spark.read.parquet(dst).where(F.col(QUARANTINE_FLAG)).select(F.col(CORRUPT_COL).alias("raw_line"))
+    return spark.read.parquet(dst).where(F.col(STATUS_COL) == QUARANTINE).select(
+        F.col(CORRUPT_COL).alias("raw_line")
+    )

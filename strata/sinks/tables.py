@@ -78,7 +78,14 @@ def insert_overwrite_partitions(df: DataFrame, table_name: str) -> None:
     part_cols = [c for c in target.columns if c in PARTITIONED_TABLES.values()]
     ordered = df.select(*[F.col(c) for c in target.columns])
     ordered = _balanced(ordered, part_cols)
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table_name)
+    # insertInto reads the overwrite mode from the session, not from writer options
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        ordered.write.mode("overwrite").insertInto(table_name)
+    finally:
+        spark.conf.set(key, previous)
 
 
 def create_layers(spark: SparkSession, prefix: str = "strata", location: str | None = None) -> dict[str, str]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,18 +34,26 @@ def read_ndjson(
     )
 
 
+def corrupt_text(df: DataFrame, corrupt_col: str = CORRUPT_COL) -> Column:
+    """The corrupt-record text, read *through* a data column.
+
+    Spark refuses a raw JSON scan whose only required column is the corrupt
+    record (e.g. ``count()`` after a validity filter prunes everything else);
+    tying the value to a data column keeps that column in the scan.
+    """
+    anchor = F.col([c for c in df.columns if c != corrupt_col][0])
+    return F.when(anchor.isNull() | anchor.isNotNull(), F.col(corrupt_col))
+
+
 def valid_rows(df: DataFrame, corrupt_col: str = CORRUPT_COL) -> DataFrame:
     """Rows that parsed; the corrupt-record column is dropped."""
-    return df.where(F.col(corrupt_col).isNull()).drop(corrupt_col)
+    return df.where(corrupt_text(df, corrupt_col).isNull()).drop(corrupt_col)
 
 
 def quarantined_rows(df: DataFrame, corrupt_col: str = CORRUPT_COL) -> DataFrame:
     """Original text of the lines that did not parse."""
-    # Spark refuses a query over the corrupt column alone, so a data column rides along.
-    first = [c for c in df.columns if c != corrupt_col][0]
-    return df.select(first, corrupt_col).where(F.col(corrupt_col).isNotNull()).select(
-        F.col(corrupt_col).alias("raw_line")
-    )
+    text = corrupt_text(df, corrupt_col)
+    return df.where(text.isNotNull()).select(text.alias("raw_line"))
 
 
 def flag_quarantine(df: DataFrame, corrupt_col: str = CORRUPT_COL, flag_col: str = "_quarantine") -> DataFrame:

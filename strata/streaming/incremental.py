@@ -30,6 +30,7 @@ from strata.plans.landing import review_landing
 from strata.schemas import CORRUPT_COL, REVIEW_FACT, REVIEW_RAW_READ
 from strata.session import ensure_checkpoint_dir
 from strata.sinks.tables import overwrite_partitions
+from strata.sources.ndjson import valid_rows
 from strata.sources.tables import read_month_slice
 
 PARTITION = "ym"
@@ -46,7 +47,7 @@ def merge_batch(batch: DataFrame, fact_path: str) -> None:
     """Merge one batch of raw review rows into the fact at ``fact_path``."""
     spark = batch.sparkSession
     ensure_checkpoint_dir(spark)
-    valid = batch.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
+    valid = valid_rows(batch)
     incoming = dedupe_by_key(review_fact(review_landing(valid)), ["review_id"]).checkpoint(eager=True)
 
     # partition keys touched by this batch: one value per month, bounded by the calendar
