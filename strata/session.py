@@ -2,7 +2,9 @@
 
 Two execution profiles mirror the ones the original jobs were submitted with:
 ``mvp`` (adaptive execution on, partition coalescing on, 32 shuffle partitions
-unless overridden) and ``debug`` (adaptive execution off, 8 partitions).
+unless overridden) and ``debug`` (adaptive execution off, 8 partitions). A
+third, ``cluster``, is sized for very large inputs (wide initial shuffles that
+adaptive execution coalesces to 256 MB, skew splitting on).
 Every profile pins the session time zone to UTC and keeps ANSI mode on; the
 library uses ``try_cast`` / ``try_to_timestamp`` where bad input must become
 NULL instead of failing the job.
@@ -31,6 +33,18 @@ PROFILES: dict[str, dict[str, str]] = {
         "spark.sql.adaptive.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
     },
+    # large inputs: start wide and let adaptive execution coalesce shuffle
+    # output to the advisory size; split skewed join/rebalance partitions
+    "cluster": {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.shuffle.partitions": os.environ.get("SPARK_SQL_SHUFFLE_PARTITIONS", "4000"),
+    },
 }
 
 COMMON_CONF: dict[str, str] = {
