@@ -40,8 +40,21 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+REQUIRED = {
+    "business-landing": ["src"],
+    "review-landing": ["src"],
+    "review-increment": ["src", "stream_checkpoint"],
+    "mart": ["name"],
+    "publish": ["name", "publish_root"],
+}
+
+
 def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
-    args = parser().parse_args(argv)
+    p = parser()
+    args = p.parse_args(argv)
+    missing = [f"--{a.replace('_', '-')}" for a in REQUIRED.get(args.step, []) if not getattr(args, a)]
+    if missing:
+        p.error(f"step {args.step} needs {' '.join(missing)}")
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     extra = dict(kv.split("=", 1) for kv in args.conf)
     spark = build_session(args.app_name or f"strata-{args.step}", args.profile, extra)

@@ -52,12 +52,13 @@ def rank_within_groups(
     ensure_checkpoint_dir(spark)
     group_cols = list(group_cols)
     keys = _sort_keys(group_cols, order_cols)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    # 1. global order: range partitioning splits a large group over many tasks
+    # 1. global order: range partitioning splits a large group over many tasks.
+    #    Without an explicit count, adaptive execution may merge neighbouring
+    #    small ranges (still in order) but never a range above the advisory size.
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     tagged = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
+        ranged.sortWithinPartitions(*keys)
         .select("*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_SEQ))
     )
     # the ids are positional; freeze them in the shared checkpoint folder so a
@@ -66,7 +67,7 @@ def rank_within_groups(
 
     # 2. per (partition, group): first id and row count; offset = rows of the
     #    same group in earlier partitions. One row per (partition, group) pair,
-    #    and a group has at most ``n`` of them, so the window here is small.
+    #    and a group has at most one per partition, so the window here is small.
     before = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     renamed = {c: f"__g{i}" for i, c in enumerate(group_cols)}
     offsets = (

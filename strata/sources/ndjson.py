@@ -55,8 +55,3 @@ def quarantined_rows(df: DataFrame, corrupt_col: str = CORRUPT_COL) -> DataFrame
     text = corrupt_text(df, corrupt_col)
     return df.where(text.isNotNull()).select(text.alias("raw_line"))
 
-
-def flag_quarantine(df: DataFrame, corrupt_col: str = CORRUPT_COL, flag_col: str = "_quarantine") -> DataFrame:
-    """Keep every row and add a boolean flag; lets one write land both valid and
-    malformed lines (partitioned by the flag) in a single pass over the input."""
-    return df.withColumn(flag_col, F.col(corrupt_col).isNotNull())

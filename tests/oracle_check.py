@@ -49,6 +49,23 @@ def rows_sorted(cols, rows):
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "boolean": "BOOLEAN",
+    "smallint": "SMALLINT", "tinyint": "TINYINT", "float": "FLOAT", "date": "DATE",
+}
+
+
+def type_mismatches(df, rel) -> list[str]:
+    duck_types = {d[0]: str(t) for d, t in zip(rel.description, rel.types)}
+    out = []
+    for f in df.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        if duck_types.get(f.name) != want:
+            out.append(f"{f.name}: spark {f.dataType.simpleString()} vs duck {duck_types.get(f.name)}")
+    return out
+
+
 def compare(spark, sf_dir: str, names: list[str]) -> dict[str, str]:
     q = E.queries()
     sql = E.oracle_sql()
@@ -67,8 +84,9 @@ def compare(spark, sf_dir: str, names: list[str]) -> dict[str, str]:
             results[name] = f"rows-only {len(s_rows)}"
             continue
         try:
-            rel = con.execute(sql[name])
+            rel = con.sql(sql[name])
             d_cols = [c[0] for c in rel.description]
+            types_bad = type_mismatches(df, rel)
             d_rows = rel.fetchall()
         except Exception as e:  # noqa: BLE001
             results[name] = f"DUCKDB ERROR {type(e).__name__}: {str(e)[:400]}"
@@ -83,7 +101,12 @@ def compare(spark, sf_dir: str, names: list[str]) -> dict[str, str]:
             continue
         diff = [(x, y) for x, y in zip(a, b) if x != y]
         dt = time.time() - t0
-        results[name] = f"OK rows={len(a)} ({dt:.1f}s)" if not diff else f"VALUES differ ({len(diff)}): {diff[:2]}"
+        if diff:
+            results[name] = f"VALUES differ ({len(diff)}): {diff[:2]}"
+        elif types_bad:
+            results[name] = f"TYPES differ: {types_bad}"
+        else:
+            results[name] = f"OK rows={len(a)} ({dt:.1f}s)"
     return results
 
 

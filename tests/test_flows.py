@@ -60,3 +60,12 @@ def test_cli_dry_run_builds_without_writing(spark, capsys):
     assert main(["business-split", "--root", root], stop_session=False) == 0
     assert main(["mart", "--root", root, "--name", "mart_best_city_avg_rate", "--dry-run"], stop_session=False) == 0
     assert "Physical Plan" in capsys.readouterr().out
+
+
+def test_cli_requires_step_arguments():
+    import pytest
+
+    with pytest.raises(SystemExit):
+        main(["review-increment", "--root", "/tmp/x", "--src", "/tmp/y"], stop_session=False)
+    with pytest.raises(SystemExit):
+        main(["publish", "--root", "/tmp/x", "--name", "mart_best_city_avg_rate"], stop_session=False)
