@@ -16,7 +16,8 @@ def _default_converter(dtype: T.DataType) -> Callable[[Column], Column]:
     if isinstance(dtype, T.IntegerType):
         return to_int
     if isinstance(dtype, T.LongType):
-        return lambda c: c.try_cast("double").try_cast("bigint")
+        # exact for every 64-bit value; the double route only for text such as "5.0"
+        return lambda c: F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return lambda c: to_double(c).cast(dtype)
     if isinstance(dtype, T.TimestampNTZType):

@@ -121,3 +121,24 @@ def test_review_stars_and_dates(spark, ndjson):
     assert fact["r2"].stars is None and fact["r2"].review_date is None and fact["r2"].ym is None
     assert fact["r3"].stars == 4 and fact["r3"].ym == "2020-02"
     assert "text" not in C.review_fact(land).columns
+
+
+def test_conform_bigint_is_exact(spark):
+    from strata.operators.conform import conform
+    from strata.schemas import struct, L
+
+    df = spark.createDataFrame([("9007199254740993",), ("5.0",), ("x",)], "v string")
+    got = [r.v for r in conform(df, struct(("v", L))).collect()]
+    assert got == [9007199254740993, 5, None]
+
+
+def test_landing_rebalances_many_small_files(spark, ndjson, tmp_path):
+    import os
+
+    srcs = [ndjson([biz(business_id=f"b{i}{j}") for j in range(5)], name=f"many/f{i}") for i in range(12)]
+    parent = os.path.dirname(srcs[0])
+    dst = str(tmp_path / "landing-many")
+    land_ndjson(spark, "business", parent + "/*", dst)
+    files = [f for f in os.listdir(os.path.join(dst, "_landing_status=valid")) if f.startswith("part-")]
+    assert read_landing(spark, "business", dst).count() == 60
+    assert len(files) < 12
