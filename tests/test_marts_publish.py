@@ -183,3 +183,22 @@ def test_incremental_merge_idempotent(spark):
     # nothing new: rerun is a no-op
     again = {r.review_id: r.stars for r in incremental_merge(spark, inc_dir, fact_path, ckpt).collect()}
     assert again == got
+
+
+def test_incremental_merge_multiple_batches_bad_lines_and_null_month(spark, tmp_path):
+    fact_path = scratch_path(spark, "t-inc2-fact")
+    ckpt = scratch_path(spark, "t-inc2-ckpt")
+    overwrite_partitions(fact_rows(spark, [("r1", "b1", 2, "2020-01-05")]), fact_path, "ym", REVIEW_FACT)
+    inc = tmp_path / "inc"
+    inc.mkdir()
+    (inc / "a.json").write_text(
+        json.dumps({"review_id": "r1", "business_id": "b1", "stars": 3, "date": "2020-01-05 00:00:00"}) + "\n"
+        + "NOT JSON\n"
+        + json.dumps({"review_id": "r2", "business_id": "b1", "stars": 4, "date": "bad"}) + "\n")
+    (inc / "b.json").write_text(
+        json.dumps({"review_id": "r1", "business_id": "b1", "stars": 5, "date": "2020-01-05 00:00:00"}) + "\n"
+        + json.dumps({"review_id": "r4", "business_id": "b2", "stars": 1, "date": "2020-02-01 00:00:00"}) + "\n")
+    got = incremental_merge(spark, str(inc), fact_path, ckpt, max_files_per_trigger=1)
+    rows = {r.review_id: (r.stars, r.ym) for r in got.collect()}
+    # files are taken in order: the later file's version of r1 wins; the bad line is skipped
+    assert rows == {"r1": (5, "2020-01"), "r2": (4, None), "r4": (1, "2020-02")}
