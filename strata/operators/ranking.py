@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.session import ensure_checkpoint_dir
+from strata.sinks.writers import materialize
 
 _PID = "__pid"
 _SEQ = "__seq"
@@ -63,7 +64,7 @@ def rank_within_groups(
     )
     # the ids are positional; freeze them in the shared checkpoint folder so a
     # recomputed task can never hand out different ones
-    tagged = tagged.checkpoint(eager=True)
+    tagged = materialize(tagged, "rank-tagged")
 
     # 2. per (partition, group): first id and row count; offset = rows of the
     #    same group in earlier partitions. One row per (partition, group) pair,
@@ -79,8 +80,8 @@ def rank_within_groups(
             F.col(_FIRST),
             F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF),
         )
-        .checkpoint(eager=True)
     )
+    offsets = materialize(offsets, "rank-offsets")
     # the table has one row per (partition, group): broadcast it only when
     # it is measured to be small, otherwise shuffle-join on (partition, group)
     if offsets.count() <= OFFSETS_BROADCAST_MAX_ROWS:

@@ -10,3 +10,18 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One JSON object per line (``to_json`` of the row: NULL fields omitted,
     maps and structs nested)."""
     df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value")).write.mode(mode).text(path)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return a frame reading it back.
+
+    This cuts the lineage like ``checkpoint()`` (a lost executor re-reads the
+    files instead of recomputing the plan) but computes the plan only once and
+    keeps the data columnar, so later reads are pruned.
+    """
+    from strata.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

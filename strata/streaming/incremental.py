@@ -10,8 +10,8 @@ and ``foreachBatch`` merges each micro-batch:
    read only those partitions of the current fact;
 3. keep current rows whose ``review_id`` is not in the batch, add the batch
    rows (the newest version of a review wins);
-4. cut the lineage with a checkpoint, then replace just those months with a
-   dynamic partition overwrite.
+4. cut the lineage by writing the merged months once to the shared checkpoint
+   folder, then replace just those months with a dynamic partition overwrite.
 
 A replayed batch produces the same months again, so the merge is idempotent.
 """
@@ -30,6 +30,7 @@ from strata.plans.landing import review_landing
 from strata.schemas import CORRUPT_COL, REVIEW_FACT, REVIEW_RAW_READ
 from strata.session import ensure_checkpoint_dir
 from strata.sinks.tables import overwrite_partitions
+from strata.sinks.writers import materialize
 from strata.sources.ndjson import valid_rows
 from strata.sources.tables import read_month_slice
 
@@ -48,7 +49,7 @@ def merge_batch(batch: DataFrame, fact_path: str) -> None:
     spark = batch.sparkSession
     ensure_checkpoint_dir(spark)
     valid = valid_rows(batch)
-    incoming = dedupe_by_key(review_fact(review_landing(valid)), ["review_id"]).checkpoint(eager=True)
+    incoming = materialize(dedupe_by_key(review_fact(review_landing(valid)), ["review_id"]), "increment-batch")
 
     # partition keys touched by this batch: one value per month, bounded by the calendar
     months = [r[0] for r in incoming.select(PARTITION).distinct().collect()]
@@ -65,7 +66,7 @@ def merge_batch(batch: DataFrame, fact_path: str) -> None:
     else:
         merged = incoming
     # the write below replaces files that ``merged`` reads; materialise it first
-    merged = merged.checkpoint(eager=True)
+    merged = materialize(merged, "increment-merged")
     overwrite_partitions(merged, fact_path, PARTITION, REVIEW_FACT)
 
 
