@@ -44,6 +44,9 @@ PROFILES: dict[str, dict[str, str]] = {
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.shuffle.partitions": os.environ.get("SPARK_SQL_SHUFFLE_PARTITIONS", "4000"),
+        # a dimension read from its written table is broadcast only when Spark's
+        # size estimate is under this bound; larger ones use a shuffle join
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
     },
 }
 
