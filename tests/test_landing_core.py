@@ -142,3 +142,10 @@ def test_landing_rebalances_many_small_files(spark, ndjson, tmp_path):
     files = [f for f in os.listdir(os.path.join(dst, "_landing_status=valid")) if f.startswith("part-")]
     assert read_landing(spark, "business", dst).count() == 60
     assert len(files) < 12
+
+
+def test_core_keeps_attribute_rows_with_null_value(spark):
+    # landing drops NULL-valued keys; a landing produced elsewhere may still carry them
+    land = spark.createDataFrame([("b1", '{"A":null,"B":"x"}')], "business_id string, attributes string")
+    kv = {(r.attribute_key, r.attribute_value) for r in C.business_attributes(land).collect()}
+    assert kv == {("A", None), ("B", "x")}

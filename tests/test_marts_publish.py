@@ -202,3 +202,10 @@ def test_incremental_merge_multiple_batches_bad_lines_and_null_month(spark, tmp_
     rows = {r.review_id: (r.stars, r.ym) for r in got.collect()}
     # files are taken in order: the later file's version of r1 wins; the bad line is skipped
     assert rows == {"r1": (5, "2020-01"), "r2": (4, None), "r4": (1, "2020-02")}
+
+
+def test_null_month_sorts_first_for_delta(spark):
+    f = fact_rows(spark, [("r1", "b1", 2, None), ("r2", "b1", 5, "2020-03-01")])
+    rows = {r.ym: r for r in M.mart_business_quality_monthly(f).collect()}
+    assert rows[None].rating_delta is None
+    assert rows["2020-03"].rating_delta == 3.0
