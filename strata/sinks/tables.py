@@ -75,7 +75,9 @@ def insert_overwrite_partitions(df: DataFrame, table_name: str) -> None:
     """
     spark = df.sparkSession
     target = spark.table(table_name)
-    part_cols = [c for c in target.columns if c in PARTITIONED_TABLES.values()]
+    part_cols = [c.name for c in spark.catalog.listColumns(table_name) if c.isPartition]
+    if not part_cols:
+        raise ValueError(f"{table_name} is not partitioned; use save_table to replace it")
     ordered = df.select(*[F.col(c) for c in target.columns])
     ordered = _balanced(ordered, part_cols)
     # insertInto reads the overwrite mode from the session, not from writer options
