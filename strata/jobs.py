@@ -32,6 +32,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--publish-root", help="folder receiving published NDJSON batches")
     p.add_argument("--batch-rows", type=int, default=10_000)
     p.add_argument("--no-truncate", action="store_true", help="append to an existing publish")
+    p.add_argument("--fill-defaults", action="store_true", help="publish NULLs as type defaults (0, 0.0, '')")
     p.add_argument("--stream-checkpoint", help="checkpoint folder of the increment stream")
     p.add_argument("--app-name", default=None)
     p.add_argument("--profile", choices=sorted(PROFILES), default="mvp")
@@ -76,7 +77,7 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
         result = {m: flows.build_mart(spark, m, layout, args.dry_run) for m in flows.MARTS}
     elif args.step == "publish":
         result = flows.publish_mart(spark, args.name, layout, args.publish_root, args.batch_rows,
-                                    not args.no_truncate, args.dry_run)
+                                    not args.no_truncate, args.dry_run, args.fill_defaults)
     if args.dry_run and result is not None and hasattr(result, "explain"):
         result.explain("formatted")
     if stop_session:

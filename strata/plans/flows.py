@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.operators.sanitize import sanitize_nan_inf
+from strata.operators.sanitize import fill_defaults, sanitize_nan_inf
 from strata.plans import core as C
 from strata.plans import marts as M
 from strata.plans.landing import land_ndjson, read_landing
@@ -144,12 +144,19 @@ def publish_mart(
     batch_rows: int = 10_000,
     truncate: bool = True,
     dry_run: bool = False,
+    fill_type_defaults: bool = False,
 ) -> PublishResult | int:
-    """Publish a mart per its serving contract; ``dry_run`` only counts the rows."""
+    """Publish a mart per its serving contract; ``dry_run`` only counts the rows.
+
+    ``fill_type_defaults`` writes 0 / 0.0 / '' instead of omitting NULL fields,
+    i.e. what a non-nullable serving column would show anyway.
+    """
     contract = SERVING[name]
     df = layout.read(spark, "mart", name)
     if name == "mart_business_quality_monthly":
         df = sanitize_nan_inf(df)
+    if fill_type_defaults:
+        df = fill_defaults(df)
     if dry_run:
         n = df.count()
         log_kv(step="publish", table=name, dry_run=True, would_publish_rows=n)
