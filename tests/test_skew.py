@@ -72,3 +72,23 @@ def test_monthly_and_dedupe_on_hot_key(spark):
     assert sorted(r.ym for r in hot.collect()) == ["2020-01", "2020-04", "2020-07", "2020-10"]
     assert hot.agg(F.sum("review_cnt")).first()[0] == 10000
     assert dedupe_by_key(fact, ["business_id"]).count() == 998
+
+
+def test_heavy_month_is_written_by_several_tasks(spark):
+    import os
+    import re
+
+    from strata.schemas import REVIEW_FACT
+    from strata.session import scratch_path
+    from strata.sinks.tables import overwrite_partitions
+
+    fact = skewed_fact(spark).withColumn(
+        "ym", F.when(F.col("review_id").cast("int") % 3 == 0, F.lit("2020-01")).otherwise(F.col("ym")))
+    path = scratch_path(spark, "t-hot-month")
+    with conf(spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                        "spark.sql.adaptive.coalescePartitions.enabled": "true"}):
+        overwrite_partitions(fact, path, "ym", REVIEW_FACT)
+    hot = os.path.join(path.removeprefix("file:"), "ym=2020-01")
+    tasks = {re.match(r"part-(\d+)", f).group(1) for f in os.listdir(hot) if f.startswith("part-")}
+    assert len(tasks) > 1
+    assert spark.read.parquet(path).count() == 30000
