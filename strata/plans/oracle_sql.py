@@ -80,17 +80,13 @@ category AS (
   WHERE length(trim(c)) > 0
 ),
 attrs AS (
-  SELECT business_id, 'BusinessAcceptsCreditCards' AS attribute_key,
-         CASE WHEN p_size % 2 = 0 THEN 'True' ELSE 'False' END AS attribute_value,
-         'BusinessAcceptsCreditCards' AS raw_key
-  FROM landing WHERE p_size % 13 <> 0 AND p_size % 3 <> 0
-  UNION ALL
-  SELECT business_id, 'Brand', p_brand,
-         CASE p_partkey % 4 WHEN 0 THEN 'Brand' WHEN 1 THEN '''Brand''' WHEN 2 THEN 'u''Brand''' ELSE '"Brand"' END
-  FROM landing WHERE p_size % 13 <> 0
-  UNION ALL
-  SELECT business_id, 'RestaurantsPriceRange2', CAST(p_size % 4 + 1 AS VARCHAR), 'RestaurantsPriceRange2'
-  FROM landing WHERE p_size % 13 <> 0
+  SELECT business_id,
+         regexp_replace(e.key, '^u?[''"]|[''"]$', '', 'g') AS attribute_key,
+         e.value AS attribute_value,
+         e.key AS raw_key
+  FROM (SELECT business_id,
+               unnest(map_entries(CAST(CAST(attributes AS JSON) AS MAP(VARCHAR, VARCHAR)))) AS e
+        FROM landing WHERE attributes IS NOT NULL) s
 )"""
 
 REVIEW = """
