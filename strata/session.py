@@ -88,7 +88,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     used as is. A private temporary folder is created only when the setting is
     missing, which happens in local tests.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder for this session") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
