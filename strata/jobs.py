@@ -30,6 +30,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--src", type=_non_empty, help="raw NDJSON folder or glob (landing / increment steps)")
     p.add_argument("--name", choices=flows.MARTS, help="mart to build or publish")
     p.add_argument("--publish-root", help="folder receiving published NDJSON batches")
+    p.add_argument("--rebalance", action="store_true",
+                   help="landing: even out file sizes with one shuffle (for non-splittable input, e.g. gzip)")
     p.add_argument("--batch-rows", type=int, default=10_000)
     p.add_argument("--no-truncate", action="store_true", help="append to an existing publish")
     p.add_argument("--fill-defaults", action="store_true", help="publish NULLs as type defaults (0, 0.0, '')")
@@ -62,9 +64,9 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
     layout = flows.Layout(args.root)
     result = None
     if args.step == "business-landing":
-        result = flows.ingest_business(spark, args.src, layout, args.dry_run)
+        result = flows.ingest_business(spark, args.src, layout, args.dry_run, args.rebalance)
     elif args.step == "review-landing":
-        result = flows.ingest_reviews(spark, args.src, layout, args.dry_run)
+        result = flows.ingest_reviews(spark, args.src, layout, args.dry_run, args.rebalance)
     elif args.step == "business-split":
         result = flows.split_business(spark, layout, args.dry_run)
     elif args.step == "review-fact":

@@ -52,22 +52,24 @@ class Layout:
 
 
 # ---------------------------------------------------------------- landing
-def ingest_business(spark: SparkSession, src: str, layout: Layout, dry_run: bool = False) -> DataFrame:
+def ingest_business(spark: SparkSession, src: str, layout: Layout, dry_run: bool = False,
+                    rebalance: bool = False) -> DataFrame:
     dst = layout.path("landing", "business_raw")
     log_kv(step="ingest", kind="business", src=src, dst=dst)
     if not dry_run:
-        land_ndjson(spark, "business", src, dst)
+        land_ndjson(spark, "business", src, dst, rebalance)
         return read_landing(spark, "business", dst)
     from strata.plans.landing import landing_from_ndjson
 
     return landing_from_ndjson(spark, "business", src)
 
 
-def ingest_reviews(spark: SparkSession, src: str, layout: Layout, dry_run: bool = False) -> DataFrame:
+def ingest_reviews(spark: SparkSession, src: str, layout: Layout, dry_run: bool = False,
+                   rebalance: bool = False) -> DataFrame:
     dst = layout.path("landing", "review_raw")
     log_kv(step="ingest", kind="review", src=src, dst=dst)
     if not dry_run:
-        land_ndjson(spark, "review", src, dst)
+        land_ndjson(spark, "review", src, dst, rebalance)
         return read_landing(spark, "review", dst)
     from strata.plans.landing import landing_from_ndjson
 

@@ -73,14 +73,17 @@ def landing_from_ndjson(spark: SparkSession, kind: str, src: str | list[str]) ->
     return transform(valid_rows(read_raw(spark, kind, src)))
 
 
-def land_ndjson(spark: SparkSession, kind: str, src: str | list[str], dst: str, rebalance: bool = True) -> None:
+def land_ndjson(spark: SparkSession, kind: str, src: str | list[str], dst: str, rebalance: bool = False) -> None:
     """Write the landing dataset for ``kind`` at ``dst``.
 
     Valid rows go to ``dst/_landing_status=valid``, malformed lines (original
     text in ``_corrupt_record``, data columns NULL) to
     ``dst/_landing_status=quarantine``.
-    ``rebalance`` asks adaptive execution for evenly sized files instead of a
-    fixed file count.
+    Splittable NDJSON lands in files sized by the input splits (small input
+    files are packed into shared splits), so no shuffle is needed. Set
+    ``rebalance`` for non-splittable input such as large gzip files: adaptive
+    execution then evens the output out to the advisory size, at the cost of
+    one shuffle of the data.
     """
     if not dst or not dst.strip():
         raise ValueError("destination path must be non-empty")

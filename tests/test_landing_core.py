@@ -132,9 +132,12 @@ def test_conform_bigint_is_exact(spark):
     assert got == [9007199254740993, 5, None]
 
 
-def test_landing_rebalances_many_small_files(spark, ndjson, tmp_path):
+def test_landing_file_sizing(spark, ndjson, tmp_path):
+    import gzip
+    import hashlib
     import os
 
+    # many small files are packed into shared input splits: few output files, no shuffle
     srcs = [ndjson([biz(business_id=f"b{i}{j}") for j in range(5)], name=f"many/f{i}") for i in range(12)]
     parent = os.path.dirname(srcs[0])
     dst = str(tmp_path / "landing-many")
@@ -142,6 +145,24 @@ def test_landing_rebalances_many_small_files(spark, ndjson, tmp_path):
     files = [f for f in os.listdir(os.path.join(dst, "_landing_status=valid")) if f.startswith("part-")]
     assert read_landing(spark, "business", dst).count() == 60
     assert len(files) < 12
+    # one large gzip file is read by one task; rebalancing spreads the write over several
+    gz = tmp_path / "gz"
+    gz.mkdir()
+    with gzip.open(gz / "big.json.gz", "wt") as fh:
+        for i in range(20000):
+            name = hashlib.sha256(str(i).encode()).hexdigest()  # incompressible, so sizes are real
+            fh.write(json.dumps(biz(business_id=f"g{i}", name=name, address=name[::-1])) + "\n")
+    out = str(tmp_path / "landing-gz")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        land_ndjson(spark, "business", str(gz), out, rebalance=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+    files = [f for f in os.listdir(os.path.join(out, "_landing_status=valid")) if f.startswith("part-")]
+    assert read_landing(spark, "business", out).count() == 20000
+    assert len(files) > 1
 
 
 def test_core_keeps_attribute_rows_with_null_value(spark):
