@@ -80,8 +80,12 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
     elif args.step == "publish":
         result = flows.publish_mart(spark, args.name, layout, args.publish_root, args.batch_rows,
                                     not args.no_truncate, args.dry_run, args.fill_defaults)
-    if args.dry_run and result is not None and hasattr(result, "explain"):
-        result.explain("formatted")
+    if args.dry_run and result is not None:
+        frames = result if isinstance(result, dict) else {args.step: result}
+        for name, df in frames.items():
+            if hasattr(df, "explain"):
+                print(f"== {name} ==")
+                df.explain("formatted")
     if stop_session:
         spark.stop()
     return 0
