@@ -1,7 +1,8 @@
 """Command-line entry: ``python -m strata.jobs <step> [options]``.
 
 Steps: business-landing, review-landing, business-split, review-fact,
-review-increment, mart (``--name``), publish (``--name``), all-marts.
+review-increment, mart (``--name``), publish (``--name``), all-marts,
+register-tables (catalog tables over the layout for SQL access).
 Run them in the dependency order given in ``strata.plans.flows``.
 """
 
@@ -25,7 +26,7 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="strata.jobs", description=__doc__,
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("step", choices=["business-landing", "review-landing", "business-split", "review-fact",
-                                    "review-increment", "mart", "all-marts", "publish"])
+                                    "review-increment", "mart", "all-marts", "publish", "register-tables"])
     p.add_argument("--root", type=_non_empty, required=True, help="lakehouse root folder (any Hadoop-FS path)")
     p.add_argument("--src", type=_non_empty, help="raw NDJSON folder or glob (landing / increment steps)")
     p.add_argument("--name", choices=flows.MARTS, help="mart to build or publish")
@@ -36,6 +37,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--no-truncate", action="store_true", help="append to an existing publish")
     p.add_argument("--fill-defaults", action="store_true", help="publish NULLs as type defaults (0, 0.0, '')")
     p.add_argument("--stream-checkpoint", help="checkpoint folder of the increment stream")
+    p.add_argument("--database-prefix", default="strata", help="register-tables: databases {prefix}_{layer}")
     p.add_argument("--app-name", default=None)
     p.add_argument("--profile", choices=sorted(PROFILES), default="mvp")
     p.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE", help="extra Spark setting")
@@ -77,6 +79,9 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
         result = flows.build_mart(spark, args.name, layout, args.dry_run)
     elif args.step == "all-marts":
         result = {m: flows.build_mart(spark, m, layout, args.dry_run) for m in flows.MARTS}
+    elif args.step == "register-tables":
+        for name in flows.register_tables(spark, layout, args.database_prefix):
+            print(name)
     elif args.step == "publish":
         result = flows.publish_mart(spark, args.name, layout, args.publish_root, args.batch_rows,
                                     not args.no_truncate, args.dry_run, args.fill_defaults)

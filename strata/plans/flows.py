@@ -172,3 +172,28 @@ def publish_mart(
 
 
 MARTS = list(LAYERS["mart"])
+
+
+def register_tables(spark: SparkSession, layout: Layout, prefix: str = "strata") -> list[str]:
+    """Expose every written table of the layout in the catalog as ``{prefix}_{layer}.{table}``
+    (unmanaged tables over the layout's folders), so they can be queried with SQL."""
+    from strata.schemas import PARTITIONED_TABLES
+    from strata.sources.tables import register_external
+
+    registered = []
+    for layer, tables in LAYERS.items():
+        db = f"{prefix}_{layer}"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+        for table, schema in tables.items():
+            path = layout.path(layer, table)
+            if layer == "landing":
+                path = f"{path}/_landing_status=valid"
+            try:
+                spark.read.parquet(path).limit(0).collect()  # exists and is readable
+            except Exception:  # noqa: BLE001 - table not written yet
+                continue
+            part = PARTITIONED_TABLES.get(table)
+            spark.sql(f"DROP TABLE IF EXISTS {db}.{table}")
+            register_external(spark, f"{db}.{table}", path, schema, partition_cols=(part,) if part else ())
+            registered.append(f"{db}.{table}")
+    return registered

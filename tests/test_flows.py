@@ -45,6 +45,15 @@ def test_all_steps_in_dependency_order(spark):
         assert written.schema == LAYERS["mart"][m], m
         assert same_rows(written, QUERIES[q](spark, SF).select(*written.columns)), m
 
+    names = flows.register_tables(spark, layout, prefix="lake")
+    assert "lake_core.review_fact" in names and "lake_mart.mart_review_fact_enriched" in names
+    n_fact = spark.sql("SELECT count(*) AS n FROM lake_core.review_fact").first().n
+    assert n_fact == feeds.review_feed(spark, SF).count()
+    assert spark.sql("SELECT count(*) AS n FROM lake_core.review_fact WHERE ym = '1997-03'").first().n == (
+        layout.read(spark, "core", "review_fact").where("ym = '1997-03'").count())
+    assert spark.sql("SELECT count(*) AS n FROM lake_landing.business_raw").first().n == (
+        feeds.entity_feed(spark, SF).count())
+
     pub = scratch_path(spark, "publish")
     for m in flows.MARTS:
         n = flows.publish_mart(spark, m, layout, pub, dry_run=True)
