@@ -36,6 +36,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--batch-rows", type=int, default=10_000)
     p.add_argument("--no-truncate", action="store_true", help="append to an existing publish")
     p.add_argument("--fill-defaults", action="store_true", help="publish NULLs as type defaults (0, 0.0, '')")
+    p.add_argument("--no-audit", action="store_true",
+                   help="skip the read-back row count after a publish (it re-reads the whole output)")
     p.add_argument("--stream-checkpoint", help="checkpoint folder of the increment stream")
     p.add_argument("--database-prefix", default="strata", help="register-tables: databases {prefix}_{layer}")
     p.add_argument("--app-name", default=None)
@@ -84,7 +86,7 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
             print(name)
     elif args.step == "publish":
         result = flows.publish_mart(spark, args.name, layout, args.publish_root, args.batch_rows,
-                                    not args.no_truncate, args.dry_run, args.fill_defaults)
+                                    not args.no_truncate, args.dry_run, args.fill_defaults, not args.no_audit)
     if args.dry_run and result is not None:
         frames = result if isinstance(result, dict) else {args.step: result}
         for name, df in frames.items():

@@ -147,11 +147,13 @@ def publish_mart(
     truncate: bool = True,
     dry_run: bool = False,
     fill_type_defaults: bool = False,
+    audit: bool = True,
 ) -> PublishResult | int:
     """Publish a mart per its serving contract; ``dry_run`` only counts the rows.
 
     ``fill_type_defaults`` writes 0 / 0.0 / '' instead of omitting NULL fields,
-    i.e. what a non-nullable serving column would show anyway.
+    i.e. what a non-nullable serving column would show anyway. ``audit`` reads
+    the published files back to check the row count (a full read of the output).
     """
     contract = SERVING[name]
     df = layout.read(spark, "mart", name)
@@ -166,9 +168,10 @@ def publish_mart(
     dst = f"{publish_root.rstrip('/')}/{name}"
     if contract.partition_col:
         return publish_partitioned(wire_format(df), dst, table=name, partition_col=contract.partition_col,
-                                   sort_key=contract.sort_key, batch_rows=batch_rows, truncate=truncate)
+                                   sort_key=contract.sort_key, batch_rows=batch_rows, truncate=truncate,
+                                   audit=audit)
     return publish_rows(df.sortWithinPartitions(*contract.sort_key), dst, table=name,
-                        batch_rows=batch_rows, truncate=truncate)
+                        batch_rows=batch_rows, truncate=truncate, audit=audit)
 
 
 MARTS = list(LAYERS["mart"])

@@ -96,6 +96,7 @@ def test_cli_full_sequence(spark):
         ["publish", "--root", root, "--name", "mart_business_quality_monthly", "--publish-root", pub,
          "--batch-rows", "1000"],
         ["publish", "--root", root, "--name", "mart_city_category_rating", "--publish-root", pub, "--fill-defaults"],
+        ["publish", "--root", root, "--name", "mart_best_city_avg_rate", "--publish-root", pub, "--no-audit"],
     ]
     for argv in steps:
         assert main(argv, stop_session=False) == 0, argv
