@@ -42,3 +42,105 @@ def test_dedupe_keeps_smallest_row(spark, rows):
         if g not in want or key < want[g][0]:
             want[g] = (key, cand)
     assert got == {g: c for g, (_, c) in want.items()}
+
+
+# ---- text parsing against plain-Python statements of the same rules ----------
+import re as _re  # noqa: E402
+
+from strata.functions.columns import clean_attribute_key, to_int  # noqa: E402
+from strata.operators.generators import explode_list, explode_time_ranges  # noqa: E402
+
+_SPACE = [" ", "  ", ""]
+category_item = st.builds(lambda left, name, right: f"{left}{name}{right}",
+                          st.sampled_from(_SPACE), st.sampled_from(["Food", "Bars", "", " ", "Cafe Bar", "x"]),
+                          st.sampled_from(_SPACE))
+category_lists = st.lists(category_item, min_size=1, max_size=6).map(",".join)
+
+
+def py_categories(text):
+    return [p.strip(" ") for p in _re.split(r",\s*", text) if p.strip(" ")]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(category_lists, min_size=1, max_size=20))
+def test_explode_list_matches_python(spark, texts):
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "id string, categories string")
+    got = sorted((r.id, r.category) for r in explode_list(df, "id", "categories", "category").collect())
+    want = sorted((str(i), c) for i, t in enumerate(texts) for c in py_categories(t))
+    assert got == want
+
+
+time_piece = st.one_of(
+    st.builds(lambda h, m: f"{h}:{m}", st.integers(0, 99), st.integers(0, 99)),
+    st.sampled_from(["closed", "", "8", "x:1", "123:4"]),
+)
+ranges = st.one_of(st.builds(lambda a, b: f"{a}-{b}", time_piece, time_piece), time_piece)
+
+
+def py_hours(rng):
+    pieces = rng.split("-")
+    out = []
+    for piece in (pieces[0], pieces[1] if len(pieces) > 1 else None):
+        if piece is None:
+            out += [None, None]
+            continue
+        h = _re.match(r"^(\d{1,2})", piece)
+        m = _re.match(r"^\d{1,2}:(\d{1,2})", piece)
+        out += [int(h.group(1)) if h else None, int(m.group(1)) if m else None]
+    oh, om, ch, cm = out
+    mins = lambda a, b: a * 60 + b if a is not None and b is not None else None
+    return (oh, om, ch, cm, mins(oh, om), mins(ch, cm))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(ranges, min_size=1, max_size=20))
+def test_hours_match_python(spark, values):
+    import json
+
+    rows = [(str(i), json.dumps({"Monday": v})) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "business_id string, hours string")
+    got = {r.business_id: (r.open_hour, r.open_minute, r.close_hour, r.close_minute, r.open_minutes,
+                           r.close_minutes) for r in explode_time_ranges(df).collect()}
+    assert got == {str(i): py_hours(v) for i, v in enumerate(values)}
+
+
+keys = st.builds(lambda pre, body, post: pre + body + post,
+                 st.sampled_from(["", "u'", "'", '"', 'u"', "u"]),
+                 st.sampled_from(["Key", "menu\"x", "it's", "", "u"]),
+                 st.sampled_from(["", "'", '"']))
+
+
+def py_clean(key):
+    return _re.sub(r"^u?['\"]|['\"]$", "", key)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(keys, min_size=1, max_size=30))
+def test_key_cleanup_matches_python(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "k string")
+    got = [r.c for r in df.select(clean_attribute_key("k").alias("c")).collect()]
+    assert got == [py_clean(v) for v in values]
+
+
+numbers = st.one_of(
+    st.integers(-2**40, 2**40).map(str),
+    st.floats(-1e6, 1e6, allow_nan=False).map(lambda f: repr(float(int(f)))),
+    st.sampled_from(["", "zz", "1e3", "3000000000", "-2147483648", "2147483647", " 7 "]),
+)
+
+
+def py_to_int(text):
+    try:
+        v = float(text)
+    except ValueError:
+        return None
+    v = int(v)
+    return v if -2**31 <= v < 2**31 else None
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(numbers, min_size=1, max_size=30))
+def test_to_int_matches_python(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = [r.i for r in df.select(to_int("s").alias("i")).collect()]
+    assert got == [py_to_int(v) for v in values]
