@@ -39,6 +39,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--no-audit", action="store_true",
                    help="skip the read-back row count after a publish (it re-reads the whole output)")
     p.add_argument("--stream-checkpoint", help="checkpoint folder of the increment stream")
+    p.add_argument("--every", default=None, metavar="INTERVAL",
+                   help="review-increment: keep running, merging new files at this interval (e.g. '5 minutes')")
     p.add_argument("--database-prefix", default="strata", help="register-tables: databases {prefix}_{layer}")
     p.add_argument("--app-name", default=None)
     p.add_argument("--profile", choices=sorted(PROFILES), default="mvp")
@@ -76,7 +78,13 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
     elif args.step == "review-fact":
         result = flows.write_review_fact(spark, layout, args.dry_run)
     elif args.step == "review-increment":
-        result = flows.merge_review_increment(spark, args.src, layout, args.stream_checkpoint)
+        if args.every:
+            from strata.streaming.incremental import start_incremental_merge
+
+            start_incremental_merge(spark, args.src, layout.path("core", "review_fact"), args.stream_checkpoint,
+                                    processing_time=args.every).awaitTermination()
+        else:
+            result = flows.merge_review_increment(spark, args.src, layout, args.stream_checkpoint)
     elif args.step == "mart":
         result = flows.build_mart(spark, args.name, layout, args.dry_run)
     elif args.step == "all-marts":

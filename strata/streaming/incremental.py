@@ -76,8 +76,14 @@ def start_incremental_merge(
     fact_path: str,
     stream_checkpoint: str,
     max_files_per_trigger: int | None = None,
+    processing_time: str | None = None,
 ) -> StreamingQuery:
-    """Start the availableNow stream; returns the query (call ``awaitTermination``)."""
+    """Start the merge stream; returns the query.
+
+    By default the trigger is ``availableNow``: every file present is processed,
+    then the query stops (a scheduled job). ``processing_time`` (e.g.
+    ``"5 minutes"``) keeps it running and merges new files at that interval.
+    """
     schema = T.StructType(list(REVIEW_RAW_READ.fields) + [T.StructField(CORRUPT_COL, T.StringType(), True)])
     reader = (
         spark.readStream.schema(schema)
@@ -87,12 +93,11 @@ def start_incremental_merge(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(increment_dir)
-    return (
-        stream.writeStream.foreachBatch(lambda df, _batch_id: merge_batch(df, fact_path))
-        .option("checkpointLocation", stream_checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    writer = stream.writeStream.foreachBatch(lambda df, _batch_id: merge_batch(df, fact_path)).option(
+        "checkpointLocation", stream_checkpoint
     )
+    writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def incremental_merge(

@@ -209,3 +209,27 @@ def test_null_month_sorts_first_for_delta(spark):
     rows = {r.ym: r for r in M.mart_business_quality_monthly(f).collect()}
     assert rows[None].rating_delta is None
     assert rows["2020-03"].rating_delta == 3.0
+
+
+def test_incremental_merge_processing_time_trigger(spark, tmp_path):
+    import time
+
+    from strata.streaming.incremental import start_incremental_merge
+
+    fact_path = scratch_path(spark, "t-inc3-fact")
+    inc = tmp_path / "inc3"
+    inc.mkdir()
+    (inc / "a.json").write_text(json.dumps({"review_id": "r1", "business_id": "b", "stars": 3,
+                                            "date": "2020-05-01 00:00:00"}) + "\n")
+    q = start_incremental_merge(spark, str(inc), fact_path, scratch_path(spark, "t-inc3-ckpt"),
+                                processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        (inc / "b.json").write_text(json.dumps({"review_id": "r2", "business_id": "b", "stars": 4,
+                                                "date": "2020-06-01 00:00:00"}) + "\n")
+        time.sleep(1.5)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r.review_id: r.ym for r in spark.read.schema(REVIEW_FACT).parquet(fact_path).collect()}
+    assert got == {"r1": "2020-05", "r2": "2020-06"}
