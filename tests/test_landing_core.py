@@ -170,3 +170,15 @@ def test_core_keeps_attribute_rows_with_null_value(spark):
     land = spark.createDataFrame([("b1", '{"A":null,"B":"x"}')], "business_id string, attributes string")
     kv = {(r.attribute_key, r.attribute_value) for r in C.business_attributes(land).collect()}
     assert kv == {("A", None), ("B", "x")}
+
+
+def test_blank_paths_are_rejected(spark):
+    import pytest
+
+    from strata.sources.ndjson import read_ndjson
+    from strata.schemas import BUSINESS_RAW_READ
+
+    with pytest.raises(ValueError):
+        read_ndjson(spark, "  ", BUSINESS_RAW_READ)
+    with pytest.raises(ValueError):
+        land_ndjson(spark, "business", "/tmp/does-not-matter", " ")
