@@ -233,3 +233,26 @@ def test_incremental_merge_processing_time_trigger(spark, tmp_path):
         q.stop()
     got = {r.review_id: r.ym for r in spark.read.schema(REVIEW_FACT).parquet(fact_path).collect()}
     assert got == {"r1": "2020-05", "r2": "2020-06"}
+
+
+def test_rank_within_groups_shuffle_fallback(spark, monkeypatch):
+    import strata.operators.ranking as R
+
+    monkeypatch.setattr(R, "OFFSETS_BROADCAST_MAX_ROWS", 0)  # offsets never broadcast
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 7).cast("string")).alias("g"),
+        (F.col("id") * 31 % 97).alias("score"), F.col("id"))
+    order = [F.col("score").desc(), F.col("id").asc()]
+    with_conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in with_conf}
+    for k, v in with_conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = R.rank_within_groups(df, ["g"], order, "rn", num_partitions=6)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
