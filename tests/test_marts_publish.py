@@ -244,7 +244,7 @@ def test_rank_within_groups_shuffle_fallback(spark, monkeypatch):
         (F.col("id") * 31 % 97).alias("score"), F.col("id"))
     order = [F.col("score").desc(), F.col("id").asc()]
     with_conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
-    old = {k: spark.conf.get(k) for k in with_conf}
+    old = {k: spark.conf.get(k, None) for k in with_conf}
     for k, v in with_conf.items():
         spark.conf.set(k, v)
     try:
@@ -255,4 +255,4 @@ def test_rank_within_groups_shuffle_fallback(spark, monkeypatch):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
