@@ -47,6 +47,8 @@ class Layout:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
+        if layer == "landing":  # valid rows only; the quarantine sits beside them
+            return read_landing(spark, "business" if table == "business_raw" else "review", self.path(layer, table))
         schema = LAYERS[layer][table]
         return spark.read.schema(schema).parquet(self.path(layer, table))
 

@@ -35,6 +35,8 @@ def test_all_steps_in_dependency_order(spark):
 
     flows.ingest_business(spark, src_b, layout)
     flows.ingest_reviews(spark, src_r, layout)
+    assert layout.read(spark, "landing", "business_raw").count() == feeds.entity_feed(spark, SF).count()
+    assert layout.read(spark, "landing", "review_raw").schema == LAYERS["landing"]["review_raw"]
     flows.split_business(spark, layout)
     flows.write_review_fact(spark, layout)
     for m in flows.MARTS:
