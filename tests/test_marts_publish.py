@@ -256,3 +256,15 @@ def test_rank_within_groups_shuffle_fallback(spark, monkeypatch):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_incremental_merge_creates_fact_on_first_batch(spark, tmp_path):
+    fact_path = scratch_path(spark, "t-inc4-fact")  # does not exist yet
+    inc = tmp_path / "inc4"
+    inc.mkdir()
+    (inc / "a.json").write_text(
+        json.dumps({"review_id": "r1", "business_id": "b", "stars": "4.0", "date": "2021-01-02 03:04:05"}) + "\n"
+        + json.dumps({"review_id": "r1", "business_id": "b", "stars": "2", "date": "2021-01-02 03:04:05"}) + "\n")
+    got = incremental_merge(spark, str(inc), fact_path, scratch_path(spark, "t-inc4-ckpt")).collect()
+    # a review repeated inside one batch is kept once (smallest full row)
+    assert [(r.review_id, r.stars, r.ym) for r in got] == [("r1", 2, "2021-01")]
