@@ -78,8 +78,8 @@ def compact_json_object(c: str | Column) -> Column:
     still see (and skip) it.
     """
     text = col_(c)
-    parsed = parse_string_map(text)
-    return F.when(parsed.isNull(), text).otherwise(F.to_json(F.map_filter(parsed, lambda k, v: v.isNotNull())))
+    # one parse per row: to_json of an unparsable (NULL) map is NULL, so the raw text is kept
+    return F.coalesce(F.to_json(F.map_filter(parse_string_map(text), lambda k, v: v.isNotNull())), text)
 
 
 def hour_of(c: str | Column) -> Column:
