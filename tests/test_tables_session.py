@@ -53,3 +53,19 @@ def test_profiles_and_checkpoint_dir(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     with pytest.raises(ValueError):
         build_session("x", profile="nope")
+
+
+def test_library_stays_on_the_dataframe_api():
+    """No UDFs, RDD code, local checkpoints or driver-side loops over data in the library."""
+    import pathlib
+    import re
+
+    root = pathlib.Path(__file__).resolve().parents[1] / "strata"
+    banned = re.compile(r"\budf\b|pandas_udf|\.rdd\b|localCheckpoint|toPandas|mapPartitions")
+    allowed_collect = {"streaming/incremental.py", "plans/flows.py"}  # month keys; an existence probe
+    for path in root.rglob("*.py"):
+        text = path.read_text()
+        rel = path.relative_to(root).as_posix()
+        assert not banned.search(text), rel
+        if ".collect()" in text:
+            assert rel in allowed_collect, rel
