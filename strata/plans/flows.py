@@ -194,7 +194,7 @@ def register_tables(spark: SparkSession, layout: Layout, prefix: str = "strata")
             if layer == "landing":
                 path = f"{path}/_landing_status=valid"
             try:
-                spark.read.parquet(path).limit(0).collect()  # exists and is readable
+                spark.read.parquet(path).schema  # resolves only if the table was written
             except Exception:  # noqa: BLE001 - table not written yet
                 continue
             part = PARTITIONED_TABLES.get(table)
