@@ -144,3 +144,40 @@ def test_to_int_matches_python(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "s string")
     got = [r.i for r in df.select(to_int("s").alias("i")).collect()]
     assert got == [py_to_int(v) for v in values]
+
+
+# ---- fuzz: any JSON value in any raw field must land without an error ----------
+json_scalar = st.one_of(
+    st.none(), st.booleans(), st.integers(-2**63, 2**63 - 1), st.floats(allow_nan=False, allow_infinity=False),
+    st.text(max_size=12), st.sampled_from(["5.0", "1e400", "-0", "2020-13-45", "2020-02-29 25:61:61", "8:0-22:30",
+                                           "closed", "u'x'", "{}", "[]", "NaN"]),
+)
+json_value = st.recursive(json_scalar, lambda inner: st.one_of(
+    st.lists(inner, max_size=3), st.dictionaries(st.text(max_size=6), inner, max_size=3)), max_leaves=6)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(business=st.lists(st.fixed_dictionaries({}, optional={k: json_value for k in [
+    "business_id", "name", "city", "latitude", "stars", "review_count", "is_open", "attributes", "categories",
+    "hours", "postal_code"]}), min_size=1, max_size=15),
+       reviews=st.lists(st.fixed_dictionaries({}, optional={k: json_value for k in [
+           "review_id", "business_id", "stars", "useful", "date", "text"]}), min_size=1, max_size=15))
+def test_landing_and_split_never_fail(spark, tmp_path_factory, business, reviews):
+    import json
+
+    from strata.plans import core as C
+    from strata.plans.landing import landing_from_ndjson
+
+    d = tmp_path_factory.mktemp("fuzz")
+    (d / "b").mkdir()
+    (d / "r").mkdir()
+    (d / "b" / "x.json").write_text("\n".join(json.dumps(b) for b in business) + "\n")
+    (d / "r" / "x.json").write_text("\n".join(json.dumps(r) for r in reviews) + "\n")
+    land = landing_from_ndjson(spark, "business", str(d / "b"))
+    assert land.count() == len(business)  # every line is a JSON object, so none is quarantined
+    for df in (C.business_core(land), C.business_category(land), C.business_attributes(land),
+               C.business_hours(land)):
+        df.collect()
+    fact = C.review_fact(landing_from_ndjson(spark, "review", str(d / "r")))
+    assert fact.count() == len(reviews)
+    fact.collect()
