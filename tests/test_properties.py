@@ -181,3 +181,30 @@ def test_landing_and_split_never_fail(spark, tmp_path_factory, business, reviews
     fact = C.review_fact(landing_from_ndjson(spark, "review", str(d / "r")))
     assert fact.count() == len(reviews)
     fact.collect()
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(business=st.lists(st.fixed_dictionaries({}, optional={k: json_value for k in [
+    "business_id", "name", "city", "stars", "review_count", "attributes", "categories"]}), min_size=1, max_size=12),
+       reviews=st.lists(st.fixed_dictionaries({}, optional={k: json_value for k in [
+           "review_id", "business_id", "stars", "date"]}), min_size=1, max_size=12))
+def test_marts_never_fail(spark, tmp_path_factory, business, reviews):
+    import json
+
+    from strata.plans import core as C
+    from strata.plans import marts as Mt
+    from strata.plans.landing import landing_from_ndjson
+
+    d = tmp_path_factory.mktemp("fuzzm")
+    (d / "b").mkdir()
+    (d / "r").mkdir()
+    (d / "b" / "x.json").write_text("\n".join(json.dumps(b) for b in business) + "\n")
+    (d / "r" / "x.json").write_text("\n".join(json.dumps(r) for r in reviews) + "\n")
+    land = landing_from_ndjson(spark, "business", str(d / "b"))
+    core, cats, attrs = C.business_core(land), C.business_category(land), C.business_attributes(land)
+    fact = C.review_fact(landing_from_ndjson(spark, "review", str(d / "r")))
+    for df in (Mt.mart_city_category_rating(core, cats), Mt.mart_best_city_avg_rate(core),
+               Mt.mart_top_businesses_per_category(core, cats), Mt.top_businesses_per_category(core, cats),
+               Mt.mart_category_creditcard_share(cats, attrs), Mt.mart_business_quality_monthly(fact)):
+        df.collect()
+    assert Mt.mart_review_fact_enriched(fact, core).count() == len(reviews)
