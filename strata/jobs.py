@@ -27,7 +27,10 @@ def parser() -> argparse.ArgumentParser:
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("step", choices=["business-landing", "review-landing", "business-split", "review-fact",
                                     "review-increment", "mart", "all-marts", "publish", "register-tables"])
-    p.add_argument("--root", type=_non_empty, required=True, help="lakehouse root folder (any Hadoop-FS path)")
+    p.add_argument("--root", type=_non_empty, required=True,
+                   help="lakehouse root folder (any Hadoop-FS path); with --catalog, the landing folder")
+    p.add_argument("--catalog", metavar="PREFIX", default=None,
+                   help="keep core and mart tables as managed catalog tables in databases PREFIX_core / PREFIX_mart")
     p.add_argument("--src", type=_non_empty, help="raw NDJSON folder or glob (landing / increment steps)")
     p.add_argument("--name", choices=flows.MARTS, help="mart to build or publish")
     p.add_argument("--publish-root", help="folder receiving published NDJSON batches")
@@ -67,7 +70,9 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     extra = dict(kv.split("=", 1) for kv in args.conf)
     spark = build_session(args.app_name or f"strata-{args.step}", args.profile, extra)
-    layout = flows.Layout(args.root)
+    layout = flows.CatalogLayout(args.catalog, args.root) if args.catalog else flows.Layout(args.root)
+    if args.step == "register-tables" and args.catalog:
+        p.error("register-tables exposes a path layout; catalog tables are registered already")
     result = None
     if args.step == "business-landing":
         result = flows.ingest_business(spark, args.src, layout, args.dry_run, args.rebalance)

@@ -1,4 +1,5 @@
-"""Job steps over a path-based lakehouse layout.
+"""Job steps over a lakehouse layout: path-based (``Layout``) or catalog tables
+(``CatalogLayout``).
 
 Each step reads its inputs from the layout, builds its DataFrame(s) lazily
 and writes them unless ``dry_run`` is set; it always returns what it built,
@@ -27,19 +28,18 @@ from strata.schemas import (
     BUSINESS_CORE,
     BUSINESS_HOURS,
     LAYERS,
-    REVIEW_FACT,
     SERVING,
 )
 from strata.session import log_kv
 from strata.sinks.publish import PublishResult, publish_partitioned, publish_rows, wire_format
-from strata.sinks.tables import overwrite_parquet, overwrite_partitions
+from strata.sinks.tables import overwrite_parquet, save_table
 from strata.sources.tables import read_month_slice
-from strata.streaming.incremental import incremental_merge
+from strata.streaming.incremental import PathFact, TableFact, incremental_merge
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where each table lives: ``{root}/{layer}/{table}``."""
+    """Path-based lake: each table lives at ``{root}/{layer}/{table}``."""
 
     root: str
 
@@ -48,13 +48,55 @@ class Layout:
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         if layer == "landing":  # valid rows only; the quarantine sits beside them
-            return read_landing(spark, "business" if table == "business_raw" else "review", self.path(layer, table))
+            return read_landing(spark, _KIND[table], self.path(layer, table))
         schema = LAYERS[layer][table]
         return spark.read.schema(schema).parquet(self.path(layer, table))
 
+    def write(self, df: DataFrame, layer: str, table: str) -> None:
+        overwrite_parquet(df, self.path(layer, table), LAYERS[layer][table])
+
+    def fact_target(self) -> PathFact:
+        return PathFact(self.path("core", "review_fact"))
+
+
+@dataclass(frozen=True)
+class CatalogLayout:
+    """Catalog lake: landing files under ``landing_root`` (external data), core
+    and mart tables as managed tables ``{prefix}_{layer}.{table}`` written with
+    their declared types; the fact is a month-partitioned table refreshed by
+    positional, dynamic ``insertInto``."""
+
+    prefix: str
+    landing_root: str
+
+    def name(self, layer: str, table: str) -> str:
+        return f"{self.prefix}_{layer}.{table}"
+
+    def path(self, layer: str, table: str) -> str:
+        if layer != "landing":
+            raise ValueError("only landing data lives at a path in a catalog layout")
+        return f"{self.landing_root.rstrip('/')}/{table}"
+
+    def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
+        if layer == "landing":
+            return read_landing(spark, _KIND[table], self.path(layer, table))
+        return spark.table(self.name(layer, table)).select(*[f.name for f in LAYERS[layer][table].fields])
+
+    def write(self, df: DataFrame, layer: str, table: str) -> None:
+        spark = df.sparkSession
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}_{layer}")
+        save_table(df, self.name(layer, table), LAYERS[layer][table])
+
+    def fact_target(self) -> TableFact:
+        return TableFact(self.name("core", "review_fact"))
+
+
+_KIND = {"business_raw": "business", "review_raw": "review"}
+AnyLayout = Layout | CatalogLayout
+
 
 # ---------------------------------------------------------------- landing
-def ingest_business(spark: SparkSession, src: str, layout: Layout, dry_run: bool = False,
+def ingest_business(spark: SparkSession, src: str, layout: AnyLayout, dry_run: bool = False,
                     rebalance: bool = False) -> DataFrame:
     dst = layout.path("landing", "business_raw")
     log_kv(step="ingest", kind="business", src=src, dst=dst)
@@ -66,7 +108,7 @@ def ingest_business(spark: SparkSession, src: str, layout: Layout, dry_run: bool
     return landing_from_ndjson(spark, "business", src)
 
 
-def ingest_reviews(spark: SparkSession, src: str, layout: Layout, dry_run: bool = False,
+def ingest_reviews(spark: SparkSession, src: str, layout: AnyLayout, dry_run: bool = False,
                    rebalance: bool = False) -> DataFrame:
     dst = layout.path("landing", "review_raw")
     log_kv(step="ingest", kind="review", src=src, dst=dst)
@@ -79,43 +121,43 @@ def ingest_reviews(spark: SparkSession, src: str, layout: Layout, dry_run: bool
 
 
 # ---------------------------------------------------------------- core
-def split_business(spark: SparkSession, layout: Layout, dry_run: bool = False) -> dict[str, DataFrame]:
+def split_business(spark: SparkSession, layout: AnyLayout, dry_run: bool = False) -> dict[str, DataFrame]:
     """Four writes, each scanning only the landing columns it needs."""
-    landing = read_landing(spark, "business", layout.path("landing", "business_raw"))
+    landing = layout.read(spark, "landing", "business_raw")
     outputs = {
         "business_core": (C.business_core(landing), BUSINESS_CORE),
         "business_category": (C.business_category(landing), BUSINESS_CATEGORY),
         "business_attributes": (C.business_attributes(landing), BUSINESS_ATTRIBUTES),
         "business_hours": (C.business_hours(landing), BUSINESS_HOURS),
     }
-    for name, (df, schema) in outputs.items():
+    for name, (df, _schema) in outputs.items():
         log_kv(step="write", table=name, dry_run=dry_run)
         if not dry_run:
-            overwrite_parquet(df, layout.path("core", name), schema)
+            layout.write(df, "core", name)
     return {name: df for name, (df, _) in outputs.items()}
 
 
-def write_review_fact(spark: SparkSession, layout: Layout, dry_run: bool = False) -> DataFrame:
+def write_review_fact(spark: SparkSession, layout: AnyLayout, dry_run: bool = False) -> DataFrame:
     """Refresh only the months present in the landing extract (dynamic partition overwrite)."""
-    landing = read_landing(spark, "review", layout.path("landing", "review_raw"))
+    landing = layout.read(spark, "landing", "review_raw")
     fact = C.review_fact(landing)
     log_kv(step="write", table="review_fact", mode="dynamic", dry_run=dry_run)
     if not dry_run:
-        overwrite_partitions(fact, layout.path("core", "review_fact"), "ym", REVIEW_FACT)
+        layout.fact_target().replace_months(fact)
     return fact
 
 
-def merge_review_increment(spark: SparkSession, increment_dir: str, layout: Layout, stream_checkpoint: str) -> DataFrame:
+def merge_review_increment(spark: SparkSession, increment_dir: str, layout: AnyLayout, stream_checkpoint: str) -> DataFrame:
     """Pick up new review files and merge them into the fact (availableNow stream)."""
-    return incremental_merge(spark, increment_dir, layout.path("core", "review_fact"), stream_checkpoint)
+    return incremental_merge(spark, increment_dir, layout.fact_target(), stream_checkpoint)
 
 
 # ---------------------------------------------------------------- marts
-def _fact(spark: SparkSession, layout: Layout, ym_from: str | None = None, ym_to: str | None = None) -> DataFrame:
-    return read_month_slice(spark, layout.path("core", "review_fact"), ym_from, ym_to, schema=REVIEW_FACT)
+def _fact(spark: SparkSession, layout: AnyLayout, ym_from: str | None = None, ym_to: str | None = None) -> DataFrame:
+    return read_month_slice(spark, layout.read(spark, "core", "review_fact"), ym_from, ym_to)
 
 
-def build_mart(spark: SparkSession, name: str, layout: Layout, dry_run: bool = False) -> DataFrame:
+def build_mart(spark: SparkSession, name: str, layout: AnyLayout, dry_run: bool = False) -> DataFrame:
     """Build (and unless ``dry_run`` write) one mart by name."""
     core = lambda t: layout.read(spark, "core", t)
     builders = {
@@ -135,7 +177,7 @@ def build_mart(spark: SparkSession, name: str, layout: Layout, dry_run: bool = F
     df = builders[name]()
     log_kv(step="write", table=name, dry_run=dry_run)
     if not dry_run:
-        overwrite_parquet(df, layout.path("mart", name), LAYERS["mart"][name])
+        layout.write(df, "mart", name)
     return df
 
 
@@ -143,7 +185,7 @@ def build_mart(spark: SparkSession, name: str, layout: Layout, dry_run: bool = F
 def publish_mart(
     spark: SparkSession,
     name: str,
-    layout: Layout,
+    layout: AnyLayout,
     publish_root: str,
     batch_rows: int = 10_000,
     truncate: bool = True,

@@ -18,6 +18,8 @@ A replayed batch produces the same months again, so the merge is idempotent.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,25 +31,59 @@ from strata.plans.core import review_fact
 from strata.plans.landing import review_landing
 from strata.schemas import CORRUPT_COL, REVIEW_FACT, REVIEW_RAW_READ
 from strata.session import ensure_checkpoint_dir
-from strata.sinks.tables import overwrite_partitions
+from strata.operators.conform import cast_to_schema
+from strata.sinks.tables import insert_overwrite_partitions, overwrite_partitions
 from strata.sinks.writers import materialize
 from strata.sources.ndjson import valid_rows
-from strata.sources.tables import read_month_slice
 
 PARTITION = "ym"
 
 
-def _existing_fact(spark: SparkSession, fact_path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(REVIEW_FACT).parquet(fact_path)
-    except AnalysisException:
-        return None
+@dataclass(frozen=True)
+class PathFact:
+    """The fact as a month-partitioned Parquet dataset at ``path``."""
+
+    path: str
+
+    def read(self, spark: SparkSession) -> DataFrame | None:
+        try:
+            return spark.read.schema(REVIEW_FACT).parquet(self.path)
+        except AnalysisException:
+            return None
+
+    def replace_months(self, df: DataFrame) -> None:
+        overwrite_partitions(df, self.path, PARTITION, REVIEW_FACT)
+
+
+@dataclass(frozen=True)
+class TableFact:
+    """The fact as a month-partitioned catalog table (created on first use)."""
+
+    name: str
+
+    def read(self, spark: SparkSession) -> DataFrame | None:
+        return spark.table(self.name) if spark.catalog.tableExists(self.name) else None
+
+    def replace_months(self, df: DataFrame) -> None:
+        spark = df.sparkSession
+        if not spark.catalog.tableExists(self.name):
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in REVIEW_FACT.fields)
+            spark.sql(f"CREATE TABLE {self.name} ({cols}) USING parquet PARTITIONED BY ({PARTITION})")
+        insert_overwrite_partitions(cast_to_schema(df, REVIEW_FACT), self.name)
+
+
+FactTarget = PathFact | TableFact
+
+
+def _target(fact: str | FactTarget) -> FactTarget:
+    return PathFact(fact) if isinstance(fact, str) else fact
 
 
-def merge_batch(batch: DataFrame, fact_path: str) -> None:
-    """Merge one batch of raw review rows into the fact at ``fact_path``."""
+def merge_batch(batch: DataFrame, fact: str | FactTarget) -> None:
+    """Merge one batch of raw review rows into the fact (a path or a ``TableFact``)."""
     spark = batch.sparkSession
     ensure_checkpoint_dir(spark)
+    target = _target(fact)
     valid = valid_rows(batch)
     incoming = materialize(dedupe_by_key(review_fact(review_landing(valid)), ["review_id"]), "increment-batch")
 
@@ -55,7 +91,7 @@ def merge_batch(batch: DataFrame, fact_path: str) -> None:
     months = [r[0] for r in incoming.select(PARTITION).distinct().collect()]
     if not months:
         return
-    current = _existing_fact(spark, fact_path)
+    current = target.read(spark)
     if current is not None:
         cond = F.col(PARTITION).isin([m for m in months if m is not None])
         if None in months:
@@ -67,13 +103,13 @@ def merge_batch(batch: DataFrame, fact_path: str) -> None:
         merged = incoming
     # the write below replaces files that ``merged`` reads; materialise it first
     merged = materialize(merged, "increment-merged")
-    overwrite_partitions(merged, fact_path, PARTITION, REVIEW_FACT)
+    target.replace_months(merged)
 
 
 def start_incremental_merge(
     spark: SparkSession,
     increment_dir: str,
-    fact_path: str,
+    fact: str | FactTarget,
     stream_checkpoint: str,
     max_files_per_trigger: int | None = None,
     processing_time: str | None = None,
@@ -93,7 +129,8 @@ def start_incremental_merge(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(increment_dir)
-    writer = stream.writeStream.foreachBatch(lambda df, _batch_id: merge_batch(df, fact_path)).option(
+    target = _target(fact)
+    writer = stream.writeStream.foreachBatch(lambda df, _batch_id: merge_batch(df, target)).option(
         "checkpointLocation", stream_checkpoint
     )
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
@@ -103,13 +140,13 @@ def start_incremental_merge(
 def incremental_merge(
     spark: SparkSession,
     increment_dir: str,
-    fact_path: str,
+    fact: str | FactTarget,
     stream_checkpoint: str,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Run the merge until every available file is processed; return the fact."""
-    q = start_incremental_merge(spark, increment_dir, fact_path, stream_checkpoint, max_files_per_trigger)
+    q = start_incremental_merge(spark, increment_dir, fact, stream_checkpoint, max_files_per_trigger)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return read_month_slice(spark, fact_path, schema=REVIEW_FACT)
+    return _target(fact).read(spark)
