@@ -63,3 +63,24 @@ def test_dedupe_partitioning_reused_by_join(spark):
     tree = plan.split("\n\n(1)")[0]
     # shuffles: dedupe, category side of the join, final aggregate
     assert tree.count("Exchange") - tree.count("BroadcastExchange") == 3
+
+
+MAX_SHUFFLES = {  # PLANS.md; a change that adds a shuffle should be deliberate
+    "business_core": 1,
+    "mart_city_category_rating": 3,
+    "mart_best_city_avg_rate": 2,
+    "mart_business_quality_monthly": 2,
+    "mart_review_fact_enriched": 2,
+    "top_k_per_category": 3,
+    "mart_category_creditcard_share": 3,
+    "event_props_kv": 0,
+    "business_hours": 0,
+    "review_fact": 0,
+}
+
+
+@pytest.mark.parametrize("name", list(MAX_SHUFFLES))
+def test_shuffle_budget(spark, name):
+    tree = _plan(E.queries()[name](spark, SF)).split("\n\n(1)")[0]
+    shuffles = len(re.findall(r"(?<!Broadcast)Exchange", tree))
+    assert shuffles <= MAX_SHUFFLES[name], f"{name}: {shuffles} shuffles\n{tree}"
