@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import quality_rules
+from strata.llm import packing, quality_rules
 from strata.llm.common import table
 
 
@@ -18,8 +18,21 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public vocabulary file; a parameter of the operators that need one."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens packed from all ``documents``."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), window=2048)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op8_packing": op8_packing,
 }
 
 _SEP = r"[\x20\x09-\x0D]+"
