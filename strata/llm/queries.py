@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import packing, quality_rules
-from strata.llm.common import table
+from pyspark.sql import functions as F
+
+from strata.llm import line_dedup, packing, quality_rules, warc
+from strata.llm.common import shared_path, table
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,9 +32,30 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), window=2048)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` written as WARC records and read back."""
+    path = shared_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "complete")
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated multi-line chunks removed from all ``documents``."""
+    d = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select(
+        "doc_id",
+        F.col("_lines").alias("n_lines"),
+        F.col("_removed_lines").alias("n_removed_lines"),
+        F.col("_removed_chunks").alias("n_removed_chunks"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op8_packing": op8_packing,
+    "op9_warc": op9_warc,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 _SEP = r"[\x20\x09-\x0D]+"
@@ -76,3 +99,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND n_bullet / n_lines <= 0.90 AND n_ellipsis / n_lines <= 0.30 AS kept
 FROM b
 """
+
+ORACLE["op9_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha256(encode(coalesce(html, ''))) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS least FROM p WHERE octet_length(b) >= 100 GROUP BY d HAVING count(*) > 1)
+SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, d AS payload_digest,
+       CASE WHEN least IS NOT NULL AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> least THEN least END AS refers_to, true AS complete
+FROM p LEFT JOIN f USING (d)
+"""
