@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from strata.llm import line_dedup, packing, quality_rules, warc
+from strata.llm import line_dedup, packing, quality_rules, toxicity, warc
 from strata.llm.common import shared_path, table
 
 
@@ -20,6 +20,27 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out_third():
+    """Column: rows whose labels are never learnt from."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+
+
+def toxicity_lexicon(spark: SparkSession, sf_dir: str) -> toxicity.Lexicon:
+    """Learnt from the labels that are not held out."""
+    labels = table(spark, sf_dir, "labels").where(~held_out_third())
+    return toxicity.fit(table(spark, sf_dir, "documents"), labels)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text of ``documents``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = toxicity.score(docs, toxicity_lexicon(spark, sf_dir))
+    return d.select(
+        "doc_id", held_out_third().alias("held_out"), F.col("_score").alias("score"),
+        F.col("_toxic").cast("int").alias("predicted"), F.size("_terms").alias("n_terms"),
+    )
+
+
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     """Place of a public vocabulary file; a parameter of the operators that need one."""
     import public_tokenizers
@@ -53,6 +74,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op6_toxicity": op6_toxicity,
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
