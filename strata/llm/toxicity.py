@@ -10,7 +10,7 @@ words), so length is taken into account.
 
 The lexicon starts from ``SEED_TERMS`` and learns from a bounded sample of
 labelled rows (``max_rows``, the smallest hashes of the ids): words and word
-beginnings of 4 to 7 letters whose toxic share is beyond chance, where copies
+beginnings of 4 to 8 letters whose toxic share is beyond chance, where copies
 of one text count once, as they show a word in one context only. Weights are
 log odds; the two coefficients are fitted on the same sample.
 
@@ -83,7 +83,7 @@ class Folder:
 
 @dataclass(frozen=True)
 class Lexicon:
-    """``terms``: folded term -> (weight, whether it may be followed by letters)."""
+    """``terms``: folded term -> (weight, whether it is the beginning of a longer word)."""
 
     terms: dict[str, tuple[float, bool]]
     exceptions: tuple[str, ...] = EXCEPTIONS
@@ -118,7 +118,7 @@ class Matcher:
             start = end - len(term) + 1
             if start and folded[start - 1].isalnum():
                 continue
-            if not open_end and end + 1 < len(folded) and folded[end + 1].isalnum():
+            if open_end != (end + 1 < len(folded) and folded[end + 1].isalnum()):
                 continue
             if weight is None:
                 excepted.append((start, end))
@@ -148,7 +148,7 @@ def _word_keys(text: str, fold: Folder) -> dict[str, set[int]]:
     for w in re.findall(r"\w+", fold(text)):
         if not w.isdigit():
             out.setdefault("=" + w, set()).add(hash_of(before))
-            for k in range(4, 8):
+            for k in range(4, 9):
                 if len(w) > k:
                     out.setdefault(w[:k], set()).add(hash_of(w))
         before = w
@@ -167,21 +167,22 @@ def choose_terms(rows: list[tuple[str, int, int, int]], toxic: int, clean: int,
     good = []
     for key, texts, contexts, harmless in rows:
         n = min(texts, contexts)
-        if n < least or n < 4 * harmless:
+        if n < least:
             continue
         share, base = n / (n + harmless), toxic / (toxic + clean)
         beyond = 2 * (n * math.log(share / base) + (harmless * math.log((1 - share) / (1 - base)) if harmless else 0.0))
-        if beyond > 30:
-            weight = math.log((n + 0.5) / (toxic + 1)) - math.log((harmless + 0.5) / (clean + 1))
-            good.append((texts, len(key), key, max(0.5, min(8.0, weight))))
-    # of beginnings that cover the same words the longest stands; what it covers needs no term of its own
+        weight = math.log((n + 0.5) / (toxic + 1)) - math.log((harmless + 0.5) / (clean + 1))
+        if beyond > 30 and weight >= 1.5:
+            good.append((texts, len(key), key, min(8.0, weight)))
+    # of beginnings that cover the same words the longest stands; what it covers needs no term of its own,
+    # unless it is the surer sign
     chosen: dict[str, tuple[float, bool]] = {}
     counted: dict[str, int] = {}
     for texts, _, key, weight in sorted(good, key=lambda g: (-g[0], -g[1], g[2])):
         if len(chosen) >= most_terms:
             break
         word = key.removeprefix("=")
-        if any(word[:k] in chosen and chosen[word[:k]][1] for k in range(4, len(word) + 1)):
+        if any(chosen.get(word[:k], (0.0, False))[1] and chosen[word[:k]][0] > weight - 1 for k in range(4, len(word))):
             continue
         if not key.startswith("=") and any(t.startswith(word) and counted[t] >= 0.9 * texts for t in chosen):
             continue
@@ -255,7 +256,7 @@ def fit(
         for pdf in batches:
             for t in pdf["_text"]:
                 words = set(re.findall(r"\w+", own(t)))
-                counts.update(({"=" + w for w in words} | {w[:k] for w in words for k in range(4, 8) if len(w) > k}) & keys)
+                counts.update(({"=" + w for w in words} | {w[:k] for w in words for k in range(4, 9) if len(w) > k}) & keys)
         yield pd.DataFrame(list(counts.items()), columns=["key", "texts"])
 
     harmless = {
