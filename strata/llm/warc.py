@@ -6,7 +6,8 @@ but the one with the smallest id are ``revisit`` records that name it. A record
 longer than ``segment_bytes`` is cut into a first segment and ``continuation``
 records. Files are written by Spark's text writer with the blank lines that end
 a record as its separator, at most ``records_per_file`` segments each, so any
-file system Spark can write to will do and a file's size is bounded.
+file system Spark can write to will do and a file's size is bounded. Files are
+gzipped.
 
 Reading: each file is walked by the records' content lengths. Unsegmented
 records are decoded on the spot; segments are shuffled by the identifier of
@@ -22,6 +23,7 @@ gives an archive without files.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -113,7 +115,7 @@ def write_archive(
     # the cast keeps the bytes as they are
     p.select("_id", "_url", "_payload", "_digest", "_first").mapInPandas(records, "record binary").select(
         F.col("record").cast("string").alias("value")
-    ).write.option("lineSep", END).option("maxRecordsPerFile", records_per_file).text(path)
+    ).write.option("lineSep", END).option("maxRecordsPerFile", records_per_file).option("compression", "gzip").text(path)
 
 
 # ---- reading
@@ -121,6 +123,7 @@ def write_archive(
 
 def walk(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(fields, block) of each record of an archive file, by content length."""
+    data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else bytes(data)
     at = 0
     while at < len(data):
         head = data.index(b"\r\n\r\n", at)
