@@ -95,9 +95,10 @@ def dedup_lines(
         .groupBy("h", "g").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("bodies"))
         .where("n > 1 AND bodies = 1").select("h", "g")
     )
-    first = (
-        places.join(repeated, ["h", "g"], "left_semi").groupBy("h", "g").agg(F.min(F.struct("_id", "_fp", "at")).alias("first"))
-    )
+    first = (  # partial minima before the shuffle: a chunk in every document costs a row a task
+        places.groupBy("h", "g").agg(F.min(F.struct("_id", "_fp", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1").drop("n").join(repeated, ["h", "g"], "left_semi")
+    )
     marks = (
         places.join(first, ["h", "g"])
         .where(~F.struct("_id", "_fp", "at").eqNullSafe(F.col("first")))
