@@ -85,11 +85,16 @@ class WordHasher:
             return np.empty(0, np.uint64), start, end
         if lower:
             b = np.where((b >= 65) & (b <= 90), b + np.uint8(32), b)
+        return self.spans(b, start, end), start, end
+
+    def spans(self, b: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hash of each span [start, end) of the byte array ``b``."""
+        n = len(b)
         self._grow(n + 1)
         total = np.zeros(n + 1, np.uint64)
         np.cumsum((b.astype(np.uint64) + np.uint64(1)) * self.power[:n], out=total[1:])
         h = (total[end] - total[start]) * self.inverse[start]
-        return mix64(h ^ ((end - start).astype(np.uint64) << np.uint64(40))), start, end
+        return mix64(h ^ ((end - start).astype(np.uint64) << np.uint64(40)))
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:

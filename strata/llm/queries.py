@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from strata.llm import line_dedup, packing, quality_rules, toxicity, warc
+from strata.llm import decontamination, line_dedup, packing, quality_rules, toxicity, warc
 from strata.llm.common import shared_path, table
 
 
@@ -41,6 +41,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a ``benchmark`` item, also with other numbers, names or units."""
+    d = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return d.groupBy(F.col("_id").alias("doc_id"), "item_id").agg(
+        F.max("n_windows").alias("n_windows"), F.max("coverage").alias("coverage"), F.max("n_slots").alias("n_slots")
+    )
+
+
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     """Place of a public vocabulary file; a parameter of the operators that need one."""
     import public_tokenizers
@@ -75,6 +83,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op6_toxicity": op6_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
