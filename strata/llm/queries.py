@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, line_dedup, packing, quality_rules, toxicity, warc
+from strata.llm import decontamination, line_dedup, ngram_join, packing, quality_rules, toxicity, warc
 from strata.llm.common import shared_path, table
 
 
@@ -20,6 +20,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all ``documents``: five-word shingles, Jaccard 0.8 or more."""
+    d = ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return d.select(F.col("_id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def held_out_third():
     """Column: rows whose labels are never learnt from."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
@@ -82,6 +88,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op5_ngram_join": op5_ngram_join,
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
