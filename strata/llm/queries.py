@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, line_dedup, ngram_join, packing, quality_rules, toxicity, warc
+from strata.llm import decontamination, line_dedup, ngram_join, packing, quality_rules, suffix_dedup, toxicity, warc
 from strata.llm.common import shared_path, table
 
 
@@ -20,6 +20,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of ``documents`` covered by 200-byte strings that also start elsewhere."""
+    d = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), span=200)
+    return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all ``documents``: five-word shingles, Jaccard 0.8 or more."""
     d = ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
@@ -88,6 +94,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_ngram_join": op5_ngram_join,
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
