@@ -8,8 +8,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, line_dedup, ngram_join, packing, quality_rules, suffix_dedup, toxicity, warc
-from strata.llm.common import shared_path, table
+from strata.llm import decontamination, line_dedup, ngram_join, packing, quality_classifier, quality_rules, secrets, suffix_dedup, toxicity, warc
+from strata.llm.common import shared_path, table, written
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all ``documents``: every candidate with the forest's score."""
+    found = written(secrets.candidates(table(spark, sf_dir, "documents")), "candidates")
+    forest = secrets.fit(found, label_col="weak_label")
+    return secrets.judged(found, forest).select("doc_id", "start", "n_chars", "rule", "score", "kept")
+
+
+def graded(labels: DataFrame) -> DataFrame:
+    """Grades of the labelled rows: 0 low quality, 1 good but toxic, 2 good."""
+    quality, toxic = F.col("quality"), F.coalesce(F.col("toxic"), F.lit(0))
+    return labels.select("doc_id", F.when(quality == 0, 0).when((quality == 1) & (toxic == 1), 1).when(quality == 1, 2).alias("grade"))
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade of all ``documents``; ``kept``: likelier than not above the lowest grade."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.fit(docs, graded(table(spark, sf_dir, "labels").where(~held_out_third())), n_grades=3)
+    d = quality_classifier.score(docs, model, least_grade=1)
+    return d.select(
+        "doc_id", held_out_third().alias("held_out"), F.col("_expected_grade").alias("expected_grade"),
+        F.col("_tail").alias("tail_probability"), F.col("_selected").alias("kept"),
+    )
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +117,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_quality_rules": op3_quality_rules,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_ngram_join": op5_ngram_join,
