@@ -24,7 +24,7 @@ between components is lost. Tiles hold ``tile`` bitmaps at a time.
 
 Defined results: null and empty texts, and texts without words, have no set and
 link with nothing; equal sets are linked whatever the texts; rows with equal id
-take part once each; a null id never names a component unless all ids in it are
+take part each; a null id never names a component unless all ids in it are
 null; an empty table gives an empty one.
 """
 
@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import WordHasher, mix64, shingle_hashes, written
+from strata.llm.common import WORD, WordHasher, mix64, shingle_hashes, written
 from strata.llm.components import components
 
 _LEAST_BITS, _MOST_BITS = 256, 1 << 20
@@ -270,7 +270,8 @@ def jaccard_components(
     docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 32, rows: int = 2, tile: int = 512, large_run: int = 2_000,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """(_id, _fp, n_shingles, component_id) of each document; ``_fp`` hashes the text."""
+    """(_id, _fp, n_shingles, component_id, _component) of each document; ``_fp`` hashes
+    the text, ``_component`` tells components apart whatever their ids (null: no set)."""
     signed = written(signatures(docs, words, bands, rows, id_col, text_col), "signatures")
     same_set = ["n", "set_a", "set_b"]
     nodes = written(
@@ -309,8 +310,24 @@ def jaccard_components(
     pairs = written(tile_pairs(rows_left, percent, tile).distinct(), "tile-pairs")
     rooted = components(links.unionByName(linked(pairs, nodes, texts, words, percent, bounded=True)))
     placed = nodes.join(rooted, "node", "left").select(*same_set, "least_id", F.coalesce("root", "node").alias("root"))
-    named = placed.join(placed.groupBy("root").agg(F.min("least_id").alias("component_id")), "root").select(*same_set, "component_id")
+    named = placed.join(placed.groupBy("root").agg(F.min("least_id").alias("component_id")), "root").select(*same_set, "component_id", F.col("root").alias("_component"))
     named = named.withColumnsRenamed({c: f"node_{c}" for c in same_set})
     return signed.join(named, [signed[c] == named[f"node_{c}"] for c in same_set], "left").select(
-        "_id", "_fp", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id")
-    )
+        "_id", "_fp", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"), "_component",
+    )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """Rows of ``docs``: of each component the one with the smallest id (then text hash) stays,
+    and every row without a set."""
+    found = jaccard_components(docs, id_col=id_col, text_col=text_col, **settings)
+    kept = (
+        found.where(F.col("_component").isNotNull()).groupBy("_component").agg(F.min(F.struct("_id", "_fp")).alias("k"))
+        .select(F.col("k._id").alias("_kept_id"), F.col("k._fp").alias("_kept_fp"))
+    )
+    keyed = docs.withColumns({"_own_id": F.col(id_col).cast("long"), "_own_fp": F.xxhash64(text_col), "_some": F.coalesce(F.col(text_col), F.lit("")).rlike(WORD)})
+    with_set = (
+        keyed.where("_some").join(kept, F.col("_own_id").eqNullSafe(F.col("_kept_id")) & (F.col("_own_fp") == F.col("_kept_fp")), "left_semi")
+        .dropDuplicates(["_own_id", "_own_fp"])
+    )
+    return with_set.unionByName(keyed.where("NOT _some")).select(*docs.columns)
