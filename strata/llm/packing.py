@@ -93,7 +93,7 @@ def least_squares_mix(histogram: np.ndarray, columns: list[tuple[int, ...]], ste
         active[j] = True
         while True:
             on = np.flatnonzero(active)
-            s = np.linalg.lstsq(a[:, on], b, rcond=None)[0]
+            s = np.linalg.solve(a[:, on].T @ a[:, on] + 1e-10 * np.eye(len(on)), a[:, on].T @ b)
             if (s > 0).all():
                 x[:] = 0
                 x[on] = s
