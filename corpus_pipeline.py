@@ -18,19 +18,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import decontamination, line_dedup, ngram_join, packing, toxicity
-from strata.llm.common import shared_path, table
+from strata.llm.common import carried, restored, shared_path, table
 from strata.llm.queries import held_out_third, tokenizer_file
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxicity threshold."""
     lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out_third()))
-    return toxicity.score(docs, lexicon).where("NOT _toxic").select(*docs.columns)
+    scored = toxicity.score(carried(docs, text=F.col("text")), lexicon).where("NOT _toxic")
+    return scored.select(*restored(scored, docs.columns))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without line chunks that stand elsewhere; documents made of nothing else go."""
-    cleaned = line_dedup.dedup_lines(docs).where("_removed_lines = 0 OR _removed_lines < _lines").select(*docs.columns)
+    own = carried(docs, doc_id=F.col("doc_id"), text=F.col("text"))
+    left = line_dedup.dedup_lines(own).where("_removed_lines = 0 OR _removed_lines < _lines")
+    cleaned = left.select(*restored(left, docs.columns, text=F.col("text")))
     if "n_chars" not in docs.columns:
         return cleaned
     kind = docs.schema["n_chars"].dataType
@@ -45,8 +48,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select("_id", "_fp").distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_fp"))
-    return docs.join(found, same, "left_anti")
+    own = carried(docs, _own_id=F.col("doc_id").cast("long"), _own_fp=F.xxhash64("text"))
+    same = F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_fp") == F.col("_fp"))
+    return own.join(found, same, "left_anti").select(*restored(own, docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,6 +32,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def carried(df: DataFrame, without: tuple[str, ...] = (), **named) -> DataFrame:
+    """The columns ``named`` beside ``_row``, which holds all of ``df`` but the
+    columns ``without``: no name of the input can clash with one of an operator."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in without]
+    return df.select((F.struct(*rest) if rest else F.struct(F.lit(None).alias("_none"))).alias("_row"), *[c.alias(k) for k, c in named.items()])
+
+
+def restored(df: DataFrame, columns: list[str], **replaced) -> list:
+    """Columns that bring ``columns`` back out of ``_row``, some replaced."""
+    return [replaced[c].alias(c) if c in replaced else F.col("_row").getField(c).alias(c) for c in columns]
+
+
+def as_text(name: str):
+    """Column: an integer id on its way through pandas, where a null beside it
+    would turn it into a float; the text is cast back after."""
+    return F.col(f"`{name}`").cast("long").cast("string")
+
+
 def words_of(text):
     """Column: the words of a text (runs without separators); null text: none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATORS + "+"), "")

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import BASE, WordHasher, mix64, written
+from strata.llm.common import BASE, WordHasher, as_text, mix64, written
 
 NUMBER_WORDS = (
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
@@ -136,13 +136,11 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, window: int, leas
                 h = window_hashes(template, k)
                 at = np.flatnonzero(h)
                 rows += [(item, k, int(i), int(h[i].astype(np.int64)), _slots(template, value, i, k), len(at)) for i in at]
-            out = pd.DataFrame(rows, columns=["item_id", "size", "item_at", "h", "item_slots", "windows"])
-            out["item_id"] = out["item_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=["item_id", "size", "item_at", "h", "item_slots", "windows"])
 
-    return items.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).mapInPandas(
-        cut, "item_id long, size int, item_at int, h long, item_slots array<long>, windows long"
-    )
+    return items.select(as_text(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInPandas(
+        cut, "item_id string, size int, item_at int, h long, item_slots array<long>, windows long"
+    ).withColumn("item_id", F.col("item_id").cast("long"))
 
 
 def document_windows(docs: DataFrame, sizes: list[int], wanted: dict[int, np.ndarray] | None) -> DataFrame:
@@ -157,7 +155,7 @@ def document_windows(docs: DataFrame, sizes: list[int], wanted: dict[int, np.nda
             sieve[k] = np.zeros(1 << 22, bool)
             sieve[k][hashes & np.uint64((1 << 22) - 1)] = True
         for pdf in batches:
-            ids, fps = pdf["_id"].astype("Int64"), pdf["_fp"].to_numpy()
+            ids, fps = pdf["_id"], pdf["_fp"].to_numpy()
             for lo, hi, data, begins in _joined(pdf["_text"]):
                 template, value, start = templates.of(data)
                 doc = np.searchsorted(begins, start, side="right") - 1
@@ -179,7 +177,8 @@ def document_windows(docs: DataFrame, sizes: list[int], wanted: dict[int, np.nda
                             "h": h[at].astype(np.int64), "slots": [_slots(template, value, i, k) for i in at],
                         })
 
-    return docs.select("_id", "_fp", "_text").mapInPandas(cut, "_id long, _fp long, size int, at int, h long, slots array<long>")
+    found = docs.select(as_text("_id").alias("_id"), "_fp", "_text").mapInPandas(cut, "_id string, _fp long, size int, at int, h long, slots array<long>")
+    return found.withColumn("_id", F.col("_id").cast("long"))
 
 
 def _joined(texts: pd.Series, most: int = 1 << 20) -> Iterator[tuple[int, int, bytes, np.ndarray]]:

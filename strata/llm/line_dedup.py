@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import written
+from strata.llm.common import as_text, carried, restored, written
 
 _M = (1 << 64) - 1
 
@@ -71,19 +71,20 @@ def _chunks(docs: DataFrame, window: int, lines_per_chunk: int, least_lines: int
             if bodies:
                 yield pd.DataFrame(out, columns=["h", "g", "body"])
             else:
-                got = pd.DataFrame(out, columns=["_id", "_fp", "at", "lines", "h", "g"])
-                got["_id"] = got["_id"].astype("Int64")
-                yield got
+                yield pd.DataFrame(out, columns=["_id", "_fp", "at", "lines", "h", "g"])
 
-    return docs.select("_id", "_fp", "_text").mapInPandas(
-        cut, "h long, g long, body binary" if bodies else "_id long, _fp long, at int, lines int, h long, g long"
+    found = docs.select(as_text("_id").alias("_id"), "_fp", "_text").mapInPandas(
+        cut, "h long, g long, body binary" if bodies else "_id string, _fp long, at int, lines int, h long, g long"
     )
+    return found if bodies else found.withColumn("_id", F.col("_id").cast("long"))
 
 
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2, lines_per_chunk: int = 4, least_lines: int = 2
 ) -> DataFrame:
-    """``docs`` with ``text_col`` cleaned, plus ``_lines``, ``_removed_lines`` and ``_removed_chunks``."""
+    """``docs`` with ``text_col`` cleaned, plus ``_lines``, ``_removed_lines`` and
+    ``_removed_chunks``; columns of these names are replaced."""
+    columns = [c for c in docs.columns if c not in ("_lines", "_removed_lines", "_removed_chunks")]
     base = docs.select(
         F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.col(text_col)).alias("_fp"), F.col(text_col).alias("_text")
     )
@@ -119,12 +120,11 @@ def dedup_lines(
             yield pd.Series(out, dtype=object)
 
     cleaned = F.pandas_udf(without, "string")
-    text = F.col(text_col)
-    joined = docs.join(
-        marks, F.col(id_col).cast("long").eqNullSafe(F.col("_cut_id")) & (F.xxhash64(text) == F.col("_cut_fp")), "left"
-    )
+    text = F.col("_text")
+    own = carried(docs, _id=F.col(f"`{id_col}`").cast("long"), _fp=F.xxhash64(f"`{text_col}`"), _text=F.col(f"`{text_col}`"))
+    joined = own.join(marks, F.col("_id").eqNullSafe(F.col("_cut_id")) & (F.col("_fp") == F.col("_cut_fp")), "left")
     return joined.select(
-        *[F.when(F.col("_cut").isNull(), text).otherwise(cleaned(text, F.col("_cut"))).alias(c) if c == text_col else F.col(c) for c in docs.columns],
+        *restored(own, columns, **{text_col: F.when(F.col("_cut").isNull(), text).otherwise(cleaned(text, F.col("_cut")))}),
         F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n"))).cast("long").alias("_lines"),
         F.coalesce(F.expr("aggregate(_cut, 0, (s, c) -> s + c.lines)"), F.lit(0)).cast("long").alias("_removed_lines"),
         F.when(F.col("_cut").isNull(), 0).otherwise(F.size("_cut")).cast("long").alias("_removed_chunks"),

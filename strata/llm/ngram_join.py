@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, WordHasher, mix64, shingle_hashes, written
+from strata.llm.common import WORD, WordHasher, as_text, carried, mix64, restored, shingle_hashes, written
 from strata.llm.components import components
 
 _LEAST_BITS, _MOST_BITS = 256, 1 << 20
@@ -112,11 +112,11 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int, id_col: str,
                 a.append(int(mix64(s).sum(dtype=np.uint64).astype(np.int64)))
                 b.append(int(np.bitwise_xor.reduce(mix64(s * np.uint64(0xD1342543DE82EF95))).astype(np.int64)))
                 bits.append(bitmap(s).tobytes())
-            yield pd.DataFrame({"_id": pdf["_id"].astype("Int64"), "_fp": pdf["_fp"], "n": n, "set_a": a, "set_b": b, "keys": keys, "bits": bits})
+            yield pd.DataFrame({"_id": pdf["_id"], "_fp": pdf["_fp"], "n": n, "set_a": a, "set_b": b, "keys": keys, "bits": bits})
 
-    return docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.col(text_col)).alias("_fp"), F.col(text_col).alias("_text")).mapInPandas(
-        sign, "_id long, _fp long, n long, set_a long, set_b long, keys array<long>, bits binary"
-    )
+    return docs.select(as_text(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_fp"), F.col(text_col).alias("_text")).mapInPandas(
+        sign, "_id string, _fp long, n long, set_a long, set_b long, keys array<long>, bits binary"
+    ).withColumn("_id", F.col("_id").cast("long"))
 
 
 # ---- candidates
@@ -325,9 +325,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         found.where(F.col("_component").isNotNull()).groupBy("_component").agg(F.min(F.struct("_id", "_fp")).alias("k"))
         .select(F.col("k._id").alias("_kept_id"), F.col("k._fp").alias("_kept_fp"))
     )
-    keyed = docs.withColumns({"_own_id": F.col(id_col).cast("long"), "_own_fp": F.xxhash64(text_col), "_some": F.coalesce(F.col(text_col), F.lit("")).rlike(WORD)})
+    text = F.col(f"`{text_col}`")
+    keyed = carried(docs, _own_id=F.col(f"`{id_col}`").cast("long"), _own_fp=F.xxhash64(text), _some=F.coalesce(text, F.lit("")).rlike(WORD))
     with_set = (
         keyed.where("_some").join(kept, F.col("_own_id").eqNullSafe(F.col("_kept_id")) & (F.col("_own_fp") == F.col("_kept_fp")), "left_semi")
         .dropDuplicates(["_own_id", "_own_fp"])
     )
-    return with_set.unionByName(keyed.where("NOT _some")).select(*docs.columns)
+    return with_set.unionByName(keyed.where("NOT _some")).select(*restored(keyed, docs.columns))

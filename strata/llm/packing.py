@@ -27,14 +27,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import written
+from strata.llm.common import as_text, written
 from strata.llm.token_ids import shared
 
 CLOSING_ID = 1
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, window: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a piece: id, start, length, ids_crc32, doc_tokens and a random ``_deal``."""
+    """One row a piece: id (as text), start, length, ids_crc32, doc_tokens and a random ``_deal``."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = shared(tokenizer_path)
@@ -49,12 +49,11 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, window: int, id_col: str
                     piece = packed[4 * start : 4 * (start + window)]
                     rows.append((doc, start, len(piece) // 4, zlib.crc32(piece), n))
             out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
             out["_deal"] = rng.integers(0, 1 << 31, len(out))
             yield out
 
-    return docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).mapInPandas(
-        cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, _deal long"
+    return docs.select(as_text(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInPandas(
+        cut, "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, _deal long"
     )
 
 
@@ -170,10 +169,10 @@ def pack(
         s, o = pack_block(pdf["length"].to_numpy(), window, unit, mix)
         block = int(pdf["_deal"].iloc[0]) % blocks
         return pd.DataFrame({
-            "doc_id": pdf["doc_id"].astype("Int64"), "start": pdf["start"], "length": pdf["length"], "ids_crc32": pdf["ids_crc32"],
+            "doc_id": pdf["doc_id"], "start": pdf["start"], "length": pdf["length"], "ids_crc32": pdf["ids_crc32"],
             "doc_tokens": pdf["doc_tokens"], "sequence_id": (block << 32) + s, "offset": o,
         })
 
     return pieces.groupBy((F.col("_deal") % blocks).alias("_block")).applyInPandas(
-        place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    )
+        place, "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    ).withColumn("doc_id", F.col("doc_id").cast("long"))

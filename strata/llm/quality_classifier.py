@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import WordHasher, written
+from strata.llm.common import WordHasher, carried, restored, written
 
 WORD_BITS, SHAPE_BITS = 15, 12
 _REPEAT = 1  # hash of the mark for a word equal to the one before
@@ -143,7 +143,10 @@ def fit(
 
 
 def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text", least_grade: int = 1, threshold: float = 0.5) -> DataFrame:
-    """``docs`` with ``_expected_grade``, ``_tail`` (probability of ``least_grade`` or more) and ``_selected``."""
+    """``docs`` with ``_expected_grade``, ``_tail`` (probability of ``least_grade`` or more) and ``_selected``;
+    columns of these names are replaced."""
+    columns = [c for c in docs.columns if c not in ("_expected_grade", "_tail", "_selected")]
+    docs = carried(docs, _text=F.col(f"`{text_col}`"))
     handed = docs.sparkSession.sparkContext.broadcast(model)
 
     def rate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -158,7 +161,7 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text", least_gr
 
     rated = F.pandas_udf(rate, "expected double, tail double")
     return (
-        docs.withColumn("_rated", rated(F.col(text_col)))
+        docs.withColumn("_rated", rated("_text"))
         .withColumns({"_expected_grade": F.col("_rated.expected"), "_tail": F.col("_rated.tail"), "_selected": F.col("_rated.tail") >= threshold})
-        .drop("_rated")
+        .select(*restored(docs, columns), "_expected_grade", "_tail", "_selected")
     )

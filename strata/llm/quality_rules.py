@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SEPARATORS, words_of
+from strata.llm.common import SEPARATORS, carried, restored, words_of
 
 #: frequent function words of English, French, Spanish and German
 STOP_WORDS = (
@@ -139,9 +139,10 @@ def apply_rules(
     metrics, ``base_failed``, ``broken`` (rule names) and ``kept``."""
     own = {*METRICS, "base_failed", "broken", "kept"}
     keep = tuple(c for c in docs.columns if c not in own and c != text) if keep is None else keep
-    d = measured(docs.select(*keep, F.col(text).alias("_text")), "_text").drop("_text")
+    d = measured(carried(docs.select(*[f"`{c}`" for c in {text: 0} | dict.fromkeys(keep)]), _text=F.col(f"`{text}`")), "_text")
     n = F.col("n_words")
     d = d.withColumn(
         "base_failed", (n < BASE_MIN_WORDS) | (100 * F.col("n_repeat_words") > BASE_MAX_REPEAT_PERCENT * n)
     ).withColumn("broken", compiled(rules))
-    return d.withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))
+    d = d.withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))
+    return d.select(*restored(d, list(keep)), *METRICS, "base_failed", "broken", "kept")

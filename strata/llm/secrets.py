@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import written
+from strata.llm.common import as_text, written
 
 #: public key formats
 FORMATS = {
@@ -102,13 +102,13 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     label = weak_label(m.lastgroup, m[0], before)
                     rows.append((doc, m.start(), len(m[0]), m.lastgroup, m[0], before, after, label, *numbers(m[0], before, after, path or "")))
             out = pd.DataFrame(rows, columns=["doc_id", "start", "length_", "rule", "secret", "before", "after", "weak_label", *NUMBERS])
-            out["doc_id"], out["weak_label"] = out["doc_id"].astype("Int64"), out["weak_label"].astype("Int32")
+            out["weak_label"] = out["weak_label"].astype("Int32")
             yield out
 
-    schema = "doc_id long, start long, length_ long, rule string, secret string, before string, after string, weak_label int, " + ", ".join(f"`{c}` double" for c in NUMBERS)
+    schema = "doc_id string, start long, length_ long, rule string, secret string, before string, after string, weak_label int, " + ", ".join(f"`{c}` double" for c in NUMBERS)
     return docs.select(
-        F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), F.col(path_col).cast("string").alias("_path")
-    ).mapInPandas(scan, schema).withColumnRenamed("length_", "n_chars")
+        as_text(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(path_col).cast("string").alias("_path")
+    ).mapInPandas(scan, schema).withColumnRenamed("length_", "n_chars").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def fit(findings: DataFrame, label_col: str = "label", max_rows: int = 20_000, trees: int = 20, depth: int = 6, seed: int = 7):

@@ -44,7 +44,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import BASE, WordHasher, mix64, written
+from strata.llm.common import BASE, WordHasher, as_text, mix64, written
 
 #: bytes of text worked on together; places in a block take this many bits
 _BLOCK_BITS = 19
@@ -371,7 +371,7 @@ def remove_repeats(docs: DataFrame, span: int = 200, id_col: str = "doc_id", tex
         spans.groupBy("_key", "nb").agg(F.collect_set(F.struct("a", "z")).alias("cut")).withColumnsRenamed({"_key": "cut_key", "nb": "cut_nb"})
     )
     base = docs.select(
-        F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.xxhash64(id_col, text_col).alias("_key")
+        as_text(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.xxhash64(id_col, text_col).alias("_key")
     )
     joined = base.join(listed, (base["_key"] == listed["cut_key"]) & (F.octet_length("_text") == listed["cut_nb"]), "left").select("doc_id", "_text", "cut")
 
@@ -394,5 +394,5 @@ def remove_repeats(docs: DataFrame, span: int = 200, id_col: str = "doc_id", tex
                 out.append((len(data), removed, n, b"".join(kept)))
             yield pd.concat([pdf[["doc_id"]].reset_index(drop=True), pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])], axis=1)
 
-    kind = base.schema["doc_id"].dataType.simpleString()
-    return joined.mapInPandas(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+    found = joined.mapInPandas(cut, "doc_id string, n_bytes long, n_removed long, n_spans long, kept binary")
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))

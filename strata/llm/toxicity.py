@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import written
+from strata.llm.common import carried, restored, written
 
 SEED_TERMS = (
     "idiot moron stupid imbecile loser scum pathetic worthless disgusting trash clown dumbass asshole bastard bitch "
@@ -302,12 +302,14 @@ def measured(docs: DataFrame, lexicon: Lexicon, text_col: str) -> DataFrame:
 
 
 def score(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """``docs`` with ``_score`` (0 to 1), ``_toxic`` and ``_terms``."""
+    """``docs`` with ``_score`` (0 to 1), ``_toxic`` and ``_terms``; columns of these names are replaced."""
+    columns = [c for c in docs.columns if c not in ("_score", "_toxic", "_terms")]
+    docs = carried(docs, _text=F.col(f"`{text_col}`"))
     c0, c1, c2 = lexicon.coefficients
     z = F.lit(c0) + F.lit(c1) * F.log1p("_total") + F.lit(c2) * F.log1p(100.0 * F.col("_total") / F.greatest(F.col("_words"), F.lit(1)))
     return (
-        measured(docs, lexicon, text_col)
+        measured(docs, lexicon, "_text")
         .withColumn("_score", 1.0 / (1.0 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z)))))
         .withColumn("_toxic", F.col("_score") >= threshold)
-        .drop("_total", "_words")
+        .select(*restored(docs, columns), "_score", "_toxic", "_terms")
     )

@@ -32,9 +32,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.common import as_text
+
 VERSION = b"WARC/1.1"
 END = "\r\n\r\n"
-FIELDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, complete boolean"
+FIELDS = "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string, complete boolean"
 
 
 # ---- writing
@@ -108,12 +110,12 @@ def write_archive(
 
         for pdf in batches:
             rows: list[bytes] = []
-            for page, url, payload, digest, first in zip(pdf["_id"].astype("Int64"), pdf["_url"], pdf["_payload"], pdf["_digest"], pdf["_first"].astype("Int64")):
+            for page, url, payload, digest, first in zip(pdf["_id"], pdf["_url"], pdf["_payload"], pdf["_digest"], pdf["_first"]):
                 rows += page_records(number(page), url, bytes(payload), digest, number(first), segment_bytes, chunk_bytes)
             yield pd.DataFrame({"record": pd.Series(rows, dtype=object)})
 
     # the cast keeps the bytes as they are
-    p.select("_id", "_url", "_payload", "_digest", "_first").mapInPandas(records, "record binary").select(
+    p.select(as_text("_id").alias("_id"), "_url", "_payload", "_digest", as_text("_first").alias("_first")).mapInPandas(records, "record binary").select(
         F.col("record").cast("string").alias("value")
     ).write.option("lineSep", END).option("maxRecordsPerFile", records_per_file).option("compression", "gzip").text(path)
 
@@ -154,11 +156,11 @@ def unchunked(body: bytes) -> bytes:
 def decoded(fields: dict[str, str], block: bytes) -> tuple:
     """A row of FIELDS for a whole record."""
     kind = fields["warc-type"]
-    page = int(fields["x-page-id"]) if "x-page-id" in fields else None
+    page = fields.get("x-page-id")
     head, _, body = block.partition(b"\r\n\r\n")
     http = {k.strip().lower(): v.strip() for k, _, v in (x.decode().partition(":") for x in head.split(b"\r\n")[1:])}
     if kind == "revisit":
-        return page, int(http["content-length"]), fields["warc-payload-digest"].partition(":")[2], kind, int(fields["x-refers-to-page-id"]), True
+        return page, int(http["content-length"]), fields["warc-payload-digest"].partition(":")[2], kind, fields["x-refers-to-page-id"], True
     try:
         payload = unchunked(body) if http.get("transfer-encoding") == "chunked" else body
     except ValueError:
@@ -169,7 +171,7 @@ def decoded(fields: dict[str, str], block: bytes) -> tuple:
 
 def _rows(rows: list[tuple]) -> pd.DataFrame:
     out = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "complete"])
-    return out.astype({"page_id": "Int64", "payload_bytes": "Int64", "refers_to": "Int64"})
+    return out.astype({"payload_bytes": "Int64"})
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -212,7 +214,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         files.mapInPandas(segments, "origin string, number int, total long, fields string, block binary")
         .repartition(parts, "origin").sortWithinPartitions("origin", "number").mapInPandas(joined, FIELDS)
     )
-    return files.mapInPandas(unsegmented, FIELDS).unionByName(whole)
+    read = files.mapInPandas(unsegmented, FIELDS).unionByName(whole)
+    return read.withColumns({"page_id": F.col("page_id").cast("long"), "refers_to": F.col("refers_to").cast("long")})
 
 
 def reassembled(segments: list) -> list[tuple]:
@@ -227,6 +230,6 @@ def reassembled(segments: list) -> list[tuple]:
     )
     fields = dict(x.partition(":")[::2] for x in own[0].fields.split("\n"))
     if not whole:
-        page = int(fields["x-page-id"]) if "x-page-id" in fields else None
+        page = fields.get("x-page-id")
         return [(page, None, None, fields["warc-type"], None, False)]
     return [decoded(fields, block)] * copies
