@@ -353,9 +353,11 @@ def repeated_spans(
     whole = rows.where("NOT open")
     several = rows.where("open")
     hot = several.groupBy("h").count().where(F.col("count") > most_segments).select("h")
-    columns = column_spans(_own_segments(base, several.join(hot, "h", "left_anti"), span, gram, False), span, gram, batch)
+    some_hot = not hot.isEmpty()
+    plain = several.join(hot, "h", "left_anti") if some_hot else several
+    columns = column_spans(_own_segments(base, plain, span, gram, False), span, gram, batch)
     spans = [whole.select("_key", "nb", F.col("lo").cast("long").alias("a"), (F.col("lo") + F.expr("ol & 65535") + span).cast("long").alias("z")), columns]
-    if not hot.isEmpty():
+    if some_hot:
         single = classed(_own_segments(base, several.join(hot, "h", "left_semi"), span, gram, True)).where("NOT open")
         spans.append(single.select("_key", "nb", F.col("lo").cast("long").alias("a"), (F.col("lo") + span).cast("long").alias("z")))
     out = spans[0]
