@@ -21,6 +21,9 @@ ATTRIBUTE_KEY_QUOTES = r"^u?['\"]|['\"]$"
 HOUR_PATTERN = r"^(\d{1,2})"
 MINUTE_PATTERN = r"^\d{1,2}:(\d{1,2})"
 TIME_RANGE_SEPARATOR = "-"
+# A decimal number without a type suffix, and a number with one.
+PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+SUFFIXED_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[dDfF]\s*$"
 MONTH_KEY_FORMAT = "yyyy-MM"
 WIRE_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # ---------------------------------------------------------------------------
@@ -34,18 +37,29 @@ def col_(c: str | Column) -> Column:
 
 
 def to_double(c: str | Column) -> Column:
-    """String or number to DOUBLE; unparsable text becomes NULL."""
-    return col_(c).try_cast("double")
+    """String or number to DOUBLE; unparsable text becomes NULL, and so does a
+    number with a type suffix (``"5d"``), which the cast alone would accept."""
+    return F.when(~col_(c).cast("string").rlike(SUFFIXED_NUMBER), col_(c).try_cast("double"))
+
+
+def to_integral(c: str | Column, dtype: str) -> Column:
+    """String or number to an integer type: exact where the text is an integer,
+    by way of DOUBLE for plain decimals (``"5.0"``), else NULL (junk, overflow)."""
+    text = col_(c).cast("string")
+    decimal = F.when(text.rlike(PLAIN_NUMBER), col_(c).try_cast("double").try_cast(dtype))
+    return F.coalesce(col_(c).try_cast(dtype), decimal)
 
 
 def to_int(c: str | Column) -> Column:
     """String or number to INT. ``"5.0"`` reads as 5; junk and overflow become NULL."""
-    return col_(c).try_cast("double").try_cast("int")
+    return to_integral(c, "int")
 
 
 def to_timestamp_ntz(c: str | Column) -> Column:
-    """Text such as ``yyyy-MM-dd HH:mm:ss`` (or a date) to a wall-clock timestamp, else NULL."""
-    return col_(c).try_cast("timestamp_ntz")
+    """Text such as ``yyyy-MM-dd HH:mm:ss`` (or a date) to a timestamp in the
+    session's zone (UTC in every profile), else NULL. A UTC offset in the text is
+    applied, so ``2020-01-31T23:30:00-05:00`` is in February."""
+    return col_(c).try_cast("timestamp").cast("timestamp_ntz")
 
 
 def year_month(c: str | Column) -> Column:

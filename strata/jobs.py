@@ -2,7 +2,8 @@
 
 Steps: business-landing, review-landing, business-split, review-fact,
 review-increment, mart (``--name``), publish (``--name``), all-marts,
-register-tables (catalog tables over the layout for SQL access).
+register-tables (catalog tables over the layout for SQL access),
+create-layers and drop-layers (the declared databases and tables).
 Run them in the dependency order given in ``strata.plans.flows``.
 """
 
@@ -14,6 +15,7 @@ import sys
 
 from strata.plans import flows
 from strata.session import PROFILES, build_session
+from strata.sinks.tables import create_layers, drop_layers
 
 
 def _non_empty(value: str) -> str:
@@ -26,17 +28,25 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="strata.jobs", description=__doc__,
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("step", choices=["business-landing", "review-landing", "business-split", "review-fact",
-                                    "review-increment", "mart", "all-marts", "publish", "register-tables"])
+                                    "review-increment", "mart", "all-marts", "publish", "register-tables",
+                                    "create-layers", "drop-layers"])
     p.add_argument("--root", type=_non_empty, required=True,
-                   help="lakehouse root folder (any Hadoop-FS path); with --catalog, the landing folder")
+                   help="lakehouse root folder (any Hadoop-FS path)")
     p.add_argument("--catalog", metavar="PREFIX", default=None,
-                   help="keep core and mart tables as managed catalog tables in databases PREFIX_core / PREFIX_mart")
+                   help="declare the tables under --root in databases PREFIX_landing / _core / _mart and work on those")
     p.add_argument("--src", type=_non_empty, help="raw NDJSON folder or glob (landing / increment steps)")
     p.add_argument("--name", choices=flows.MARTS, help="mart to build or publish")
     p.add_argument("--publish-root", help="folder receiving published NDJSON batches")
     p.add_argument("--rebalance", action="store_true",
                    help="landing: even out file sizes with one shuffle (for non-splittable input, e.g. gzip)")
-    p.add_argument("--batch-rows", type=int, default=10_000)
+    p.add_argument("--batch-rows", type=int, default=None,
+                   help="publish: at most so many rows a file (default: files sized by bytes)")
+    p.add_argument("--src-table", type=_non_empty, help="a table or path read instead of the step's own input")
+    p.add_argument("--dst-table", type=_non_empty, help="mart: a table or path written instead of the layout's")
+    p.add_argument("--ym-from", help="mart: refresh the months from this one (yyyy-MM) of a month-partitioned mart")
+    p.add_argument("--ym-to", help="mart: up to this month")
+    p.add_argument("--max-files-per-trigger", type=int, default=None,
+                   help="review-increment: merge a backlog in batches of so many files")
     p.add_argument("--no-truncate", action="store_true", help="append to an existing publish")
     p.add_argument("--fill-defaults", action="store_true", help="publish NULLs as type defaults (0, 0.0, '')")
     p.add_argument("--no-audit", action="store_true",
@@ -70,7 +80,9 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     extra = dict(kv.split("=", 1) for kv in args.conf)
     spark = build_session(args.app_name or f"strata-{args.step}", args.profile, extra)
-    layout = flows.CatalogLayout(args.catalog, args.root) if args.catalog else flows.Layout(args.root)
+    layout = flows.CatalogLayout(args.root, args.catalog) if args.catalog else flows.Layout(args.root)
+    if args.catalog and args.step not in ("create-layers", "drop-layers"):
+        layout.attach(spark)  # the catalog may not outlive a process
     if args.step == "register-tables" and args.catalog:
         p.error("register-tables exposes a path layout; catalog tables are registered already")
     result = None
@@ -79,19 +91,21 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
     elif args.step == "review-landing":
         result = flows.ingest_reviews(spark, args.src, layout, args.dry_run, args.rebalance)
     elif args.step == "business-split":
-        result = flows.split_business(spark, layout, args.dry_run)
+        result = flows.split_business(spark, layout, args.dry_run, args.src_table)
     elif args.step == "review-fact":
-        result = flows.write_review_fact(spark, layout, args.dry_run)
+        result = flows.write_review_fact(spark, layout, args.dry_run, args.src_table)
     elif args.step == "review-increment":
         if args.every:
             from strata.streaming.incremental import start_incremental_merge
 
-            start_incremental_merge(spark, args.src, layout.path("core", "review_fact"), args.stream_checkpoint,
-                                    processing_time=args.every).awaitTermination()
+            start_incremental_merge(spark, args.src, layout.fact_target(), args.stream_checkpoint,
+                                    args.max_files_per_trigger, processing_time=args.every).awaitTermination()
         else:
-            result = flows.merge_review_increment(spark, args.src, layout, args.stream_checkpoint)
+            result = flows.merge_review_increment(spark, args.src, layout, args.stream_checkpoint,
+                                                  args.max_files_per_trigger)
     elif args.step == "mart":
-        result = flows.build_mart(spark, args.name, layout, args.dry_run)
+        result = flows.build_mart(spark, args.name, layout, args.dry_run, args.ym_from, args.ym_to,
+                                  args.src_table, args.dst_table)
     elif args.step == "all-marts":
         result = {m: flows.build_mart(spark, m, layout, args.dry_run) for m in flows.MARTS}
     elif args.step == "register-tables":
@@ -99,7 +113,13 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
             print(name)
     elif args.step == "publish":
         result = flows.publish_mart(spark, args.name, layout, args.publish_root, args.batch_rows,
-                                    not args.no_truncate, args.dry_run, args.fill_defaults, not args.no_audit)
+                                    not args.no_truncate, args.dry_run, args.fill_defaults, not args.no_audit,
+                                    args.src_table)
+    elif args.step == "create-layers":
+        for db in create_layers(spark, args.catalog or args.database_prefix, landing_root=layout.path("landing", "")).values():
+            print(db)
+    elif args.step == "drop-layers":
+        drop_layers(spark, args.catalog or args.database_prefix)
     if args.dry_run and result is not None:
         frames = result if isinstance(result, dict) else {args.step: result}
         for name, df in frames.items():

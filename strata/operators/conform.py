@@ -9,15 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import to_double, to_int, to_timestamp_ntz
+from strata.functions.columns import to_double, to_int, to_integral, to_timestamp_ntz
 
 
 def _default_converter(dtype: T.DataType) -> Callable[[Column], Column]:
     if isinstance(dtype, T.IntegerType):
         return to_int
     if isinstance(dtype, T.LongType):
-        # exact for every 64-bit value; the double route only for text such as "5.0"
-        return lambda c: F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+        return lambda c: to_integral(c, "bigint")
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return lambda c: to_double(c).cast(dtype)
     if isinstance(dtype, T.TimestampNTZType):

@@ -28,10 +28,6 @@ _CNT = "__cnt"
 _OFF = "__off"
 _OPID = "__opid"
 
-# An offset table of at most this many rows is broadcast; larger ones use a
-# shuffle join on (partition id, group), which spreads hot groups by partition.
-OFFSETS_BROADCAST_MAX_ROWS = 200_000
-
 
 def _sort_keys(group_cols: Sequence[str], order_cols: Sequence[Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in group_cols] + list(order_cols)
@@ -81,11 +77,9 @@ def rank_within_groups(
             F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF),
         )
     )
+    # one row per (partition, group), written: Spark knows its size and broadcasts
+    # it or joins on (partition, group), which spreads hot groups by partition
     offsets = materialize(offsets, "rank-offsets")
-    # the table has one row per (partition, group): broadcast it only when
-    # it is measured to be small, otherwise shuffle-join on (partition, group)
-    if offsets.count() <= OFFSETS_BROADCAST_MAX_ROWS:
-        offsets = F.broadcast(offsets)
 
     cond = [F.col(_PID) == F.col(_OPID)] + [F.col(c).eqNullSafe(F.col(renamed[c])) for c in group_cols]
     ranked = tagged.join(offsets, cond, "inner").select(

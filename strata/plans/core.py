@@ -7,6 +7,8 @@ columns they need, so each scan is pruned to 11, 2, 2 and 2 columns.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,9 +43,11 @@ def business_hours(landing: DataFrame) -> DataFrame:
     return explode_time_ranges(landing, "business_id", "hours", "day_of_week")
 
 
-def review_fact(review_landing: DataFrame) -> DataFrame:
-    """Reviews without their text, keyed by month ``ym`` (last, the partition column)."""
+def review_fact(review_landing: DataFrame, passthrough: Sequence[str] = ()) -> DataFrame:
+    """Reviews without their text, keyed by month ``ym`` (last, the partition column;
+    ``passthrough`` columns follow unchanged)."""
     return review_landing.select(
         *[F.col(f.name) for f in REVIEW_FACT.fields if f.name != "ym"],
         year_month("review_date").alias("ym"),
+        *passthrough,
     )

@@ -18,7 +18,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.operators.sanitize import fill_defaults, sanitize_nan_inf
+from strata.operators.conform import cast_to_schema
+from strata.operators.sanitize import sanitize_nan_inf
 from strata.plans import core as C
 from strata.plans import marts as M
 from strata.plans.landing import land_ndjson, read_landing
@@ -28,12 +29,14 @@ from strata.schemas import (
     BUSINESS_CORE,
     BUSINESS_HOURS,
     LAYERS,
+    PARTITIONED_TABLES,
     SERVING,
 )
-from strata.session import log_kv
-from strata.sinks.publish import PublishResult, publish_partitioned, publish_rows, wire_format
-from strata.sinks.tables import overwrite_parquet, save_table
-from strata.sources.tables import read_month_slice
+from strata.session import log_kv, scratch_owner
+from strata.sinks.publish import PublishResult, for_contract, publish_partitioned, publish_rows, wire_format
+from strata.sinks.tables import insert_overwrite_partitions, overwrite_parquet, overwrite_partitions, save_table
+from strata.sinks.writers import materialize
+from strata.sources.tables import read_if_exists, read_month_slice, read_table, register_external
 from strata.streaming.incremental import PathFact, TableFact, incremental_merge
 
 
@@ -53,46 +56,56 @@ class Layout:
         return spark.read.schema(schema).parquet(self.path(layer, table))
 
     def write(self, df: DataFrame, layer: str, table: str) -> None:
-        overwrite_parquet(df, self.path(layer, table), LAYERS[layer][table])
+        part = PARTITIONED_TABLES.get(table)
+        overwrite_parquet(df, self.path(layer, table), LAYERS[layer][table], partition_by=(part,) if part else ())
+
+    def replace_months(self, df: DataFrame, layer: str, table: str) -> None:
+        """Replace the months present in ``df``, all others stay."""
+        overwrite_partitions(df, self.path(layer, table), PARTITIONED_TABLES[table], LAYERS[layer][table])
 
     def fact_target(self) -> PathFact:
         return PathFact(self.path("core", "review_fact"))
 
 
 @dataclass(frozen=True)
-class CatalogLayout:
-    """Catalog lake: landing files under ``landing_root`` (external data), core
-    and mart tables as managed tables ``{prefix}_{layer}.{table}`` written with
-    their declared types; the fact is a month-partitioned table refreshed by
-    positional, dynamic ``insertInto``."""
+class CatalogLayout(Layout):
+    """Catalog lake: the folders of a path layout, each with an external table
+    ``{prefix}_{layer}.{table}`` of its declared types over it.
+
+    As the data lies at fixed places, a catalog that ends with its process loses
+    nothing: ``attach`` declares the tables again that are there. The fact is
+    refreshed by positional, dynamic ``insertInto``.
+    """
 
     prefix: str
-    landing_root: str
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.prefix}_{layer}.{table}"
 
-    def path(self, layer: str, table: str) -> str:
-        if layer != "landing":
-            raise ValueError("only landing data lives at a path in a catalog layout")
-        return f"{self.landing_root.rstrip('/')}/{table}"
+    def attach(self, spark: SparkSession) -> list[str]:
+        """Declare every written table that the catalog does not know."""
+        return register_tables(spark, self, self.prefix, replace=False)
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         if layer == "landing":
-            return read_landing(spark, _KIND[table], self.path(layer, table))
+            return super().read(spark, layer, table)
         return spark.table(self.name(layer, table)).select(*[f.name for f in LAYERS[layer][table].fields])
 
     def write(self, df: DataFrame, layer: str, table: str) -> None:
-        spark = df.sparkSession
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}_{layer}")
-        save_table(df, self.name(layer, table), LAYERS[layer][table])
+        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}_{layer}")
+        part = PARTITIONED_TABLES.get(table)
+        save_table(df, self.name(layer, table), LAYERS[layer][table], path=self.path(layer, table),
+                   partition_by=(part,) if part else ())
+
+    def replace_months(self, df: DataFrame, layer: str, table: str) -> None:
+        insert_overwrite_partitions(cast_to_schema(df, LAYERS[layer][table]), self.name(layer, table))
 
     def fact_target(self) -> TableFact:
-        return TableFact(self.name("core", "review_fact"))
+        return TableFact(self.name("core", "review_fact"), self.path("core", "review_fact"))
 
 
 _KIND = {"business_raw": "business", "review_raw": "review"}
-AnyLayout = Layout | CatalogLayout
+AnyLayout = Layout
 
 
 # ---------------------------------------------------------------- landing
@@ -121,9 +134,10 @@ def ingest_reviews(spark: SparkSession, src: str, layout: AnyLayout, dry_run: bo
 
 
 # ---------------------------------------------------------------- core
-def split_business(spark: SparkSession, layout: AnyLayout, dry_run: bool = False) -> dict[str, DataFrame]:
+def split_business(spark: SparkSession, layout: AnyLayout, dry_run: bool = False,
+                   src_table: str | None = None) -> dict[str, DataFrame]:
     """Four writes, each scanning only the landing columns it needs."""
-    landing = layout.read(spark, "landing", "business_raw")
+    landing = read_table(spark, src_table) if src_table else layout.read(spark, "landing", "business_raw")
     outputs = {
         "business_core": (C.business_core(landing), BUSINESS_CORE),
         "business_category": (C.business_category(landing), BUSINESS_CATEGORY),
@@ -137,9 +151,11 @@ def split_business(spark: SparkSession, layout: AnyLayout, dry_run: bool = False
     return {name: df for name, (df, _) in outputs.items()}
 
 
-def write_review_fact(spark: SparkSession, layout: AnyLayout, dry_run: bool = False) -> DataFrame:
-    """Refresh only the months present in the landing extract (dynamic partition overwrite)."""
-    landing = layout.read(spark, "landing", "review_raw")
+def write_review_fact(spark: SparkSession, layout: AnyLayout, dry_run: bool = False,
+                      src_table: str | None = None) -> DataFrame:
+    """Refresh only the months present in the landing extract (dynamic partition overwrite).
+    ``src_table`` (a table name or path of landing rows) replaces the layout's own."""
+    landing = read_table(spark, src_table) if src_table else layout.read(spark, "landing", "review_raw")
     fact = C.review_fact(landing)
     log_kv(step="write", table="review_fact", mode="dynamic", dry_run=dry_run)
     if not dry_run:
@@ -147,38 +163,70 @@ def write_review_fact(spark: SparkSession, layout: AnyLayout, dry_run: bool = Fa
     return fact
 
 
-def merge_review_increment(spark: SparkSession, increment_dir: str, layout: AnyLayout, stream_checkpoint: str) -> DataFrame:
+def merge_review_increment(spark: SparkSession, increment_dir: str, layout: AnyLayout, stream_checkpoint: str,
+                           max_files_per_trigger: int | None = None) -> DataFrame:
     """Pick up new review files and merge them into the fact (availableNow stream)."""
-    return incremental_merge(spark, increment_dir, layout.fact_target(), stream_checkpoint)
+    return incremental_merge(spark, increment_dir, layout.fact_target(), stream_checkpoint, max_files_per_trigger)
 
 
 # ---------------------------------------------------------------- marts
-def _fact(spark: SparkSession, layout: AnyLayout, ym_from: str | None = None, ym_to: str | None = None) -> DataFrame:
-    return read_month_slice(spark, layout.read(spark, "core", "review_fact"), ym_from, ym_to)
+def build_mart(spark: SparkSession, name: str, layout: AnyLayout, dry_run: bool = False,
+               ym_from: str | None = None, ym_to: str | None = None,
+               src_table: str | None = None, dst_table: str | None = None) -> DataFrame:
+    """Build (and unless ``dry_run`` write) one mart by name.
+
+    ``ym_from`` / ``ym_to`` refresh those months of a month-partitioned mart from
+    a pruned fact scan and leave the others (the monthly mart is refreshed to its
+    end, as the change of a later month may follow from one in the range).
+    ``src_table`` replaces the mart's first input, ``dst_table`` its destination
+    (table names, or paths with a '/'). A dry run writes nothing at all: of the
+    ranking, whose steps are written, it returns the rows to be ranked.
+    """
+    if (ym_from or ym_to) and name not in PARTITIONED_TABLES:
+        raise ValueError(f"{name} has no months to refresh")
+    first = {"mart_city_category_rating": "business_core", "mart_best_city_avg_rate": "business_core",
+             "mart_top_businesses_per_category": "business_core", "mart_category_creditcard_share": "business_category"}
+
+    def core(t: str) -> DataFrame:
+        if src_table and t == first.get(name, "review_fact"):
+            return read_table(spark, src_table).select(*[f.name for f in LAYERS["core"][t].fields])
+        return layout.read(spark, "core", t)
+
+    def fact() -> DataFrame:
+        return read_month_slice(spark, core("review_fact"), ym_from, ym_to)
 
+    def monthly() -> DataFrame:
+        stored = layout.read(spark, "mart", name) if ym_from or ym_to else None
+        return M.mart_business_quality_monthly(read_month_slice(spark, core("review_fact"), ym_from), ym_from, stored=stored)
 
-def build_mart(spark: SparkSession, name: str, layout: AnyLayout, dry_run: bool = False) -> DataFrame:
-    """Build (and unless ``dry_run`` write) one mart by name."""
-    core = lambda t: layout.read(spark, "core", t)
     builders = {
         "mart_city_category_rating": lambda: M.mart_city_category_rating(core("business_core"),
                                                                          core("business_category")),
         "mart_best_city_avg_rate": lambda: M.mart_best_city_avg_rate(core("business_core")),
-        "mart_top_businesses_per_category": lambda: M.mart_top_businesses_per_category(
-            core("business_core"), core("business_category")),
+        "mart_top_businesses_per_category": lambda: (
+            M.ranking_input if dry_run else M.mart_top_businesses_per_category
+        )(core("business_core"), core("business_category")),
         "mart_category_creditcard_share": lambda: M.mart_category_creditcard_share(
             core("business_category"), core("business_attributes")),
-        "mart_business_quality_monthly": lambda: M.mart_business_quality_monthly(_fact(spark, layout)),
-        "mart_review_fact_enriched": lambda: M.mart_review_fact_enriched(_fact(spark, layout),
-                                                                         core("business_core")),
+        "mart_business_quality_monthly": monthly,
+        "mart_review_fact_enriched": lambda: M.mart_review_fact_enriched(fact(), core("business_core")),
     }
     if name not in builders:
         raise ValueError(f"unknown mart {name!r}; expected one of {sorted(builders)}")
-    df = builders[name]()
     log_kv(step="write", table=name, dry_run=dry_run)
-    if not dry_run:
-        layout.write(df, "mart", name)
-    return df
+    if dry_run:
+        return builders[name]()
+    with scratch_owner(spark):
+        df = builders[name]()
+        if dst_table and "/" in dst_table:
+            overwrite_parquet(df, dst_table, LAYERS["mart"][name])
+        elif dst_table:
+            save_table(df, dst_table, LAYERS["mart"][name])
+        elif ym_from or ym_to:
+            layout.replace_months(materialize(df, "mart-months"), "mart", name)
+        else:
+            layout.write(df, "mart", name)
+    return read_table(spark, dst_table) if dst_table else layout.read(spark, "mart", name)
 
 
 # ---------------------------------------------------------------- publish
@@ -187,27 +235,29 @@ def publish_mart(
     name: str,
     layout: AnyLayout,
     publish_root: str,
-    batch_rows: int = 10_000,
+    batch_rows: int | None = None,
     truncate: bool = True,
     dry_run: bool = False,
     fill_type_defaults: bool = False,
     audit: bool = True,
+    src_table: str | None = None,
 ) -> PublishResult | int:
     """Publish a mart per its serving contract; ``dry_run`` only counts the rows.
 
-    ``fill_type_defaults`` writes 0 / 0.0 / '' instead of omitting NULL fields,
-    i.e. what a non-nullable serving column would show anyway. ``audit`` reads
+    Rows take the contract's columns and wire types, checked before anything is
+    written. ``fill_type_defaults`` writes the type's default instead of omitting NULL
+    fields, i.e. what a non-null serving column would show anyway. ``audit`` reads
     the published files back to check the row count (a full read of the output).
+    ``src_table`` (a table name or path) replaces the mart as the input.
     """
-    contract = SERVING[name]
-    df = layout.read(spark, "mart", name)
+    contract = SERVING[name].filled() if fill_type_defaults else SERVING[name]
+    df = read_table(spark, src_table) if src_table else layout.read(spark, "mart", name)
     if name == "mart_business_quality_monthly":
         df = sanitize_nan_inf(df)
-    if fill_type_defaults:
-        df = fill_defaults(df)
+    df = for_contract(df, contract)
     if dry_run:
         n = df.count()
-        log_kv(step="publish", table=name, dry_run=True, would_publish_rows=n)
+        log_kv(publish=name, mode="dry", rows=n)
         return n
     dst = f"{publish_root.rstrip('/')}/{name}"
     if contract.partition_col:
@@ -221,12 +271,10 @@ def publish_mart(
 MARTS = list(LAYERS["mart"])
 
 
-def register_tables(spark: SparkSession, layout: Layout, prefix: str = "strata") -> list[str]:
-    """Expose every written table of the layout in the catalog as ``{prefix}_{layer}.{table}``
-    (unmanaged tables over the layout's folders), so they can be queried with SQL."""
-    from strata.schemas import PARTITIONED_TABLES
-    from strata.sources.tables import register_external
-
+def register_tables(spark: SparkSession, layout: Layout, prefix: str = "strata", replace: bool = True) -> list[str]:
+    """Declare every written table of the layout in the catalog as ``{prefix}_{layer}.{table}``
+    (external tables over the layout's folders), so they can be queried with SQL.
+    ``replace`` declares those again that the catalog has already."""
     registered = []
     for layer, tables in LAYERS.items():
         db = f"{prefix}_{layer}"
@@ -235,12 +283,13 @@ def register_tables(spark: SparkSession, layout: Layout, prefix: str = "strata")
             path = layout.path(layer, table)
             if layer == "landing":
                 path = f"{path}/_landing_status=valid"
-            try:
-                spark.read.parquet(path).schema  # resolves only if the table was written
-            except Exception:  # noqa: BLE001 - table not written yet
+            if read_if_exists(spark, path, schema) is None:  # not written yet
                 continue
+            if spark.catalog.tableExists(f"{db}.{table}"):
+                if not replace:
+                    continue
+                spark.sql(f"DROP TABLE {db}.{table}")
             part = PARTITIONED_TABLES.get(table)
-            spark.sql(f"DROP TABLE IF EXISTS {db}.{table}")
             register_external(spark, f"{db}.{table}", path, schema, partition_cols=(part,) if part else ())
             registered.append(f"{db}.{table}")
     return registered

@@ -97,15 +97,22 @@ def land_ndjson(spark: SparkSession, kind: str, src: str | list[str], dst: str,
     out.write.mode("overwrite").partitionBy(STATUS_COL).parquet(dst)
 
 
+def _stored_schema(kind: str) -> T.StructType:
+    """What a landing dataset holds; reading with it works for an empty feed too."""
+    _, _, schema = LANDING[kind]
+    extra = [T.StructField(CORRUPT_COL, T.StringType()), T.StructField(STATUS_COL, T.StringType())]
+    return T.StructType(list(schema.fields) + extra)
+
+
 def read_landing(spark: SparkSession, kind: str, dst: str) -> DataFrame:
     """Valid landing rows (the quarantine folder is pruned away at listing time)."""
     _, _, schema = LANDING[kind]
-    df = spark.read.parquet(dst)
+    df = spark.read.schema(_stored_schema(kind)).parquet(dst)
     return df.where(F.col(STATUS_COL) == VALID).select(*[f.name for f in schema.fields])
 
 
-def read_quarantine(spark: SparkSession, dst: str) -> DataFrame:
-    """Malformed input lines captured by ``land_ndjson``."""
-    return spark.read.parquet(dst).where(F.col(STATUS_COL) == QUARANTINE).select(
+def read_quarantine(spark: SparkSession, dst: str, kind: str = "business") -> DataFrame:
+    """Malformed input lines captured by ``land_ndjson`` (``kind`` tells the dataset's columns)."""
+    return spark.read.schema(_stored_schema(kind)).parquet(dst).where(F.col(STATUS_COL) == QUARANTINE).select(
         F.col(CORRUPT_COL).alias("raw_line")
     )

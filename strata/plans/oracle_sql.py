@@ -100,13 +100,15 @@ review_landing AS (
     concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR),
               CAST(l_suppkey AS VARCHAR), strftime(l_shipdate, '%Y%m%d')) AS review_id,
     CAST(o_custkey AS VARCHAR) AS user_id,
-    CAST(l_partkey AS VARCHAR) AS business_id,
+    CASE WHEN l_partkey % 53 = 0 THEN 'x' ELSE '' END || CAST(l_partkey AS VARCHAR) AS business_id,
     CAST(1 + l_quantity % 5 AS INTEGER) AS stars,
-    CAST(l_linenumber - 1 AS INTEGER) AS useful,
+    CASE WHEN l_suppkey % 89 <> 0 THEN CAST(l_linenumber - 1 AS INTEGER) END AS useful,
     CAST(l_suppkey % 3 AS INTEGER) AS funny,
-    CAST(o_custkey % 4 AS INTEGER) AS cool,
+    CASE WHEN o_custkey % 11 <> 0 THEN CAST(o_custkey % 4 AS INTEGER) END AS cool,
     concat_ws(' ', 'order', o_orderpriority, 'flag', l_returnflag, l_linestatus) AS text,
-    date_trunc('second', l_shipdate) AS review_date
+    CASE WHEN l_suppkey % 97 = 0 THEN NULL
+         WHEN l_linenumber = 3 THEN CAST(date_trunc('day', l_shipdate) AS TIMESTAMP) + INTERVAL 1 DAY + INTERVAL 270 MINUTE
+         ELSE CAST(date_trunc('second', l_shipdate) AS TIMESTAMP) END AS review_date
   FROM rv
 ),
 fact AS (
@@ -190,7 +192,7 @@ FROM parts""",
     "fact_month_slice": _with(REVIEW) + f"\nSELECT {FACT_COLS} FROM fact WHERE ym BETWEEN '1997-01' AND '1997-12'",
     "dynamic_partition_overwrite": _with(REVIEW)
     + f"""
-SELECT {FACT_COLS} FROM fact WHERE NOT (ym BETWEEN '1998-01' AND '1998-12')
+SELECT {FACT_COLS} FROM fact WHERE ym IS NULL OR NOT (ym BETWEEN '1998-01' AND '1998-12')
 UNION ALL
 SELECT review_id, user_id, business_id, stars, useful + 1000 AS useful, funny, cool, review_date, ym
 FROM fact WHERE ym BETWEEN '1998-01' AND '1998-12' AND stars >= 3""",
@@ -226,10 +228,40 @@ FROM events""",
     "publish_partitioned_ndjson": _with(REVIEW) + MART_QUALITY,
     "publish_enriched_ndjson": _with(ENTITY, REVIEW)
     + """
-SELECT f.review_id, f.ym, strftime(f.review_date, '%Y-%m-%d %H:%M:%S') AS review_date, f.business_id,
-  c.name AS business_name, c.city, c.state, c.latitude, c.longitude, c.is_open, c.stars AS business_stars,
-  c.review_count AS business_review_count, f.user_id, f.stars AS review_stars, f.useful, f.funny, f.cool
+SELECT """ + MART_ENRICHED_COLS + """
 FROM fact f LEFT JOIN core c ON f.business_id = c.business_id""",
+    "publish_fill_defaults": _with(ENTITY, REVIEW)
+    + """
+SELECT f.review_id, coalesce(f.ym, '') AS ym, coalesce(f.review_date, TIMESTAMP '1970-01-01 00:00:00') AS review_date,
+  f.business_id, coalesce(c.name, '') AS business_name, coalesce(c.city, '') AS city, coalesce(c.state, '') AS state,
+  coalesce(c.latitude, 0) AS latitude, coalesce(c.longitude, 0) AS longitude, coalesce(c.is_open, 0) AS is_open,
+  coalesce(c.stars, 0) AS business_stars, coalesce(c.review_count, 0) AS business_review_count, f.user_id,
+  f.stars AS review_stars, coalesce(f.useful, 0) AS useful, f.funny, coalesce(f.cool, 0) AS cool
+FROM fact f LEFT JOIN core c ON f.business_id = c.business_id""",
+    "publish_append": _with(ENTITY)
+    + """,
+mart AS (""" + MART_BEST_CITY + """)
+SELECT 'mart_best_city_avg_rate' AS table_name, CAST(count(*) AS BIGINT) AS rows_written,
+       CAST(count(*) AS BIGINT) AS rows_read_back, CAST(2 * count(*) AS BIGINT) AS rows_published FROM mart""",
+    "json_scan_quarantine": """
+SELECT '{"business_id":"' || CAST(p_partkey AS VARCHAR) || '","name":"' || p_name AS raw_line FROM part WHERE p_size % 9 = 0""",
+    "conform_missing_columns": _with(ENTITY)
+    + """
+SELECT business_id, name, CAST(NULL AS VARCHAR) AS address, city, state, CAST(NULL AS VARCHAR) AS postal_code, CAST(NULL AS DOUBLE) AS latitude,
+  longitude, stars, CAST(NULL AS INTEGER) AS review_count, is_open, attributes, categories, CAST(NULL AS VARCHAR) AS hours
+FROM landing""",
+    "catalog_table_overwrite": _with(REVIEW) + f"\nSELECT {FACT_COLS} FROM fact WHERE stars >= 3 OR stars IS NULL",
+    "external_landing_table": _with(REVIEW) + "\nSELECT review_id, user_id, business_id, stars, useful, funny, cool, text, "
+    "review_date FROM review_landing",
+    "create_drop_layers": _with(REVIEW)
+    + """
+SELECT ym, CAST(count(*) AS BIGINT) AS n, false AS left_after_drop FROM fact GROUP BY ym""",
+    "mart_month_refresh": _with(REVIEW.replace("FROM review_landing\n)", "FROM revised_landing\n)").replace(
+        "fact AS (", """revised_landing AS (
+  SELECT * REPLACE (CASE WHEN strftime(review_date, '%Y-%m') BETWEEN '1997-06' AND '1997-08' THEN CAST(6 - stars AS INTEGER) ELSE stars END AS stars)
+  FROM review_landing
+),
+fact AS (""")) + MART_QUALITY,
     "publish_audit": _with(ENTITY)
     + """,
 mart AS (""" + MART_BEST_CITY + """)
@@ -238,10 +270,14 @@ SELECT 'mart_best_city_avg_rate' AS table_name, CAST(count(*) AS BIGINT) AS rows
     "incremental_fact_merge": _with(REVIEW)
     + f""",
 inc AS (
-  SELECT review_id, user_id, business_id, stars, useful + 1000 AS useful, funny, cool, review_date, ym
-  FROM fact WHERE review_date >= TIMESTAMP '1999-07-01 00:00:00' AND stars >= 3
+  SELECT l.review_id, user_id, business_id, stars, useful, 2 AS funny, cool,
+         CASE WHEN moved THEN review_date + INTERVAL 40 DAY ELSE review_date END AS review_date
+  FROM (SELECT *, l_linenumber = 2 AS moved FROM review_landing r JOIN
+          (SELECT l_linenumber, concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR),
+                  CAST(l_suppkey AS VARCHAR), strftime(l_shipdate, '%Y%m%d')) AS rid, l_shipdate FROM rv) k ON r.review_id = k.rid
+        WHERE l_shipdate >= TIMESTAMP '1999-07-01 00:00:00') l
 )
-SELECT {FACT_COLS} FROM fact WHERE ym < '2000-01' AND review_id NOT IN (SELECT review_id FROM inc)
+SELECT {FACT_COLS} FROM fact WHERE review_id NOT IN (SELECT review_id FROM inc)
 UNION ALL
-SELECT {FACT_COLS} FROM inc""",
+SELECT review_id, user_id, business_id, stars, useful, funny, cool, review_date, strftime(review_date, '%Y-%m') AS ym FROM inc""",
 }

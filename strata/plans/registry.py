@@ -10,6 +10,7 @@ return what they read back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,13 +20,14 @@ from strata.functions.columns import clean_attribute_key
 from strata.operators.generators import explode_json_map
 from strata.operators.sanitize import sanitize_nan_inf
 from strata.plans import core as C
+from strata.plans import flows
 from strata.plans import marts as M
-from strata.plans.landing import business_landing, landing_from_ndjson, review_landing
+from strata.plans.landing import business_landing, land_ndjson, landing_from_ndjson, read_quarantine, review_landing
 from strata.schemas import REVIEW_FACT, SERVING
 from strata.session import scratch_path
-from strata.sinks.publish import publish_partitioned, publish_rows, read_published, wire_format
-from strata.sinks.tables import overwrite_parquet, overwrite_partitions
-from strata.sinks.writers import write_ndjson
+from strata.sinks.publish import for_contract, publish_partitioned, publish_rows, read_published, wire_format
+from strata.sinks.tables import create_layers, drop_layers, insert_overwrite_partitions, overwrite_parquet, overwrite_partitions
+from strata.sinks.writers import materialize, write_ndjson
 from strata.sources import feeds
 from strata.sources.tables import read_month_slice
 from strata.streaming.incremental import incremental_merge
@@ -33,8 +35,8 @@ from strata.streaming.incremental import incremental_merge
 # ---- fixed parameters of the test queries ------------------------------------
 MONTH_SLICE = ("1997-01", "1997-12")          # fact_month_slice
 RELOAD_MONTHS = ("1998-01", "1998-12")        # dynamic_partition_overwrite
-INCREMENT_FROM = "1999-07-01 00:00:00"        # incremental_fact_merge: files from this date
-BASE_BEFORE_MONTH = "2000-01"                 # incremental_fact_merge: base fact months
+INCREMENT_FROM = "1999-07-01"                 # incremental_fact_merge: reviews sent again from this date (in the id)
+REVISED_MONTHS = ("1997-06", "1997-08")       # mart_month_refresh
 TOP_K = 3
 # ------------------------------------------------------------------------------
 
@@ -192,12 +194,33 @@ def q_publish_partitioned_ndjson(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_publish_enriched_ndjson(spark: SparkSession, sf: str) -> DataFrame:
-    contract = SERVING["mart_review_fact_enriched"]
+    return _published_enriched(spark, sf, SERVING["mart_review_fact_enriched"])
+
+
+def _published_enriched(spark: SparkSession, sf: str, contract) -> DataFrame:
     path = scratch_path(spark, "publish-" + contract.name)
-    mart = wire_format(q_mart_review_fact_enriched(spark, sf))
+    mart = wire_format(for_contract(q_mart_review_fact_enriched(spark, sf), contract))
     publish_partitioned(mart, path, table=contract.name, partition_col=contract.partition_col,
                         sort_key=contract.sort_key)
-    return read_published(spark, path, mart.schema)
+    # an empty partition value has the folder of NULL; the contract says which it was
+    return for_contract(read_published(spark, path, contract.schema), contract)
+
+
+def q_publish_fill_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    return _published_enriched(spark, sf, SERVING["mart_review_fact_enriched"].filled())
+
+
+def q_publish_append(spark: SparkSession, sf: str) -> DataFrame:
+    contract = SERVING["mart_best_city_avg_rate"]
+    path = scratch_path(spark, "publish-" + contract.name)
+    mart = for_contract(q_mart_best_city_avg_rate(spark, sf), contract)
+    publish_rows(mart, path, table=contract.name)
+    res = publish_rows(mart, path, table=contract.name, truncate=False)
+    published = read_published(spark, path, contract.schema).agg(F.count(F.lit(1)).alias("rows_published"))
+    return published.select(
+        F.lit(res.table).alias("table_name"), F.lit(res.rows_written).cast("bigint").alias("rows_written"),
+        F.lit(res.rows_read_back).cast("bigint").alias("rows_read_back"), "rows_published",
+    )
 
 
 def q_publish_audit(spark: SparkSession, sf: str) -> DataFrame:
@@ -212,20 +235,87 @@ def q_publish_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- streaming
 def q_incremental_fact_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """All reviews are in the fact; those from INCREMENT_FROM on come again in two
+    file drops, the newer one final, some of them moved to a later month."""
     fact_path = scratch_path(spark, "review-fact")
     inc_dir = scratch_path(spark, "review-increment")
-    overwrite_parquet(
-        fact(spark, sf).where(F.col("ym") < BASE_BEFORE_MONTH), fact_path, REVIEW_FACT, partition_by=["ym"]
+    overwrite_parquet(fact(spark, sf), fact_path, REVIEW_FACT, partition_by=["ym"])
+    key = F.split("review_id", "-")
+    again = feeds.review_feed(spark, sf).where(key[4] >= INCREMENT_FROM.replace("-", ""))
+    when = F.col("date").try_cast("timestamp")
+    moved = F.date_format(when + F.expr("INTERVAL 40 DAYS"), "yyyy-MM-dd HH:mm:ss")
+    write_ndjson(again.withColumn("funny", F.lit(1)), inc_dir)
+    write_ndjson(
+        again.withColumns({"funny": F.lit(2), "date": F.when(key[1] == "2", moved).otherwise(F.col("date"))}), inc_dir, mode="append"
     )
-    # newer files: reviews from INCREMENT_FROM on with at least 3 stars, vote counts revised
-    raw = feeds.review_feed(spark, sf)
-    increment = raw.where((F.col("date") >= INCREMENT_FROM) & (F.col("stars") >= 3)).withColumn(
-        "useful", F.col("useful") + 1000
-    )
-    write_ndjson(increment, inc_dir)
     return incremental_merge(spark, inc_dir, fact_path, scratch_path(spark, "stream-ckpt"))
 
 
+# ---------------------------------------------------------------- quarantine, catalog, refresh
+def q_json_scan_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines cut short among the good ones: all are kept beside the landed rows."""
+    feed = feeds.entity_feed(spark, sf)
+    lines = feed.select(F.to_json(F.struct(*feed.columns)).alias("value"))
+    cut = feeds.table(spark, sf, "part").where("p_size % 9 = 0").select(
+        F.concat(F.lit('{"business_id":"'), F.col("p_partkey").cast("string"), F.lit('","name":"'), "p_name").alias("value")
+    )
+    src, dst = scratch_path(spark, "raw-lines"), scratch_path(spark, "landing")
+    lines.unionByName(cut).write.text(src)
+    land_ndjson(spark, "business", src, dst)
+    return read_quarantine(spark, dst, "business")
+
+
+def q_conform_missing_columns(spark: SparkSession, sf: str) -> DataFrame:
+    raw = feeds.as_raw_strings(feeds.entity_feed(spark, sf))
+    return business_landing(raw.drop("address", "postal_code", "latitude", "review_count", "hours"))
+
+
+def _catalog(spark: SparkSession) -> tuple[str, str]:
+    return f"q_{uuid.uuid4().hex[:10]}", scratch_path(spark, "lake")
+
+
+def q_catalog_table_overwrite(spark: SparkSession, sf: str) -> DataFrame:
+    prefix, root = _catalog(spark)
+    layout = flows.CatalogLayout(root, prefix)
+    full = fact(spark, sf)
+    layout.fact_target().replace_months(full)
+    # every month comes again without its low ratings
+    layout.fact_target().replace_months(full.where("stars >= 3 OR stars IS NULL"))
+    drop_layers(spark, prefix)  # the data stays where it is; declaring it again finds it
+    layout.attach(spark)
+    return layout.read(spark, "core", "review_fact")
+
+
+def q_external_landing_table(spark: SparkSession, sf: str) -> DataFrame:
+    prefix, root = _catalog(spark)
+    create_layers(spark, prefix, landing_root=f"{root}/landing")
+    src = scratch_path(spark, "review-ndjson")
+    write_ndjson(feeds.review_feed(spark, sf), src)
+    land_ndjson(spark, "review", src, f"{root}/landing/review_raw")
+    spark.catalog.refreshTable(f"{prefix}_landing.review_raw")
+    return spark.table(f"{prefix}_landing.review_raw")
+
+
+def q_create_drop_layers(spark: SparkSession, sf: str) -> DataFrame:
+    prefix, _root = _catalog(spark)
+    db = create_layers(spark, prefix)["core"]
+    insert_overwrite_partitions(fact(spark, sf), f"{db}.review_fact")
+    counts = materialize(spark.table(f"{db}.review_fact").groupBy("ym").agg(F.count(F.lit(1)).alias("n")), "months")
+    drop_layers(spark, prefix)
+    return counts.withColumn("left_after_drop", F.lit(spark.catalog.databaseExists(db)))
+
+
+def q_mart_month_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Some months of the fact are revised; refreshing the mart from there equals a full rebuild."""
+    layout = flows.Layout(scratch_path(spark, "lake"))
+    full = fact(spark, sf)
+    layout.fact_target().replace_months(full)
+    flows.build_mart(spark, "mart_business_quality_monthly", layout)
+    revised = full.where(F.col("ym").between(*REVISED_MONTHS)).withColumn("stars", 6 - F.col("stars"))
+    layout.fact_target().replace_months(revised)
+    return flows.build_mart(spark, "mart_business_quality_monthly", layout, ym_from=REVISED_MONTHS[0], ym_to=REVISED_MONTHS[1])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_scan_conform": q_json_scan_conform,
     "conform_entity": q_conform_entity,
@@ -252,4 +342,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publish_enriched_ndjson": q_publish_enriched_ndjson,
     "publish_audit": q_publish_audit,
     "incremental_fact_merge": q_incremental_fact_merge,
+    "json_scan_quarantine": q_json_scan_quarantine,
+    "conform_missing_columns": q_conform_missing_columns,
+    "publish_fill_defaults": q_publish_fill_defaults,
+    "publish_append": q_publish_append,
+    "catalog_table_overwrite": q_catalog_table_overwrite,
+    "external_landing_table": q_external_landing_table,
+    "create_drop_layers": q_create_drop_layers,
+    "mart_month_refresh": q_mart_month_refresh,
 }

@@ -8,7 +8,7 @@ nulls that value instead of marking the whole line corrupt.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -94,30 +94,55 @@ MART_REVIEW_FACT_ENRICHED = struct(
 # ---------------------------------------------------------------- serving contracts
 @dataclass(frozen=True)
 class ServingContract:
-    """What the serving store expects for one published table."""
+    """What the serving store expects for one published table.
+
+    ``unsigned``: columns it stores without a sign. ``non_null``: columns it
+    declares without NULLs, filled with the default of their type when
+    a publish asks for it (and always shown so by the store).
+    """
 
     name: str
     schema: T.StructType
     sort_key: tuple[str, ...]
     partition_col: str | None = None
+    unsigned: tuple[str, ...] = ()
+    non_null: tuple[str, ...] = ()
+
+    @staticmethod
+    def default(field: T.StructField) -> object:
+        """The store's default for a type: empty text, zero, the epoch."""
+        if isinstance(field.dataType, T.StringType):
+            return ""
+        if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+            return "1970-01-01 00:00:00"
+        return 0
 
+    def filled(self) -> ServingContract:
+        """The contract with every column non-null, as the store declares them."""
+        return replace(self, non_null=tuple(f.name for f in self.schema.fields))
 
+
+# fixed values: sort keys, partition columns and unsigned columns of the serving tables
 SERVING: dict[str, ServingContract] = {
     c.name: c
     for c in [
-        ServingContract("mart_city_category_rating", MART_CITY_CATEGORY_RATING, ("city", "category")),
+        ServingContract("mart_city_category_rating", MART_CITY_CATEGORY_RATING, ("city", "category"), unsigned=("business_count",)),
         ServingContract(
             "mart_top_businesses_per_category", MART_TOP_BUSINESSES_PER_CATEGORY,
             ("category", "rn", "stars", "business_id"),
         ),
-        ServingContract("mart_category_creditcard_share", MART_CATEGORY_CREDITCARD_SHARE, ("category",)),
+        ServingContract("mart_category_creditcard_share", MART_CATEGORY_CREDITCARD_SHARE, ("category",),
+                        unsigned=("businesses_with_info", "accepting_credit_cards")),
         ServingContract(
             "mart_business_quality_monthly", MART_BUSINESS_QUALITY_MONTHLY, ("business_id", "ym"), "ym",
+            unsigned=("review_cnt",),
         ),
-        ServingContract("mart_best_city_avg_rate", MART_BEST_CITY_AVG_RATE, ("city",)),
+        ServingContract("mart_best_city_avg_rate", MART_BEST_CITY_AVG_RATE, ("city",),
+                        unsigned=("business_cnt", "total_reviews")),
         ServingContract(
             "mart_review_fact_enriched", MART_REVIEW_FACT_ENRICHED,
             ("business_id", "review_date", "review_id"), "ym",
+            unsigned=("is_open", "business_review_count"),
         ),
     ]
 }
@@ -141,4 +166,8 @@ LAYERS: dict[str, dict[str, T.StructType]] = {
         "mart_review_fact_enriched": MART_REVIEW_FACT_ENRICHED,
     },
 }
-PARTITIONED_TABLES: dict[str, str] = {"review_fact": FACT_PARTITION_COL}
+PARTITIONED_TABLES: dict[str, str] = {
+    "review_fact": FACT_PARTITION_COL,
+    "mart_business_quality_monthly": "ym",
+    "mart_review_fact_enriched": "ym",
+}

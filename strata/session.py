@@ -13,15 +13,19 @@ NULL instead of failing the job.
 from __future__ import annotations
 
 import logging
+import math
 import os
 import tempfile
+import threading
 import uuid
 from collections.abc import Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 log = logging.getLogger("strata")
 
+# fixed values: the settings of mvp and debug
 PROFILES: dict[str, dict[str, str]] = {
     "mvp": {
         "spark.sql.adaptive.enabled": "true",
@@ -43,7 +47,10 @@ PROFILES: dict[str, dict[str, str]] = {
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.files.maxPartitionBytes": "256m",
-        "spark.sql.shuffle.partitions": os.environ.get("SPARK_SQL_SHUFFLE_PARTITIONS", "4000"),
+        # adaptive execution merges small partitions but splits only skewed ones, so the
+        # initial number is high: 100 TB in 256 MB partitions needs about 400,000, and
+        # shuffle_partitions_for() derives it from the input where its size is known
+        "spark.sql.shuffle.partitions": os.environ.get("SPARK_SQL_SHUFFLE_PARTITIONS", "40000"),
         # a dimension read from its written table is broadcast only when Spark's
         # size estimate is under this bound; larger ones use a shuffle join
         "spark.sql.autoBroadcastJoinThreshold": "64m",
@@ -87,8 +94,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if none is configured.
 
     On a cluster ``spark.checkpoint.dir`` names a shared filesystem folder and is
-    used as is. A private temporary folder is created only when the setting is
-    missing, which happens in local tests.
+    used as is. A private temporary folder is created only on a ``local`` master
+    without the setting (tests); on a cluster, where each machine would see its
+    own, a missing setting is an error.
     """
     try:
         sc = spark.sparkContext
@@ -102,12 +110,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir must name a folder shared by the driver and all executors on " + sc.master
+            )
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
         log.info("spark.checkpoint.dir unset; using %s", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 256 << 20, expansion: float = 2.0) -> int:
+    """Initial shuffle partitions for a job over ``input_bytes`` of compressed
+    columnar input: shuffled rows take about ``expansion`` times that."""
+    return max(32, math.ceil(input_bytes * expansion / partition_bytes))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint directory.
 
@@ -115,7 +133,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     executor (and a restarted one) sees the same files.
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    owned = getattr(_OWNERS, "paths", None)
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+_OWNERS = threading.local()
+
+
+@contextmanager
+def scratch_owner(spark: SparkSession):
+    """Own the scratch folders made inside: they are deleted when the block ends,
+    so nothing lazy that reads them may leave it. Blocks of one thread nest."""
+    outer = getattr(_OWNERS, "paths", None)
+    _OWNERS.paths = []
+    try:
+        yield
+    finally:
+        made, _OWNERS.paths = _OWNERS.paths, outer
+        for path in made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def log_kv(**kwargs: object) -> None:

@@ -1,12 +1,14 @@
 """Publishing marts for a serving store as NDJSON batches.
 
 A publish writes one JSON object per row (``to_json`` of the whole row, so
-NULL fields are omitted, as on the original wire) into files of at most
-``batch_rows`` rows. The partitioned variant writes one folder per key value
+NULL fields are omitted, as on the original wire) into files sized by the bytes
+of their input partitions, or of at most ``batch_rows`` rows where the serving
+store wants batches of a row count. The partitioned variant writes one folder per key value
 so that no batch ever spans two partition keys; rows inside a folder follow
 the serving sort key. ``truncate`` replaces the previous publish, otherwise
 rows are appended. The row count is observed during the write itself and
-checked against a read-back of what was written.
+checked against a read-back of what was written; an append counts what was there
+before as well.
 
 Everything stays in the JVM: no per-row Python and nothing collected on the
 driver but two counts.
@@ -23,12 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import wire_timestamp
+from strata.schemas import ServingContract
+from strata.sources.tables import read_if_exists
 
 log = logging.getLogger("strata.publish")
 
-DEFAULT_BATCH_ROWS = 10_000
-
-
 class PublishAuditError(RuntimeError):
     pass
 
@@ -45,6 +46,28 @@ def _payload(df: DataFrame) -> F.Column:
     return F.to_json(F.struct(*[F.col(c) for c in df.columns]))
 
 
+def for_contract(df: DataFrame, contract: ServingContract) -> DataFrame:
+    """``df`` with exactly the contract's columns in the wire types; NULLs in
+    columns that the store declares non-null become its defaults there.
+
+    A column the contract needs and ``df`` lacks is an error. Unsigned columns
+    refuse negative numbers: the write fails rather than wrap around.
+    """
+    missing = [f.name for f in contract.schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"{contract.name}: columns missing for the serving contract: {missing}")
+    out = []
+    for f in contract.schema.fields:
+        c = F.col(f.name).cast(f.dataType)
+        if f.name in contract.unsigned:
+            c = F.when(c < 0, F.raise_error(F.lit(f"{contract.name}.{f.name}: negative"))).otherwise(c)
+        if f.name in contract.non_null:
+            default = contract.default(f)
+            c = F.coalesce(c, F.lit(default).cast(f.dataType))
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
 def wire_format(df: DataFrame) -> DataFrame:
     """Timestamps as ``yyyy-MM-dd HH:mm:ss`` text, the serving store's input format."""
     out = []
@@ -56,12 +79,18 @@ def wire_format(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def _audit(spark: SparkSession, table: str, path: str, written: int, audit: bool, truncate: bool) -> PublishResult:
+def _published_rows(spark: SparkSession, path: str) -> int:
+    found = read_if_exists(spark, path, T.StructType([T.StructField("value", T.StringType())]), "text")
+    return 0 if found is None else found.count()
+
+
+def _audit(spark: SparkSession, table: str, path: str, written: int, before: int | None) -> PublishResult:
+    """``before``: rows published at ``path`` before this write; None skips the audit."""
     read_back = None
-    if audit and truncate:
-        read_back = spark.read.text(path).count()
+    if before is not None:
+        read_back = _published_rows(spark, path) - before
         if read_back != written:
-            raise PublishAuditError(f"{table}: wrote {written} rows but {read_back} are published at {path}")
+            raise PublishAuditError(f"{table}: wrote {written} rows but {read_back} were added at {path}")
     log.info("publish table=%s rows=%s read_back=%s", table, written, read_back)
     return PublishResult(table, path, written, read_back)
 
@@ -71,22 +100,23 @@ def publish_rows(
     path: str,
     *,
     table: str,
-    batch_rows: int = DEFAULT_BATCH_ROWS,
+    batch_rows: int | None = None,
     truncate: bool = True,
     audit: bool = True,
 ) -> PublishResult:
     """Row-batched NDJSON publish (no partition alignment)."""
-    if batch_rows < 1:
+    if batch_rows is not None and batch_rows < 1:
         raise ValueError("batch_rows must be >= 1")
+    before = None if not audit else 0 if truncate else _published_rows(df.sparkSession, path)
     obs = Observation(f"publish_{table}")
     (
         df.select(_payload(df).alias("value"))
         .observe(obs, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite" if truncate else "append")
-        .option("maxRecordsPerFile", batch_rows)
+        .option("maxRecordsPerFile", batch_rows or 0)
         .text(path)
     )
-    return _audit(df.sparkSession, table, path, int(obs.get["rows"]), audit, truncate)
+    return _audit(df.sparkSession, table, path, int(obs.get["rows"]), before)
 
 
 def publish_partitioned(
@@ -96,17 +126,18 @@ def publish_partitioned(
     table: str,
     partition_col: str,
     sort_key: Sequence[str] = (),
-    batch_rows: int = DEFAULT_BATCH_ROWS,
+    batch_rows: int | None = None,
     truncate: bool = True,
     audit: bool = True,
 ) -> PublishResult:
     """Partition-aligned NDJSON publish: one folder per ``partition_col`` value
     (NULL keys get the default-partition folder, never merged into another key),
-    files of at most ``batch_rows`` rows, rows sorted by ``sort_key`` within a
-    file. Rows are rebalanced by the key, so a heavy key is split over several
-    writer tasks instead of landing in one."""
-    if batch_rows < 1:
+    rows sorted by ``sort_key`` within a file. Rows are rebalanced by the key to
+    the advisory partition size, so files are sized in bytes and a heavy key is
+    split over several writer tasks; ``batch_rows`` cuts them further."""
+    if batch_rows is not None and batch_rows < 1:
         raise ValueError("batch_rows must be >= 1")
+    before = None if not audit else 0 if truncate else _published_rows(df.sparkSession, path)
     obs = Observation(f"publish_{table}")
     order = [partition_col] + [c for c in sort_key if c != partition_col]
     keyed = (
@@ -117,13 +148,13 @@ def publish_partitioned(
     )
     (
         keyed.write.mode("overwrite" if truncate else "append")
-        .option("maxRecordsPerFile", batch_rows)
+        .option("maxRecordsPerFile", batch_rows or 0)
         .partitionBy(partition_col)
         .text(path)
     )
-    return _audit(df.sparkSession, table, path, int(obs.get["rows"]), audit, truncate)
+    return _audit(df.sparkSession, table, path, int(obs.get["rows"]), before)
 
 
 def read_published(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a publish back with the serving contract's schema."""
+    """Read a publish back with the serving contract's schema (wire timestamps parse)."""
     return spark.read.schema(schema).json(path).select(*[f.name for f in schema.fields])

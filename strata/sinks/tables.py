@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,12 +36,20 @@ def overwrite_parquet(df: DataFrame, path: str, schema: T.StructType | None = No
     w.parquet(path)
 
 
-def save_table(df: DataFrame, name: str, schema: T.StructType | None = None, mode: str = "overwrite") -> None:
-    """Managed Parquet table; the frame is cast to ``schema`` first so an overwrite
-    cannot silently change the declared column types."""
+def save_table(df: DataFrame, name: str, schema: T.StructType | None = None, mode: str = "overwrite",
+               path: str | None = None, partition_by: Sequence[str] = ()) -> None:
+    """Parquet table, managed or (with ``path``) external; the frame is cast to
+    ``schema`` first so an overwrite cannot silently change the declared column types."""
     if schema is not None:
         df = cast_to_schema(df, schema)
-    df.write.mode(mode).format("parquet").saveAsTable(name)
+    if partition_by:
+        df = _balanced(df, partition_by)
+    w = df.write.mode(mode).format("parquet")
+    if path:
+        w = w.option("path", path)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(name)
 
 
 def overwrite_partitions(
@@ -80,20 +89,28 @@ def insert_overwrite_partitions(df: DataFrame, table_name: str) -> None:
         raise ValueError(f"{table_name} is not partitioned; use save_table to replace it")
     ordered = df.select(*[F.col(c) for c in target.columns])
     ordered = _balanced(ordered, part_cols)
-    # insertInto reads the overwrite mode from the session, not from writer options
-    key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
+    # insertInto reads the overwrite mode from its session, not from writer options; a
+    # session of its own leaves static overwrites running meanwhile as they are
+    view = f"strata_insert_{uuid.uuid4().hex}"
+    ordered.createGlobalTempView(view)
     try:
-        ordered.write.mode("overwrite").insertInto(table_name)
+        own = spark.newSession()
+        for key, value in spark.conf.getAll.items():
+            if own.conf.isModifiable(key):
+                own.conf.set(key, value)
+        own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        own.table(f"{spark.conf.get('spark.sql.globalTempDatabase', 'global_temp')}.{view}").write.mode("overwrite").insertInto(table_name)
     finally:
-        spark.conf.set(key, previous)
+        spark.catalog.dropGlobalTempView(view)
 
 
-def create_layers(spark: SparkSession, prefix: str = "strata", location: str | None = None) -> dict[str, str]:
+def create_layers(spark: SparkSession, prefix: str = "strata", location: str | None = None,
+                  landing_root: str | None = None) -> dict[str, str]:
     """Create one database per layer and every declared table (IF NOT EXISTS).
 
-    Returns layer -> database name.
+    Landing tables are external: they lie where the ingest writes its valid rows,
+    ``{landing_root}/{table}/_landing_status=valid`` (declared only where
+    ``landing_root`` is given). Returns layer -> database name.
     """
     dbs = {}
     for layer, tables in LAYERS.items():
@@ -104,6 +121,10 @@ def create_layers(spark: SparkSession, prefix: str = "strata", location: str | N
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
             part = PARTITIONED_TABLES.get(name)
             clause = f" PARTITIONED BY ({part})" if part else ""
+            if layer == "landing":
+                if not landing_root:
+                    continue
+                clause = f" LOCATION '{landing_root.rstrip('/')}/{name}/_landing_status=valid'"
             spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{name} ({cols}) USING parquet{clause}")
         dbs[layer] = db
     return dbs

@@ -10,7 +10,11 @@ Entity feed (``part`` joined to ``nation`` on ``p_partkey % 25`` and ``region``)
   a part whose size is a multiple of 10 is listed twice, the second time with
   an upper-case name, to exercise de-duplication; ``attributes`` and
   ``hours`` are maps (``NULL`` values kept, as a raw file would carry them).
-Review feed (``lineitem`` joined to ``orders``): one review per line item.
+Review feed (``lineitem`` joined to ``orders``): one review per line item. As in
+raw files, some rows are flawed, none is dropped: dates that do not parse
+(``l_suppkey % 97 = 0``) or carry a UTC offset (line 3, 23:30 at -05:00), an
+unknown business (``l_partkey % 53 = 0``), an absent key ``cool``
+(``o_custkey % 11 = 0``) and a number with a type suffix (``l_suppkey % 89 = 0``).
 """
 
 from __future__ import annotations
@@ -117,14 +121,16 @@ def review_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", s("l_orderkey"), s("l_linenumber"), s("l_partkey"), s("l_suppkey"),
                     F.date_format("l_shipdate", "yyyyMMdd")).alias("review_id"),
         s("o_custkey").alias("user_id"),
-        s("l_partkey").alias("business_id"),
+        F.when(F.col("l_partkey") % 53 == 0, F.concat(F.lit("x"), s("l_partkey"))).otherwise(s("l_partkey")).alias("business_id"),
         (F.lit(1.0) + F.col("l_quantity") % 5).alias("stars"),
-        (F.col("l_linenumber") - 1).alias("useful"),
+        F.when(F.col("l_suppkey") % 89 == 0, "5d").otherwise((F.col("l_linenumber") - 1).cast("string")).alias("useful"),
         (F.col("l_suppkey") % 3).alias("funny"),
-        (F.col("o_custkey") % 4).alias("cool"),
+        F.when(F.col("o_custkey") % 11 != 0, F.col("o_custkey") % 4).alias("cool"),
         F.concat_ws(" ", F.lit("order"), F.col("o_orderpriority"), F.lit("flag"),
                     F.col("l_returnflag"), F.col("l_linestatus")).alias("text"),
-        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("date"),
+        F.when(F.col("l_suppkey") % 97 == 0, "not a date")
+        .when(F.col("l_linenumber") == 3, F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T23:30:00-05:00")))
+        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("date"),
     )
     return out.select(*REVIEW_FIELDS)
 

@@ -5,10 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from strata.schemas import FACT_PARTITION_COL
 
 
+def path_missing(error: AnalysisException) -> bool:
+    """Whether ``error`` says that a path does not exist (and nothing else)."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def read_if_exists(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame | None:
+    """The dataset at ``path``, or None where there is none; any other failure is raised."""
+    try:
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as e:
+        if path_missing(e):
+            return None
+        raise
+
+
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
     """A catalog table by name, or a dataset by path (anything with a '/')."""
     if "/" in name_or_path or ":" in name_or_path:

@@ -5,13 +5,18 @@ month-partitioned fact.
 picks up every file not yet seen (the stream checkpoint remembers which),
 and ``foreachBatch`` merges each micro-batch:
 
-1. conform the batch to fact rows (malformed lines are skipped);
-2. list the months it touches (a handful of partition keys, not rows) and
-   read only those partitions of the current fact;
-3. keep current rows whose ``review_id`` is not in the batch, add the batch
-   rows (the newest version of a review wins);
-4. cut the lineage by writing the merged months once to the shared checkpoint
-   folder, then replace just those months with a dynamic partition overwrite.
+1. malformed lines and reviews without an id go, with their text, to the
+   batch's quarantine folder (overwritten when the batch is replayed); the rest
+   is conformed to fact rows, and of several versions of a review the one from
+   the newest file wins (the greatest row within a file time);
+2. the months to rewrite are those of the batch's rows and those in which the
+   fact holds older versions of its reviews (a two-column scan semi-joined to
+   the batch's ids), so a review that moved to another month leaves the old one;
+3. current rows of those months whose ``review_id`` is not in the batch stay,
+   the batch rows are added;
+4. the merged months are written once to the shared checkpoint folder, which
+   cuts the lineage, then replace just those months; a month that lost its last
+   review is dropped.
 
 A replayed batch produces the same months again, so the merge is idempotent.
 """
@@ -24,19 +29,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
-from strata.operators.dedupe import dedupe_by_key
 from strata.plans.core import review_fact
 from strata.plans.landing import review_landing
 from strata.schemas import CORRUPT_COL, REVIEW_FACT, REVIEW_RAW_READ
-from strata.session import ensure_checkpoint_dir
+from strata.session import scratch_owner
 from strata.operators.conform import cast_to_schema
 from strata.sinks.tables import insert_overwrite_partitions, overwrite_partitions
 from strata.sinks.writers import materialize
-from strata.sources.ndjson import valid_rows
+from strata.sources.ndjson import corrupt_text
+from strata.sources.tables import read_if_exists
 
 PARTITION = "ym"
+FILE_TIME = "_file_time"
+KEY = "review_id"
+
+
+def _partition_folder(spark: SparkSession, month: str | None) -> str:
+    """``ym=...`` as Spark's writer names it."""
+    catalog = spark._jvm.org.apache.spark.sql.catalyst.catalog
+    return catalog.ExternalCatalogUtils.getPartitionPathString(PARTITION, month)
 
 
 @dataclass(frozen=True)
@@ -46,20 +58,24 @@ class PathFact:
     path: str
 
     def read(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return spark.read.schema(REVIEW_FACT).parquet(self.path)
-        except AnalysisException:
-            return None
+        return read_if_exists(spark, self.path, REVIEW_FACT)
 
     def replace_months(self, df: DataFrame) -> None:
         overwrite_partitions(df, self.path, PARTITION, REVIEW_FACT)
 
+    def drop_months(self, spark: SparkSession, months: list[str | None]) -> None:
+        for m in months:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path.rstrip('/')}/{_partition_folder(spark, m)}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
 
 @dataclass(frozen=True)
 class TableFact:
-    """The fact as a month-partitioned catalog table (created on first use)."""
+    """The fact as a month-partitioned catalog table, created with its database
+    on first use; external at ``path`` where one is given."""
 
     name: str
+    path: str | None = None
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         return spark.table(self.name) if spark.catalog.tableExists(self.name) else None
@@ -67,10 +83,20 @@ class TableFact:
     def replace_months(self, df: DataFrame) -> None:
         spark = df.sparkSession
         if not spark.catalog.tableExists(self.name):
+            if "." in self.name:
+                spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.name.rpartition('.')[0]}")
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in REVIEW_FACT.fields)
-            spark.sql(f"CREATE TABLE {self.name} ({cols}) USING parquet PARTITIONED BY ({PARTITION})")
+            place = f" LOCATION '{self.path}'" if self.path else ""
+            spark.sql(f"CREATE TABLE {self.name} ({cols}) USING parquet PARTITIONED BY ({PARTITION}){place}")
         insert_overwrite_partitions(cast_to_schema(df, REVIEW_FACT), self.name)
 
+    def drop_months(self, spark: SparkSession, months: list[str | None]) -> None:
+        for m in months:
+            value = "null" if m is None else "'" + m.replace("'", "\\'") + "'"
+            spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({PARTITION} = {value})")
+        if self.path:
+            PathFact(self.path).drop_months(spark, months)
+
 
 FactTarget = PathFact | TableFact
 
@@ -79,31 +105,67 @@ def _target(fact: str | FactTarget) -> FactTarget:
     return PathFact(fact) if isinstance(fact, str) else fact
 
 
-def merge_batch(batch: DataFrame, fact: str | FactTarget) -> None:
+def split_batch(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(fact rows with the file time, quarantined rows) of raw review rows."""
+    if FILE_TIME not in batch.columns:
+        batch = batch.withColumn(FILE_TIME, F.lit(None).cast("timestamp"))
+    if CORRUPT_COL not in batch.columns:
+        batch = batch.withColumn(CORRUPT_COL, F.lit(None).cast("string"))
+    broken = corrupt_text(batch)
+    raw = [c for c in batch.columns if c not in (CORRUPT_COL, FILE_TIME)]
+    no_id = F.col(KEY).isNull()
+    bad = batch.where(broken.isNotNull() | no_id).select(
+        F.when(broken.isNotNull(), "malformed").otherwise("no_id").alias("reason"),
+        F.coalesce(broken, F.to_json(F.struct(*raw))).alias("raw_line"),
+    )
+    good = review_landing(batch.where(broken.isNull() & ~no_id), passthrough=[FILE_TIME])
+    return review_fact(good, passthrough=[FILE_TIME]), bad
+
+
+def newest_versions(rows: DataFrame) -> DataFrame:
+    """One row a review: from the newest file, of equals the greatest row."""
+    cols = [f.name for f in REVIEW_FACT.fields]
+    newest = rows.groupBy(KEY).agg(F.max(F.struct(FILE_TIME, *[c for c in cols if c != KEY])).alias("_row"))
+    return newest.select(*[F.col(c) if c == KEY else F.col(f"_row.{c}").alias(c) for c in cols])
+
+
+def merge_batch(batch: DataFrame, fact: str | FactTarget, quarantine: str, batch_id: int = 0) -> None:
     """Merge one batch of raw review rows into the fact (a path or a ``TableFact``)."""
-    spark = batch.sparkSession
-    ensure_checkpoint_dir(spark)
-    target = _target(fact)
-    valid = valid_rows(batch)
-    incoming = materialize(dedupe_by_key(review_fact(review_landing(valid)), ["review_id"]), "increment-batch")
+    with scratch_owner(batch.sparkSession):
+        _merge(batch, _target(fact), quarantine, batch_id)
 
-    # partition keys touched by this batch: one value per month, bounded by the calendar
-    months = [r[0] for r in incoming.select(PARTITION).distinct().collect()]
-    if not months:
-        return
+
+def _merge(batch: DataFrame, target: FactTarget, quarantine: str, batch_id: int) -> None:
+    spark = batch.sparkSession
+    rows, bad = split_batch(batch)
+    bad.write.mode("overwrite").json(f"{quarantine.rstrip('/')}/batch={batch_id}")
+    incoming = materialize(newest_versions(rows), "increment-batch")
+    months = incoming.select(PARTITION).distinct()
     current = target.read(spark)
+    merged = incoming
     if current is not None:
-        cond = F.col(PARTITION).isin([m for m in months if m is not None])
-        if None in months:
-            cond = cond | F.col(PARTITION).isNull()
-        touched = current.where(cond)
-        kept = touched.join(incoming.select("review_id"), "review_id", "left_anti")
+        ids = incoming.select(KEY)
+        older = current.select(KEY, PARTITION).join(ids, KEY, "left_semi").select(PARTITION).distinct()
+        months = materialize(months.unionByName(older).distinct(), "increment-months")
+        touched = current.join(months, PARTITION, "left_semi")  # prunes partitions at run time
+        if not months.where(F.col(PARTITION).isNull()).isEmpty():
+            touched = touched.unionByName(current.where(F.col(PARTITION).isNull()).select(*touched.columns))
+        kept = touched.join(ids, KEY, "left_anti")
         merged = kept.select(*incoming.columns).unionByName(incoming)
-    else:
-        merged = incoming
-    # the write below replaces files that ``merged`` reads; materialise it first
-    merged = materialize(merged, "increment-merged")
+        # the write below replaces files that ``merged`` reads; materialise it first
+        merged = materialize(merged, "increment-merged")
+        left = merged.select(F.col(PARTITION).alias("_left")).distinct()
+        emptied = months.join(left, F.col(PARTITION).eqNullSafe(F.col("_left")), "left_anti")
+        gone = [r[0] for r in emptied.collect()]  # month keys that lost their last review
+    if months.isEmpty():
+        return
     target.replace_months(merged)
+    if current is not None:
+        target.drop_months(spark, gone)
+
+
+def quarantine_path(stream_checkpoint: str) -> str:
+    return stream_checkpoint.rstrip("/") + "-quarantine"
 
 
 def start_incremental_merge(
@@ -113,8 +175,10 @@ def start_incremental_merge(
     stream_checkpoint: str,
     max_files_per_trigger: int | None = None,
     processing_time: str | None = None,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
-    """Start the merge stream; returns the query.
+    """Start the merge stream; returns the query. ``quarantine`` (beside the
+    stream's checkpoint by default) gets what cannot be merged, by batch.
 
     By default the trigger is ``availableNow``: every file present is processed,
     then the query stops (a scheduled job). ``processing_time`` (e.g.
@@ -128,9 +192,10 @@ def start_incremental_merge(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(increment_dir)
+    stream = reader.json(increment_dir).select("*", F.col("_metadata.file_modification_time").alias(FILE_TIME))
     target = _target(fact)
-    writer = stream.writeStream.foreachBatch(lambda df, _batch_id: merge_batch(df, target)).option(
+    bad = quarantine or quarantine_path(stream_checkpoint)
+    writer = stream.writeStream.foreachBatch(lambda df, batch_id: merge_batch(df, target, bad, batch_id)).option(
         "checkpointLocation", stream_checkpoint
     )
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
@@ -143,9 +208,12 @@ def incremental_merge(
     fact: str | FactTarget,
     stream_checkpoint: str,
     max_files_per_trigger: int | None = None,
+    quarantine: str | None = None,
 ) -> DataFrame:
     """Run the merge until every available file is processed; return the fact."""
-    q = start_incremental_merge(spark, increment_dir, fact, stream_checkpoint, max_files_per_trigger)
+    q = start_incremental_merge(
+        spark, increment_dir, fact, stream_checkpoint, max_files_per_trigger, quarantine=quarantine
+    )
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
