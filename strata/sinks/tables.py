@@ -102,6 +102,7 @@ def insert_overwrite_partitions(df: DataFrame, table_name: str) -> None:
         own.table(f"{spark.conf.get('spark.sql.globalTempDatabase', 'global_temp')}.{view}").write.mode("overwrite").insertInto(table_name)
     finally:
         spark.catalog.dropGlobalTempView(view)
+    spark.catalog.refreshTable(table_name)  # this session may know the files replaced
 
 
 def create_layers(spark: SparkSession, prefix: str = "strata", location: str | None = None,

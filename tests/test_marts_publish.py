@@ -18,7 +18,7 @@ from strata.session import scratch_path
 from strata.sinks.publish import PublishAuditError, publish_partitioned, publish_rows, read_published
 from strata.sinks.tables import create_layers, drop_layers, insert_overwrite_partitions, overwrite_partitions
 from strata.sinks.writers import write_ndjson
-from strata.streaming.incremental import incremental_merge
+from strata.streaming.incremental import incremental_merge, merge_batch
 
 FACT_DDL = ("review_id string, user_id string, business_id string, stars int, useful int, funny int, cool int, "
             "review_date timestamp_ntz, ym string")
@@ -160,13 +160,27 @@ def test_publish_rows_append_and_audit(spark):
     df = spark.range(0, 30).select(F.col("id").cast("string").alias("city"))
     path = scratch_path(spark, "t-rows")
     assert publish_rows(df, path, table="t", batch_rows=7).rows_read_back == 30
-    publish_rows(df, path, table="t", truncate=False)
-    assert spark.read.text(path).count() == 60
+    assert publish_rows(df, path, table="t", truncate=False).rows_read_back == 30  # an append is audited too
+    assert publish_rows(df, path, table="t", truncate=False, audit=False).rows_read_back is None
+    assert spark.read.text(path).count() == 90
     # a publish that disagrees with its read-back fails loudly
     with pytest.raises(PublishAuditError):
         from strata.sinks.publish import _audit
 
-        _audit(spark, "t", path, 59, True, True)
+        _audit(spark, "t", path, 29, 60)
+
+
+def test_serving_contract_is_enforced(spark):
+    from strata.sinks.publish import for_contract
+
+    contract = SERVING["mart_best_city_avg_rate"]
+    df = spark.createDataFrame([("a", 1, None, 2.0)], "city string, business_cnt int, total_reviews bigint, avg_business_rating double")
+    assert for_contract(df, contract).schema == contract.schema
+    assert for_contract(df, contract.filled()).first()["total_reviews"] == 0
+    with pytest.raises(ValueError):
+        for_contract(df.drop("city"), contract)
+    with pytest.raises(Exception, match="negative"):
+        for_contract(df.withColumn("business_cnt", F.lit(-1)), contract).collect()
 
 
 def test_incremental_merge_idempotent(spark):
@@ -200,8 +214,54 @@ def test_incremental_merge_multiple_batches_bad_lines_and_null_month(spark, tmp_
         + json.dumps({"review_id": "r4", "business_id": "b2", "stars": 1, "date": "2020-02-01 00:00:00"}) + "\n")
     got = incremental_merge(spark, str(inc), fact_path, ckpt, max_files_per_trigger=1)
     rows = {r.review_id: (r.stars, r.ym) for r in got.collect()}
-    # files are taken in order: the later file's version of r1 wins; the bad line is skipped
+    # files are taken in order: the later file's version of r1 wins; the bad line is quarantined
     assert rows == {"r1": (5, "2020-01"), "r2": (4, None), "r4": (1, "2020-02")}
+    bad = spark.read.json(ckpt + "-quarantine").select("reason", "raw_line").collect()
+    assert [tuple(x) for x in bad] == [("malformed", "NOT JSON")]
+
+
+def raw_reviews(spark, rows):
+    return spark.createDataFrame(rows, "review_id string, user_id string, business_id string, stars string, date string")
+
+
+def test_merge_moves_a_review_and_drops_its_empty_month(spark):
+    path, bad = scratch_path(spark, "t-move"), scratch_path(spark, "t-move-bad")
+    overwrite_partitions(fact_rows(spark, [("r1", "b", 2, "2020-01-05"), ("r2", "b", 3, "2020-01-06"), ("r3", "b", 3, "2020-05-01")]),
+                         path, "ym", REVIEW_FACT)
+    batch = raw_reviews(spark, [("r1", "u", "b", "4", "2020-02-01 00:00:00"), ("r3", "u", "b", "5", "bad date")])
+    for _ in range(2):  # and again: a replay changes nothing
+        merge_batch(batch, path, bad)
+        got = spark.read.schema(REVIEW_FACT).parquet(path)
+        assert {(r.review_id, r.ym, r.stars) for r in got.collect()} == {("r1", "2020-02", 4), ("r2", "2020-01", 3), ("r3", None, 5)}
+        assert got.count() == 3
+
+
+def test_merge_quarantines_reviews_without_id_and_replays(spark):
+    path, bad = scratch_path(spark, "t-null"), scratch_path(spark, "t-null-bad")
+    batch = raw_reviews(spark, [(None, "u", "b1", "1", "2020-01-01"), (None, "u", "b2", "2", "2020-01-01"), ("r1", "u", "b", "3", "2020-01-01")])
+    for _ in range(2):
+        merge_batch(batch, path, bad, batch_id=7)
+        assert [r.review_id for r in spark.read.schema(REVIEW_FACT).parquet(path).collect()] == ["r1"]
+        kept = spark.read.json(bad).collect()
+        assert [r.batch for r in kept] == [7, 7] and sorted(json.loads(r.raw_line)["business_id"] for r in kept) == ["b1", "b2"]
+
+
+def test_newest_file_wins_inside_a_batch(spark, tmp_path):
+    inc = tmp_path / "inc-newest"
+    inc.mkdir()
+    for name, stars, t in (("z.json", 1, 1_600_000_000), ("a.json", 5, 1_700_000_000)):
+        (inc / name).write_text(json.dumps({"review_id": "r", "business_id": "b", "stars": stars, "date": "2020-01-01"}) + "\n")
+        os.utime(inc / name, (t, t))
+    got = incremental_merge(spark, str(inc), scratch_path(spark, "t-newest"), scratch_path(spark, "t-newest-ckpt")).collect()
+    assert [(r.review_id, r.stars) for r in got] == [("r", 5)]
+
+
+def test_only_a_missing_path_means_no_fact(spark, tmp_path):
+    from strata.streaming.incremental import PathFact
+
+    assert PathFact(str(tmp_path / "none")).read(spark) is None
+    with pytest.raises(Exception):
+        PathFact("nosuchfs://x/y").read(spark)
 
 
 def test_null_month_sorts_first_for_delta(spark):
@@ -238,7 +298,6 @@ def test_incremental_merge_processing_time_trigger(spark, tmp_path):
 def test_rank_within_groups_shuffle_fallback(spark, monkeypatch):
     import strata.operators.ranking as R
 
-    monkeypatch.setattr(R, "OFFSETS_BROADCAST_MAX_ROWS", 0)  # offsets never broadcast
     df = spark.range(0, 3000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 7).cast("string")).alias("g"),
         (F.col("id") * 31 % 97).alias("score"), F.col("id"))
@@ -266,15 +325,14 @@ def test_incremental_merge_creates_fact_on_first_batch(spark, tmp_path):
         json.dumps({"review_id": "r1", "business_id": "b", "stars": "4.0", "date": "2021-01-02 03:04:05"}) + "\n"
         + json.dumps({"review_id": "r1", "business_id": "b", "stars": "2", "date": "2021-01-02 03:04:05"}) + "\n")
     got = incremental_merge(spark, str(inc), fact_path, scratch_path(spark, "t-inc4-ckpt")).collect()
-    # a review repeated inside one batch is kept once (smallest full row)
-    assert [(r.review_id, r.stars, r.ym) for r in got] == [("r1", 2, "2021-01")]
+    # a review repeated inside one file is kept once (the greatest row)
+    assert [(r.review_id, r.stars, r.ym) for r in got] == [("r1", 4, "2021-01")]
 
 
 def test_incremental_merge_into_catalog_table(spark, tmp_path):
     from strata.streaming.incremental import TableFact
 
-    spark.sql("CREATE DATABASE IF NOT EXISTS t_inc")
-    target = TableFact("t_inc.review_fact")  # created by the first batch
+    target = TableFact("t_inc.review_fact")  # created by the first batch, with its database
     inc = tmp_path / "inc5"
     inc.mkdir()
     (inc / "a.json").write_text(
