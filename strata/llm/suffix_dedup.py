@@ -122,7 +122,7 @@ def anchored(docs: DataFrame, span: int, gram: int) -> DataFrame:
     within a batch: all but one get a key of their own and ``many``, as has the one."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher, rng = WordHasher(), np.random.default_rng()
+        hasher = WordHasher()
         for pdf in batches:
             texts = [(t or "").encode() for t in pdf["_text"]]
             keys = pdf["_key"].to_numpy()
@@ -140,13 +140,15 @@ def anchored(docs: DataFrame, span: int, gram: int) -> DataFrame:
                 continue
             h, s, ol, d, lo = (np.concatenate(x) for x in zip(*got))
             whole = mix64(h ^ mix64(s ^ ol.astype(np.uint64)))
-            order = np.argsort(whole, kind="stable")
+            key = keys[d].astype(np.uint64)
+            order = np.lexsort((lo, key, whole))
             same = whole[order][1:] == whole[order][:-1]
             many, later = np.zeros(len(h), bool), np.zeros(len(h), bool)
             many[order[1:]] |= same
             many[order[:-1]] |= same
             later[order[1:]] = same
-            h[later] = rng.integers(0, 1 << 63, int(later.sum()), dtype=np.uint64)
+            # a key of their own that a repeated task finds again, as it decides where they are shuffled to
+            h[later] = mix64(key[later] ^ mix64(lo[later].astype(np.uint64) + np.uint64(1)))
             yield pd.DataFrame({
                 "h": h.astype(np.int64), "s": s.astype(np.int64), "ol": ol.astype(np.int32), "_key": keys[d],
                 "nb": lengths[d].astype(np.int32), "lo": lo.astype(np.int32), "many": many,
