@@ -16,8 +16,10 @@ component it belongs to.
 4. Tiles: what the stars left unconnected is compared in full. The nodes of a
    run that hold several components are ordered by size and cut into tiles; tile
    against tile of fitting sizes, shared bits bound the overlap from above, and
-   the pairs left over, of different components, are compared exactly. Runs of
-   more than ``large_run`` nodes are first dealt out again by every second key.
+   the pairs left over, of different components, are compared exactly: first
+   each node's best pair of a tile, then, with the components that gives, all.
+   A pair is given out in the run of its first common key alone. Runs of more
+   than ``large_run`` nodes are first dealt out again by every second key.
 
 So a group of copies costs its number of members, not of its pairs, and no link
 between components is lost. Tiles hold ``tile`` bitmaps at a time.
@@ -158,11 +160,13 @@ def runs_with_pivot(nodes: DataFrame) -> DataFrame:
     )
 
 
-def tile_pairs(rows: DataFrame, percent: int, tile: int) -> DataFrame:
+def tile_pairs(rows: DataFrame, percent: int, tile: int, best: bool) -> DataFrame:
     """(a, b) of nodes in equal runs and different components whose bitmaps allow a link.
 
-    ``rows``: (key, node, n, root, bits). A run streams in order of size; the
-    tiles that can still meet a fitting size are kept.
+    ``rows``: (key, node, n, root, bits, keys, outer). A run streams in order of
+    size; the tiles that can still meet a fitting size are kept. ``best``: of a
+    node's pairs between two tiles only the one with the highest bound. ``outer``
+    is the band key whose run was dealt out again, null for a run as it is.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -172,8 +176,20 @@ def tile_pairs(rows: DataFrame, percent: int, tile: int) -> DataFrame:
         shared = np.rint(p.astype(np.float32) @ q.astype(np.float32).T).astype(np.int64)
         na, nb = x["n"][:, None], y["n"][None, :]
         bound = overlap_bound(na, nb, p.sum(axis=1, dtype=np.int64)[:, None], q.sum(axis=1, dtype=np.int64)[None, :], shared)
-        ok = enough(np.minimum(bound, np.minimum(na, nb)), na, nb, percent) & (x["root"][:, None] != y["root"][None, :])
-        i, j = np.nonzero(np.triu(ok, 1) if same else ok)
+        bound = np.minimum(bound, np.minimum(na, nb))
+        ok = enough(bound, na, nb, percent) & (x["root"][:, None] != y["root"][None, :])
+        if same:
+            ok = np.triu(ok, 1)
+        i, j = np.nonzero(ok)
+        if len(i):
+            own = _in_its_run(x["keys"][i] == y["keys"][j], x["keys"][i], x["key"], x["outer"])
+            i, j = i[own], j[own]
+        if best and len(i):
+            likely = bound[i, j] / (x["n"][i] + y["n"][j] - bound[i, j])
+            order = np.argsort(-likely, kind="stable")
+            first = np.concatenate((order[np.unique(i[order], return_index=True)[1]], order[np.unique(j[order], return_index=True)[1]]))
+            first = np.unique(first)
+            i, j = i[first], j[first]
         return np.stack([x["node"][i], y["node"][j]], axis=1)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -189,7 +205,7 @@ def tile_pairs(rows: DataFrame, percent: int, tile: int) -> DataFrame:
             own = {
                 "node": np.array([r[0] for r in open_rows]), "n": np.array([r[1] for r in open_rows]), "root": np.array([r[2] for r in open_rows]),
                 "bits": np.stack([_widened(folded(np.frombuffer(r[3], np.uint8), width), width) for r in open_rows]),
-                "narrow": min(len(r[3]) for r in open_rows),
+                "narrow": min(len(r[3]) for r in open_rows), "keys": np.array([r[4] for r in open_rows]), "key": key, "outer": open_rows[0][5],
             }
             own["bits"] = folded(own["bits"], own["narrow"])
             kept = [t for t in kept if 100 * t["n"][-1] >= percent * own["n"][0]]
@@ -204,25 +220,69 @@ def tile_pairs(rows: DataFrame, percent: int, tile: int) -> DataFrame:
             open_rows = []
 
         for pdf in batches:
-            for k, node, n, root, bits in zip(pdf["key"], pdf["node"], pdf["n"], pdf["root"], pdf["bits"]):
+            for k, node, n, root, bits, keys, outer in zip(*(pdf[c] for c in ("key", "node", "n", "root", "bits", "keys", "outer"))):
                 if k != key:
                     yield from close()
                     key, kept = k, []
                 # a tile holds one band of sizes: powers of two share a bitmap width
                 if open_rows and (len(open_rows) >= tile or len(open_rows[0][3]) != len(bits)):
                     yield from close()
-                open_rows.append((node, n, root, bits))
+                open_rows.append((node, n, root, bits, keys, None if outer is None else int(outer)))
         yield from close()
 
-    return rows.select("key", "node", "n", "root", "bits").repartition(parts, "key").sortWithinPartitions("key", "n", "node").mapInPandas(
+    return rows.select("key", "node", "n", "root", "bits", "keys", F.col("outer").cast("string").alias("outer")).repartition(parts, "key").sortWithinPartitions("key", "n", "node").mapInPandas(
         compare, "a long, b long"
     )
 
 
+def _in_its_run(common: np.ndarray, keys: np.ndarray, key: int, outer: int | None) -> np.ndarray:
+    """Whether the run at hand is that of the first key two nodes share (by pair:
+    ``common`` marks the equal ones of their ``keys``); in a run dealt out again,
+    that of the first with the next."""
+    row = np.arange(len(common))
+    first = common.argmax(axis=1)
+    if outer is None:
+        return keys[row, first] == key
+    rest = common.copy()
+    rest[row, first] = False
+    second = rest.argmax(axis=1)
+    return (keys[row, first] == outer) & rest.any(axis=1) & (_second_key(keys[row, first], keys[row, second]) == key)
+
+
+def _second_key(outer: np.ndarray, inner: np.ndarray) -> np.ndarray:
+    return mix64(mix64(outer.astype(np.uint64)) ^ inner.astype(np.uint64)).astype(np.int64)
+
+
 def _widened(bits: np.ndarray, width: int) -> np.ndarray:
     return bits if len(bits) == width else np.tile(bits, width // len(bits))
 
 
+def open_runs(runs: DataFrame, nodes: DataFrame, rooted: DataFrame, large_run: int) -> DataFrame:
+    """Rows for ``tile_pairs`` of the runs that hold several components."""
+    placed = runs.select("key", "node", "n").join(rooted, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+    several = (
+        placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members"))
+        .where("lo <> hi").select("key", "members")
+    )
+    left = written(placed.join(several, "key"), "open-runs").join(nodes.select("node", "bits", "keys"), "node")
+    plain = left.where(F.col("members") <= large_run).withColumn("outer", F.lit(None).cast("long"))
+
+    def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A row of a large run for each other key of its node."""
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                inner = np.array([k for k in row.keys if k != row.key], np.int64)
+                yield pd.DataFrame({
+                    "key": _second_key(np.full(len(inner), row.key), inner), "node": row.node, "n": row.n, "root": row.root,
+                    "bits": [row.bits] * len(inner), "keys": [row.keys] * len(inner), "outer": row.key,
+                })
+
+    columns = "key long, node long, n long, root long, bits binary, keys array<long>, outer long"
+    names = ["key", "node", "n", "root", "bits", "keys", "outer"]
+    again = left.where(F.col("members") > large_run).select(*names[:-1]).mapInPandas(dealt, columns)
+    return plain.select(*names).unionByName(again)
+
+
 # ---- exact comparison
 
 
@@ -293,22 +353,11 @@ def jaccard_components(
     fits = (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")) & (F.col("node") != F.col("pivot"))
     stars = runs.where(fits).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     links = written(linked(stars, nodes, texts, words, percent, bounded=False), "star-links")
+    for best in (True, False):
+        rows_left = open_runs(runs, nodes, components(links), large_run)
+        pairs = written(tile_pairs(rows_left, percent, tile, best).distinct(), "tile-pairs")
+        links = written(links.unionByName(linked(pairs, nodes, texts, words, percent, bounded=True)), "links")
     rooted = components(links)
-    # runs that still hold several components
-    placed = runs.select("key", "node", "n").join(rooted, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-    left = (
-        placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members"))
-        .where("lo <> hi").select("key", "members")
-    )
-    open_runs = written(placed.join(left, "key"), "open-runs")
-    small = open_runs.where(F.col("members") <= large_run).select("key", "node", "n", "root")
-    again = open_runs.where(F.col("members") > large_run).join(nodes.select("node", F.col("keys").alias("others")), "node").select(
-        F.col("key").alias("outer"), "node", "n", "root", F.explode("others").alias("inner")
-    ).where("inner <> outer").select(F.xxhash64("outer", "inner").alias("key"), "node", "n", "root")
-    several = again.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    rows_left = small.unionByName(again.join(several, "key", "left_semi")).join(nodes.select("node", "bits"), "node")
-    pairs = written(tile_pairs(rows_left, percent, tile).distinct(), "tile-pairs")
-    rooted = components(links.unionByName(linked(pairs, nodes, texts, words, percent, bounded=True)))
     placed = nodes.join(rooted, "node", "left").select(*same_set, "least_id", F.coalesce("root", "node").alias("root"))
     named = placed.join(placed.groupBy("root").agg(F.min("least_id").alias("component_id")), "root").select(*same_set, "component_id", F.col("root").alias("_component"))
     named = named.withColumnsRenamed({c: f"node_{c}" for c in same_set})
