@@ -17,7 +17,6 @@ def components(edges: DataFrame) -> DataFrame:
     e = written(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
     )
-    state = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: the larger neighbours of a node go to its smallest neighbour (or itself)
@@ -30,10 +29,11 @@ def components(edges: DataFrame) -> DataFrame:
             least.select("u", F.col("m").alias("v"))
         )
         e = written(small.where("u <> v").distinct(), "small-star")
-        row = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")).first()
-        if state == (row["n"], row["s"]):
+        # done when every node hangs on one root: larger ends meet one edge and are nobody's smaller end
+        ends = e.select(F.col("u").alias("x"), F.lit(1).alias("leaf")).unionByName(e.select(F.col("v").alias("x"), F.lit(0).alias("leaf")))
+        ends = ends.groupBy("x").agg(F.sum("leaf").alias("leaf"), F.count(F.lit(1)).alias("n"))
+        if ends.where("leaf > 1 OR (leaf = 1 AND n > 1)").isEmpty():
             break
-        state = (row["n"], row["s"])
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
