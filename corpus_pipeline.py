@@ -30,9 +30,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without line chunks that stand elsewhere; documents made of nothing else go."""
+    """Texts without line chunks and passages that stand elsewhere; documents made of nothing else go."""
     own = carried(docs, doc_id=F.col("doc_id"), text=F.col("text"))
-    left = line_dedup.dedup_lines(own).where("_removed_lines = 0 OR _removed_lines < _lines")
+    left = line_dedup.dedup_lines(own, least_words=50).where("_removed_lines = 0 OR _removed_lines < _lines")
     cleaned = left.select(*restored(left, docs.columns, text=F.col("text")))
     if "n_chars" not in docs.columns:
         return cleaned

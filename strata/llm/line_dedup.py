@@ -1,4 +1,4 @@
-"""Line dedup on content-defined chunks of lines.
+"""Line dedup on content-defined chunks of lines and on repeated passages.
 
 A rolling hash over the hashes of the last ``window`` lines ends a chunk where
 it is divisible by ``lines_per_chunk``, so an inserted or removed line moves
@@ -6,10 +6,20 @@ only the boundaries next to it. A chunk of at least ``least_lines`` lines that
 occurs more than once in the corpus is kept at its first place (smallest id,
 then place) and removed elsewhere.
 
-Chunks are counted by two hashes and their bytes, so equal hashes never stand
-for equal bytes unseen: a hash pair shared by different bytes is left alone.
-Counting and choosing the first place are aggregations with partial sums, the
-way back is a join; no chunk's occurrences are gathered in one place.
+With ``least_words``, every run of whole lines of at least so many words that
+also stands at an earlier place is removed as a whole, wherever its chunk
+boundaries fall: a window is cut from each line that is not blank to the first
+line that completes the words, and one back from each such line. The windows
+inside a repeated run start at its first line, end at its last one and leave no
+gap, and each depends on nothing but its own lines. A line is in at most twice
+``least_words`` windows. Where windows overlap, a line stays only if none of
+its windows stands earlier; each line stays at some place.
+
+Chunks are counted by two hashes, and the repeated ones compared by their bytes,
+so equal hashes never stand for equal bytes unseen: a hash pair shared by
+different bytes is left alone. Counting and choosing the first place are
+aggregations with partial sums, the way back is a join; no chunk's occurrences
+are gathered in one place.
 
 Defined results: a null text stays null and has no lines; an empty text is one
 empty line and stays; rows with equal id and text count as one place, so both
@@ -46,11 +56,31 @@ def chunk_bounds(line_hashes: list[int], window: int, lines_per_chunk: int) -> l
     return bounds
 
 
-def _chunks(docs: DataFrame, window: int, lines_per_chunk: int, least_lines: int, bodies: bool) -> DataFrame:
-    """(_id, _fp, at, lines, h, g) of every chunk that may be removed, or (h, g, body)."""
+def passage_bounds(words: list[int], least_words: int) -> set[tuple[int, int]]:
+    """(first line, end) of the least windows of ``least_words`` words that start or
+    end at a line which is not blank, given the words of each line; two lines that
+    have the words by themselves are also one window with the blank lines between."""
+    full = [i for i, n in enumerate(words) if n]
+    bounds, held, lo, begun = set(), 0, 0, 0
+    for i in full:
+        held += words[i]
+        if held < least_words:
+            continue
+        while held - words[full[lo]] >= least_words:
+            held -= words[full[lo]]
+            lo += 1
+        bounds.update((a, i + 1) for a in full[begun : lo + 1])  # line i is the first to complete these
+        bounds.add((full[lo], i + 1))
+        begun = lo + 1
+    bounds.update((a, z + 1) for a, z in zip(full, full[1:]) if z > a + 1 and min(words[a], words[z]) >= least_words)
+    return bounds
+
+
+def _chunks(docs: DataFrame, window: int, lines_per_chunk: int, least_lines: int, least_words: int | None) -> DataFrame:
+    """(_id, _fp, at, lines, h, g) of every chunk that may be removed."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from xxhash import xxh3_64_intdigest, xxh3_128_intdigest
+        from xxhash import xxh3_64_intdigest, xxh3_128_digest, xxh3_128_intdigest
 
         def signed(x: int) -> int:
             return x - (1 << 64) if x >> 63 else x
@@ -61,51 +91,94 @@ def _chunks(docs: DataFrame, window: int, lines_per_chunk: int, least_lines: int
                 if text is None:
                     continue
                 lines = text.encode().split(b"\n")
-                for a, z in chunk_bounds([xxh3_64_intdigest(x) for x in lines], window, lines_per_chunk):
-                    if z - a < least_lines:
-                        continue
-                    body = b"\n".join(lines[a:z])
-                    wide = xxh3_128_intdigest(body)
-                    h, g = signed(wide >> 64), signed(wide & _M)
-                    out.append((h, g, body) if bodies else (doc, fp, a, z - a, h, g))
-            if bodies:
-                yield pd.DataFrame(out, columns=["h", "g", "body"])
-            else:
-                yield pd.DataFrame(out, columns=["_id", "_fp", "at", "lines", "h", "g"])
-
-    found = docs.select(as_text("_id").alias("_id"), "_fp", "_text").mapInPandas(
-        cut, "h long, g long, body binary" if bodies else "_id string, _fp long, at int, lines int, h long, g long"
-    )
-    return found if bodies else found.withColumn("_id", F.col("_id").cast("long"))
+                bounds = {b for b in chunk_bounds([xxh3_64_intdigest(x) for x in lines], window, lines_per_chunk) if b[1] - b[0] >= least_lines}
+                if least_words is not None:
+                    bounds |= passage_bounds([len(x.split()) for x in lines], least_words)
+                digests = b"".join(map(xxh3_128_digest, lines))
+                for a, z in sorted(bounds):
+                    wide = xxh3_128_intdigest(digests[16 * a : 16 * z])
+                    out.append((doc, fp, a, z - a, signed(wide >> 64), signed(wide & _M)))
+            yield pd.DataFrame(out, columns=["_id", "_fp", "at", "lines", "h", "g"])
+
+    found = docs.select(as_text("_id").alias("_id"), "_fp", "_text").mapInPandas(cut, "_id string, _fp long, at int, lines int, h long, g long")
+    return found.withColumn("_id", F.col("_id").cast("long"))
+
+
+def _bodies(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """(h, g, body) of the chunks in ``marks``; texts are shuffled deflated."""
+
+    def deflated(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import zlib
+
+        for texts in batches:
+            yield pd.Series([None if t is None else zlib.compress(t.encode(), 1) for t in texts], dtype=object)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import zlib
+
+        for pdf in batches:
+            out = []
+            for small, cuts in zip(pdf["_small"], pdf["_cut"]):
+                lines = zlib.decompress(small).split(b"\n")
+                out += [(c["h"], c["g"], b"\n".join(lines[c["at"] : c["at"] + c["lines"]])) for c in cuts]
+            yield pd.DataFrame(out, columns=["h", "g", "body"])
+
+    same = F.col("_id").eqNullSafe(F.col("_cut_id")) & (F.col("_fp") == F.col("_cut_fp"))
+    small = docs.select("_id", "_fp", F.pandas_udf(deflated, "binary")("_text").alias("_small"))
+    return small.join(marks, same).select("_small", "_cut").mapInPandas(cut, "h long, g long, body binary")
+
+
+def _gathered(places: DataFrame, *columns: str) -> DataFrame:
+    """(_cut_id, _cut_fp, _cut): the places of each text."""
+    return (
+        places.groupBy("_id", "_fp").agg(F.collect_set(F.struct(*columns)).alias("_cut"))
+        .withColumnsRenamed({"_id": "_cut_id", "_fp": "_cut_fp"})
+    )
+
+
+def _merged(cuts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Overlapping places of each text made one; those that only touch stay two."""
+    for batch in cuts:
+        out = []
+        for cut in batch:
+            spans: list[dict] = []
+            for c in sorted(cut, key=lambda c: c["at"]):
+                if spans and c["at"] < spans[-1]["at"] + spans[-1]["lines"]:
+                    spans[-1]["lines"] = max(spans[-1]["lines"], c["at"] + c["lines"] - spans[-1]["at"])
+                else:
+                    spans.append({"at": int(c["at"]), "lines": int(c["lines"])})
+            out.append(spans)
+        yield pd.Series(out, dtype=object)
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2, lines_per_chunk: int = 4, least_lines: int = 2
-) -> DataFrame:
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2, lines_per_chunk: int = 4, least_lines: int = 2,
+    least_words: int | None = None,
+) -> DataFrame:
     """``docs`` with ``text_col`` cleaned, plus ``_lines``, ``_removed_lines`` and
-    ``_removed_chunks``; columns of these names are replaced."""
+    ``_removed_chunks``; columns of these names are replaced. Without
+    ``least_words`` only repeated chunks go."""
     columns = [c for c in docs.columns if c not in ("_lines", "_removed_lines", "_removed_chunks")]
     base = docs.select(
         F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.col(text_col)).alias("_fp"), F.col(text_col).alias("_text")
     )
-    places = written(_chunks(base, window, lines_per_chunk, least_lines, bodies=False), "line-chunks")
-    # byte comparison: a pair of hashes counts as repeated when all its chunks are one string of bytes
-    repeated = (
-        _chunks(base, window, lines_per_chunk, least_lines, bodies=True)
-        .groupBy("h", "g", "body").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("h", "g").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("bodies"))
-        .where("n > 1 AND bodies = 1").select("h", "g")
-    )
+    places = written(_chunks(base, window, lines_per_chunk, least_lines, least_words), "line-chunks")
     first = (  # partial minima before the shuffle: a chunk in every document costs a row a task
         places.groupBy("h", "g").agg(F.min(F.struct("_id", "_fp", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1").drop("n").join(repeated, ["h", "g"], "left_semi")
+        .where("n > 1").drop("n")
     )
-    marks = (
+    repeated = written(
         places.join(first, ["h", "g"])
-        .where(~F.struct("_id", "_fp", "at").eqNullSafe(F.col("first")))
-        .groupBy("_id", "_fp").agg(F.collect_set(F.struct("at", "lines")).alias("_cut"))
-        .withColumnsRenamed({"_id": "_cut_id", "_fp": "_cut_fp"})
+        .select("_id", "_fp", "at", "lines", "h", "g", F.struct("_id", "_fp", "at").eqNullSafe(F.col("first")).alias("stays")),
+        "line-repeats",
+    )
+    # byte comparison: hashes that stand for different strings of bytes are left alone
+    differing = (
+        _bodies(base, _gathered(repeated, "at", "lines", "h", "g")).groupBy("h", "g", "body").agg(F.lit(1).alias("one"))
+        .groupBy("h", "g").agg(F.count(F.lit(1)).alias("bodies")).where("bodies > 1")
     )
+    cuts = _gathered(repeated.join(differing, ["h", "g"], "left_anti").where("NOT stays"), "at", "lines")
+    marks = cuts.withColumn("_cut", F.pandas_udf(_merged, "array<struct<at:int,lines:int>>")("_cut"))
 
     def without(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, cuts in batches:

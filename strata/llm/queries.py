@@ -105,8 +105,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated multi-line chunks removed from all ``documents``."""
-    d = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Repeated multi-line chunks, and passages of 50 words or more, removed from all ``documents``."""
+    d = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), least_words=50)
     return d.select(
         "doc_id",
         F.col("_lines").alias("n_lines"),

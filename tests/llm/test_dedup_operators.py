@@ -262,3 +262,47 @@ def test_line_query_sums_up(spark):
     for x in rows:
         assert x["n_lines"] == len(re.split("\n", docs[x["doc_id"]]))
         assert x["kept_sha256"] == hashlib.sha256(want[x["doc_id"]].encode()).hexdigest()
+
+
+def test_least_windows_cover_every_run_of_enough_words():
+    r = random.Random(4)
+    for _ in range(300):
+        words = [r.choice([0, 1, 3, 8, 20]) for _ in range(r.randint(0, 12))]
+        bounds = line_dedup.passage_bounds(words, 10)
+        assert all(sum(words[a:z]) >= 10 for a, z in bounds)
+        for a in range(len(words)):
+            for z in range(a + 1, len(words) + 1):
+                if words[a] and words[z - 1] and sum(words[a:z]) >= 10:
+                    assert {i for b in bounds if a <= b[0] and b[1] <= z for i in range(*b)} == set(range(a, z))
+
+
+def test_planted_passages_of_over_fifty_words_go_whole(spark):
+    rows, want = [], {}
+    for n in range(1, 9):
+        passage = [prose(-(-52 // n) + n, 500 * n + k) for k in range(n)]
+        for i in range(20):
+            own = [prose(9, 100_000 * n + 50 * i + k) for k in range(6)]
+            at = i % 7
+            rows.append((100 * n + i, "\n".join(own[:at] + passage + own[at:])))
+            want[100 * n + i] = rows[-1][1] if i == 0 else "\n".join(own)
+    rows.append((5000, "\n".join(x for _, x in rows[:1]).split("\n")[-1]))  # a repeated line of 9 words stays
+    want[5000] = rows[-1][1]
+    got = line_dedup.dedup_lines(documents(spark, rows).repartition(3), least_words=50)
+    assert {x["doc_id"]: x["text"] for x in got.collect()} == want
+    again = line_dedup.dedup_lines(documents(spark, awkward()), least_words=50).collect()
+    texts = [(x["doc_id"], x["text"]) for x in again]
+    assert Counter(x for x in texts if x[0] != 5) == Counter(x for x in awkward() if x[0] != 5)
+
+
+def test_line_query_removes_every_repeated_passage(spark):
+    rows = {x["doc_id"]: x for x in queries.op10_line_dedup(spark, SF).collect()}
+    docs = sorted((x["doc_id"], x["text"]) for x in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    seen, untouched = set(), 0
+    for d, t in docs:
+        lines = t.split("\n")
+        for a in range(len(lines)):
+            z = next((z for z in range(a + 1, len(lines) + 1) if len(" ".join(lines[a:z]).split()) >= 50), None)
+            if z and lines[a].strip():
+                untouched += tuple(lines[a:z]) in seen and not rows[d]["n_removed_lines"]
+                seen.add(tuple(lines[a:z]))
+    assert untouched == 0
