@@ -1,8 +1,10 @@
 """Benchmark decontamination on templates.
 
-Texts become templates: numbers (also in words), names (capital letter inside a
-sentence) and units turn into typed placeholders, other words lose case and
-outer punctuation. Windows of ``window`` template words of the documents are
+Texts become templates: numbers (also in words), names (capital letter, at the
+start of a sentence only if it is none of its common opening words) and units
+turn into typed placeholders, other words lose case and outer punctuation. A run
+of equal placeholders with nothing but space between is one, so names and numbers
+of more words keep their place. Windows of ``window`` template words of the documents are
 hash-joined with those of the benchmark. Along each alignment of a document
 with an item, the values that fill the placeholders must map one to one, so a
 question asked again with other numbers is caught, and a text that merely
@@ -15,8 +17,8 @@ documents goes through the join. Both ways give the same rows.
 
 Defined results: null and empty texts match nothing; an item of fewer than
 ``least_words`` words is too short to tell and is left out, one shorter than
-the window is a single window; windows with fewer than half literal words are
-not compared; repeated rows and equal ids give one row a pair; a null id is
+the window is a single window; windows with fewer than half literal words, or
+fewer than half of ``least_words``, are not compared; repeated rows and equal ids give one row a pair; a null id is
 reported as null; an empty table gives an empty one.
 """
 
@@ -40,6 +42,20 @@ UNITS = (
     "ml l liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month months year years "
     "cent cents dollar dollars euro euros usd eur percent degree degrees celsius fahrenheit meter meters metre metres kmh mph volt volts watt watts"
 ).split()
+#: words that open a sentence with a capital and are no names; those that are also names (Will, May, Mark) are left out
+OPENERS = (
+    "a an the this that these those there here it its he she they we you his her their our your my me him them us "
+    "who whom whose what when where which why how whether if unless until while although though because since as so then thus "
+    "hence therefore however moreover otherwise instead also and or but nor yet for to of in on at by with from into onto over under "
+    "after before during between among about above below across along around against through without within beyond behind near per "
+    "is are was were be been being am do does did done has have had having can could shall should would might must let lets "
+    "all any both each every either neither none no not some many much more most few fewer less least several other another such "
+    "same only just even still again once now today yesterday tomorrow soon later next last first second third finally initially "
+    "suppose assume given consider find compute calculate determine evaluate solve show prove write give explain describe choose "
+    "select name state list use simplify express answer question problem solution note together altogether yes please "
+    "one's it's he's she's that's there's what's who's let's they're we're you're i'm i've i'll don't doesn't isn't aren't "
+    "according originally everyone someone anyone nobody everything something nothing"
+).split()
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _ENDS_SENTENCE = np.zeros(256, bool)
@@ -54,17 +70,29 @@ class Templates:
         self.hasher = WordHasher()
         self.numbers = np.sort(self._hashes(NUMBER_WORDS))
         self.units = np.sort(self._hashes(UNITS))
+        self.openers = np.sort(self._hashes(OPENERS))
 
     def _hashes(self, words: list[str]) -> np.ndarray:
         return self.hasher.words(" ".join(words).encode())[0]
 
     def of(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(template hash, value hash, start byte) of each word; a placeholder's
-        template hash is its type's, its value hash the word's."""
+        """(template hash, value hash, start byte) of each template word; a placeholder's
+        template hash is its type's, its value hash that of its word or words."""
+        template, value, start, joined = self.single(data)
+        if not joined.any():
+            return template, value, start
+        head = np.flatnonzero(~joined)
+        place = np.arange(len(value)) - head[np.cumsum(~joined) - 1]
+        runs = np.add.reduceat(mix64(value + place.astype(np.uint64) * np.uint64(BASE)), head)
+        return template[head], np.where(np.diff(np.append(head, len(value))) > 1, runs, value[head]), start[head]
+
+    def single(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(template hash, value hash, start byte, whether it goes on the placeholder before) of each word."""
         b = np.frombuffer(data, np.uint8)
         empty = np.empty(0, np.uint64)
+        none = empty, empty, np.empty(0, np.int64), np.empty(0, bool)
         if not len(b):
-            return empty, empty, np.empty(0, np.int64)
+            return none
         # lower case: ASCII, and the capitals of the Latin-1 block (0xC3 then 0x80-0x9E)
         after = np.concatenate(([False], b[:-1] == 0xC3))
         latin = after & (b >= 0x80) & (b <= 0x9E) & (b != 0x97)
@@ -74,27 +102,34 @@ class Templates:
         edge = np.diff(np.concatenate(([True], gap, [True])).astype(np.int8))
         start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         if not len(start):
-            return empty, empty, start
+            return none
         lines = np.cumsum(b == 10)
         first = np.ones(len(start), bool)  # of its sentence
         first[1:] = _ENDS_SENTENCE[b[end[:-1] - 1]] | (lines[start[1:]] > lines[end[:-1] - 1])
+        begun, ended = start, end
         while (outer := (start < end) & _PUNCTUATION[b[np.minimum(start, len(b) - 1)]]).any():
             start = start + outer
         while (outer := (start < end) & _PUNCTUATION[b[end - 1]]).any():
             end = end - outer
         keep = start < end
-        start, end, first = start[keep], end[keep], first[keep]
+        bare = ~first  # nothing but space between this word and the one before
+        bare[1:] &= (start[1:] == begun[1:]) & (end[:-1] == ended[:-1]) & keep[:-1]
+        start, end, first, bare = start[keep], end[keep], first[keep], bare[keep]
         if not len(start):
-            return empty, empty, start
+            return none
         value = self.hasher.spans(low, start, end)
         lead = b[start]
         capital = upper[start] | ((lead == 0xC3) & latin[np.minimum(start + 1, len(b) - 1)])
         template = value.copy()
         # a second capital means a shouted word, not a name
-        template[capital & ~first & (end - start > 1) & ~upper[np.minimum(start + 1, len(b) - 1)]] = NAME
+        opens = first & _within(value, self.openers)
+        template[capital & ~opens & (end - start > 1) & ~upper[np.minimum(start + 1, len(b) - 1)]] = NAME
         template[_within(value, self.units)] = UNIT
         template[((lead >= 48) & (lead <= 57)) | _within(value, self.numbers)] = NUMBER
-        return template, value, start
+        joined = bare & _slot(template)
+        joined[0] = False
+        joined[1:] &= template[1:] == template[:-1]
+        return template, value, start, joined
 
 
 def _within(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -102,23 +137,25 @@ def _within(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[at] == x
 
 
-def window_hashes(template: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each window of ``k`` template words; 0 where under half are literal."""
+def _slot(template: np.ndarray) -> np.ndarray:
+    return (template == NUMBER) | (template == NAME) | (template == UNIT)
+
+
+def window_hashes(template: np.ndarray, k: int, least_words: int = 0) -> np.ndarray:
+    """Hash of each window of ``k`` template words; 0 where under half of them, or of ``least_words``, are literal."""
     n = len(template) - k + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    slot = (template == NUMBER) | (template == NAME) | (template == UNIT)
     h = np.full(n, k, np.uint64)
     for i in range(k):
         h = mix64(h * np.uint64(BASE) + template[i : i + n])
-    filled = np.concatenate(([0], np.cumsum(slot)))
-    h[2 * (filled[k:] - filled[:-k]) > k] = 0
+    filled = np.concatenate(([0], np.cumsum(_slot(template))))
+    h[2 * (k - filled[k:] + filled[:-k]) < max(k, least_words)] = 0
     return h
 
 
 def _slots(template: np.ndarray, value: np.ndarray, at: int, k: int) -> list[int]:
-    t = template[at : at + k]
-    return value[at : at + k][(t == NUMBER) | (t == NAME) | (t == UNIT)].astype(np.int64).tolist()
+    return value[at : at + k][_slot(template[at : at + k])].astype(np.int64).tolist()
 
 
 def item_windows(items: DataFrame, id_col: str, text_col: str, window: int, least_words: int) -> DataFrame:
@@ -129,11 +166,12 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, window: int, leas
         for pdf in batches:
             rows = []
             for item, text in zip(pdf["_id"], pdf["_text"]):
-                template, value, _ = templates.of((text or "").encode())
-                if len(template) < least_words:
+                data = (text or "").encode()
+                template, value, _ = templates.of(data)
+                if len(templates.single(data)[0]) < least_words:
                     continue
                 k = min(window, len(template))
-                h = window_hashes(template, k)
+                h = window_hashes(template, k, least_words)
                 at = np.flatnonzero(h)
                 rows += [(item, k, int(i), int(h[i].astype(np.int64)), _slots(template, value, i, k), len(at)) for i in at]
             yield pd.DataFrame(rows, columns=["item_id", "size", "item_at", "h", "item_slots", "windows"])

@@ -148,6 +148,38 @@ def test_reparameterised_questions(spark, most_broadcast):
     assert found(spark, rows, [(10, ITEM), (11, prose(20, 77)), (12, None), (13, "too short")], most_broadcast=most_broadcast) == [(1, 10), (2, 10), (5, 10)]
 
 
+BETTY = (
+    "Betty is saving money for a new wallet which costs 100 dollars. Betty has only half of the money she needs. "
+    "Her parents decided to give her 15 dollars and her grandparents twice as much. How much more does Betty need?"
+)
+ALICE = "Alice has 5 apples. Bob gives her 3 more apples. How many apples does Alice have now?"
+TOM = "Tom bought 3 pens at the market on his way home. Sara bought 25 pens there too. How many pens did Tom and Sara buy?"
+
+
+def test_names_at_sentence_starts_and_of_more_words(spark):
+    items = [(1, BETTY), (2, ALICE), (3, TOM)]
+    for betty, alice, bob, tom, sara in [("Ines", "Olga", "Hugo", "Karl", "Lena"), ("Mary Ann", "Ann Lee", "Bo", "Jo Ray", "Li")]:
+        rows = [
+            (1, prose(20, 1) + ".\n" + BETTY.replace("Betty", betty).replace("100", "one hundred twenty").replace("15", "9") + " " + prose(20, 2)),
+            (2, ALICE.replace("Alice", alice).replace("Bob", bob).replace("5", "twenty five").replace("3", "7")),
+            (3, "Q: " + TOM.replace("Tom", tom).replace("Sara", sara).replace("3", "41").replace("25", "thirty six")),
+            (4, "Pia has 5 dogs. Max sees her 3 old cats. How many cows does Pia own now?"),
+            (5, ALICE.replace("Alice", alice, 1).replace("Bob", "Alice")),  # the values do not map one to one
+            (6, prose(90, 5)),
+        ]
+        assert found(spark, rows, items) == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_runs_of_placeholders_are_one():
+    of = lambda text: decontamination.Templates().of(text.encode())
+    assert list(of("then Mary Ann has twenty five pens")[0]) == list(of("then Ann has 25 pens")[0])
+    a, b, c = (of(x)[1][1] for x in ("then Mary Ann has", "then Ann Mary has", "then Mary has"))
+    assert len({a, b, c}) == 3
+    for apart in ("so Ann, Bob and 5, 6", "so Ann. Bob and 5 + 6", "so Ann\nBob and 5\n6"):
+        assert len(of(apart)[0]) == 6
+    assert of("The pens")[0][0] == of("the pens")[0][0] and of("Will has")[0][0] == decontamination.NAME
+
+
 def test_short_items_and_awkward_rows(spark):
     rows = awkward()
     got = found(spark, rows, [(1, "one two three four five six seven"), (2, "there are six words in here"), (None, "w0 w1 w2 w3 w4 w5")])
