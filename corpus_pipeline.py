@@ -47,7 +47,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select("_id", "_fp").distinct()
+    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"), verbatim=True).select("_id", "_fp").distinct()
     own = carried(docs, _own_id=F.col("doc_id").cast("long"), _own_fp=F.xxhash64("text"))
     same = F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_fp") == F.col("_fp"))
     return own.join(found, same, "left_anti").select(*restored(own, docs.columns))

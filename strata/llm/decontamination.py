@@ -11,14 +11,21 @@ question asked again with other numbers is caught, and a text that merely
 shares a pattern is not. A document is contaminated by an item when the
 aligned windows cover at least ``least_coverage`` of the item's.
 
+With ``verbatim``, windows are also joined by their words themselves (numbers and
+names included, case and outer punctuation aside). Such a window covers its place
+like a template's, its values standing for themselves, so stretches that are
+mostly placeholders count; and an item all of whose words' windows are in a
+document is found whatever it is made of, however short. What templates alone
+find is found as well.
+
 The benchmark's window hashes are broadcast as a filter only when they are at
 most ``most_broadcast`` (8 bytes each); beyond that every window of the
 documents goes through the join. Both ways give the same rows.
 
-Defined results: null and empty texts match nothing; an item of fewer than
-``least_words`` words is too short to tell and is left out, one shorter than
-the window is a single window; windows with fewer than half literal words, or
-fewer than half of ``least_words``, are not compared; repeated rows and equal ids give one row a pair; a null id is
+Defined results: null texts and texts without words match nothing; an item of
+fewer than ``least_words`` words is too short for a template (with ``verbatim``,
+documents that hold just these words are found), one shorter than the window is a single window; windows with fewer than half literal words, or
+fewer than half of ``least_words``, have no template; repeated rows and equal ids give one row a pair; a null id is
 reported as null; an empty table gives an empty one.
 """
 
@@ -137,6 +144,21 @@ def _within(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[at] == x
 
 
+#: kinds of windows: of template words; of what stands in the places of template words; of the text's words
+TEMPLATE, FILLED, WORDS = 0, 1, 2
+
+
+def literal_hashes(value: np.ndarray, k: int, kind: int) -> np.ndarray:
+    """Hash of each window of ``k`` values."""
+    n = len(value) - k + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    h = np.full(n, k + 1000 * kind, np.uint64)
+    for i in range(k):
+        h = mix64(h * np.uint64(BASE) + value[i : i + n])
+    return h
+
+
 def _slot(template: np.ndarray) -> np.ndarray:
     return (template == NUMBER) | (template == NAME) | (template == UNIT)
 
@@ -158,8 +180,9 @@ def _slots(template: np.ndarray, value: np.ndarray, at: int, k: int) -> list[int
     return value[at : at + k][_slot(template[at : at + k])].astype(np.int64).tolist()
 
 
-def item_windows(items: DataFrame, id_col: str, text_col: str, window: int, least_words: int) -> DataFrame:
-    """(item_id, size, item_at, h, item_slots, windows) of every compared window of the benchmark."""
+def item_windows(items: DataFrame, id_col: str, text_col: str, window: int, least_words: int, verbatim: bool = False) -> DataFrame:
+    """(item_id, kind, size, item_at, h, item_slots, windows, places) of every compared window of the
+    benchmark; ``windows`` of its kind, ``places`` with or without a template."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         templates = Templates()
@@ -168,22 +191,31 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, window: int, leas
             for item, text in zip(pdf["_id"], pdf["_text"]):
                 data = (text or "").encode()
                 template, value, _ = templates.of(data)
-                if len(templates.single(data)[0]) < least_words:
+                words = templates.single(data)[1]
+                if verbatim and len(words):
+                    k = min(window, len(words))
+                    h = literal_hashes(words, k, WORDS).astype(np.int64).tolist()
+                    rows += [(item, WORDS, k, i, x, [], len(h), len(h)) for i, x in enumerate(h)]
+                if len(words) < least_words:
                     continue
                 k = min(window, len(template))
                 h = window_hashes(template, k, least_words)
-                at = np.flatnonzero(h)
-                rows += [(item, k, int(i), int(h[i].astype(np.int64)), _slots(template, value, i, k), len(at)) for i in at]
-            yield pd.DataFrame(rows, columns=["item_id", "size", "item_at", "h", "item_slots", "windows"])
+                at, n = np.flatnonzero(h), len(h)
+                rows += [(item, TEMPLATE, k, int(i), int(h[i].astype(np.int64)), _slots(template, value, i, k), len(at), n) for i in at]
+                if verbatim:
+                    h = literal_hashes(value, k, FILLED).astype(np.int64).tolist()
+                    rows += [(item, FILLED, k, i, x, _slots(template, value, i, k), n, n) for i, x in enumerate(h)]
+            yield pd.DataFrame(rows, columns=["item_id", "kind", "size", "item_at", "h", "item_slots", "windows", "places"])
 
     return items.select(as_text(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInPandas(
-        cut, "item_id string, size int, item_at int, h long, item_slots array<long>, windows long"
+        cut, "item_id string, kind int, size int, item_at int, h long, item_slots array<long>, windows long, places long"
     ).withColumn("item_id", F.col("item_id").cast("long"))
 
 
-def document_windows(docs: DataFrame, sizes: list[int], wanted: dict[int, np.ndarray] | None) -> DataFrame:
-    """(_id, _fp, size, at, h, slots) of the documents' windows; with ``wanted``
-    (sorted hashes by size), only of those whose hash it has."""
+def document_windows(docs: DataFrame, sizes: list[tuple[int, int]], wanted: dict[tuple[int, int], np.ndarray] | None) -> DataFrame:
+    """(_id, _fp, kind, size, at, h, slots) of the documents' windows of these kinds and sizes;
+    with ``wanted`` (sorted hashes by kind and size), only of those whose hash it has.
+    ``slots`` is null where the item's values stand for themselves."""
     handed = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -196,26 +228,30 @@ def document_windows(docs: DataFrame, sizes: list[int], wanted: dict[int, np.nda
             ids, fps = pdf["_id"], pdf["_fp"].to_numpy()
             for lo, hi, data, begins in _joined(pdf["_text"]):
                 template, value, start = templates.of(data)
-                doc = np.searchsorted(begins, start, side="right") - 1
-                first = np.searchsorted(doc, np.arange(hi - lo))
-                for k in sizes:
-                    h = window_hashes(template, k)
+                words, begin = templates.single(data)[1:3] if any(kind == WORDS for kind, _ in sizes) else (value, start)
+                for kind, k in sizes:
+                    h = window_hashes(template, k) if kind == TEMPLATE else literal_hashes(value if kind == FILLED else words, k, kind)
                     if not len(h):
                         continue
-                    ok = (h != 0) & (doc[: len(h)] == doc[k - 1 :])
+                    doc = np.searchsorted(begins, begin if kind == WORDS else start, side="right") - 1
+                    first = np.searchsorted(doc, np.arange(hi - lo))
+                    ok = doc[: len(h)] == doc[k - 1 :]
+                    if kind == TEMPLATE:
+                        ok &= h != 0
                     if asked is not None:
-                        ok &= sieve[k][h & np.uint64((1 << 22) - 1)]
+                        ok &= sieve[kind, k][h & np.uint64((1 << 22) - 1)]
                     at = np.flatnonzero(ok)
                     if asked is not None:
-                        at = at[_within(h[at], asked[k])]
+                        at = at[_within(h[at], asked[kind, k])]
                     if len(at):
                         d = doc[at]
                         yield pd.DataFrame({
-                            "_id": ids.iloc[lo + d].array, "_fp": fps[lo + d], "size": np.int32(k), "at": (at - first[d]).astype(np.int32),
-                            "h": h[at].astype(np.int64), "slots": [_slots(template, value, i, k) for i in at],
+                            "_id": ids.iloc[lo + d].array, "_fp": fps[lo + d], "kind": np.int32(kind), "size": np.int32(k),
+                            "at": (at - first[d]).astype(np.int32), "h": h[at].astype(np.int64),
+                            "slots": [_slots(template, value, i, k) if kind == TEMPLATE else None for i in at],
                         })
 
-    found = docs.select(as_text("_id").alias("_id"), "_fp", "_text").mapInPandas(cut, "_id string, _fp long, size int, at int, h long, slots array<long>")
+    found = docs.select(as_text("_id").alias("_id"), "_fp", "_text").mapInPandas(cut, "_id string, _fp long, kind int, size int, at int, h long, slots array<long>")
     return found.withColumn("_id", F.col("_id").cast("long"))
 
 
@@ -236,34 +272,42 @@ def _joined(texts: pd.Series, most: int = 1 << 20) -> Iterator[tuple[int, int, b
 def contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
     window: int = 8, least_words: int = 5, least_coverage: float = 0.6, most_broadcast: int = 4_000_000,
+    verbatim: bool = False,
 ) -> DataFrame:
     """(_id, _fp, item_id, n_windows, coverage, n_slots) of contaminated documents; ``_fp`` hashes the text."""
-    known = written(item_windows(items, item_id_col, item_text_col, window, least_words), "item-windows")
-    sizes = sorted(r["size"] for r in known.select("size").distinct().collect())  # at most `window` numbers
-    hashes = known.select("size", "h").distinct()
+    known = written(item_windows(items, item_id_col, item_text_col, window, least_words, verbatim), "item-windows")
+    sizes = sorted((r["kind"], r["size"]) for r in known.select("kind", "size").distinct().collect())  # at most 3 * `window`
+    hashes = known.select("kind", "size", "h").distinct()
     wanted = None
     if hashes.count() <= most_broadcast:
         got = hashes.toPandas()
-        wanted = {k: np.sort(got["h"][got["size"] == k].to_numpy().astype(np.uint64)) for k in sizes}
+        wanted = {(a, k): np.sort(got["h"][(got["kind"] == a) & (got["size"] == k)].to_numpy().astype(np.uint64)) for a, k in sizes}
     base = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.col(text_col)).alias("_fp"), F.col(text_col).alias("_text"))
-    met = document_windows(base, sizes, wanted).join(known, ["h", "size"])
+    # ways to cover an item: its templates; its places, by template or by value; all of its words
+    ways = F.when(F.col("kind") == TEMPLATE, F.array(F.lit(TEMPLATE), F.lit(FILLED))).otherwise(F.array("kind"))
+    met = (
+        document_windows(base, sizes, wanted).join(known, ["h", "kind", "size"])
+        .withColumns({"slots": F.coalesce("slots", "item_slots"), "way": F.explode(ways if verbatim else F.array("kind"))})
+    )
     aligned = (
-        met.groupBy("_id", "_fp", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
+        met.groupBy("_id", "_fp", "item_id", "way", (F.col("at") - F.col("item_at")).alias("shift"))
         .agg(
             F.collect_set("item_at").alias("places"),
             F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs"),
-            F.max("windows").alias("windows"),
+            F.max(F.when(F.col("way") == FILLED, F.col("places")).otherwise(F.col("windows"))).alias("windows"),
         )
         .where(
             (F.size(F.array_distinct("pairs.item_slots")) == F.size("pairs")) & (F.size(F.array_distinct("pairs.slots")) == F.size("pairs"))
         )
     )
     return (
-        aligned.groupBy("_id", "_fp", "item_id")
+        aligned.groupBy("_id", "_fp", "item_id", "way")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("n_windows"),
             F.max("windows").alias("windows"), F.max(F.size("pairs")).cast("long").alias("n_slots"),
         )
         .withColumn("coverage", F.col("n_windows") / F.col("windows"))
-        .where(F.col("coverage") >= least_coverage).drop("windows")
+        .where(F.col("coverage") >= F.when(F.col("way") == WORDS, 1.0).otherwise(least_coverage))
+        .groupBy("_id", "_fp", "item_id").agg(F.max(F.struct("coverage", "n_windows")).alias("most"), F.max("n_slots").alias("n_slots"))
+        .select("_id", "_fp", "item_id", "most.n_windows", "most.coverage", "n_slots")
     )

@@ -79,7 +79,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a ``benchmark`` item, also with other numbers, names or units."""
-    d = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    d = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), verbatim=True)
     return d.groupBy(F.col("_id").alias("doc_id"), "item_id").agg(
         F.max("n_windows").alias("n_windows"), F.max("coverage").alias("coverage"), F.max("n_slots").alias("n_slots")
     )

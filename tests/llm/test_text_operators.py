@@ -170,6 +170,23 @@ def test_names_at_sentence_starts_and_of_more_words(spark):
         assert found(spark, rows, items) == [(1, 1), (2, 2), (3, 3)]
 
 
+@pytest.mark.parametrize("most_broadcast", [4_000_000, 0])
+def test_verbatim_copies_of_every_item(spark, most_broadcast):
+    texts = [
+        "Compute 12 * 30 + 7 * 15 - 4 now", "12 30 7 15 4 9 8 2 61 5 5 17", "Ann Lee, Bob Ray and Cy Fox", "one two three four five six seven",
+        "What is 2 + 2?", "Paris", "Jan 3 1999 | Feb 4 2001 | Mar 5 2003 | Apr 6 2005 | May 7 2007", ITEM,
+        ITEM + " Add 4 + 9 - 3 * 17 + 21 - 8 + 5 * 6 - 2 + 44 + 81 - 3 to 5 * 5 * 12.",
+    ]
+    items = list(enumerate(texts))
+    rows = [(100 + i, prose(12, i) + " 8\n" + t + "\n3 " + prose(12, 50 + i)) for i, t in items]
+    rows += [(200 + i, prose(12, i) + ".\n" + t.replace("7", "6").replace("2", "9").replace("o", "u") + ".\n" + prose(12, 50 + i)) for i, t in items if i < 7]
+    rows += [(300, ITEM.replace("sold 24", "sold 71")), (301, None), (302, "")]
+    got = found(spark, rows, [*items, (50, None), (51, ""), (52, "- + ?")], most_broadcast=most_broadcast, verbatim=True)
+    # the last item's templates are all in the one before it; "Paris" has none of the replaced signs
+    want = [(100 + i, i) for i in range(9)] + [(107, 8), (108, 7), (205, 5)]
+    assert got == sorted(want)
+
+
 def test_runs_of_placeholders_are_one():
     of = lambda text: decontamination.Templates().of(text.encode())
     assert list(of("then Mary Ann has twenty five pens")[0]) == list(of("then Ann has 25 pens")[0])
