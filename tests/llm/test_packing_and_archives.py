@@ -42,6 +42,23 @@ def test_token_ids_equal_the_library(tokenizer, text):
         assert array("I", ids.packed(text)).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_every_plain_character_inside_words_equals_the_library(tokenizer):
+    ids = token_ids.TokenIds(queries.tokenizer_file())
+    assert ids.split_here
+    plain = [c for c in map(chr, range(0x3000)) if token_ids.PLAIN.fullmatch(c)]
+    for c in [*plain, *"ƏƁƊ"]:
+        for text in (f"ab{c}cd {c}ef gh{c} {c}", f"{c}{c}1'{c}s"):
+            assert array("I", ids.packed(text)).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, (c, text)
+
+
+def test_a_vocabulary_with_other_rules_goes_through_the_library():
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    text = "It's DON'T 1234 we'll  i've ab_c"
+    assert array("I", token_ids.TokenIds(path).packed(text)).tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
 def check_packed(rows, texts, tokenizer, window=2048):
     """Every id of every text once, sequences gapless and within the window; returns the padding share."""
     want = Counter()
