@@ -1,15 +1,16 @@
 """Secret scan: patterns find candidates, a random forest removes false positives.
 
-Candidates are long strings without spaces that hold a digit or match a known
-key format. The forest (Spark ML) sees each candidate's length, entropy, share
+Candidates are, in this order: known key formats, whatever signs stand around
+them; values assigned to a name that says it is a key, of any length and with any
+signs; and other long strings without spaces that hold a digit. Each is sought
+beside those before it. The forest (Spark ML) sees each candidate's length, entropy, share
 of digits, letters and signs, changes of character class, share covered by
 dictionary words, how usual its letter pairs are, marks of the path it came
 from and of the words and signs next to it. It is trained on at most
 ``max_rows`` labelled findings (smallest hashes); ``weak_labels`` labels those
 that a naming rule or a plain format settles, when no labelled table is at hand.
 
-Defined results: null and empty texts have no finding; a finding that touches a
-later one of the same rule is one; rows with equal ids give the same findings
+Defined results: null and empty texts have no finding; findings do not overlap; rows with equal ids give the same findings
 once a row; with one kind of label only, that label stands; null paths are
 empty ones; an empty table gives an empty one.
 """
@@ -27,16 +28,26 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import as_text, written
 
-#: public key formats
+#: public key formats, beside letters and digits only
 FORMATS = {
-    "aws_access_key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
-    "github_token": r"\bgh[pousr]_[A-Za-z0-9]{36,}\b",
-    "slack_token": r"\bxox[abpr]-[A-Za-z0-9-]{10,}",
+    "aws_access_key": r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
+    "github_token": r"gh[pousr]_[A-Za-z0-9]{36,}",
+    "slack_token": r"xox[abpr]-[A-Za-z0-9-]{10,}",
     "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
-    "jwt": r"\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}",
+    "jwt": r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}",
 }
-_CANDIDATE = re.compile("|".join(f"(?P<{k}>{v})" for k, v in FORMATS.items()) + r"|(?P<generic>(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,})")
-_KEY_NAME = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|auth|credential|access[_-]?key|private[_-]?key|bearer)\W{0,4}$")
+_FORMAT = re.compile("|".join(f"(?P<{k}>{'' if k == 'private_key' else '(?<![A-Za-z0-9])'}{v})" for k, v in FORMATS.items()))
+_KEY = r"(?:token|secret|passw(?:or)?d|passphrase|pwd|api[_-]?key|auth|credential|access[_-]?key|private[_-]?key|bearer)(?:[_-][A-Za-z0-9]{1,20}){0,3}"
+_ASSIGNED = re.compile(
+    rf"(?i:{_KEY})[\"']?[ \t]{{0,4}}(?:=>|:=|=(?!=)|:(?!//))[ \t]{{0,4}}"
+    r"(?:\"(?P<double>[^\"\n]+)\"|'(?P<single>[^'\n]+)'|(?P<bare>[^\s\"'=:][^\s\"']*))"
+)
+_GENERIC = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?:[A-Za-z0-9+/_-]{16,}={0,2}|[A-Za-z0-9+/_-]{15}=|[A-Za-z0-9+/_-]{14}==)"
+)
+_KEY_NAME = re.compile(rf"(?i){_KEY}\W{{0,4}}$")
+#: values that name a place to look in, or none
+_REFERENCE = re.compile(r"(?i)[$<{%].*|.*[(\[{].*|none|null|nil|true|false|undefined")
 _PLACEHOLDER = re.compile(r"(?i)example|sample|dummy|changeme|placeholder|your[_-]|xxxx|0000000|1234567")
 DICTIONARY = frozenset(
     "the and ing ion ent for her that tion with this have from hat tha ere not are but had his was you all any can out day get "
@@ -81,6 +92,10 @@ def weak_label(rule: str, candidate: str, before: str) -> int | None:
     None where neither settles it."""
     if _PLACEHOLDER.search(candidate):
         return 0
+    if rule == "assigned":
+        if candidate.isdigit() or _REFERENCE.fullmatch(candidate):
+            return 0
+        return 1 if any(c.isalpha() for c in candidate) and not candidate.isalpha() and " " not in candidate else None
     if rule != "generic":
         return 1
     if candidate.isdigit() or len(set(candidate)) < 8:
@@ -90,6 +105,42 @@ def weak_label(rule: str, candidate: str, before: str) -> int | None:
     return 0 if sum(c.isdigit() for c in candidate) < 3 else None
 
 
+def places(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, rule) of each candidate, in order; none overlap."""
+    found = [(m.start(), m.end(), m.lastgroup) for m in _FORMAT.finditer(text)]
+    free = _blanked(text, found)
+    values = []
+    for m in _ASSIGNED.finditer(free):
+        a, z = m.span(m.lastgroup)
+        if m.lastgroup == "bare":
+            z = a + _bare_length(free[a:z], free[free.rfind("\n", 0, a) + 1 : a], free[z : z + 1])
+        if "\0" not in free[a:z] and free[a:z].strip():
+            values.append((a, z, "generic" if _GENERIC.fullmatch(free[a:z]) else "assigned"))
+    found += values
+    free = _blanked(free, values)
+    return sorted(found + [(m.start(), m.end(), "generic") for m in _GENERIC.finditer(free)])
+
+
+def _bare_length(value: str, before: str, after: str) -> int:
+    """Characters of an unquoted value: all of a line of an env file; elsewhere
+    without the signs that close a sentence or a bracket opened before it."""
+    if after in ("", "\n", "\r") and re.fullmatch(r"(?:export[ \t]+)?\w+=", before):
+        return len(value)
+    kept = value
+    while kept and (kept[-1] in ",;." or kept[-1] in ")]}>" and kept.count("([{<"[")]}>".index(kept[-1])]) < kept.count(kept[-1])):
+        kept = kept[:-1]
+    return len(kept) or len(value)
+
+
+def _blanked(text: str, spans: list[tuple[int, int, str]]) -> str:
+    """``text`` of the same length without what stands in ``spans``."""
+    out, at = [], 0
+    for a, z, _ in spans:
+        out += [text[at:a], "\0" * (z - a)]
+        at = z
+    return "".join([*out, text[at:]])
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
     """One row a candidate: (id, start, length, rule, secret, before, after, weak_label) and NUMBERS; places in code points."""
 
@@ -97,10 +148,10 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for pdf in batches:
             rows = []
             for doc, text, path in zip(pdf["_id"], pdf["_text"], pdf["_path"]):
-                for m in _CANDIDATE.finditer(text or ""):
-                    before, after = text[max(0, m.start() - 80) : m.start()], text[m.end() : m.end() + 40]
-                    label = weak_label(m.lastgroup, m[0], before)
-                    rows.append((doc, m.start(), len(m[0]), m.lastgroup, m[0], before, after, label, *numbers(m[0], before, after, path or "")))
+                for a, z, rule in places(text or ""):
+                    secret, before, after = text[a:z], text[max(0, a - 80) : a], text[z : z + 40]
+                    label = weak_label(rule, secret, before)
+                    rows.append((doc, a, z - a, rule, secret, before, after, label, *numbers(secret, before, after, path or "")))
             out = pd.DataFrame(rows, columns=["doc_id", "start", "length_", "rule", "secret", "before", "after", "weak_label", *NUMBERS])
             out["weak_label"] = out["weak_label"].astype("Int32")
             yield out
