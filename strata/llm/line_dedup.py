@@ -38,6 +38,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import as_text, carried, restored, written
 
 _M = (1 << 64) - 1
+#: what a Python worker gives out at once
+_MOST_ROWS, _MOST_BYTES = 10_000, 4 << 20
 
 
 def chunk_bounds(line_hashes: list[int], window: int, lines_per_chunk: int) -> list[tuple[int, int]]:
@@ -98,6 +100,9 @@ def _chunks(docs: DataFrame, window: int, lines_per_chunk: int, least_lines: int
                 for a, z in sorted(bounds):
                     wide = xxh3_128_intdigest(digests[16 * a : 16 * z])
                     out.append((doc, fp, a, z - a, signed(wide >> 64), signed(wide & _M)))
+                if len(out) >= _MOST_ROWS:
+                    yield pd.DataFrame(out, columns=["_id", "_fp", "at", "lines", "h", "g"])
+                    out = []
             yield pd.DataFrame(out, columns=["_id", "_fp", "at", "lines", "h", "g"])
 
     found = docs.select(as_text("_id").alias("_id"), "_fp", "_text").mapInPandas(cut, "_id string, _fp long, at int, lines int, h long, g long")
@@ -117,10 +122,15 @@ def _bodies(docs: DataFrame, marks: DataFrame) -> DataFrame:
         import zlib
 
         for pdf in batches:
-            out = []
+            out, held = [], 0
             for small, cuts in zip(pdf["_small"], pdf["_cut"]):
                 lines = zlib.decompress(small).split(b"\n")
-                out += [(c["h"], c["g"], b"\n".join(lines[c["at"] : c["at"] + c["lines"]])) for c in cuts]
+                for c in cuts:
+                    out.append((c["h"], c["g"], b"\n".join(lines[c["at"] : c["at"] + c["lines"]])))
+                    held += len(out[-1][2])
+                    if held >= _MOST_BYTES:
+                        yield pd.DataFrame(out, columns=["h", "g", "body"])
+                        out, held = [], 0
             yield pd.DataFrame(out, columns=["h", "g", "body"])
 
     same = F.col("_id").eqNullSafe(F.col("_cut_id")) & (F.col("_fp") == F.col("_cut_fp"))
