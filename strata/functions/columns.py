@@ -21,7 +21,8 @@ ATTRIBUTE_KEY_QUOTES = r"^u?['\"]|['\"]$"
 HOUR_PATTERN = r"^(\d{1,2})"
 MINUTE_PATTERN = r"^\d{1,2}:(\d{1,2})"
 TIME_RANGE_SEPARATOR = "-"
-# A decimal number without a type suffix, and a number with one.
+# A whole number, a decimal number without a type suffix, and a number with one.
+WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
 PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 SUFFIXED_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[dDfF]\s*$"
 MONTH_KEY_FORMAT = "yyyy-MM"
@@ -44,10 +45,13 @@ def to_double(c: str | Column) -> Column:
 
 def to_integral(c: str | Column, dtype: str) -> Column:
     """String or number to an integer type: exact where the text is an integer,
-    by way of DOUBLE for plain decimals (``"5.0"``), else NULL (junk, overflow)."""
+    by way of DOUBLE for plain decimals (``"5.0"``), else NULL (junk, overflow).
+
+    The text's form decides which cast it gets: a cast that fails costs an
+    exception a row, so none is tried that can fail for its form."""
     text = col_(c).cast("string")
-    decimal = F.when(text.rlike(PLAIN_NUMBER), col_(c).try_cast("double").try_cast(dtype))
-    return F.coalesce(col_(c).try_cast(dtype), decimal)
+    whole = F.when(text.rlike(WHOLE_NUMBER), col_(c).try_cast(dtype))
+    return whole.when(text.rlike(PLAIN_NUMBER), col_(c).try_cast("double").try_cast(dtype))
 
 
 def to_int(c: str | Column) -> Column:
