@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, line_dedup, ngram_join, packing, quality_classifier, quality_rules, secrets, suffix_dedup, toxicity, warc
+from strata.llm import collocations, decontamination, line_dedup, ngram_join, packing, quality_classifier, quality_rules, secrets, suffix_dedup, toxicity, warc
 from strata.llm.common import shared_path, table, written
 
 
@@ -116,6 +116,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language of ``documents``."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_classifier": op2_quality_classifier,
@@ -127,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
+    "op12_collocations": op12_collocations,
 }
 
 _SEP = r"[\x20\x09-\x0D]+"
@@ -179,3 +185,36 @@ SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, d AS payload_digest,
        CASE WHEN page_id <> least THEN least END AS refers_to, true AS complete
 FROM p LEFT JOIN f USING (d)
 """
+
+ORACLE["op12_collocations"] = r"""
+WITH p AS (
+  SELECT lang, row_number() OVER () AS pid, ws FROM (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM documents))
+  WHERE len(ws) > 0),
+g AS (
+  SELECT lang, ws[i:i + m - 1] AS g, count(*) AS f
+  FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE len(ws) >= m)
+  GROUP BY ALL),
+t AS (SELECT lang, sum(f)::BIGINT AS n FROM g WHERE len(g) = 1 GROUP BY lang),
+c AS (SELECT * FROM g WHERE f >= 100),
+s AS (
+  SELECT lang, sub, max(f) AS longer FROM (
+    SELECT lang, f, g[i:i + m - 1] AS sub
+    FROM (SELECT lang, f, g, m, unnest(range(1, len(g) - m + 2)) AS i FROM c, (SELECT unnest([2, 3, 4]) AS m) WHERE len(g) > m))
+  GROUP BY ALL),
+k AS (
+  SELECT c.lang, c.g, c.f, unnest(range(1, len(c.g))) AS k FROM c LEFT JOIN s ON s.lang = c.lang AND s.sub = c.g
+  WHERE len(c.g) > 1 AND (longer IS NULL OR 100 * longer < 100 * c.f)),
+x AS (
+  SELECT k.lang, k.g, k.f AS a, k.k, l.f AS l, r.f AS r, t.n,
+         (1000::HUGEINT * k.f * t.n // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM k JOIN t USING (lang) JOIN c l ON l.lang = k.lang AND l.g = k.g[1:k.k] JOIN c r ON r.lang = k.lang AND r.g = k.g[k.k + 1:]),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS cut FROM x),
+o AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM b WHERE cut = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+WHERE rank <= 2000
+"""
