@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from strata.llm import collocations, decontamination, hard_negatives, line_dedup, ngram_join, packing, quality_classifier, quality_rules, secrets, suffix_dedup, toxicity, warc
+from strata.llm import collocations, decontamination, disclosure, hard_negatives, line_dedup, ngram_join, packing, quality_classifier, quality_rules, secrets, suffix_dedup, toxicity, warc
 from strata.llm.common import shared_path, table, written
 
 
@@ -116,6 +116,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it in every whole text of ``documents``."""
+    d = disclosure.sanitised(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("_spans", lambda s: s["kind"] != disclosure.TERM_KIND)
+    return d.select(
+        "doc_id", *[disclosure.count_of(k).alias(f"n_{k}") for k in disclosure.PATTERNS],
+        F.sha2(disclosure.span_list(base), 256).alias("base_sha256"), disclosure.span_list(F.col("_spans")).alias("spans"),
+    )
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2000 collocations of each language of ``documents``."""
     return collocations.collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
@@ -138,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_line_dedup": op10_line_dedup,
+    "op11_pii": op11_pii,
     "op12_collocations": op12_collocations,
     "op13_hard_negatives": op13_hard_negatives,
 }
