@@ -11,9 +11,11 @@ words of c,
 and IC(c) - PMI(c; t) = -log2 P(c | t) bits are left to guess once t is known. A
 term that leaves at most one bit (a chance of one half) is generalised to its kind
 of word, one that leaves at most log2(10 / 9) bits (nine in ten) is removed,
-wherever it stands, provided that it adds three bits or more. A pair counts only when it
-was seen in three different surroundings, so copies of one text disclose nothing.
-The bounds are compared in whole numbers.
+wherever it stands, provided that it adds three bits or more. Copies of one text, exact
+or nearly so, must not pass for evidence: a pair counts only when it was seen in three
+different surroundings, and an entity only if a term of one of its surroundings recurs
+in another with a chance of one half at most (among near copies most terms do).
+All bounds are compared in whole numbers.
 
 All of this is made of built-in functions. A pattern's matches and the pieces
 between them come from ``regexp_extract_all`` and ``split``; places are running sums of
@@ -52,11 +54,13 @@ TERM_KIND = "term"
 #: characters on each side of an entity in which terms count as near
 NEAR = 120
 #: distinct surroundings a pair needs; percent of a term's documents that hold the entity;
-#: how many times likelier the term makes the entity
-LEAST_CONTEXTS, GENERALISE_PERCENT, REMOVE_PERCENT, LEAST_GAIN = 3, 50, 90, 8
+#: how many times likelier the term makes the entity; how often a term of one surrounding
+#: of an entity may recur in another
+LEAST_CONTEXTS, GENERALISE_PERCENT, REMOVE_PERCENT, LEAST_GAIN, MOST_RECURRING_PERCENT = 3, 50, 90, 8, 50
 #: terms up to which a table of them is broadcast (each is a word)
 MOST_BROADCAST = 200_000
-_BLOCK = 128
+#: how many lengths are summed one by one before a sum of whole blocks is taken
+_BLOCK = 16
 
 
 def placed(d: DataFrame, text: str, pattern: str, name: str, present: Column) -> DataFrame:
@@ -156,19 +160,22 @@ def term_documents(docs: DataFrame, terms: DataFrame, n_terms: int, text: str =
 
 def disclosing_terms(
     docs: DataFrame, text: str = "text", least_contexts: int = LEAST_CONTEXTS, generalise_percent: int = GENERALISE_PERCENT,
-    remove_percent: int = REMOVE_PERCENT, least_gain: int = LEAST_GAIN, most_broadcast: int = MOST_BROADCAST,
+    remove_percent: int = REMOVE_PERCENT, least_gain: int = LEAST_GAIN, most_recurring_percent: int = MOST_RECURRING_PERCENT, most_broadcast: int = MOST_BROADCAST,
 ) -> DataFrame:
     """(term, removed, bits_left, gain, entity): terms beyond the thresholds, with the entity they disclose most."""
     found = evidence(docs, text)
-    values = found.groupBy("entity").agg(F.count_distinct("at").alias("dc"))
+    values = found.groupBy("entity").agg(F.count_distinct("at").alias("dc"), F.count_distinct("context").alias("places"))
     near = found.select("entity", "at", F.xxhash64("context").alias("context"), F.explode(distinct_terms("context")).alias("term")).where("term <> ''")
     pairs = near.groupBy("entity", "term").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("at").alias("dct"))
-    pairs = written(pairs.where(F.col("contexts") >= least_contexts), "pairs")
+    pairs = written(pairs, "pairs")
+    again = pairs.groupBy("entity").agg(F.sum(F.expr("contexts * (contexts - 1)")).alias("recurring"), F.sum("contexts").alias("seen"))
+    values = written(values.join(again, "entity").where(F.col("recurring") * 100 <= F.col("seen") * (F.col("places") - 1) * most_recurring_percent), "values")
+    pairs = written(pairs.where(F.col("contexts") >= least_contexts).join(values, "entity"), "supported")
     terms = written(pairs.select("term").distinct(), "terms")
     n = docs.count()
     held = term_documents(docs, terms, terms.count(), text, most_broadcast)
     exact = lambda c: F.col(c).cast("decimal(18,0)")
-    r = pairs.join(held, "term").join(values, "entity")
+    r = pairs.join(held, "term")
     r = r.where((F.lit(100) * F.col("dct") >= generalise_percent * F.col("dt"))
                 & (F.lit(n).cast("decimal(18,0)") * exact("dct") >= F.lit(least_gain).cast("decimal(2,0)") * exact("dc") * exact("dt")))
     r = r.select(
