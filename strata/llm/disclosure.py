@@ -63,21 +63,26 @@ MOST_BROADCAST = 200_000
 _BLOCK = 16
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """SQL: ``body`` with ``name`` standing for ``value``, which is evaluated once (a column of an
+    inner projection that is named once would be put back into the lambdas that use it)."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
 def placed(d: DataFrame, text: str, pattern: str, name: str, present: Column) -> DataFrame:
     """``d`` with the array ``name`` of the pattern's matches: start, value and the pieces of text before and after."""
-    p, m, n, o = (f"_{name}_{x}" for x in ("pieces", "found", "lengths", "sums"))
+    p, m = f"_{name}_pieces", f"_{name}_found"
     d = d.withColumn(m, F.when(present, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>")))
     d = d.withColumn(p, F.when(F.size(m) > 0, F.split(text, pattern, -1)))
-    d = d.withColumn(n, F.expr(f"CASE WHEN size({m}) > 0 THEN transform({m}, (x, i) -> length(get({p}, i)) + IF(i > 0, length({m}[i - 1]), 0)) END"))
-    # the sums of whole blocks, once a row; then the sums within each block
-    d = d.withColumn(o, F.expr(
-        f"CASE WHEN {n} IS NOT NULL THEN aggregate(sequence(0, (size({n}) - 1) div {_BLOCK}), array(0), "
-        f"(s, b) -> concat(s, array(element_at(s, -1) + aggregate(slice({n}, b * {_BLOCK} + 1, {_BLOCK}), 0, (t, v) -> t + v)))) END"))
-    d = d.withColumn(name, F.expr(
-        f"CASE WHEN {n} IS NULL THEN CAST(array() AS array<struct<start:int,value:string,before:string,after:string>>) ELSE "
-        f"transform({m}, (x, i) -> struct({o}[i div {_BLOCK}] + aggregate(slice({n}, i - i % {_BLOCK} + 1, i % {_BLOCK} + 1), 0, (t, v) -> t + v) AS start, "
-        f"x AS value, get({p}, i) AS before, get({p}, i + 1) AS after)) END"))
-    return d.drop(p, m, n, o)
+    lengths = f"transform({m}, (x, i) -> length(get({p}, i)) + IF(i > 0, length({m}[i - 1]), 0))"
+    add = "0, (t, v) -> t + v"
+    # the sums up to each block, then within a block up to each match
+    sums = f"aggregate(sequence(0, (size(n) - 1) div {_BLOCK}), array(0), (s, b) -> concat(s, array(element_at(s, -1) + aggregate(slice(n, b * {_BLOCK} + 1, {_BLOCK}), {add}))))"
+    start = f"o[i div {_BLOCK}] + aggregate(slice(n, i - i % {_BLOCK} + 1, i % {_BLOCK} + 1), {add})"
+    matches = f"transform({m}, (x, i) -> struct({start} AS start, x AS value, get({p}, i) AS before, get({p}, i + 1) AS after))"
+    empty = "CAST(array() AS array<struct<start:int,value:string,before:string,after:string>>)"
+    d = d.withColumn(name, F.expr(f"CASE WHEN size({m}) = 0 THEN {empty} ELSE {_let(lengths, 'n', _let(sums, 'o', matches))} END"))
+    return d.drop(p, m)
 
 
 def _digits(value: Column) -> Column:
