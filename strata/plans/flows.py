@@ -159,7 +159,7 @@ def write_review_fact(spark: SparkSession, layout: AnyLayout, dry_run: bool = Fa
     fact = C.review_fact(landing)
     log_kv(step="write", table="review_fact", mode="dynamic", dry_run=dry_run)
     if not dry_run:
-        layout.fact_target().replace_months(fact)
+        layout.fact_target().reload_months(fact)
     return fact
 
 

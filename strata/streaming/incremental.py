@@ -10,19 +10,22 @@ and ``foreachBatch`` merges each micro-batch:
    is conformed to fact rows, and of several versions of a review the one from
    the newest file wins (the greatest row within a file time);
 2. the months to rewrite are those of the batch's rows and those in which the
-   fact holds older versions of its reviews (a two-column scan semi-joined to
-   the batch's ids), so a review that moved to another month leaves the old one;
+   fact holds older versions of its reviews, as the location index beside the
+   fact says (``streaming.locations``; it is built at the first merge, and only
+   the buckets of the batch's ids are read), so a review that moved to another
+   month leaves the old one;
 3. current rows of those months whose ``review_id`` is not in the batch stay,
    the batch rows are added;
 4. the merged months are written once to the shared checkpoint folder, which
-   cuts the lineage, then replace just those months; a month that lost its last
-   review is dropped.
+   cuts the lineage; the batch's places go into the index, then the merged months
+   replace just those of the fact, and a month that lost its last review is dropped.
 
 A replayed batch produces the same months again, so the merge is idempotent.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,10 +42,13 @@ from strata.sinks.tables import insert_overwrite_partitions, overwrite_partition
 from strata.sinks.writers import materialize
 from strata.sources.ndjson import corrupt_text
 from strata.sources.tables import read_if_exists
+from strata.streaming.locations import LocationIndex
 
 PARTITION = "ym"
 FILE_TIME = "_file_time"
 KEY = "review_id"
+#: months up to which the scan of the fact is cut by a list of them; more go through a join
+MOST_LISTED = 10_000
 
 
 def _partition_folder(spark: SparkSession, month: str | None) -> str:
@@ -57,12 +63,19 @@ class PathFact:
 
     path: str
 
+    def index(self) -> LocationIndex:
+        """The location index beside the fact."""
+        return LocationIndex(f"{self.path.rstrip('/')}_locations")
+
     def read(self, spark: SparkSession) -> DataFrame | None:
         return read_if_exists(spark, self.path, REVIEW_FACT)
 
     def replace_months(self, df: DataFrame) -> None:
         overwrite_partitions(df, self.path, PARTITION, REVIEW_FACT)
 
+    def reload_months(self, df: DataFrame) -> None:
+        _reload(self, df)
+
     def drop_months(self, spark: SparkSession, months: list[str | None]) -> None:
         for m in months:
             folder = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path.rstrip('/')}/{_partition_folder(spark, m)}")
@@ -77,6 +90,13 @@ class TableFact:
     name: str
     path: str | None = None
 
+    def index(self) -> LocationIndex | None:
+        """The location index beside an external fact; a managed one has no place for it."""
+        return PathFact(self.path).index() if self.path else None
+
+    def reload_months(self, df: DataFrame) -> None:
+        _reload(self, df)
+
     def read(self, spark: SparkSession) -> DataFrame | None:
         return spark.table(self.name) if spark.catalog.tableExists(self.name) else None
 
@@ -101,6 +121,14 @@ class TableFact:
 FactTarget = PathFact | TableFact
 
 
+def _reload(target: FactTarget, df: DataFrame) -> None:
+    """Replace the months present in ``df``; an index that exists learns the new places first."""
+    index = target.index()
+    if index is not None and index.versions(df.sparkSession):
+        index.add(df)
+    target.replace_months(df)
+
+
 def _target(fact: str | FactTarget) -> FactTarget:
     return PathFact(fact) if isinstance(fact, str) else fact
 
@@ -143,25 +171,55 @@ def _merge(batch: DataFrame, target: FactTarget, quarantine: str, batch_id: int)
     months = incoming.select(PARTITION).distinct()
     current = target.read(spark)
     merged = incoming
+    index = target.index()
     if current is not None:
         ids = incoming.select(KEY)
-        older = current.select(KEY, PARTITION).join(ids, KEY, "left_semi").select(PARTITION).distinct()
+        if index is not None and not index.versions(spark):
+            index.build(current)
+        older = index.months_of(ids) if index is not None else current.select(KEY, PARTITION).join(ids, KEY, "left_semi").select(PARTITION)
         months = materialize(months.unionByName(older).distinct(), "increment-months")
-        touched = current.join(months, PARTITION, "left_semi")  # prunes partitions at run time
-        if not months.where(F.col(PARTITION).isNull()).isEmpty():
-            touched = touched.unionByName(current.where(F.col(PARTITION).isNull()).select(*touched.columns))
-        kept = touched.join(ids, KEY, "left_anti")
+        kept = months_slice(current, months).join(ids, KEY, "left_anti")
         merged = kept.select(*incoming.columns).unionByName(incoming)
         # the write below replaces files that ``merged`` reads; materialise it first
         merged = materialize(merged, "increment-merged")
         left = merged.select(F.col(PARTITION).alias("_left")).distinct()
         emptied = months.join(left, F.col(PARTITION).eqNullSafe(F.col("_left")), "left_anti")
-        gone = [r[0] for r in emptied.collect()]  # month keys that lost their last review
     if months.isEmpty():
         return
+    if index is not None and index.versions(spark):
+        index.add(incoming)
     target.replace_months(merged)
     if current is not None:
-        target.drop_months(spark, gone)
+        # month keys that lost their last review, a bounded number at a time
+        for part in _in_parts(emptied):
+            target.drop_months(spark, part)
+    if index is not None:
+        index.compact_if_due(spark)
+
+
+def months_slice(current: DataFrame, months: DataFrame) -> DataFrame:
+    """Rows of the fact in ``months``: a list of them cuts the scan to their folders when it is
+    planned; beyond ``MOST_LISTED`` months it is a join."""
+    listed = [r[0] for r in months.limit(MOST_LISTED + 1).collect()]
+    if len(listed) <= MOST_LISTED:
+        wanted = F.col(PARTITION).isin([m for m in listed if m is not None])
+        return current.where(wanted | F.col(PARTITION).isNull() if None in listed else wanted)
+    known = current.join(months, PARTITION, "left_semi")
+    if months.where(F.col(PARTITION).isNull()).isEmpty():
+        return known
+    return known.unionByName(current.where(F.col(PARTITION).isNull()).select(*known.columns))
+
+
+def _in_parts(months: DataFrame) -> Iterator[list[str | None]]:
+    """The month keys in lists of at most ``MOST_LISTED``."""
+    part: list[str | None] = []
+    for r in months.toLocalIterator():
+        part.append(r[0])
+        if len(part) == MOST_LISTED:
+            yield part
+            part = []
+    if part:
+        yield part
 
 
 def quarantine_path(stream_checkpoint: str) -> str:
