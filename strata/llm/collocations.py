@@ -1,21 +1,22 @@
 """Phrase collocation mining with counting quotient filters.
 
-Texts are cut into shards of a bounded number of words. A shard numbers its own
-distinct words; these go through one aggregation that counts every word of the
-corpus and numbers the frequent ones, and each shard gets back the numbers of its
-own words by a join. No dictionary of the corpus is broadcast or held anywhere.
-
-A phrase occurs at most as often as its rarest word, so only runs of frequent
-words are counted, which loses nothing. A phrase of m words is the m * b bits of
-its word ids. An invertible mixing network permutes these bits; the leading ones
-of the result are the quotient, all others the remainder. A ``Filter`` holds sorted
-entries as a counting quotient filter does: a bit for each quotient that occurs, a
-bit for the last entry of each quotient's run, the full remainders, and counters of
-one byte that grow when needed. Quotient and remainder give the phrase back, so
-counts are exact and no phrase is stored beside them. Filters are cut by the
-leading quotient bits; the slices of one range from all shards are merged in one
-group. The permutation spreads phrases evenly over ranges, and a phrase, however
-frequent, is one entry of a shard's filter.
+A shard (what one task reads, up to a bounded number of distinct words) numbers its
+own words; these go through one aggregation that counts every word of the corpus and
+numbers the frequent ones, and each shard gets back the numbers of its own words by a
+join. No dictionary of the corpus is broadcast or held anywhere.
+
+A phrase occurs at most as often as each of its parts, so only runs of frequent words
+are counted, and beyond two words only runs of frequent pairs, which loses nothing. A
+phrase of m words is the m * b bits of its word ids. An invertible mixing network
+permutes these bits; the leading ones of the result are the quotient, all others the
+remainder. A filter (``to_filter``) holds sorted entries as a counting quotient filter
+does: a bit for each quotient that occurs, a bit for the last entry of each quotient's
+run, the full remainders, and counters of one byte that grow when needed. Quotient and
+remainder give the phrase back, so counts are exact and no phrase is stored beside
+them. Filters are cut by the leading quotient bits; the slices of one range from all
+chunks are merged in one group, which sends back, for every slice of pairs, one bit an
+entry: frequent or not. The permutation spreads phrases evenly over ranges, and a
+phrase, however frequent, is one entry of a chunk's filter.
 
 Scores are Spark joins of candidates with the counts of their parts, in exact
 decimals.
@@ -28,6 +29,7 @@ read, so none can clash.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,59 +76,142 @@ class _Numbers(dict):
         return n
 
 
-def _encoder(most_words: int):
+def _thin(ids: np.ndarray) -> bytes:
+    """Numbers in 4 or 8 bytes each (the first byte says which), compressed."""
+    kind = np.int64 if ids.size and ids.max() > 0x7FFFFFFF else np.int32
+    return bytes([np.dtype(kind).itemsize]) + zlib.compress(np.ascontiguousarray(ids, kind).tobytes(), 1)
+
+
+def _encoder(most_words: int, most_distinct: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        held: dict[str, tuple[_Numbers, list[np.ndarray]]] = {}
-        size, made = 0, TaskContext.get().partitionId() << 32
+        made = (TaskContext.get().partitionId() + 1) << 32
+        shards: dict[str, dict] = {}  # a language's shard: its number, its words, their counts and the chunk in the making
+        size = 0
 
-        def given() -> Iterator[pd.DataFrame]:
+        def chunks() -> Iterator[pd.DataFrame]:
             nonlocal size, made
-            for lang, (numbers, parts) in held.items():
-                ids = np.concatenate(parts)
-                counts = np.bincount(ids, minlength=len(numbers))
-                words = [w.decode("utf-8", "surrogatepass") for w in numbers]
-                yield pd.DataFrame({"shard": [made], "lang": [lang], "ids": [ids.tobytes()], "words": [words], "counts": [counts]})
-                made += 1
-            held.clear()
+            for lang, s in shards.items():
+                if s["parts"]:
+                    ids = np.concatenate(s["parts"])
+                    counts = np.bincount(ids, minlength=len(s["words"]))
+                    counts[: len(s["counts"])] += s["counts"]
+                    s["counts"], s["parts"] = counts, []
+                    made += 1
+                    yield pd.DataFrame({"shard": [s["shard"]], "chunk": [made], "lang": [lang], "ids": [_thin(ids)], "words": [None], "counts": [None]})
             size = 0
 
+        def dictionaries() -> Iterator[pd.DataFrame]:
+            yield from chunks()
+            for lang, s in shards.items():
+                words = [w.decode("utf-8", "surrogatepass") for w in s["words"]]
+                yield pd.DataFrame({"shard": [s["shard"]], "chunk": [None], "lang": [lang], "ids": [None], "words": [words], "counts": [s["counts"]]})
+            shards.clear()
+
         for pdf in batches:
             for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
-                if lang not in held:
-                    held[lang] = (_Numbers({_BREAK: 0}), [])
-                numbers, parts = held[lang]
+                if lang not in shards:
+                    made += 1
+                    shards[lang] = {"shard": made, "words": _Numbers({_BREAK: 0}), "counts": np.zeros(0, np.int64), "parts": []}
+                numbers, parts = shards[lang]["words"], shards[lang]["parts"]
                 for found in tokens(text):
                     parts.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
                     size += len(found)
                 parts.append(np.zeros(1, np.int32))  # phrases never cross texts
                 if size >= most_words:
-                    yield from given()
-        yield from given()
+                    yield from chunks()
+                if sum(len(s["words"]) for s in shards.values()) > most_distinct:
+                    yield from dictionaries()
+        yield from dictionaries()
 
     return run
 
 
-_SHARD = "shard long, lang string, ids binary, words array<string>, counts array<long>"
+_SHARD = "shard long, chunk long, lang string, ids binary, words array<string>, counts array<long>"
 
 
-def encoded(docs: DataFrame, lang: str = "lang", text: str = "text", most_words: int = 1 << 21) -> DataFrame:
-    """Shards of at least one text and about ``most_words`` words at most: word numbers
-    of the shard in reading order (0: a piece's end), its words, and their counts."""
+def encoded(docs: DataFrame, lang: str = "lang", text: str = "text", most_words: int = 1 << 21, most_distinct: int = 1 << 20) -> DataFrame:
+    """Chunks of at least one text and about ``most_words`` words at most (their numbers in the
+    shard, in reading order, 0 for a piece's end), and a row a shard with its words and their counts."""
     d = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN_LANG)).alias("lang"), F.col(f"`{text}`").alias("text"))
-    return d.where("text IS NOT NULL AND text <> ''").mapInPandas(_encoder(most_words), _SHARD)
+    return d.where("text IS NOT NULL AND text <> ''").mapInPandas(_encoder(most_words, most_distinct), _SHARD)
+
+
+def _numbering(least: int, most_rows: int = 1 << 21):
+    """Over (lang, word, shard, pos, n) in order of words: the frequent words with their rank in the
+    partition, and for each shard its words among them (place * 2**40 + rank)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        part, rank = TaskContext.get().partitionId(), 0
+        kept: list[tuple] = []
+        held: list[pd.DataFrame] = []  # rows of the last word, which may go on in the next batch
+
+        def packed_rows() -> Iterator[pd.DataFrame]:
+            if kept:
+                shard, packed = (np.concatenate(x) for x in zip(*kept, strict=True))
+                order = np.argsort(shard, kind="stable")
+                shard, packed = shard[order], packed[order]
+                first = np.flatnonzero(np.diff(shard, prepend=shard[0] - 1))
+                rows = [(part, int(shard[a]), x.tolist(), None, None, None, None) for a, x in zip(first, np.split(packed, first[1:]), strict=True)]
+                kept.clear()
+                yield _numbered(rows)
+
+        def counted(rows: pd.DataFrame, first: np.ndarray) -> Iterator[pd.DataFrame]:
+            nonlocal rank
+            sums = np.add.reduceat(rows["n"].to_numpy(np.int64), first)
+            frequent = sums >= least
+            if frequent.any():
+                ranks = rank + np.cumsum(frequent)
+                of = np.repeat(np.where(frequent, ranks, 0), np.diff(np.append(first, len(rows))))
+                at = np.flatnonzero(of)
+                kept.append((rows["shard"].to_numpy(np.int64)[at], (rows["pos"].to_numpy(np.int64)[at] << 40) + of[at]))
+                rank = int(ranks[-1])
+                spelt = rows.iloc[first[frequent]]
+                yield _numbered([(part, None, None, int(r), x, y, int(f)) for r, x, y, f in zip(ranks[frequent], spelt["lang"], spelt["word"], sums[frequent], strict=True)])
+                if sum(len(x) for x, _ in kept) > most_rows:
+                    yield from packed_rows()
+
+        for pdf in batches:
+            rows = pd.concat([*held, pdf], ignore_index=True) if held else pdf.reset_index(drop=True)
+            lang, word = rows["lang"].to_numpy(object), rows["word"].to_numpy(object)
+            first = np.concatenate(([0], 1 + np.flatnonzero((word[1:] != word[:-1]) | (lang[1:] != lang[:-1]))))
+            if len(first) > 1:
+                yield from counted(rows.iloc[: first[-1]], first[:-1])
+            held = [rows.iloc[first[-1] :]]
+        if held:
+            yield from counted(held[0].reset_index(drop=True), np.array([0]))
+        yield from packed_rows()
+
+    return run
+
+
+def _numbered(rows: list[tuple]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=["part", "shard", "packed", "rank", "lang", "word", "f"], dtype=object)
+    return out.astype({c: "Int64" for c in ("part", "shard", "rank", "f")})
 
 
-def vocabulary(counted: DataFrame, least: int) -> DataFrame:
-    """(lang, word, f, id) of the words that occur ``least`` times: ids from 1, without gaps."""
-    frequent = written(counted.where(F.col("f") >= least).withColumn("_at", F.monotonically_increasing_id()), "vocabulary")
-    part, at = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
-    frequent = frequent.withColumns({"_part": part, "_at": at})
-    sizes = frequent.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row a partition
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return written(frequent.join(offsets, "_part").select("lang", "word", "f", (F.col("_before") + F.col("_at") + 1).alias("id")), "vocabulary-ids")
+_NUMBERED = "part long, shard long, packed array<long>, rank long, lang string, word string, f long"
+
+
+def vocabulary(shards: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """(lang, word, f, id) of the words that occur ``least`` times, with ids from 1 without gaps,
+    and (shard, part, packed, before): the ranks of each shard's words, and what makes them ids.
+
+    One shuffle brings the shards' counts of a word together (a row a shard at most)."""
+    words = shards.where("words IS NOT NULL").select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts"))).select(
+        "lang", F.col("col.words").alias("word"), "shard", F.col("pos").cast("long").alias("pos"), F.col("col.counts").alias("n")
+    ).where("pos > 0")
+    in_order = words.repartition("lang", "word").sortWithinPartitions("lang", "word")
+    numbered = written(in_order.mapInPandas(_numbering(least), _NUMBERED), "numbered")
+    frequent = numbered.where("word IS NOT NULL")
+    sizes = frequent.groupBy("part").agg(F.max("rank").alias("_n"))  # one row a partition
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = written(sizes.select("part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("before")), "offsets")
+    known = frequent.join(offsets, "part").select("lang", "word", "f", (F.col("before") + F.col("rank")).alias("id"))
+    return written(known, "vocabulary"), numbered.where("shard IS NOT NULL").join(offsets, "part").select("shard", "packed", "before")
 
 
 # ---------------------------------------------------------------- packing and permuting
@@ -272,66 +357,127 @@ def merged(filters: list[bytes], n_bits: int, range_bits: int) -> tuple[list[np.
 
 
 # ---------------------------------------------------------------- counting
-def phrase_lanes(seq: np.ndarray, m: int, bits: int) -> list[np.ndarray]:
-    """The permuted entries of all runs of ``m`` ids above zero."""
+def phrase_lanes(seq: np.ndarray, m: int, bits: int, pairs: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """The permuted entries of all runs of ``m`` ids above zero (with ``pairs``, a mask of the places
+    where a frequent pair begins: all of whose pairs are frequent), and where they begin."""
     n = len(seq) - m + 1
     if n <= 0:
-        return [np.empty(0, np.uint64) for _ in widths(bits * m)]
-    known = seq > 0
-    whole = known[:n].copy()
-    for j in range(1, m):
-        whole &= known[j : n + j]
+        return [np.empty(0, np.uint64) for _ in widths(bits * m)], np.empty(0, np.int64)
+    fits, length = (seq > 0, m) if pairs is None else (pairs, m - 1)
+    whole = fits[:n].copy()
+    for j in range(1, length):
+        whole &= fits[j : n + j]
     at = np.flatnonzero(whole)
-    return permuted(packed([seq[at + j] for j in range(m)], bits), bits * m)
+    return permuted(packed([seq[at + j] for j in range(m)], bits), bits * m), at
+
 
+def _range_bits(m: int, bits: int, range_bits: int) -> int:
+    return min(range_bits, widths(bits * m)[0] - 1)
 
-def _counter(bits: int, range_bits: int, most_entries: int):
-    def given(m: int, lanes: list[np.ndarray], counts: np.ndarray) -> Iterator[pd.DataFrame]:
-        n_bits = bits * m
-        r = min(range_bits, widths(n_bits)[0] - 1)
-        of = (lanes[0] >> np.uint64(widths(n_bits)[0] - r)).astype(np.int64)
-        cuts = np.flatnonzero(np.diff(of, prepend=-1)).tolist() + [len(of)]
-        rows = [(m, int(of[a]), to_filter([x[a:b] for x in lanes], counts[a:b], n_bits, r)) for a, b in zip(cuts, cuts[1:], strict=False)]
-        for i in range(0, len(rows), 256):
-            yield pd.DataFrame(rows[i : i + 256], columns=["m", "part", "entries"])
 
+def _sliced(m: int, chunk: int | None, lanes: list[np.ndarray], counts: np.ndarray, bits: int, range_bits: int) -> Iterator[pd.DataFrame]:
+    n_bits, r = bits * m, _range_bits(m, bits, range_bits)
+    of = (lanes[0] >> np.uint64(widths(n_bits)[0] - r)).astype(np.int64)
+    cuts = [*np.flatnonzero(np.diff(of, prepend=-1)).tolist(), len(of)]
+    rows = [(m, int(of[a]), chunk, to_filter([x[a:b] for x in lanes], counts[a:b], n_bits, r)) for a, b in zip(cuts, cuts[1:], strict=False)]
+    for i in range(0, len(rows), 256):
+        yield pd.DataFrame(rows[i : i + 256], columns=["m", "part", "chunk", "entries"])
+
+
+_SLICE = "m int, part long, chunk long, entries binary"
+
+
+def _sequence(data: bytes) -> np.ndarray:
+    raw, n = zlib.decompress(data[1:]), data[0]
+    return np.frombuffer(raw, np.int32 if n == 4 else np.int64).astype(np.int64)
+
+
+def _renumber(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The ids of a chunk's words in place of their numbers in the shard; 0 for the rare ones."""
+    for pdf in batches:
+        for chunk, ids, known in zip(pdf["chunk"], pdf["ids"], pdf["known"], strict=True):
+            local = _sequence(ids)
+            known = np.concatenate([np.asarray(x["packed"], np.int64) + x["before"] for x in known])
+            number = np.zeros(max(int(local.max()), int((known >> 40).max())) + 1, np.int64)
+            number[known >> 40] = known & ((1 << 40) - 1)
+            yield pd.DataFrame({"chunk": [chunk], "ids": [_thin(number[local])]})
+
+
+def _pair_counter(bits: int, range_bits: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for chunk, ids in zip(pdf["chunk"], pdf["ids"], strict=True):
+                lanes, _ = phrase_lanes(_sequence(ids), 2, bits)
+                yield from _sliced(2, int(chunk), *summed(lanes, None, bits * 2), bits, range_bits)
+
+    return run
+
+
+def _frequent_pairs(seq: np.ndarray, bits: int, answers: list) -> np.ndarray:
+    """Where a frequent pair begins, from the bits that came back for the chunk's slices."""
+    lanes, at = phrase_lanes(seq, 2, bits)
+    order = np.lexsort(lanes[::-1])
+    differs = np.zeros(len(order), bool)
+    for x in lanes:
+        differs[1:] |= x[order][1:] != x[order][:-1]
+    entry = np.empty(len(order), np.int64)
+    entry[order] = np.cumsum(differs)
+    flags = np.concatenate([np.unpackbits(np.frombuffer(x["kept"], np.uint8), count=x["n"]) for x in sorted(answers, key=lambda x: x["part"])])
+    out = np.zeros(len(seq), bool)
+    out[at] = flags[entry].astype(bool)
+    return out
+
+
+def _phrase_counter(bits: int, range_bits: int, most_entries: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, list] = {m: [] for m in range(2, LONGEST + 1)}
+        held: dict[int, list] = {m: [] for m in range(3, LONGEST + 1)}
 
         def together(m: int) -> tuple[list[np.ndarray], np.ndarray]:
             lanes = [np.concatenate(x) for x in zip(*(h[0] for h in held[m]), strict=True)]
             return summed(lanes, np.concatenate([h[1] for h in held[m]]), bits * m)
 
         for pdf in batches:
-            for ids, known in zip(pdf["ids"], pdf["known"], strict=True):
-                local = np.frombuffer(ids, np.int32)
-                known = np.asarray(known, np.int64)
-                number = np.zeros(int(local.max()) + 1, np.int64)
-                number[known >> 40] = known & ((1 << 40) - 1)
-                seq = number[local]
+            for ids, answers in zip(pdf["ids"], pdf["answers"], strict=True):
+                seq = _sequence(ids)
+                pairs = _frequent_pairs(seq, bits, list(answers))
                 for m in held:
-                    held[m].append(summed(phrase_lanes(seq, m, bits), None, bits * m))
+                    held[m].append(summed(phrase_lanes(seq, m, bits, pairs)[0], None, bits * m))
                     if sum(len(h[1]) for h in held[m]) > most_entries:
                         held[m] = [together(m)]  # one entry a phrase
                         if len(held[m][0][1]) > most_entries // 2:
-                            yield from given(m, *held[m][0])
+                            yield from _sliced(m, None, *held[m][0], bits, range_bits)
                             held[m] = []
         for m in held:
             if held[m]:
-                yield from given(m, *together(m))
+                yield from _sliced(m, None, *together(m), bits, range_bits)
 
     return run
 
 
+_MERGED = "ids array<long>, a long, chunk long, part long, n long, kept binary"
+
+
 def _merger(bits: int, range_bits: int, least: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         m = int(pdf["m"].iloc[0])
-        n_bits = bits * m
-        r = min(range_bits, widths(n_bits)[0] - 1)
+        n_bits, r = bits * m, _range_bits(m, bits, range_bits)
         lanes, counts = merged(list(pdf["entries"]), n_bits, r)
         at = np.flatnonzero(counts >= least)
-        ids = unpacked(permuted([x[at] for x in lanes], n_bits, inverse=True), bits, m)
-        return pd.DataFrame({"ids": pd.Series(list(np.stack(ids, axis=1)), dtype=object), "a": counts[at]})
+        frequent = [x[at] for x in lanes]
+        ids = unpacked(permuted(frequent, n_bits, inverse=True), bits, m)
+        rows = [(list(x), int(a), None, None, None, None) for x, a in zip(np.stack(ids, axis=1).tolist(), counts[at], strict=True)]
+        if m == 2:  # one bit an entry of every slice goes back to its chunk
+            key = frequent[0] << np.uint64(widths(n_bits)[1]) | frequent[1] if n_bits <= 64 else None
+            for chunk, entries in zip(pdf["chunk"], pdf["entries"], strict=True):
+                own, _ = from_filter(entries, n_bits, r)
+                if key is not None:
+                    kept = np.isin(own[0] << np.uint64(widths(n_bits)[1]) | own[1], key)
+                else:
+                    known = set(zip(*(x.tolist() for x in frequent), strict=True))
+                    kept = np.array([x in known for x in zip(*(y.tolist() for y in own), strict=True)])
+                rows.append((None, None, int(chunk), int(pdf["part"].iloc[0]), len(kept), np.packbits(kept).tobytes()))
+        out = pd.DataFrame(rows, columns=["ids", "a", "chunk", "part", "n", "kept"], dtype=object)
+        return out.astype({c: "Int64" for c in ("a", "chunk", "part", "n")})
 
     return run
 
@@ -346,25 +492,26 @@ def frequent_phrases(
     of phrases of one length before it gives filters out.
     """
     shards = written(encoded(docs, lang, text, most_words), "word-shards")
-    words = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts"))).select(
-        "shard", "lang", F.col("pos").cast("long").alias("pos"), F.col("col.words").alias("word"), F.col("col.counts").alias("n")
-    ).where("pos > 0")
-    counted = written(words.groupBy("lang", "word").agg(F.sum("n").alias("f")), "word-counts")
-    totals = counted.groupBy("lang").agg(F.sum("f").alias("n"))
-    known = vocabulary(counted, least)
-    n_known, n_words = known.count(), counted.agg(F.sum("f")).first()[0] or 0
+    # the first place of a shard's counts is that of the pieces' ends
+    in_shard = F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y) - F.get("counts", F.lit(0))
+    totals = written(shards.where("words IS NOT NULL").groupBy("lang").agg(F.sum(in_shard).alias("n")).where("n > 0"), "totals")
+    known, ranks = vocabulary(shards, least)
+    n_known, n_words = known.count(), totals.agg(F.sum("n")).first()[0] or 0
     bits = max(1, n_known.bit_length())
     # a range holds about a million entries at most, as a length has no more phrases than there are words
     range_bits = max(6, (n_words >> 20).bit_length())
-    number = words.join(known, ["lang", "word"]).groupBy("shard").agg(
-        F.collect_list(F.col("pos") * F.lit(1 << 40) + F.col("id")).alias("known")  # of one shard's words
-    )
-    filters = shards.select("shard", "ids").join(number, "shard").mapInPandas(
-        _counter(bits, range_bits, most_entries), "m int, part long, entries binary"
-    )
-    longer = filters.groupBy("m", "part").applyInPandas(_merger(bits, range_bits, least), "ids array<long>, a long")
-    single = known.select(F.array("id").alias("ids"), F.col("f").alias("a"))
-    return written(longer.unionByName(single), "phrases"), known, totals
+    # of one shard's words
+    number = ranks.groupBy("shard").agg(F.collect_list(F.struct("before", "packed")).alias("known"))
+    chunks = shards.where("ids IS NOT NULL").select("shard", "chunk", "ids")
+    chunks = written(chunks.join(number, "shard").mapInPandas(_renumber, "chunk long, ids binary"), "word-chunks")
+    merge = _merger(bits, range_bits, least)
+    pairs = chunks.mapInPandas(_pair_counter(bits, range_bits), _SLICE)
+    pairs = written(pairs.groupBy("m", "part").applyInPandas(merge, _MERGED), "pairs")
+    answers = pairs.where("chunk IS NOT NULL").groupBy("chunk").agg(F.collect_list(F.struct("part", "n", "kept")).alias("answers"))  # of one chunk's slices
+    filters = chunks.join(answers, "chunk").mapInPandas(_phrase_counter(bits, range_bits, most_entries), _SLICE)
+    longer = filters.groupBy("m", "part").applyInPandas(merge, _MERGED)
+    both = pairs.where("ids IS NOT NULL").select("ids", "a").unionByName(longer.select("ids", "a"))
+    return written(both.unionByName(known.select(F.array("id").alias("ids"), F.col("f").alias("a"))), "phrases"), known, totals
 
 
 # ---------------------------------------------------------------- scores
