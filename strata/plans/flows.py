@@ -37,7 +37,7 @@ from strata.sinks.publish import PublishResult, for_contract, publish_partitione
 from strata.sinks.tables import insert_overwrite_partitions, overwrite_parquet, overwrite_partitions, save_table
 from strata.sinks.writers import materialize
 from strata.sources.tables import read_if_exists, read_month_slice, read_table, register_external
-from strata.streaming.incremental import PathFact, TableFact, incremental_merge
+from strata.streaming.incremental import PathFact, TableFact, in_parts, incremental_merge, months_slice
 
 
 @dataclass(frozen=True)
@@ -66,6 +66,11 @@ class Layout:
     def fact_target(self) -> PathFact:
         return PathFact(self.path("core", "review_fact"))
 
+    def drop_months(self, spark: SparkSession, layer: str, table: str, months: DataFrame) -> None:
+        """Drop the month keys listed in ``months``."""
+        for part in in_parts(months):
+            PathFact(self.path(layer, table)).drop_months(spark, part)
+
 
 @dataclass(frozen=True)
 class CatalogLayout(Layout):
@@ -100,6 +105,10 @@ class CatalogLayout(Layout):
     def replace_months(self, df: DataFrame, layer: str, table: str) -> None:
         insert_overwrite_partitions(cast_to_schema(df, LAYERS[layer][table]), self.name(layer, table))
 
+    def drop_months(self, spark: SparkSession, layer: str, table: str, months: DataFrame) -> None:
+        for part in in_parts(months):
+            TableFact(self.name(layer, table), self.path(layer, table)).drop_months(spark, part)
+
     def fact_target(self) -> TableFact:
         return TableFact(self.name("core", "review_fact"), self.path("core", "review_fact"))
 
@@ -176,8 +185,9 @@ def build_mart(spark: SparkSession, name: str, layout: AnyLayout, dry_run: bool
     """Build (and unless ``dry_run`` write) one mart by name.
 
     ``ym_from`` / ``ym_to`` refresh those months of a month-partitioned mart from
-    a pruned fact scan and leave the others (the monthly mart is refreshed to its
-    end, as the change of a later month may follow from one in the range).
+    a pruned fact scan and leave the others; a month of the range that the fact no
+    longer has is dropped. Of the monthly mart, later months in which a delta
+    follows from the range are patched (``marts.refreshed_months``).
     ``src_table`` replaces the mart's first input, ``dst_table`` its destination
     (table names, or paths with a '/'). A dry run writes nothing at all: of the
     ranking, whose steps are written, it returns the rows to be ranked.
@@ -196,8 +206,9 @@ def build_mart(spark: SparkSession, name: str, layout: AnyLayout, dry_run: bool
         return read_month_slice(spark, core("review_fact"), ym_from, ym_to)
 
     def monthly() -> DataFrame:
-        stored = layout.read(spark, "mart", name) if ym_from or ym_to else None
-        return M.mart_business_quality_monthly(read_month_slice(spark, core("review_fact"), ym_from), ym_from, stored=stored)
+        if ym_from or ym_to:  # for another destination: the months of the range alone
+            return M.refreshed_months(core("review_fact"), layout.read(spark, "mart", name), ym_from, ym_to)[0]
+        return M.mart_business_quality_monthly(core("review_fact"))
 
     builders = {
         "mart_city_category_rating": lambda: M.mart_city_category_rating(core("business_core"),
@@ -214,6 +225,15 @@ def build_mart(spark: SparkSession, name: str, layout: AnyLayout, dry_run: bool
     if name not in builders:
         raise ValueError(f"unknown mart {name!r}; expected one of {sorted(builders)}")
     log_kv(step="write", table=name, dry_run=dry_run)
+    ranged = ym_from or ym_to
+    if ranged and name == "mart_business_quality_monthly" and not dst_table:
+        with scratch_owner(spark):
+            stored = layout.read(spark, "mart", name)
+            months, patched = M.refreshed_months(core("review_fact"), stored, ym_from, ym_to)
+            if dry_run:
+                return months.unionByName(patched)
+            _replace_range(spark, layout, name, stored, months, patched, ym_from, ym_to)
+        return layout.read(spark, "mart", name)
     if dry_run:
         return builders[name]()
     with scratch_owner(spark):
@@ -222,13 +242,34 @@ def build_mart(spark: SparkSession, name: str, layout: AnyLayout, dry_run: bool
             overwrite_parquet(df, dst_table, LAYERS["mart"][name])
         elif dst_table:
             save_table(df, dst_table, LAYERS["mart"][name])
-        elif ym_from or ym_to:
-            layout.replace_months(materialize(df, "mart-months"), "mart", name)
+        elif ranged:
+            stored = layout.read(spark, "mart", name)
+            _replace_range(spark, layout, name, stored, df.where(M.in_months(ym_from, ym_to)), None, ym_from, ym_to)
         else:
             layout.write(df, "mart", name)
     return read_table(spark, dst_table) if dst_table else layout.read(spark, "mart", name)
 
 
+def _replace_range(spark: SparkSession, layout: AnyLayout, name: str, stored: DataFrame, months: DataFrame,
+                   patched: DataFrame | None, ym_from: str | None, ym_to: str | None) -> None:
+    """Put ``months`` in place of the stored months of the range, and the rows ``patched`` (by business
+    and month) in place of theirs; only months that hold one of these are written."""
+    months = materialize(months, "mart-months")
+    if patched is not None:
+        patched = materialize(patched, "mart-patched")
+        touched = months_slice(stored, patched.select("ym").distinct())
+        kept = touched.join(patched.select("business_id", "ym"), ["business_id", "ym"], "left_anti")
+        both = months.unionByName(kept.select(*months.columns)).unionByName(patched.select(*months.columns))
+        written = materialize(both, "mart-refreshed")
+    else:
+        written = months
+    had = stored.where(M.in_months(ym_from, ym_to)).select("ym").distinct()
+    gone = materialize(had.join(months.select("ym").distinct(), "ym", "left_anti"), "mart-gone")
+    if not written.isEmpty():
+        layout.replace_months(written, "mart", name)
+    layout.drop_months(spark, "mart", name, gone)
+
+
 # ---------------------------------------------------------------- publish
 def publish_mart(
     spark: SparkSession,

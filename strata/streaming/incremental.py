@@ -191,7 +191,7 @@ def _merge(batch: DataFrame, target: FactTarget, quarantine: str, batch_id: int)
     target.replace_months(merged)
     if current is not None:
         # month keys that lost their last review, a bounded number at a time
-        for part in _in_parts(emptied):
+        for part in in_parts(emptied):
             target.drop_months(spark, part)
     if index is not None:
         index.compact_if_due(spark)
@@ -210,7 +210,7 @@ def months_slice(current: DataFrame, months: DataFrame) -> DataFrame:
     return known.unionByName(current.where(F.col(PARTITION).isNull()).select(*known.columns))
 
 
-def _in_parts(months: DataFrame) -> Iterator[list[str | None]]:
+def in_parts(months: DataFrame) -> Iterator[list[str | None]]:
     """The month keys in lists of at most ``MOST_LISTED``."""
     part: list[str | None] = []
     for r in months.toLocalIterator():
