@@ -23,7 +23,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import as_text, written
@@ -180,14 +180,24 @@ def fit(findings: DataFrame, label_col: str = "label", max_rows: int = 20_000, t
     ).fit(labelled)
 
 
+def compiled(forest) -> Column:
+    """The forest's probability of a secret as built-in column expressions: a nested CASE for each tree."""
+
+    def share(node) -> Column:
+        if node.getClass().getSimpleName() == "LeafNode":
+            stats = list(node.impurityStats().stats())
+            return F.lit(stats[1] / sum(stats) if sum(stats) else 0.5)
+        split = node.split()
+        left = F.col(f"`{NUMBERS[split.featureIndex()]}`") <= F.lit(split.threshold())
+        return F.when(left, share(node.leftChild())).otherwise(share(node.rightChild()))
+
+    trees = [share(t._java_obj.rootNode()) for t in forest.trees]
+    return sum(trees[1:], trees[0]) / F.lit(float(len(trees)))
+
+
 def judged(findings: DataFrame, forest, threshold: float = 0.5) -> DataFrame:
-    """``findings`` with ``score`` and ``kept`` (no false positive)."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    if forest is None or isinstance(forest, float):
-        scored = findings.withColumn("score", F.coalesce(F.lit(forest), F.lit(0.5)).cast("double"))
-    else:
-        x = VectorAssembler(inputCols=list(NUMBERS), outputCol="x").transform(findings)
-        scored = forest.transform(x).withColumn("score", vector_to_array("p")[1]).drop("x", "raw", "p", "hard")
-    return scored.withColumn("kept", F.col("score") >= threshold)
+    """``findings`` with ``score`` and ``kept`` (no false positive). The fitted trees are compiled into
+    the plan: nothing of the session travels with them."""
+    known = forest is None or isinstance(forest, float)
+    score = F.coalesce(F.lit(forest), F.lit(0.5)).cast("double") if known else compiled(forest)
+    return findings.withColumn("score", score).withColumn("kept", F.col("score") >= threshold)
