@@ -280,4 +280,13 @@ inc AS (
 SELECT {FACT_COLS} FROM fact WHERE review_id NOT IN (SELECT review_id FROM inc)
 UNION ALL
 SELECT review_id, user_id, business_id, stars, useful, funny, cool, review_date, strftime(review_date, '%Y-%m') AS ym FROM inc""",
+    "publish_audit_by_partition": _with(REVIEW)
+    + """
+SELECT ym AS partition_value, CAST(count(*) AS BIGINT) AS rows_expected, CAST(count(*) AS BIGINT) AS rows_published
+FROM fact GROUP BY ym""",
+    "publish_ranges": _with(REVIEW)
+    + """
+SELECT ym, CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS overlapping_files,
+       min(business_id) AS first_business, max(business_id) AS last_business
+FROM fact GROUP BY ym""",
 }

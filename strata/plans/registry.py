@@ -13,7 +13,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import clean_attribute_key
@@ -25,7 +25,7 @@ from strata.plans import marts as M
 from strata.plans.landing import business_landing, land_ndjson, landing_from_ndjson, read_quarantine, review_landing
 from strata.schemas import REVIEW_FACT, SERVING
 from strata.session import scratch_path
-from strata.sinks.publish import for_contract, publish_partitioned, publish_rows, read_published, wire_format
+from strata.sinks.publish import audited_partitions, for_contract, publish_partitioned, publish_rows, read_published, wire_format
 from strata.sinks.tables import create_layers, drop_layers, insert_overwrite_partitions, overwrite_parquet, overwrite_partitions
 from strata.sinks.writers import materialize, write_ndjson
 from strata.sources import feeds
@@ -38,6 +38,7 @@ RELOAD_MONTHS = ("1998-01", "1998-12")        # dynamic_partition_overwrite
 INCREMENT_FROM = "1999-07-01"                 # incremental_fact_merge: reviews sent again from this date (in the id)
 REVISED_MONTHS = ("1997-06", "1997-08")       # mart_month_refresh
 TOP_K = 3
+PUBLISH_RANGES = 200                          # publish_ranges: more than there are months
 # ------------------------------------------------------------------------------
 
 
@@ -233,6 +234,35 @@ def q_publish_audit(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_publish_audit_by_partition(spark: SparkSession, sf: str) -> DataFrame:
+    """The enriched fact is published with a manifest: rows of each month as counted before and as read back."""
+    contract = SERVING["mart_review_fact_enriched"]
+    path = scratch_path(spark, "publish-" + contract.name)
+    mart = materialize(wire_format(for_contract(q_mart_review_fact_enriched(spark, sf), contract)), "mart")
+    publish_partitioned(mart, path, table=contract.name, partition_col=contract.partition_col,
+                        sort_key=contract.sort_key, manifest=True)
+    return audited_partitions(spark, path, contract.partition_col)
+
+
+def q_publish_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """The enriched fact is published by ranges: per month its rows, first and last sort key, and how
+    many of its files overlap another of them (none)."""
+    contract = SERVING["mart_review_fact_enriched"]
+    path = scratch_path(spark, "publish-" + contract.name)
+    mart = materialize(wire_format(for_contract(q_mart_review_fact_enriched(spark, sf), contract)), "mart")
+    publish_partitioned(mart, path, table=contract.name, partition_col=contract.partition_col,
+                        sort_key=contract.sort_key, ranges=PUBLISH_RANGES)
+    key = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in contract.sort_key])
+    rows = spark.read.schema(contract.schema).json(path).select("ym", F.input_file_name().alias("file"), key.alias("key"))
+    files = rows.groupBy("ym", "file").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first"), F.max("key").alias("last"))
+    before = F.max("last").over(Window.partitionBy("ym").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1))
+    files = files.withColumn("overlaps", F.coalesce((before >= F.col("first")).cast("long"), F.lit(0)))
+    return files.groupBy("ym").agg(
+        F.sum("n").alias("n_rows"), F.sum("overlaps").alias("overlapping_files"),
+        F.min("first.business_id").alias("first_business"), F.max("last.business_id").alias("last_business"),
+    )
+
+
 # ---------------------------------------------------------------- streaming
 def q_incremental_fact_merge(spark: SparkSession, sf: str) -> DataFrame:
     """All reviews are in the fact; those from INCREMENT_FROM on come again in two
@@ -350,4 +380,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "external_landing_table": q_external_landing_table,
     "create_drop_layers": q_create_drop_layers,
     "mart_month_refresh": q_mart_month_refresh,
+    "publish_audit_by_partition": q_publish_audit_by_partition,
+    "publish_ranges": q_publish_ranges,
 }

@@ -3,9 +3,11 @@
 from strata.sinks.publish import (
     PublishAuditError,
     PublishResult,
+    audited_partitions,
     publish_partitioned,
     publish_rows,
     read_published,
+    verify_published,
     wire_format,
 )
 from strata.sinks.tables import (
@@ -20,6 +22,7 @@ from strata.sinks.tables import (
 __all__ = [
     "PublishAuditError",
     "PublishResult",
+    "audited_partitions",
     "create_layers",
     "drop_layers",
     "insert_overwrite_partitions",
@@ -29,5 +32,6 @@ __all__ = [
     "publish_rows",
     "read_published",
     "save_table",
+    "verify_published",
     "wire_format",
 ]
