@@ -23,6 +23,7 @@ from strata.operators.sanitize import sanitize_nan_inf
 from strata.plans import core as C
 from strata.plans import marts as M
 from strata.plans.landing import land_ndjson, read_landing
+from strata.plans.refresh import apply_changes
 from strata.schemas import (
     BUSINESS_ATTRIBUTES,
     BUSINESS_CATEGORY,
@@ -160,6 +161,16 @@ def split_business(spark: SparkSession, layout: AnyLayout, dry_run: bool = False
     return {name: df for name, (df, _) in outputs.items()}
 
 
+def refresh_businesses(spark: SparkSession, layout: AnyLayout, src: str, removed: DataFrame | None = None) -> None:
+    """Take in a feed of changed businesses (NDJSON; all listings of each) and drop the ``removed`` ids:
+    core tables and city marts follow, from the changed businesses alone (``plans.refresh``)."""
+    from strata.plans.landing import landing_from_ndjson
+
+    log_kv(step="refresh", kind="business", src=src)
+    with scratch_owner(spark):
+        apply_changes(spark, layout, landing_from_ndjson(spark, "business", src), removed)
+
+
 def write_review_fact(spark: SparkSession, layout: AnyLayout, dry_run: bool = False,
                       src_table: str | None = None) -> DataFrame:
     """Refresh only the months present in the landing extract (dynamic partition overwrite).

@@ -89,6 +89,16 @@ attrs AS (
         FROM landing WHERE attributes IS NOT NULL) s
 )"""
 
+#: every seventh business changes, half of these into another city and category
+CHANGED_ENTITY = ENTITY.replace("landing AS (", "first_landing AS (", 1).replace(
+    "core AS (", """landing AS (
+  SELECT * REPLACE (
+    CASE WHEN changed THEN 6 - stars ELSE stars END AS stars, CASE WHEN moved THEN 'NEWTOWN' ELSE city END AS city,
+    CASE WHEN moved THEN coalesce(categories, 'plain') || ', moved' ELSE categories END AS categories)
+  FROM (SELECT *, p_partkey % 7 = 0 AS changed, p_partkey % 14 = 0 AS moved FROM first_landing)
+),
+core AS (""", 1)
+
 REVIEW = """
 rv AS (
   SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_returnflag, l_linestatus, l_shipdate,
@@ -289,4 +299,6 @@ FROM fact GROUP BY ym""",
 SELECT ym, CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS overlapping_files,
        min(business_id) AS first_business, max(business_id) AS last_business
 FROM fact GROUP BY ym""",
+    "mart_city_refresh": _with(CHANGED_ENTITY) + MART_CITY_CATEGORY,
+    "mart_best_city_refresh": _with(CHANGED_ENTITY) + MART_BEST_CITY,
 }

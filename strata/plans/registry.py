@@ -38,6 +38,7 @@ RELOAD_MONTHS = ("1998-01", "1998-12")        # dynamic_partition_overwrite
 INCREMENT_FROM = "1999-07-01"                 # incremental_fact_merge: reviews sent again from this date (in the id)
 REVISED_MONTHS = ("1997-06", "1997-08")       # mart_month_refresh
 TOP_K = 3
+CHANGED_EVERY = 7                             # mart_city_refresh: businesses that change
 PUBLISH_RANGES = 200                          # publish_ranges: more than there are months
 # ------------------------------------------------------------------------------
 
@@ -346,6 +347,37 @@ def q_mart_month_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return flows.build_mart(spark, "mart_business_quality_monthly", layout, ym_from=REVISED_MONTHS[0], ym_to=REVISED_MONTHS[1])
 
 
+def _moved_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """All listings of the businesses that change: other ratings, and some in another city or category."""
+    feed = feeds.entity_feed(spark, sf).where(F.col("business_id").cast("long") % CHANGED_EVERY == 0)
+    moved = F.col("business_id").cast("long") % 2 == 0
+    return feed.withColumns({
+        "stars": (F.lit(6) - F.col("stars")), "city": F.when(moved, "NEWTOWN").otherwise(F.col("city")),
+        "categories": F.when(moved, F.concat(F.coalesce("categories", F.lit("plain")), F.lit(", moved"))).otherwise(F.col("categories")),
+    })
+
+
+def _refreshed_businesses(spark: SparkSession, sf: str) -> flows.Layout:
+    layout = flows.Layout(scratch_path(spark, "lake"))
+    src, changes = scratch_path(spark, "entity-ndjson"), scratch_path(spark, "entity-changes")
+    write_ndjson(feeds.entity_feed(spark, sf), src)
+    flows.ingest_business(spark, src, layout)
+    flows.split_business(spark, layout)
+    write_ndjson(_moved_feed(spark, sf), changes)
+    flows.refresh_businesses(spark, layout, changes)
+    return layout
+
+
+def q_mart_city_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Every seventh business changes; the city x category mart follows from these alone."""
+    return _refreshed_businesses(spark, sf).read(spark, "mart", "mart_city_category_rating")
+
+
+def q_mart_best_city_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """The same changes in the mart by city."""
+    return _refreshed_businesses(spark, sf).read(spark, "mart", "mart_best_city_avg_rate")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_scan_conform": q_json_scan_conform,
     "conform_entity": q_conform_entity,
@@ -382,4 +414,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_month_refresh": q_mart_month_refresh,
     "publish_audit_by_partition": q_publish_audit_by_partition,
     "publish_ranges": q_publish_ranges,
+    "mart_city_refresh": q_mart_city_refresh,
+    "mart_best_city_refresh": q_mart_best_city_refresh,
 }
