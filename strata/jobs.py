@@ -3,7 +3,9 @@
 Steps: business-landing, review-landing, business-split, review-fact,
 review-increment, mart (``--name``), publish (``--name``), all-marts,
 register-tables (catalog tables over the layout for SQL access),
-create-layers and drop-layers (the declared databases and tables).
+create-layers and drop-layers (the declared databases and tables),
+business-changes (changed businesses and the city marts that follow from
+them), landing-compact (``--kind``: small landed files become larger ones).
 Run them in the dependency order given in ``strata.plans.flows``.
 """
 
@@ -14,6 +16,7 @@ import logging
 import sys
 
 from strata.plans import flows
+from strata.plans.landing import compact_landing
 from strata.session import PROFILES, build_session
 from strata.sinks.tables import create_layers, drop_layers
 
@@ -29,7 +32,7 @@ def parser() -> argparse.ArgumentParser:
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("step", choices=["business-landing", "review-landing", "business-split", "review-fact",
                                     "review-increment", "mart", "all-marts", "publish", "register-tables",
-                                    "create-layers", "drop-layers"])
+                                    "create-layers", "drop-layers", "business-changes", "landing-compact"])
     p.add_argument("--root", type=_non_empty, required=True,
                    help="lakehouse root folder (any Hadoop-FS path)")
     p.add_argument("--catalog", metavar="PREFIX", default=None,
@@ -42,7 +45,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--batch-rows", type=int, default=None,
                    help="publish: at most so many rows a file (default: files sized by bytes)")
     p.add_argument("--src-table", type=_non_empty, help="a table or path read instead of the step's own input")
-    p.add_argument("--dst-table", type=_non_empty, help="mart: a table or path written instead of the layout's")
+    p.add_argument("--dst-table", type=_non_empty, help="mart, review-fact: a table or path written instead of the layout's; publish: its folder under --publish-root")
     p.add_argument("--ym-from", help="mart: refresh the months from this one (yyyy-MM) of a month-partitioned mart")
     p.add_argument("--ym-to", help="mart: up to this month")
     p.add_argument("--max-files-per-trigger", type=int, default=None,
@@ -51,6 +54,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--fill-defaults", action="store_true", help="publish NULLs as type defaults (0, 0.0, '')")
     p.add_argument("--no-audit", action="store_true",
                    help="skip the read-back row count after a publish (it re-reads the whole output)")
+    p.add_argument("--manifest", action="store_true", help="publish: keep the rows of each key beside the files and audit key by key")
+    p.add_argument("--ranges", action="store_true", help="publish: files of one key do not overlap in sort order")
+    p.add_argument("--statistics", action="store_true", help="with --catalog: store statistics of each written table for the cost-based joins")
+    p.add_argument("--kind", choices=["business", "review"], help="landing-compact: which landing dataset")
+    p.add_argument("--target-mb", type=int, default=128, help="landing-compact: size of the files")
     p.add_argument("--stream-checkpoint", help="checkpoint folder of the increment stream")
     p.add_argument("--every", default=None, metavar="INTERVAL",
                    help="review-increment: keep running, merging new files at this interval (e.g. '5 minutes')")
@@ -66,6 +74,8 @@ REQUIRED = {
     "business-landing": ["src"],
     "review-landing": ["src"],
     "review-increment": ["src", "stream_checkpoint"],
+    "business-changes": ["src"],
+    "landing-compact": ["kind"],
     "mart": ["name"],
     "publish": ["name", "publish_root"],
 }
@@ -80,7 +90,7 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     extra = dict(kv.split("=", 1) for kv in args.conf)
     spark = build_session(args.app_name or f"strata-{args.step}", args.profile, extra)
-    layout = flows.CatalogLayout(args.root, args.catalog) if args.catalog else flows.Layout(args.root)
+    layout = flows.CatalogLayout(args.root, args.catalog, args.statistics) if args.catalog else flows.Layout(args.root)
     if args.catalog and args.step not in ("create-layers", "drop-layers"):
         layout.attach(spark)  # the catalog may not outlive a process
     if args.step == "register-tables" and args.catalog:
@@ -93,7 +103,7 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
     elif args.step == "business-split":
         result = flows.split_business(spark, layout, args.dry_run, args.src_table)
     elif args.step == "review-fact":
-        result = flows.write_review_fact(spark, layout, args.dry_run, args.src_table)
+        result = flows.write_review_fact(spark, layout, args.dry_run, args.src_table, args.dst_table)
     elif args.step == "review-increment":
         if args.every:
             from strata.streaming.incremental import start_incremental_merge
@@ -114,7 +124,12 @@ def main(argv: list[str] | None = None, stop_session: bool = True) -> int:
     elif args.step == "publish":
         result = flows.publish_mart(spark, args.name, layout, args.publish_root, args.batch_rows,
                                     not args.no_truncate, args.dry_run, args.fill_defaults, not args.no_audit,
-                                    args.src_table)
+                                    args.src_table, args.dst_table, args.manifest, args.ranges)
+    elif args.step == "business-changes":
+        flows.refresh_businesses(spark, layout, args.src)
+    elif args.step == "landing-compact":
+        for status in compact_landing(spark, args.kind, layout.path("landing", f"{args.kind}_raw"), args.target_mb << 20):
+            print(status)
     elif args.step == "create-layers":
         for db in create_layers(spark, args.catalog or args.database_prefix, landing_root=layout.path("landing", "")).values():
             print(db)

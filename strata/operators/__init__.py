@@ -3,6 +3,7 @@
 from strata.operators.conform import cast_to_schema, conform
 from strata.operators.dedupe import dedupe_by_key
 from strata.operators.generators import explode_json_map, explode_list, explode_time_ranges
+from strata.operators.joins import left_join_known_keys
 from strata.operators.ranking import rank_within_groups, top_k_per_group
 from strata.operators.sanitize import fill_defaults, sanitize_nan_inf
 
@@ -14,6 +15,7 @@ __all__ = [
     "explode_list",
     "explode_time_ranges",
     "fill_defaults",
+    "left_join_known_keys",
     "rank_within_groups",
     "sanitize_nan_inf",
     "top_k_per_group",

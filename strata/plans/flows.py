@@ -35,7 +35,7 @@ from strata.schemas import (
 )
 from strata.session import log_kv, scratch_owner
 from strata.sinks.publish import PublishResult, for_contract, publish_partitioned, publish_rows, wire_format
-from strata.sinks.tables import insert_overwrite_partitions, overwrite_parquet, overwrite_partitions, save_table
+from strata.sinks.tables import analyze_table, insert_overwrite_partitions, overwrite_parquet, overwrite_partitions, save_table
 from strata.sinks.writers import materialize
 from strata.sources.tables import read_if_exists, read_month_slice, read_table, register_external
 from strata.streaming.incremental import PathFact, TableFact, in_parts, incremental_merge, months_slice
@@ -80,10 +80,12 @@ class CatalogLayout(Layout):
 
     As the data lies at fixed places, a catalog that ends with its process loses
     nothing: ``attach`` declares the tables again that are there. The fact is
-    refreshed by positional, dynamic ``insertInto``.
+    refreshed by positional, dynamic ``insertInto``. With ``statistics`` each written
+    table is analyzed, for the cost-based choice of joins.
     """
 
     prefix: str
+    statistics: bool = False
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.prefix}_{layer}.{table}"
@@ -102,9 +104,13 @@ class CatalogLayout(Layout):
         part = PARTITIONED_TABLES.get(table)
         save_table(df, self.name(layer, table), LAYERS[layer][table], path=self.path(layer, table),
                    partition_by=(part,) if part else ())
+        if self.statistics:
+            analyze_table(df.sparkSession, self.name(layer, table), JOINED_COLUMNS)
 
     def replace_months(self, df: DataFrame, layer: str, table: str) -> None:
         insert_overwrite_partitions(cast_to_schema(df, LAYERS[layer][table]), self.name(layer, table))
+        if self.statistics:
+            analyze_table(df.sparkSession, self.name(layer, table), JOINED_COLUMNS)
 
     def drop_months(self, spark: SparkSession, layer: str, table: str, months: DataFrame) -> None:
         for part in in_parts(months):
@@ -114,6 +120,9 @@ class CatalogLayout(Layout):
         return TableFact(self.name("core", "review_fact"), self.path("core", "review_fact"))
 
 
+#: columns that joins and filters use, of the tables that have them
+JOINED_COLUMNS = ("business_id", "city", "category", "attribute_key")
+
 _KIND = {"business_raw": "business", "review_raw": "review"}
 AnyLayout = Layout
 
@@ -172,14 +181,16 @@ def refresh_businesses(spark: SparkSession, layout: AnyLayout, src: str, removed
 
 
 def write_review_fact(spark: SparkSession, layout: AnyLayout, dry_run: bool = False,
-                      src_table: str | None = None) -> DataFrame:
+                      src_table: str | None = None, dst_table: str | None = None) -> DataFrame:
     """Refresh only the months present in the landing extract (dynamic partition overwrite).
-    ``src_table`` (a table name or path of landing rows) replaces the layout's own."""
+    ``src_table`` (a table name or path of landing rows) replaces the layout's own, ``dst_table``
+    (a table name, or a path with a '/') the fact that is written."""
     landing = read_table(spark, src_table) if src_table else layout.read(spark, "landing", "review_raw")
     fact = C.review_fact(landing)
     log_kv(step="write", table="review_fact", mode="dynamic", dry_run=dry_run)
     if not dry_run:
-        layout.fact_target().reload_months(fact)
+        target = layout.fact_target() if not dst_table else PathFact(dst_table) if "/" in dst_table else TableFact(dst_table)
+        target.reload_months(fact)
     return fact
 
 
@@ -224,14 +235,14 @@ def build_mart(spark: SparkSession, name: str, layout: AnyLayout, dry_run: bool
     builders = {
         "mart_city_category_rating": lambda: M.mart_city_category_rating(core("business_core"),
                                                                          core("business_category")),
-        "mart_best_city_avg_rate": lambda: M.mart_best_city_avg_rate(core("business_core")),
+        "mart_best_city_avg_rate": lambda: M.mart_best_city_avg_rate(core("business_core"), unique=not src_table),
         "mart_top_businesses_per_category": lambda: (
             M.ranking_input if dry_run else M.mart_top_businesses_per_category
         )(core("business_core"), core("business_category")),
         "mart_category_creditcard_share": lambda: M.mart_category_creditcard_share(
             core("business_category"), core("business_attributes")),
         "mart_business_quality_monthly": monthly,
-        "mart_review_fact_enriched": lambda: M.mart_review_fact_enriched(fact(), core("business_core")),
+        "mart_review_fact_enriched": lambda: M.mart_review_fact_enriched(fact(), core("business_core"), stored=True),
     }
     if name not in builders:
         raise ValueError(f"unknown mart {name!r}; expected one of {sorted(builders)}")
@@ -293,6 +304,9 @@ def publish_mart(
     fill_type_defaults: bool = False,
     audit: bool = True,
     src_table: str | None = None,
+    dst_table: str | None = None,
+    manifest: bool = False,
+    ranges: bool = False,
 ) -> PublishResult | int:
     """Publish a mart per its serving contract; ``dry_run`` only counts the rows.
 
@@ -300,7 +314,8 @@ def publish_mart(
     written. ``fill_type_defaults`` writes the type's default instead of omitting NULL
     fields, i.e. what a non-null serving column would show anyway. ``audit`` reads
     the published files back to check the row count (a full read of the output).
-    ``src_table`` (a table name or path) replaces the mart as the input.
+    ``src_table`` (a table name or path) replaces the mart as the input, ``dst_table``
+    its folder under ``publish_root``; ``manifest`` and ``ranges`` as in ``publish_partitioned``.
     """
     contract = SERVING[name].filled() if fill_type_defaults else SERVING[name]
     df = read_table(spark, src_table) if src_table else layout.read(spark, "mart", name)
@@ -311,11 +326,11 @@ def publish_mart(
         n = df.count()
         log_kv(publish=name, mode="dry", rows=n)
         return n
-    dst = f"{publish_root.rstrip('/')}/{name}"
+    dst = f"{publish_root.rstrip('/')}/{dst_table or name}"
     if contract.partition_col:
         return publish_partitioned(wire_format(df), dst, table=name, partition_col=contract.partition_col,
                                    sort_key=contract.sort_key, batch_rows=batch_rows, truncate=truncate,
-                                   audit=audit)
+                                   audit=audit, manifest=manifest, ranges=ranges)
     return publish_rows(df.sortWithinPartitions(*contract.sort_key), dst, table=name,
                         batch_rows=batch_rows, truncate=truncate, audit=audit)
 

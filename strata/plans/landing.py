@@ -23,6 +23,7 @@ from strata.schemas import (
     REVIEW_LANDING,
     REVIEW_RAW_READ,
 )
+from strata.sinks.writers import materialize
 from strata.sources.ndjson import corrupt_text, read_ndjson, valid_rows
 
 STATUS_COL = "_landing_status"
@@ -116,3 +117,34 @@ def read_quarantine(spark: SparkSession, dst: str, kind: str = "business") -> Da
     return spark.read.schema(_stored_schema(kind)).parquet(dst).where(F.col(STATUS_COL) == QUARANTINE).select(
         F.col(CORRUPT_COL).alias("raw_line")
     )
+
+
+# ---------------------------------------------------------------- sizes of the landed files
+def landed_files(spark: SparkSession, dst: str) -> DataFrame:
+    """(status, file, bytes) of every file of a landing dataset; nothing in them is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(dst)
+    status = F.regexp_extract("path", f"{STATUS_COL}=([^/]+)/", 1)
+    return files.select(status.alias("status"), F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"))
+
+
+def landing_report(spark: SparkSession, dst: str, target_bytes: int) -> DataFrame:
+    """Per status: files, bytes, files of under a quarter of ``target_bytes``, files of over twice
+    as many, and the files that the bytes would fill."""
+    small, large = F.col("bytes") < target_bytes // 4, F.col("bytes") > 2 * target_bytes
+    return landed_files(spark, dst).groupBy("status").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum(small.cast("long")).alias("small"),
+        F.sum(large.cast("long")).alias("large"), F.ceil(F.sum("bytes") / F.lit(target_bytes)).alias("wanted"),
+    )
+
+
+def compact_landing(spark: SparkSession, kind: str, dst: str, target_bytes: int = 128 << 20) -> list[str]:
+    """Rewrite each status of the landing dataset that has more than one small file, in files of about
+    ``target_bytes``; returns the statuses rewritten. The rows are first written to the shared scratch
+    folder and then replace their partition, so a break loses none."""
+    due = landing_report(spark, dst, target_bytes).where("small > 1 AND files > wanted").collect()  # two statuses at most
+    stored = spark.read.schema(_stored_schema(kind)).parquet(dst)
+    for r in due:
+        rows = materialize(stored.where(F.col(STATUS_COL) == r["status"]), "landing-compact")
+        out = rows.repartition(max(1, r["wanted"]))
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(STATUS_COL).parquet(dst)
+    return sorted(r["status"] for r in due)

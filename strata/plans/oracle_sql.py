@@ -301,4 +301,21 @@ SELECT ym, CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS overlapping_
 FROM fact GROUP BY ym""",
     "mart_city_refresh": _with(CHANGED_ENTITY) + MART_CITY_CATEGORY,
     "mart_best_city_refresh": _with(CHANGED_ENTITY) + MART_BEST_CITY,
+    "mart_enriched_null_keys": _with(ENTITY, REVIEW)
+    + """,
+keyed AS (
+  SELECT * REPLACE (CASE WHEN CAST(split_part(review_id, '-', 2) AS INTEGER) % 2 <> 0 THEN business_id END AS business_id) FROM fact
+)
+SELECT """ + MART_ENRICHED_COLS + """
+FROM keyed f LEFT JOIN core c ON f.business_id = c.business_id""",
+    "landing_rebalance": _with(REVIEW) + "\nSELECT review_id, user_id, business_id, stars, useful, funny, cool, text, "
+    "review_date FROM review_landing",
+    "catalog_save_table": _with(ENTITY) + "\nSELECT * FROM core",
+    "publish_dry_run": _with(ENTITY)
+    + """
+SELECT 'mart_best_city_avg_rate' AS table_name, CAST(count(DISTINCT coalesce(city, '?')) AS BIGINT) AS rows_counted, false AS written
+FROM core
+UNION ALL
+SELECT 'mart_city_category_rating', CAST(count(*) AS BIGINT), false
+FROM (SELECT DISTINCT city, category FROM core JOIN category USING (business_id))""",
 }

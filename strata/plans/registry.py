@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.columns import clean_attribute_key
 from strata.operators.generators import explode_json_map
@@ -22,14 +23,31 @@ from strata.operators.sanitize import sanitize_nan_inf
 from strata.plans import core as C
 from strata.plans import flows
 from strata.plans import marts as M
-from strata.plans.landing import business_landing, land_ndjson, landing_from_ndjson, read_quarantine, review_landing
-from strata.schemas import REVIEW_FACT, SERVING
+from strata.plans.landing import (
+    STATUS_COL,
+    VALID,
+    business_landing,
+    compact_landing,
+    land_ndjson,
+    landing_from_ndjson,
+    read_landing,
+    read_quarantine,
+    review_landing,
+)
+from strata.schemas import BUSINESS_CORE, CORRUPT_COL, REVIEW_FACT, SERVING
 from strata.session import scratch_path
 from strata.sinks.publish import audited_partitions, for_contract, publish_partitioned, publish_rows, read_published, wire_format
-from strata.sinks.tables import create_layers, drop_layers, insert_overwrite_partitions, overwrite_parquet, overwrite_partitions
+from strata.sinks.tables import (
+    create_layers,
+    drop_layers,
+    insert_overwrite_partitions,
+    overwrite_parquet,
+    overwrite_partitions,
+    save_table,
+)
 from strata.sinks.writers import materialize, write_ndjson
 from strata.sources import feeds
-from strata.sources.tables import read_month_slice
+from strata.sources.tables import read_if_exists, read_month_slice
 from strata.streaming.incremental import incremental_merge
 
 # ---- fixed parameters of the test queries ------------------------------------
@@ -38,6 +56,7 @@ RELOAD_MONTHS = ("1998-01", "1998-12")        # dynamic_partition_overwrite
 INCREMENT_FROM = "1999-07-01"                 # incremental_fact_merge: reviews sent again from this date (in the id)
 REVISED_MONTHS = ("1997-06", "1997-08")       # mart_month_refresh
 TOP_K = 3
+SMALL_FILES = 40                              # landing_rebalance
 CHANGED_EVERY = 7                             # mart_city_refresh: businesses that change
 PUBLISH_RANGES = 200                          # publish_ranges: more than there are months
 # ------------------------------------------------------------------------------
@@ -314,22 +333,26 @@ def q_catalog_table_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     layout.fact_target().replace_months(full.where("stars >= 3 OR stars IS NULL"))
     drop_layers(spark, prefix)  # the data stays where it is; declaring it again finds it
     layout.attach(spark)
-    return layout.read(spark, "core", "review_fact")
+    result = materialize(layout.read(spark, "core", "review_fact"), "catalog-fact")
+    drop_layers(spark, prefix)
+    return result
 
 
 def q_external_landing_table(spark: SparkSession, sf: str) -> DataFrame:
     prefix, root = _catalog(spark)
-    create_layers(spark, prefix, landing_root=f"{root}/landing")
+    create_layers(spark, prefix, location=root, landing_root=f"{root}/landing")
     src = scratch_path(spark, "review-ndjson")
     write_ndjson(feeds.review_feed(spark, sf), src)
     land_ndjson(spark, "review", src, f"{root}/landing/review_raw")
     spark.catalog.refreshTable(f"{prefix}_landing.review_raw")
-    return spark.table(f"{prefix}_landing.review_raw")
+    result = materialize(spark.table(f"{prefix}_landing.review_raw"), "external-landing")
+    drop_layers(spark, prefix)
+    return result
 
 
 def q_create_drop_layers(spark: SparkSession, sf: str) -> DataFrame:
-    prefix, _root = _catalog(spark)
-    db = create_layers(spark, prefix)["core"]
+    prefix, root = _catalog(spark)
+    db = create_layers(spark, prefix, location=root)["core"]
     insert_overwrite_partitions(fact(spark, sf), f"{db}.review_fact")
     counts = materialize(spark.table(f"{db}.review_fact").groupBy("ym").agg(F.count(F.lit(1)).alias("n")), "months")
     drop_layers(spark, prefix)
@@ -347,6 +370,52 @@ def q_mart_month_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return flows.build_mart(spark, "mart_business_quality_monthly", layout, ym_from=REVISED_MONTHS[0], ym_to=REVISED_MONTHS[1])
 
 
+def q_mart_enriched_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The enriched mart of a stored fact that lacks the business of every other line."""
+    layout = flows.Layout(scratch_path(spark, "lake"))
+    even = F.split("review_id", "-")[1].cast("int") % 2 == 0
+    full = fact(spark, sf)
+    layout.fact_target().replace_months(full.withColumn("business_id", F.when(~even, F.col("business_id"))))
+    layout.write(core(spark, sf), "core", "business_core")
+    return flows.build_mart(spark, "mart_review_fact_enriched", layout)
+
+
+def q_landing_rebalance(spark: SparkSession, sf: str) -> DataFrame:
+    """Reviews landed from very many small files; compacting them keeps every row."""
+    src, dst = scratch_path(spark, "review-small"), scratch_path(spark, "landing")
+    write_ndjson(feeds.review_feed(spark, sf).repartition(SMALL_FILES), src)
+    small = landing_from_ndjson(spark, "review", src).select("*", F.lit(None).cast("string").alias(CORRUPT_COL), F.lit(VALID).alias(STATUS_COL))
+    small.repartition(SMALL_FILES).write.partitionBy(STATUS_COL).parquet(dst)
+    compact_landing(spark, "review", dst)
+    return read_landing(spark, "review", dst)
+
+
+def q_catalog_save_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A managed table written by ``saveAsTable`` twice; the second write replaces the first."""
+    prefix, root = _catalog(spark)
+    db = create_layers(spark, prefix, location=root)["core"]
+    save_table(core(spark, sf).where("stars > 3"), f"{db}.business_core", BUSINESS_CORE)
+    save_table(core(spark, sf), f"{db}.business_core", BUSINESS_CORE)
+    result = materialize(spark.table(f"{db}.business_core"), "saved-core")
+    drop_layers(spark, prefix)
+    return result
+
+
+def q_publish_dry_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Dry runs of two publishes: the rows they would write, and that nothing is written."""
+    layout = flows.Layout(scratch_path(spark, "lake"))
+    target = scratch_path(spark, "publish-dry")
+    layout.write(core(spark, sf), "core", "business_core")
+    layout.write(category(spark, sf), "core", "business_category")
+    rows = []
+    for name in ("mart_best_city_avg_rate", "mart_city_category_rating"):
+        flows.build_mart(spark, name, layout)
+        rows.append((name, flows.publish_mart(spark, name, layout, target, dry_run=True)))
+    left = read_if_exists(spark, target, T.StructType([T.StructField("value", T.StringType())]), "text")
+    counted = spark.createDataFrame(rows, "table_name string, rows_counted bigint")
+    return counted.withColumn("written", F.lit(left is not None))
+
+
 def _moved_feed(spark: SparkSession, sf: str) -> DataFrame:
     """All listings of the businesses that change: other ratings, and some in another city or category."""
     feed = feeds.entity_feed(spark, sf).where(F.col("business_id").cast("long") % CHANGED_EVERY == 0)
@@ -414,6 +483,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_month_refresh": q_mart_month_refresh,
     "publish_audit_by_partition": q_publish_audit_by_partition,
     "publish_ranges": q_publish_ranges,
+    "mart_enriched_null_keys": q_mart_enriched_null_keys,
+    "landing_rebalance": q_landing_rebalance,
+    "catalog_save_table": q_catalog_save_table,
+    "publish_dry_run": q_publish_dry_run,
     "mart_city_refresh": q_mart_city_refresh,
     "mart_best_city_refresh": q_mart_best_city_refresh,
 }

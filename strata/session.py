@@ -54,6 +54,8 @@ PROFILES: dict[str, dict[str, str]] = {
         # a dimension read from its written table is broadcast only when Spark's
         # size estimate is under this bound; larger ones use a shuffle join
         "spark.sql.autoBroadcastJoinThreshold": "64m",
+        # tables with stored statistics (sinks.tables.analyze_table) are estimated by them
+        "spark.sql.cbo.enabled": "true",
         # smaller files and scans than snappy for the same data, at modest CPU cost
         "spark.sql.parquet.compression.codec": "zstd",
     },

@@ -105,6 +105,16 @@ def insert_overwrite_partitions(df: DataFrame, table_name: str) -> None:
     spark.catalog.refreshTable(table_name)  # this session may know the files replaced
 
 
+def analyze_table(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> None:
+    """Store the table's size and row count in the catalog, and the distinct values, NULLs and bounds
+    of those of ``columns`` it has (a scan of these columns). With ``spark.sql.cbo.enabled``
+    Spark estimates filters and joins by them; a write does not renew them, so this follows one."""
+    have = [c for c in spark.table(name).columns if columns is None or c in columns]
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+    if have:
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(f'`{c}`' for c in have)}")
+
+
 def create_layers(spark: SparkSession, prefix: str = "strata", location: str | None = None,
                   landing_root: str | None = None) -> dict[str, str]:
     """Create one database per layer and every declared table (IF NOT EXISTS).

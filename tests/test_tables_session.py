@@ -62,8 +62,8 @@ def test_library_stays_on_the_dataframe_api():
 
     root = pathlib.Path(__file__).resolve().parents[1] / "strata"
     banned = re.compile(r"\budf\b|pandas_udf|\.rdd\b|localCheckpoint|toPandas|mapPartitions")
-    # month keys in bounded lists; numbers of an index's buckets
-    allowed_collect = {"streaming/incremental.py", "streaming/locations.py"}
+    # month keys in bounded lists; numbers of an index's buckets; two statuses; the first keys of a failed audit
+    allowed_collect = {"streaming/incremental.py", "streaming/locations.py", "plans/landing.py", "sinks/publish.py"}
     engine = ("functions", "operators", "plans", "sinks", "sources", "streaming")
     for path in [*root.glob("*.py"), *(p for sub in engine for p in (root / sub).rglob("*.py"))]:
         text = path.read_text()
