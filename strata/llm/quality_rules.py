@@ -65,28 +65,32 @@ def _share(words: Column, test, n: Column) -> Column:
     return _ratio(F.size(F.filter(words, test)), n)
 
 
-def repeated_window_words(words: str, n: str) -> Column:
-    """Words that lie in a run of three found at least twice among ``words``.
+def with_repeated_window_words(d: DataFrame, words: str, n: str) -> DataFrame:
+    """``n_repeat_words``: words that lie in a run of three found at least twice among ``words``.
 
-    The runs are sorted with their places; equal neighbours mark repeats. The
-    sort is only reached by texts whose distinct runs are fewer than their runs.
+    Runs are first compared by hashes, as numbers: most texts have no equal ones
+    and are done. Of the others, the runs whose hashes repeat are spelt out, sorted
+    with their places, and equal neighbours mark repeats.
     """
-    grams = f"transform(sequence(0, {n} - 3), i -> concat_ws(' ', {words}[i], {words}[i + 1], {words}[i + 2]))"
-    return F.expr(f"CASE WHEN {n} < 4 THEN array() ELSE {grams} END")
+    d = d.withColumn("_h", F.expr(
+        f"CASE WHEN {n} < 4 THEN array() ELSE transform(sequence(0, {n} - 3), i -> xxhash64({words}[i], {words}[i + 1], {words}[i + 2])) END"))
+    d = d.withColumn("_p", F.expr(
+        "CASE WHEN size(array_distinct(_h)) = size(_h) THEN NULL ELSE sort_array(transform(_h, (h, i) -> struct(h, i))) END"))
+    again = "filter(_p, (x, k) -> (k > 0 AND _p[k - 1].h = x.h) OR (k < size(_p) - 1 AND _p[k + 1].h = x.h))"
+    d = d.withColumn("_s", F.expr(
+        f"sort_array(transform({again}, x -> struct(concat_ws(' ', {words}[x.i], {words}[x.i + 1], {words}[x.i + 2]) AS g, x.i AS i)))"))
+    d = d.withColumn("_at", F.expr(
+        "transform(filter(_s, (x, k) -> (k > 0 AND _s[k - 1].g = x.g) OR (k < size(_s) - 1 AND _s[k + 1].g = x.g)), x -> x.i)"))
+    d = d.withColumn("n_repeat_words", F.expr(
+        "CASE WHEN _s IS NULL THEN 0 ELSE size(array_distinct(flatten(transform(_at, i -> array(i, i + 1, i + 2))))) END").cast("long"))
+    return d.drop("_h", "_p", "_s", "_at")
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every metric a rule may name."""
     t = F.coalesce(F.col(text), F.lit(""))
     d = docs.withColumn("_w", words_of(F.col(text))).withColumn("n_words", F.size("_w").cast("long"))
-    d = d.withColumn("_g", repeated_window_words("_w", "n_words"))
-    d = d.withColumn("_s", F.expr(
-        "CASE WHEN size(array_distinct(_g)) = size(_g) THEN NULL ELSE sort_array(transform(_g, (g, i) -> struct(g, i))) END"))
-    d = d.withColumn("_at", F.expr(
-        "transform(filter(_s, (x, k) -> (k > 0 AND _s[k - 1].g = x.g) OR (k < size(_s) - 1 AND _s[k + 1].g = x.g)), x -> x.i)"))
-    d = d.withColumn("n_repeat_words", F.expr(
-        "CASE WHEN _s IS NULL THEN 0 ELSE size(array_distinct(flatten(transform(_at, i -> array(i, i + 1, i + 2))))) END").cast("long"))
-    d = d.drop("_g", "_s", "_at")
+    d = with_repeated_window_words(d, "_w", "n_words")
     # a line counts when it holds a word
     d = d.withColumn("_l", F.filter(F.split(t, "\n"), lambda x: F.length(F.regexp_replace(x, SEPARATORS + "+", "")) > 0))
     n, lines = F.col("n_words"), F.size("_l")
