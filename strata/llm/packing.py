@@ -31,15 +31,19 @@ from strata.llm.common import as_text, written
 from strata.llm.token_ids import shared
 
 CLOSING_ID = 1
+SEED = 2048
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, window: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a piece: id (as text), start, length, ids_crc32, doc_tokens and a random ``_deal``."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
         ids = shared(tokenizer_path)
         closing = CLOSING_ID.to_bytes(4, "little")
-        rng = np.random.default_rng()
+        # by the task's number: a repeated task deals its rows as before, and copies are dealt apart
+        rng = np.random.default_rng([SEED, TaskContext.get().partitionId()])
         for pdf in batches:
             rows = []
             for doc, text in zip(pdf["_id"], pdf["_text"]):

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+import types
 from array import array
 
 _LETTERS = "a-zªµºß-öø-ɏ"
@@ -99,10 +101,9 @@ class TokenIds:
 
 
 def shared(path: str) -> TokenIds:
-    """One TokenIds a worker process and path, kept from task to task."""
-    import tokenizers
-
-    kept = tokenizers.__dict__.setdefault("_kept_token_ids", {})
+    """One TokenIds a worker process and path, kept from task to task (functions come to workers
+    by value, so what they keep needs a module that stays)."""
+    kept = sys.modules.setdefault("_strata_llm_kept", types.ModuleType("_strata_llm_kept")).__dict__
     if path not in kept:
         kept[path] = TokenIds(path)
     return kept[path]
