@@ -119,7 +119,7 @@ def fit(
     docs: DataFrame, ratings: DataFrame, n_grades: int, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade",
     max_rows: int = 8_000, **settings,
 ) -> OrdinalModel:
-    """Fit on at most ``max_rows`` of ``ratings`` (id, grade 0 .. n_grades - 1)."""
+    """Fit on at most ``max_rows`` ids of ``ratings`` (id, grade 0 .. n_grades - 1), each with one text (of a repeated id the least)."""
     sample = (
         ratings.where(F.col(grade_col).between(0, n_grades - 1) & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("_id")).agg(F.min(F.col(grade_col).cast("int")).alias("_grade"))
@@ -136,7 +136,7 @@ def fit(
 
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     rows = written(
-        texts.join(F.broadcast(sample), "_id").select("_text", "_grade").mapInPandas(sparse, "grade int, i binary, v binary"), "graded"
+        texts.join(F.broadcast(sample), "_id").groupBy("_id", "_grade").agg(F.min("_text").alias("_text")).select("_text", "_grade").mapInPandas(sparse, "grade int, i binary, v binary"), "graded"
     ).toPandas()  # bounded by max_rows
     pairs = [(np.frombuffer(i, np.int32), np.frombuffer(v, np.float32).astype(float)) for i, v in zip(rows["i"], rows["v"])]
     return fit_ordinal(pairs, rows["grade"].to_numpy(np.int64), n_grades, **settings)

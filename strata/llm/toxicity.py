@@ -161,7 +161,7 @@ def hash_of(word: str) -> int:
     return xxh3_64_intdigest(word.encode()) >> 1
 
 
-def choose_terms(rows: list[tuple[str, int, int, int]], toxic: int, clean: int, least: int, most_terms: int) -> dict[str, tuple[float, bool]]:
+def choose_terms(rows: list[tuple[str, int, int, int]], toxic: int, clean: int, least: int) -> dict[str, tuple[float, bool]]:
     """``rows``: (key, toxic texts, distinct contexts, clean texts). Terms whose
     toxic share is beyond chance, with log-odds weights."""
     good = []
@@ -179,8 +179,6 @@ def choose_terms(rows: list[tuple[str, int, int, int]], toxic: int, clean: int,
     chosen: dict[str, tuple[float, bool]] = {}
     counted: dict[str, int] = {}
     for texts, _, key, weight in sorted(good, key=lambda g: (-g[0], -g[1], g[2])):
-        if len(chosen) >= most_terms:
-            break
         word = key.removeprefix("=")
         if any(chosen.get(word[:k], (0.0, False))[1] and chosen[word[:k]][0] > weight - 1 for k in range(4, len(word))):
             continue
@@ -216,17 +214,17 @@ def seeds() -> dict[str, tuple[float, bool]]:
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    max_rows: int = 20_000, least_seen: int = 5, most_terms: int = 5_000,
+    max_rows: int = 20_000, least_seen: int = 5,
 ) -> Lexicon:
-    """Learn a lexicon from at most ``max_rows`` rows of ``labels``; ``docs`` holds their texts."""
+    """Learn a lexicon from at most ``max_rows`` ids of ``labels``; ``docs`` holds their texts (of a repeated id the least)."""
     sample = (
         labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
         .select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
         .groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
     )
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull())
-    # the sample's size is bounded by max_rows
-    rows = written(rows.join(F.broadcast(sample), "_id").select("_id", "_text", "_y"), "toxicity-rows")
+    # the sample's size is bounded by max_rows, and an id has one text
+    rows = written(rows.join(F.broadcast(sample), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text")), "toxicity-rows")
     n = {r["_y"]: r["count"] for r in rows.groupBy("_y").count().collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
     base = seeds()
@@ -241,7 +239,7 @@ def fit(
 
     found = (
         rows.where("_y = 1").mapInPandas(in_toxic, "key string, context long, first boolean")
-        .groupBy("key").agg(F.sum(F.col("first").cast("long")).alias("texts"), F.approx_count_distinct("context", 0.02).alias("contexts"))
+        .groupBy("key").agg(F.sum(F.col("first").cast("long")).alias("texts"), F.count_distinct("context").alias("contexts"))
         .where((F.col("texts") >= least_seen) & (F.col("contexts") >= least_seen))
         .collect()
     )  # fmt: skip  # bounded by the sample
@@ -270,7 +268,7 @@ def fit(
         weight = math.log((n_t + SEED_SEEN) / (toxic + SEED_SEEN)) - math.log((n_c + 0.5) / (clean + 1))
         if weight > 0.5:
             terms[t] = (min(8.0, weight), False)
-    learnt = choose_terms([(k, t, c, harmless.get(k, 0)) for k, (t, c) in asked.items()], toxic, clean, least_seen, most_terms)
+    learnt = choose_terms([(k, t, c, harmless.get(k, 0)) for k, (t, c) in asked.items()], toxic, clean, least_seen)
     lexicon = Lexicon(terms | learnt)
     totals = measured(rows, lexicon, "_text").select("_y", "_total", "_words").toPandas()  # bounded by the sample
     x = np.array([features(t, w) for t, w in zip(totals["_total"], totals["_words"])])

@@ -109,7 +109,7 @@ def test_beginnings_match_longer_words_only():
 
 def test_copies_of_one_text_teach_no_term():
     rows = [("=copied", 40, 1, 0), ("=insult", 40, 30, 0), ("common", 40, 30, 300)]
-    assert set(toxicity.choose_terms(rows, 100, 1000, 5, 100)) == {"insult"}
+    assert set(toxicity.choose_terms(rows, 100, 1000, 5)) == {"insult"}
 
 
 def test_learning_finds_beginnings(spark):
@@ -291,3 +291,22 @@ def test_compiled_forest_equals_the_model(spark):
     got = [r["s"] for r in found.select(secrets.compiled(forest).alias("s")).collect()]
     assert len(got) > 20 and len(set(got)) > 1 and all(abs(a - b) < 1e-9 for a, b in zip(got, want, strict=True))
     found.unpersist()
+
+
+def test_fits_take_one_text_an_id(spark):
+    """The bound on labelled ids bounds the texts: a label of a repeated id brings one."""
+    rows = [(1, f"text {i} idiot scum") for i in range(50)] + [(2, prose(20, 3))] * 40 + [(i, prose(20, i)) for i in range(3, 20)]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(1, 1, 1), (1, 1, 1)] + [(i, 0, 2) for i in range(2, 20)], "doc_id long, toxic int, grade int")
+    assert toxicity.fit(docs, labels).seen in ({}, {"toxic": 1, "clean": 18})
+    rows_of = documents(spark, rows).groupBy("doc_id").count()
+    assert rows_of.where("count > 1").count() == 2  # the input does repeat ids
+    seen = []
+    whole = quality_classifier.fit_ordinal
+    try:
+        quality_classifier.fit_ordinal = lambda pairs, grades, n, **s: seen.append(len(pairs)) or whole(pairs, grades, n, **s)
+        quality_classifier.fit(docs, labels, n_grades=3)
+        quality_classifier.fit(docs, labels, n_grades=3, max_rows=1)
+    finally:
+        quality_classifier.fit_ordinal = whole
+    assert seen == [19, 1]
