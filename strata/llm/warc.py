@@ -13,7 +13,9 @@ Reading: each file is walked by the records' content lengths. Unsegmented
 records are decoded on the spot; segments are shuffled by the identifier of
 their origin, ordered by segment number, checked for gaps and against the total
 length, then decoded. Incomplete records are returned with ``complete`` false
-and no payload figures.
+and no payload figures, and so is what cannot be read as a record: a head cut
+short, another length than stated, a damaged gzip member. The walk goes on at the next
+line that begins a record. Records of other kinds (``warcinfo``, ``request``) are no rows.
 
 Defined results: a null payload is empty; a null id is written without an id
 field and read back as null; a null url is written as an empty target; rows
@@ -23,9 +25,10 @@ gives an archive without files.
 
 from __future__ import annotations
 
-import gzip
 import hashlib
+import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -123,19 +126,61 @@ def write_archive(
 # ---- reading
 
 
+_MARK = b"WARC/1."
+#: record types that become rows; others (warcinfo, request, metadata, conversion, resource) are passed over
+PAGE_TYPES = ("response", "revisit", "continuation")
+
+
+def inflated(data: bytes) -> bytes:
+    """All gzip members of ``data``, as far as they can be read; other data as they are."""
+    if data[:2] != b"\x1f\x8b":
+        return bytes(data)
+    out, rest = [], bytes(data)
+    while rest[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(zlib.MAX_WBITS | 16)
+        try:
+            out.append(member.decompress(rest))
+        except zlib.error:
+            # what the member held before the damage, in small steps
+            member, at = zlib.decompressobj(zlib.MAX_WBITS | 16), 0
+            try:
+                while at < len(rest):
+                    out.append(member.decompress(rest[at : at + 512]))
+                    at += 512
+            except zlib.error:
+                pass
+            break
+        rest = member.unused_data
+    return b"".join(out)
+
+
 def walk(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields, block) of each record of an archive file, by content length."""
-    data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else bytes(data)
-    at = 0
+    """(fields, block) of each record of an archive file, by content length. What cannot be read as a
+    record comes with the field ``broken``: up to the next line that begins one, which is read again."""
+    data, at, end = inflated(data), 0, END.encode()
     while at < len(data):
-        head = data.index(b"\r\n\r\n", at)
-        lines = data[at:head].split(b"\r\n")
-        if lines[0] != VERSION:
-            raise ValueError(f"no record at byte {at}: {lines[0][:40]!r}")
-        fields = {k.strip().lower(): v.strip() for k, _, v in (x.decode().partition(":") for x in lines[1:])}
-        n = int(fields["content-length"])
-        yield fields, data[head + 4 : head + 4 + n]
-        at = head + 4 + n + len(END)
+        head = data.find(b"\r\n\r\n", at)
+        lines = data[at:head].split(b"\r\n") if head >= 0 else []
+        # other writers' names and values may hold any bytes
+        fields = {k.strip().lower(): v.strip() for k, _, v in (x.decode("latin-1").partition(":") for x in lines[1:])}
+        length = fields.get("content-length", "")
+        if not lines or not lines[0].startswith(_MARK) or not length.isdecimal():
+            following = data.find(b"\n" + _MARK, at)
+            upto = len(data) if following < 0 else following + 1
+            if data[at:upto].strip():
+                yield {**fields, "broken": "head"}, data[at:upto]
+            at = upto
+            continue
+        block = data[head + 4 : head + 4 + int(length)]
+        after = head + 4 + int(length)
+        if len(block) < int(length) or data[after : after + 4] not in (end, end[: len(data) - after]):
+            # cut short, or of another length than it says
+            following = data.find(b"\n" + _MARK, head)
+            yield {**fields, "broken": "length"}, block
+            at = len(data) if following < 0 else following + 1
+            continue
+        yield fields, block
+        at = after + len(END)
 
 
 def unchunked(body: bytes) -> bytes:
@@ -154,19 +199,38 @@ def unchunked(body: bytes) -> bytes:
 
 
 def decoded(fields: dict[str, str], block: bytes) -> tuple:
-    """A row of FIELDS for a whole record."""
-    kind = fields["warc-type"]
-    page = fields.get("x-page-id")
+    """A row of FIELDS for a whole record; ``complete`` is false for what could not be read."""
+    kind, page = fields.get("warc-type"), _whole_number(fields.get("x-page-id"))
+    nothing = (page, None, None, kind, None, False)
+    if "broken" in fields:
+        return nothing
     head, _, body = block.partition(b"\r\n\r\n")
-    http = {k.strip().lower(): v.strip() for k, _, v in (x.decode().partition(":") for x in head.split(b"\r\n")[1:])}
+    http = {k.strip().lower(): v.strip() for k, _, v in (x.decode("latin-1").partition(":") for x in head.split(b"\r\n")[1:])}
+    stated = fields.get("warc-payload-digest", "")
     if kind == "revisit":
-        return page, int(http["content-length"]), fields["warc-payload-digest"].partition(":")[2], kind, fields["x-refers-to-page-id"], True
+        first = _whole_number(fields.get("x-refers-to-page-id"))
+        size = _whole_number(http.get("content-length"))
+        own = first is not None and size is not None and stated.startswith("sha256:")
+        return (page, int(size), stated.partition(":")[2], kind, first, True) if own else nothing
     try:
-        payload = unchunked(body) if http.get("transfer-encoding") == "chunked" else body
+        payload = unchunked(body) if http.get("transfer-encoding", "").lower() == "chunked" else body
     except ValueError:
-        return page, None, None, kind, None, False
+        return nothing
     digest = hashlib.sha256(payload).hexdigest()
-    return page, len(payload), digest, kind, None, fields.get("warc-payload-digest", f"sha256:{digest}") == f"sha256:{digest}"
+    # digests of other algorithms, as other writers state them, are not checked
+    return page, len(payload), digest, kind, None, not stated.startswith("sha256:") or len(stated) != 71 or stated == f"sha256:{digest}"
+
+
+def _whole_number(text: str | None) -> str | None:
+    return text if text is not None and re.fullmatch("-?[0-9]{1,19}", text) and -(1 << 63) <= int(text) < 1 << 63 else None
+
+
+def _is_segment(fields: dict[str, str]) -> bool:
+    return "broken" not in fields and (fields.get("warc-segment-number") or "x").isdecimal()
+
+
+def _is_page(fields: dict[str, str]) -> bool:
+    return "broken" in fields or fields.get("warc-type") in PAGE_TYPES
 
 
 def _rows(rows: list[tuple]) -> pd.DataFrame:
@@ -174,22 +238,23 @@ def _rows(rows: list[tuple]) -> pd.DataFrame:
     return out.astype({"payload_bytes": "Int64"})
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """FIELDS of every page record of the WARC files under ``path``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+def read_archive(spark: SparkSession, path: str, files_like: str = "part-*") -> DataFrame:
+    """FIELDS of every page record of the WARC files under ``path`` whose names are ``files_like``
+    (``*`` for other writers' archives). A file is read as one value, so it must be under 2 GB."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", files_like).load(path).select("content")
 
     def unsegmented(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for data in pdf["content"]:
-                yield _rows([decoded(f, b) for f, b in walk(data) if "warc-segment-number" not in f])
+                yield _rows([decoded(f, b) for f, b in walk(data) if _is_page(f) and not _is_segment(f)])
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for data in pdf["content"]:
                 rows = [
-                    (f.get("warc-segment-origin-id", f["warc-record-id"]), int(f["warc-segment-number"]),
-                     int(f.get("warc-segment-total-length", -1)), "\n".join(f"{k}:{v}" for k, v in f.items()), b)
-                    for f, b in walk(data) if "warc-segment-number" in f
+                    (f.get("warc-segment-origin-id", f.get("warc-record-id", "")), int(f["warc-segment-number"]),
+                     int(_whole_number(f.get("warc-segment-total-length")) or -1), "\n".join(f"{k}:{v}" for k, v in f.items()), b)
+                    for f, b in walk(data) if _is_page(f) and _is_segment(f)
                 ]
                 yield pd.DataFrame(rows, columns=["origin", "number", "total", "fields", "block"])
 
@@ -230,6 +295,5 @@ def reassembled(segments: list) -> list[tuple]:
     )
     fields = dict(x.partition(":")[::2] for x in own[0].fields.split("\n"))
     if not whole:
-        page = fields.get("x-page-id")
-        return [(page, None, None, fields["warc-type"], None, False)]
+        return [(_whole_number(fields.get("x-page-id")), None, None, fields.get("warc-type"), None, False)]
     return [decoded(fields, block)] * copies

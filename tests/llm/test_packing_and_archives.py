@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import random
 import zlib
 from array import array
 from collections import Counter, defaultdict
@@ -166,6 +167,48 @@ def test_broken_segments_are_reported():
         warc.unchunked(b"5\r\nabc\r\n0\r\n\r\n")
 
 
+def record(kind, body, extra="", length=None, page=7):
+    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:x:{page}>\r\nX-Page-Id: {page}\r\n{extra}Content-Length: {len(body) if length is None else length}\r\n\r\n"
+    return head.encode("latin-1") + body + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers_and_broken_ones(spark, tmp_path):
+    http = "HTTP/1.1 200 OK\r\nX-Odd: caf\xe9\r\n\r\nbody one".encode("latin-1")
+    good = record("response", http, "WARC-Odd: \xe9\r\nWARC-Payload-Digest: sha1:ABC\r\n")
+    info = record("warcinfo", b"software: x") + record("request", b"GET / HTTP/1.1\r\n\r\n")
+    bad_length = record("response", http, length=len(http) + 500, page=8)
+    revisit = record("revisit", b"HTTP/1.1 304\r\n\r\n", page=9)  # says nothing of what it refers to
+    text = {
+        "a.warc": info + good + b"noise\r\n\r\n" + good,
+        "b.warc.gz": b"".join(gzip.compress(x) for x in (info, good, good)),
+        "c.warc.gz": gzip.compress(good) + gzip.compress(record("response", random.Random(1).randbytes(5000)))[:900],
+        "d.warc": bad_length + good,
+        "e.warc": good + b"WARC/1.0\r\nWARC-Type: respon",
+        "f.warc": revisit + record("continuation", b"x", "WARC-Segment-Number: 2\r\n"),
+        "g.warc": b"",
+        "h.warc": record("response", http, "WARC-Segment-Number: one\r\n", page="none"),
+    }
+    for name, data in text.items():
+        d = tmp_path / name
+        d.mkdir()
+        (d / name).write_bytes(data)
+    read = {name: [tuple(x) for x in warc.read_archive(spark, str(tmp_path / name), "*").collect()] for name in text}
+    whole = (7, 8, hashlib.sha256(b"body one").hexdigest(), "response", None, True)
+    assert sorted(read["a.warc"], key=str) == sorted([whole, (None, None, None, None, None, False), whole], key=str)
+    assert read["b.warc.gz"] == [whole, whole]
+    assert read["c.warc.gz"][0] == whole and [x[1:] for x in read["c.warc.gz"][1:]] == [(None, None, "response", None, False)]
+    assert sorted(read["d.warc"], key=str) == sorted([whole, (8, None, None, "response", None, False)], key=str)
+    assert read["e.warc"][0] == whole and len(read["e.warc"]) == 2 and not read["e.warc"][1][5]
+    assert [x[5] for x in read["f.warc"]] == [False, False] and read["g.warc"] == []
+    assert read["h.warc"] == [(None, *whole[1:])]
+
+
+def test_packing_is_the_same_in_every_run(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    one, two = ({tuple(x) for x in packing.pack(df, queries.tokenizer_file(), block_pieces=300).collect()} for _ in range(2))
+    assert one == two
+
+
 # ---- pipeline
 
 
