@@ -14,8 +14,9 @@ from strata.llm.common import shared_path, table, written
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all ``documents``: every candidate with the forest's score."""
-    found = written(secrets.candidates(table(spark, sf_dir, "documents")), "candidates")
-    forest = secrets.fit(found, label_col="weak_label")
+    docs = table(spark, sf_dir, "documents")
+    learnt, forest, _ = secrets.trained(docs)
+    found = written(secrets.candidates(docs, learnt=learnt), "candidates")
     return secrets.judged(found, forest).select("doc_id", "start", "n_chars", "rule", "score", "kept")
 
 

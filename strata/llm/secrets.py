@@ -4,11 +4,11 @@ Candidates are, in this order: known key formats, whatever signs stand around
 them; values assigned to a name that says it is a key, of any length and with any
 signs; and other long strings without spaces that hold a digit. Each is sought
 beside those before it. The forest (Spark ML) sees each candidate's length, entropy, share
-of digits, letters and signs, changes of character class, share covered by
-dictionary words, how usual its letter pairs are, marks of the path it came
-from and of the words and signs next to it. It is trained on at most
-``max_rows`` labelled findings (smallest hashes); ``weak_labels`` labels those
-that a naming rule or a plain format settles, when no labelled table is at hand.
+of digits, letters and signs, changes of character class, the share covered by the corpus's
+frequent words, how usual its letter pairs are there, what the path it came from and
+the words and signs next to it (80 characters before, 40 after) told of other findings.
+It is trained on labelled findings (``findings.labelled``, at most ``MOST_FINDINGS``), which
+no rule on the string labels. ``weak_label`` is such a rule, kept beside for comparison.
 
 Defined results: null and empty texts have no finding; findings do not overlap; rows with equal ids give the same findings
 once a row; with one kind of label only, that label stands; null paths are
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import as_text, written
+from strata.llm.findings import Learnt, labelled, learn
 
 #: public key formats, beside letters and digits only
 FORMATS = {
@@ -49,40 +50,29 @@ _KEY_NAME = re.compile(rf"(?i){_KEY}\W{{0,4}}$")
 #: values that name a place to look in, or none
 _REFERENCE = re.compile(r"(?i)[$<{%].*|.*[(\[{].*|none|null|nil|true|false|undefined")
 _PLACEHOLDER = re.compile(r"(?i)example|sample|dummy|changeme|placeholder|your[_-]|xxxx|0000000|1234567")
-DICTIONARY = frozenset(
-    "the and ing ion ent for her that tion with this have from hat tha ere not are but had his was you all any can out day get "
-    "has him how man new now old see two way who boy did its let put say she too use test name path file image page link node "
-    "item user list http www com org net html main index data type code key value".split()
-)
-#: frequent letter pairs of Latin-script prose
-_PAIRS = frozenset("th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch ll be ma si om ur qu ue ie ei".split())
 NUMBERS = (
     "length", "entropy", "digits", "upper", "lower", "signs", "class_changes", "hex", "dictionary", "usual_pairs", "distinct",
     "placeholder", "path_code", "path_test", "path_depth", "key_before", "assigned", "quoted", "url_near", "words_near",
+    "near_score", "path_score",
 )
 
 
-def numbers(candidate: str, before: str, after: str, path: str) -> list[float]:
+def numbers(candidate: str, before: str, after: str, path: str, learnt: Learnt) -> list[float]:
     """Features of one candidate, in the order of NUMBERS."""
     n = max(1, len(candidate))
     counts = Counter(candidate)
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "s" for c in candidate]
     low = candidate.lower()
-    covered, at = 0, 0
-    while at < len(low):
-        step = next((k for k in (5, 4, 3) if low[at : at + k] in DICTIONARY and len(low[at : at + k]) == k), 0)
-        covered += step
-        at += step or 1
-    pairs = [low[i : i + 2] for i in range(len(low) - 1) if low[i : i + 2].isalpha()]
     near = before.rsplit("\n", 1)[-1]
     return [
         float(len(candidate)), -sum(c / n * math.log2(c / n) for c in counts.values()), kinds.count("d") / n, kinds.count("u") / n,
         kinds.count("l") / n, kinds.count("s") / n, sum(a != b for a, b in zip(kinds, kinds[1:])) / n,
-        sum(c in "0123456789abcdef" for c in low) / n, covered / n, sum(p in _PAIRS for p in pairs) / max(1, len(pairs)), len(counts) / n,
+        sum(c in "0123456789abcdef" for c in low) / n, learnt.covered(low) / n, learnt.transitions(low), len(counts) / n,
         float(bool(_PLACEHOLDER.search(candidate))), float(bool(re.search(r"\.(py|js|java|go|rb|env|ya?ml|json|conf|ini|sh)\b", path))),
         float("test" in path.lower() or "example" in path.lower()), float(path.count("/")), float(bool(_KEY_NAME.search(near.rstrip("\"' =:>")))),
         float(bool(re.search(r"[=:]\s*[\"']?$", near))), float(near[-1:] in "\"'" and near[-1:] != "" and after[:1] == near[-1:]),
         float("://" in near[-40:] or "@" in near[-20:]), float(len(re.findall(r"[^\W\d_]{2,}", near[-40:] + " " + after[:40]))),
+        learnt.near_score(before, after), learnt.path_score(path),
     ]
 
 
@@ -141,17 +131,20 @@ def _blanked(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
+def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", learnt: Learnt | None = None) -> DataFrame:
     """One row a candidate: (id, start, length, rule, secret, before, after, weak_label) and NUMBERS; places in code points."""
 
+    handed = docs.sparkSession.sparkContext.broadcast(learnt or Learnt())  # of a bounded number of words
+
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = handed.value
         for pdf in batches:
             rows = []
             for doc, text, path in zip(pdf["_id"], pdf["_text"], pdf["_path"]):
                 for a, z, rule in places(text or ""):
                     secret, before, after = text[a:z], text[max(0, a - 80) : a], text[z : z + 40]
                     label = weak_label(rule, secret, before)
-                    rows.append((doc, a, z - a, rule, secret, before, after, label, *numbers(secret, before, after, path or "")))
+                    rows.append((doc, a, z - a, rule, secret, before, after, label, *numbers(secret, before, after, path or "", known)))
             out = pd.DataFrame(rows, columns=["doc_id", "start", "length_", "rule", "secret", "before", "after", "weak_label", *NUMBERS])
             out["weak_label"] = out["weak_label"].astype("Int32")
             yield out
@@ -162,6 +155,27 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ).mapInPandas(scan, schema).withColumnRenamed("length_", "n_chars").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
+def with_numbers(made: DataFrame, learnt: Learnt) -> DataFrame:
+    """Labelled findings with the features of a candidate."""
+    handed = made.sparkSession.sparkContext.broadcast(learnt)
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [numbers(*x, handed.value) for x in zip(pdf["secret"], pdf["before"], pdf["after"], pdf["path"])]
+            yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame(rows, columns=list(NUMBERS))], axis=1)
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in made.schema.fields)
+    return made.mapInPandas(add, fields + ", " + ", ".join(f"`{c}` double" for c in NUMBERS))
+
+
+def trained(docs: DataFrame, **columns) -> tuple[Learnt, object, DataFrame]:
+    """What was learnt, the forest, and the labelled findings with their features (``part`` 4 is held out)."""
+    made = labelled(docs, **columns)
+    learnt = learn(docs, made, columns.get("text_col", "text"))
+    made = written(with_numbers(made, learnt), "findings-numbers")
+    return learnt, fit(made.where("part IN (2, 3)")), made
+
+
 def fit(findings: DataFrame, label_col: str = "label", max_rows: int = 20_000, trees: int = 20, depth: int = 6, seed: int = 7):
     """A random forest over NUMBERS, or the one label there is (or None)."""
     from pyspark.ml.classification import RandomForestClassifier

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import ORACLE, QUERIES, decontamination, quality_classifier, quality_rules, queries, secrets, toxicity
+from strata.llm import ORACLE, QUERIES, decontamination, findings, quality_classifier, quality_rules, queries, secrets, toxicity
 
 from .helpers import BIG, CLASHING, awkward, documents, prose
 
@@ -310,3 +310,39 @@ def test_fits_take_one_text_an_id(spark):
     finally:
         quality_classifier.fit_ordinal = whole
     assert seen == [19, 1]
+
+
+def test_forest_beats_the_rule_on_held_out_findings(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    learnt, forest, made = secrets.trained(docs)
+    assert len(learnt.words) == findings.DICTIONARY_WORDS and learnt.near["commit"] < 0 < learnt.near["login"]
+    rows = secrets.judged(made.where("part = 4"), forest).select("label", "kept", (F.col("weak_label") == 1).alias("rule")).collect()
+    assert len(rows) > 1000 and 0.4 < sum(r["label"] for r in rows) / len(rows) < 0.6
+
+    def measured(key):
+        hit = sum(bool(r[key]) and r["label"] for r in rows)
+        return hit / sum(bool(r[key]) for r in rows), hit / sum(r["label"] for r in rows)
+
+    (precision, recall), (rule_precision, rule_recall) = measured("kept"), measured("rule")
+    assert precision >= 0.97 and recall >= 0.95
+    assert precision > rule_precision and recall > rule_recall + 0.05
+    # the forest is no copy of the rule, and labels come from nothing it sees
+    assert sum(r["kept"] != bool(r["rule"]) for r in rows) > 50
+
+
+def test_dictionary_counts_all_documents(spark):
+    rows = [(1, "Alpha beta beta gamma"), (2, "alpha über x1 ab"), (2, "alpha über x1 ab"), (3, None), (4, "")]
+    words, pairs = findings.dictionary(documents(spark, rows), size=3)
+    assert words == {"alpha", "über", "beta"}  # by documents, then by word
+    assert pairs["al"] > pairs["be"] - 5 and "gm" not in pairs
+    empty = documents(spark, rows).limit(0)
+    assert findings.dictionary(empty) == (frozenset(), {})
+    learnt, forest, made = secrets.trained(empty)
+    assert forest is None and made.count() == 0 and secrets.judged(secrets.candidates(empty, learnt=learnt), forest).count() == 0
+
+
+def test_findings_of_awkward_rows(spark):
+    made = findings.labelled(documents(spark, awkward())).collect()
+    assert made and all(r["label"] in (0, 1) and r["secret"] for r in made)
+    again = findings.labelled(documents(spark, awkward()).repartition(5)).collect()
+    assert sorted(map(str, made)) == sorted(map(str, again))
