@@ -327,7 +327,7 @@ def _catalog(spark: SparkSession) -> tuple[str, str]:
 def q_catalog_table_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     prefix, root = _catalog(spark)
     layout = flows.CatalogLayout(root, prefix)
-    full = fact(spark, sf)
+    full = materialize(fact(spark, sf), "catalog-extract")
     layout.fact_target().replace_months(full)
     # every month comes again without its low ratings
     layout.fact_target().replace_months(full.where("stars >= 3 OR stars IS NULL"))
