@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +24,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    made = getattr(_OWNED, "paths", None)
+    if made is not None:
+        made.append(path)
+    return path
+
+
+_OWNED = threading.local()
+
+
+@contextmanager
+def owned(spark: SparkSession) -> Iterator[None]:
+    """Own the folders that operators make inside: they are deleted when the block ends, so
+    results must be written elsewhere by then. Blocks of one thread nest."""
+    outer = getattr(_OWNED, "paths", None)
+    _OWNED.paths = []
+    try:
+        yield
+    finally:
+        made, _OWNED.paths = _OWNED.paths, outer
+        for path in made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -160,7 +160,7 @@ def part_of() -> Column:
 def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", most: int = MOST_FINDINGS) -> DataFrame:
     """(doc_id, path, secret, before, after, rule, label, weak_label, part) of at most ``most`` labelled findings,
     ``PER_DOCUMENT`` from each of the documents of the smallest hashes; a string that the scan takes for no candidate gives none."""
-    from strata.llm import secrets
+    from strata.llm.secrets import places, weak_label
 
     sample = docs.select(as_text(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(path_col).cast("string").alias("_path"))
     sample = sample.where("length(_text) > 0").withColumn("_h", F.xxhash64("_id", "_text")).orderBy("_h", "_id", "_text").limit(most // PER_DOCUMENT)
@@ -176,12 +176,12 @@ def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
                 for _ in range(PER_DOCUMENT):
                     made, start, end, label = finding(r, words)
                     # the candidate that holds most of the string
-                    held = max(secrets.places(made), key=lambda p: min(p[1], end) - max(p[0], start), default=None)
+                    held = max(places(made), key=lambda p: min(p[1], end) - max(p[0], start), default=None)
                     if held is None or min(held[1], end) <= max(held[0], start):
                         continue
                     a, z, rule = held
                     before, after = made[max(0, a - 80) : a], made[z : z + 40]
-                    rows.append((doc, path or "", made[a:z], before, after, rule, label, secrets.weak_label(rule, made[a:z], before)))
+                    rows.append((doc, path or "", made[a:z], before, after, rule, label, weak_label(rule, made[a:z], before)))
             out = pd.DataFrame(rows, columns=["doc_id", "path", "secret", "before", "after", "rule", "label", "weak_label"])
             out["weak_label"] = out["weak_label"].astype("Int32")
             yield out

@@ -254,3 +254,16 @@ def test_pipeline_runs_on_awkward_and_empty_documents(spark):
             assert name == "packing" or out.columns == df.columns
             docs = out
         assert docs.where(F.col("length") < 1).count() == 0
+
+
+def test_a_run_leaves_the_results_of_its_stages_alone(spark):
+    import os
+
+    from strata.session import ensure_checkpoint_dir
+
+    folder = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "llm")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    packed = corpus_pipeline.run(spark, SF)
+    left = {x for x in os.listdir(folder) if x not in before}
+    assert {x.rsplit("-", 1)[0] for x in left} == {f"pipeline-{name}" for name, _ in corpus_pipeline.STAGES}
+    assert packed.count() > 100
