@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import decontamination, line_dedup, ngram_join, packing, toxicity
-from strata.llm.common import carried, restored, shared_path, table
+from strata.llm.common import carried, owned, restored, shared_path, table
 from strata.llm.queries import held_out_third, tokenizer_file
 
 
@@ -66,7 +66,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack),
 ]
 
-#: SQL cannot express the stages; tests/llm/test_pipeline.py holds them against brute force
+#: SQL cannot express the stages; tests/llm/test_packing_and_archives.py holds them against brute force
 ORACLE_SQL: str | None = None
 
 
@@ -75,6 +75,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = shared_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with owned(spark):  # a stage's own tables go once its result is written
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
