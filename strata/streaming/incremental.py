@@ -133,21 +133,19 @@ def _target(fact: str | FactTarget) -> FactTarget:
     return PathFact(fact) if isinstance(fact, str) else fact
 
 
-def split_batch(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(fact rows with the file time, quarantined rows) of raw review rows."""
+def tagged_batch(batch: DataFrame) -> DataFrame:
+    """Raw review rows as fact rows with the file time, beside ``reason`` and ``raw_line``, which say
+    what is wrong with a row (NULL: nothing); one pass over the raw text gives both."""
     if FILE_TIME not in batch.columns:
         batch = batch.withColumn(FILE_TIME, F.lit(None).cast("timestamp"))
     if CORRUPT_COL not in batch.columns:
         batch = batch.withColumn(CORRUPT_COL, F.lit(None).cast("string"))
     broken = corrupt_text(batch)
     raw = [c for c in batch.columns if c not in (CORRUPT_COL, FILE_TIME)]
-    no_id = F.col(KEY).isNull()
-    bad = batch.where(broken.isNotNull() | no_id).select(
-        F.when(broken.isNotNull(), "malformed").otherwise("no_id").alias("reason"),
-        F.coalesce(broken, F.to_json(F.struct(*raw))).alias("raw_line"),
-    )
-    good = review_landing(batch.where(broken.isNull() & ~no_id), passthrough=[FILE_TIME])
-    return review_fact(good, passthrough=[FILE_TIME]), bad
+    reason = F.when(broken.isNotNull(), "malformed").when(F.col(KEY).isNull(), "no_id")
+    line = F.when(reason.isNotNull(), F.coalesce(broken, F.to_json(F.struct(*raw))))
+    own = [FILE_TIME, "reason", "raw_line"]
+    return review_fact(review_landing(batch.withColumns({"reason": reason, "raw_line": line}), passthrough=own), passthrough=own)
 
 
 def newest_versions(rows: DataFrame) -> DataFrame:
@@ -165,9 +163,10 @@ def merge_batch(batch: DataFrame, fact: str | FactTarget, quarantine: str, batch
 
 def _merge(batch: DataFrame, target: FactTarget, quarantine: str, batch_id: int) -> None:
     spark = batch.sparkSession
-    rows, bad = split_batch(batch)
+    tagged = materialize(tagged_batch(batch), "increment-rows")
+    bad = tagged.where("reason IS NOT NULL").select("reason", "raw_line")
     bad.write.mode("overwrite").json(f"{quarantine.rstrip('/')}/batch={batch_id}")
-    incoming = materialize(newest_versions(rows), "increment-batch")
+    incoming = materialize(newest_versions(tagged.where("reason IS NULL")), "increment-batch")
     months = incoming.select(PARTITION).distinct()
     current = target.read(spark)
     merged = incoming
