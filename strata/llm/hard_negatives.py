@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import written
 
-ROWS_A_BLOCK, ANCHORS_A_BLOCK = 8192, 256
+#: rows and anchors a block; fewer rows where vectors are so long that a block had more components than these
+ROWS_A_BLOCK, ANCHORS_A_BLOCK, COMPONENTS_A_BLOCK = 8192, 256, 1 << 19
 _LAST = (1 << 63) - 1  # orders rows without an id
 
 
@@ -234,8 +235,10 @@ def mine(
     other labels whose score is between the two shares of the positive's score."""
     label = F.col("label") if label is None else label
     taken = written(taking_part(rows, scale, vec_id, vector, label, anchor & F.col(f"`{vec_id}`").isNotNull()), "vectors")
-    row_blocks, n_blocks = blocks(taken, rows_a_block, "row-blocks", listed=True)
-    anchor_blocks, _ = blocks(taken.where("anchor"), anchors_a_block, "anchor-blocks", listed=False)
+    longest = max(1, taken.agg(F.max(F.size("q"))).first()[0] or 1)
+    fitting = max(1, COMPONENTS_A_BLOCK // longest)
+    row_blocks, n_blocks = blocks(taken, min(rows_a_block, fitting), "row-blocks", listed=True)
+    anchor_blocks, _ = blocks(taken.where("anchor"), min(anchors_a_block, fitting), "anchor-blocks", listed=False)
     found = _meetings(anchor_blocks, row_blocks, n_blocks).mapInPandas(_positives(positives), _FOUND)
     best = written(_first(found, ["a_block", "anchor"], positives, "at"), "positives")
     windows = best.groupBy(F.col("a_block").alias("block")).agg(F.collect_list(F.struct("anchor", "at", "score")).alias("w"))  # of one block's anchors
