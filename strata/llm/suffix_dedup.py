@@ -139,10 +139,11 @@ def anchored(docs: DataFrame, span: int, gram: int) -> DataFrame:
             if not got:
                 continue
             h, s, ol, d, lo = (np.concatenate(x) for x in zip(*got))
-            whole = mix64(h ^ mix64(s ^ ol.astype(np.uint64)))
             key = keys[d].astype(np.uint64)
-            order = np.lexsort((lo, key, whole))
-            same = whole[order][1:] == whole[order][:-1]
+            order = np.lexsort((lo, key, ol, s, h))
+            same = np.ones(max(0, len(order) - 1), bool)
+            for x in (h, s, ol):  # the pair of hashes and the place of the anchor
+                same &= x[order][1:] == x[order][:-1]
             many, later = np.zeros(len(h), bool), np.zeros(len(h), bool)
             many[order[1:]] |= same
             many[order[:-1]] |= same
