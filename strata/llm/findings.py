@@ -13,7 +13,7 @@ The dictionary is the most frequent words of all documents (counted over all of
 them, ties by word); letter pairs are weighted by the documents of its words.
 
 Defined results: null and empty texts give no finding and no word; repeated rows
-give repeated findings, all in one part; an empty table gives an empty dictionary and
+give the findings of one; an empty table gives an empty dictionary and
 no findings; columns other than the id, the text and the path are not read.
 """
 
@@ -162,8 +162,11 @@ def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     ``PER_DOCUMENT`` from each of the documents of the smallest hashes; a string that the scan takes for no candidate gives none."""
     from strata.llm.secrets import places, weak_label
 
-    sample = docs.select(as_text(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(path_col).cast("string").alias("_path"))
-    sample = sample.where("length(_text) > 0").withColumn("_h", F.xxhash64("_id", "_text")).orderBy("_h", "_id", "_text").limit(most // PER_DOCUMENT)
+    base = docs.select(as_text(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(path_col).cast("string").alias("_path"))
+    base = base.where("length(_text) > 0").withColumn("_h", F.xxhash64("_id", "_text"))
+    # the least hashes first, then their texts: a row that is repeated very often counts once
+    chosen = written(base.select("_h").distinct().orderBy("_h").limit(most // PER_DOCUMENT), "sampled")
+    sample = base.join(F.broadcast(chosen), "_h").groupBy("_h").agg(F.min(F.struct("_id", "_text", "_path")).alias("x")).select("x.*")
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
