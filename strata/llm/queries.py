@@ -256,3 +256,67 @@ FROM p JOIN s USING (anchor_id)
 WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY rank <= 10
 """
+
+ORACLE["op11_pii"] = r"""
+WITH t AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS s FROM documents),
+k(kind, ord, pat) AS (VALUES
+  ('email', 1, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+'),
+  ('ip', 2, '[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+'),
+  ('card', 3, '[0-9](?:[\x20-]?[0-9])+'),
+  ('phone', 4, '\+[0-9][\x20().0-9-]+[0-9]')),
+m AS (SELECT rid, kind, ord, regexp_extract_all(s, pat) AS found, regexp_split_to_array(s, pat) AS pieces FROM t, k),
+x AS (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM m WHERE len(found) > 0),
+p AS (
+  SELECT rid, kind, ord, found[i] AS value, pieces[i] AS before, pieces[i + 1] AS after,
+         regexp_replace(found[i], '[^0-9]', '', 'g') AS digits,
+         list_sum(list_transform(pieces[1:i], lambda z: length(z))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda z: length(z))), 0) AS start
+  FROM x),
+v AS (
+  SELECT *, start + length(value) AS stop FROM p
+  WHERE kind = 'email'
+     OR kind = 'ip' AND len(list_filter(string_split(value, '.'), lambda z: length(ltrim(z, '0')) > 3 OR coalesce(try_cast(ltrim(z, '0') AS INTEGER), 0) > 255)) = 0
+     OR kind = 'phone' AND length(digits) BETWEEN 9 AND 15
+     OR kind = 'card' AND length(digits) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda j:
+          CASE WHEN j % 2 = 1 THEN substr(reverse(digits), j, 1)::INTEGER
+               ELSE 2 * substr(reverse(digits), j, 1)::INTEGER - CASE WHEN substr(reverse(digits), j, 1)::INTEGER > 4 THEN 9 ELSE 0 END END)) % 10 = 0),
+e AS (
+  SELECT rid, kind || ':' || CASE kind WHEN 'email' THEN lower(value) WHEN 'ip' THEN value ELSE digits END AS entity,
+         CASE WHEN length(before) > 120 THEN regexp_replace(right(before, 120), '^[\p{L}\p{N}]+', '') ELSE before END || chr(10) ||
+         CASE WHEN length(after) > 120 THEN regexp_replace(left(after, 120), '[\p{L}\p{N}]+$', '') ELSE after END AS context
+  FROM v),
+pairs AS (
+  SELECT entity, term, count(DISTINCT context) AS contexts, count(DISTINCT rid) AS dct
+  FROM (SELECT *, unnest(list_distinct(regexp_split_to_array(context, '[^\p{L}\p{N}]+'))) AS term FROM e) WHERE term <> '' GROUP BY ALL),
+vals AS (
+  SELECT entity, dc FROM (SELECT entity, count(DISTINCT rid) AS dc, count(DISTINCT context) AS places FROM e GROUP BY entity)
+  JOIN (SELECT entity, sum(contexts * (contexts - 1)) AS recurring, sum(contexts) AS seen FROM pairs GROUP BY entity) USING (entity)
+  WHERE recurring * 100 <= seen * (places - 1) * 50),
+supported AS (SELECT * FROM pairs JOIN vals USING (entity) WHERE contexts >= 3),
+held AS (
+  SELECT term, count(*) AS dt FROM (SELECT rid, unnest(list_distinct(regexp_split_to_array(s, '[^\p{L}\p{N}]+'))) AS term FROM t)
+  WHERE term IN (SELECT term FROM supported) GROUP BY term),
+risky AS (
+  SELECT DISTINCT term FROM supported JOIN held USING (term), (SELECT count(*) AS n FROM t)
+  WHERE 100 * dct >= 50 * dt AND n * dct >= 8 * dc * dt),
+w AS (
+  SELECT rid, regexp_extract_all(s, '[\p{L}\p{N}]+') AS found, regexp_split_to_array(s, '[\p{L}\p{N}]+') AS pieces
+  FROM t WHERE rid IN (
+    SELECT rid FROM (SELECT rid, unnest(list_distinct(regexp_split_to_array(s, '[^\p{L}\p{N}]+'))) AS term FROM t) WHERE term IN (SELECT term FROM risky))),
+y AS (
+  SELECT rid, found[i] AS value,
+         list_sum(list_transform(pieces[1:i], lambda z: length(z))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda z: length(z))), 0) AS start
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM w)),
+terms AS (
+  SELECT rid, 'term' AS kind, 5 AS ord, start, start + length(value) AS stop FROM y
+  WHERE value IN (SELECT term FROM risky)
+    AND NOT EXISTS (SELECT 1 FROM v WHERE v.rid = y.rid AND v.start < y.start + length(y.value) AND y.start < v.stop)),
+spans AS (SELECT rid, kind, ord, start, stop FROM v UNION ALL SELECT * FROM terms),
+o AS (
+  SELECT rid, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY ord, start) AS spans,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY ord, start) FILTER (ord < 5) AS base,
+         count(*) FILTER (ord = 1) AS n_email, count(*) FILTER (ord = 2) AS n_ip, count(*) FILTER (ord = 3) AS n_card, count(*) FILTER (ord = 4) AS n_phone
+  FROM spans GROUP BY rid)
+SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip, coalesce(n_card, 0)::BIGINT AS n_card,
+       coalesce(n_phone, 0)::BIGINT AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN o USING (rid)
+"""

@@ -117,6 +117,20 @@ def test_disclosing_terms_by_hand(spark):
     assert {x["doc_id"]: (x["_spans"], x["_sanitised"]) for x in few.collect()} == {d: (x["_spans"], x["_sanitised"]) for d, x in out.items()}
 
 
+def test_sql_states_the_same_on_texts_with_leaks(spark, tmp_path):
+    """The query's SQL beside the query where terms do disclose."""
+    import duckdb
+
+    rows = leaking() + [(10_000 + i, t) for i, t in enumerate(hard_texts()[380:480])]
+    documents(spark, rows).select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    found = con.sql(queries.ORACLE["op11_pii"])
+    want = sorted(found.fetchall(), key=repr)
+    got = sorted((tuple(x) for x in queries.op11_pii(spark, str(tmp_path)).select(*found.columns).collect()), key=repr)
+    assert got == want and sum("term" in x[-1] for x in got) == 14
+
+
 def test_disclosure_awkward_rows_and_plan(spark):
     df = documents(spark, awkward())
     got = D.sanitised(df)
