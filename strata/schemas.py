@@ -25,6 +25,8 @@ def struct(*cols: tuple[str, T.DataType]) -> T.StructType:
 
 CORRUPT_COL = "_corrupt_record"
 
+# ---- fixed values: column names, types and partition columns of every table down to
+# ---- the serving contracts; the data's contract, which must stay as written
 # ---------------------------------------------------------------- raw (NDJSON)
 BUSINESS_FIELDS = [
     "business_id", "name", "address", "city", "state", "postal_code",
