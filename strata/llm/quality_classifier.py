@@ -147,10 +147,10 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text", least_gr
     columns of these names are replaced."""
     columns = [c for c in docs.columns if c not in ("_expected_grade", "_tail", "_selected")]
     docs = carried(docs, _text=F.col(f"`{text_col}`"))
-    handed = docs.sparkSession.sparkContext.broadcast(model)
+    handed = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))  # workers need not know the class
 
     def rate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        features, m = Features(), handed.value
+        features, m = Features(), OrdinalModel(*handed.value)
         for texts in batches:
             z = np.zeros(len(texts))
             for r, t in enumerate(texts):

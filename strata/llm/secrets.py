@@ -134,10 +134,9 @@ def _blanked(text: str, spans: list[tuple[int, int, str]]) -> str:
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", learnt: Learnt | None = None) -> DataFrame:
     """One row a candidate: (id, start, length, rule, secret, before, after, weak_label) and NUMBERS; places in code points."""
 
-    handed = docs.sparkSession.sparkContext.broadcast(learnt or Learnt())  # of a bounded number of words
+    known = learnt or Learnt()  # of a bounded number of words; goes with the function, by value
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = handed.value
         for pdf in batches:
             rows = []
             for doc, text, path in zip(pdf["_id"], pdf["_text"], pdf["_path"]):
@@ -157,11 +156,10 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def with_numbers(made: DataFrame, learnt: Learnt) -> DataFrame:
     """Labelled findings with the features of a candidate."""
-    handed = made.sparkSession.sparkContext.broadcast(learnt)
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [numbers(*x, handed.value) for x in zip(pdf["secret"], pdf["before"], pdf["after"], pdf["path"])]
+            rows = [numbers(*x, learnt) for x in zip(pdf["secret"], pdf["before"], pdf["after"], pdf["path"])]
             yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame(rows, columns=list(NUMBERS))], axis=1)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in made.schema.fields)
