@@ -346,3 +346,16 @@ def test_findings_of_awkward_rows(spark):
     assert made and all(r["label"] in (0, 1) and r["secret"] for r in made)
     again = findings.labelled(documents(spark, awkward()).repartition(5)).collect()
     assert sorted(map(str, made)) == sorted(map(str, again))
+
+
+def test_middle_grade_lies_between_on_held_out_rows(spark):
+    """Good but toxic rows: above all low ones, below most good ones."""
+    d = "/root/testdata/sf0.1"
+    grades = queries.graded(spark.read.parquet(f"{d}/labels.parquet"))
+    rows = queries.op2_quality_classifier(spark, d).join(grades, "doc_id").where("held_out").select("grade", "expected_grade").collect()
+    by = [sorted(r["expected_grade"] for r in rows if r["grade"] == g) for g in range(3)]
+    assert all(len(x) > 100 for x in by)
+    above = lambda low, high: sum(np.searchsorted(low, high, side="left")) / (len(low) * len(high))  # noqa: E731  # P(high > low)
+    assert above(by[0], by[1]) > 0.98 and above(by[1], by[2]) > 0.9
+    medians = [x[len(x) // 2] for x in by]
+    assert medians[0] < 0.5 < 1.5 < medians[1] < medians[2]
