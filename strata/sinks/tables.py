@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from strata.operators.conform import cast_to_schema
 from strata.schemas import LAYERS, PARTITIONED_TABLES
+from strata.sinks.writers import PARQUET_CODEC, parquet_codec
 
 
 def _balanced(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -30,7 +31,7 @@ def overwrite_parquet(df: DataFrame, path: str, schema: T.StructType | None = No
         df = cast_to_schema(df, schema)
     if rebalance or partition_by:
         df = _balanced(df, partition_by)
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").option("compression", parquet_codec(df.sparkSession))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -44,7 +45,7 @@ def save_table(df: DataFrame, name: str, schema: T.StructType | None = None, mod
         df = cast_to_schema(df, schema)
     if partition_by:
         df = _balanced(df, partition_by)
-    w = df.write.mode(mode).format("parquet")
+    w = df.write.mode(mode).format("parquet").option("compression", parquet_codec(df.sparkSession))
     if path:
         w = w.option("path", path)
     if partition_by:
@@ -71,6 +72,7 @@ def overwrite_partitions(
         _balanced(df, [partition_col])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", parquet_codec(df.sparkSession))
         .partitionBy(partition_col)
         .parquet(path)
     )
@@ -99,6 +101,7 @@ def insert_overwrite_partitions(df: DataFrame, table_name: str) -> None:
             if own.conf.isModifiable(key):
                 own.conf.set(key, value)
         own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        own.conf.set(PARQUET_CODEC, parquet_codec(spark))
         own.table(f"{spark.conf.get('spark.sql.globalTempDatabase', 'global_temp')}.{view}").write.mode("overwrite").insertInto(table_name)
     finally:
         spark.catalog.dropGlobalTempView(view)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.sinks.writers import parquet_codec
 from strata.sources.tables import read_if_exists
 
 KEY, PARTITION = "review_id", "ym"
@@ -56,9 +57,15 @@ class LocationIndex:
         names = [x.getPath().getName() for x in fs.listStatus(folder)]
         return sorted(int(x.partition("=")[2]) for x in names if x.startswith(f"{VERSION}="))
 
-    def _write(self, places: DataFrame, folder: str) -> None:
+    def _dealt(self, places: DataFrame) -> DataFrame:
+        """Distinct places, each bucket in one task: equal places share a bucket, so dealing by it is
+        the only shuffle. In order of the ids, which then compress well."""
         dealt = places.select(KEY, PARTITION, self.bucket().alias(BUCKET)).where(F.col(KEY).isNotNull())
-        dealt.distinct().repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path.rstrip('/')}/{folder}")
+        return dealt.repartition(BUCKET).distinct().sortWithinPartitions(BUCKET, KEY)
+
+    def _write(self, places: DataFrame, folder: str) -> None:
+        w = self._dealt(places).write.mode("overwrite").option("compression", parquet_codec(places.sparkSession))
+        w.partitionBy(BUCKET).parquet(f"{self.path.rstrip('/')}/{folder}")
 
     def bucket(self):
         return F.pmod(F.xxhash64(KEY), F.lit(self.buckets)).cast("int")
@@ -78,14 +85,16 @@ class LocationIndex:
         return latest.select(KEY, F.explode(F.filter("_p", lambda p: p[VERSION] == F.col("_v"))).alias("p")).select(KEY, f"p.{PARTITION}")
 
     def months_of(self, ids: DataFrame) -> DataFrame | None:
-        """(ym): every month in which one of ``ids`` may lie, from the buckets of these ids alone."""
+        """(ym): every month in which one of ``ids`` may lie, from the buckets of these ids alone.
+        Ids meet by a 64-bit hash, a third as long: where two share one, the list may
+        name a month too many, as the table itself may."""
         log = self.read(ids.sparkSession)
         if log is None:
             return None
-        wanted = ids.select(KEY, self.bucket().alias(BUCKET))
-        numbers = sorted(r[0] for r in wanted.select(BUCKET).distinct().collect())  # at most ``buckets``
-        own = log.where(F.col(BUCKET).isin(numbers)).select(KEY, BUCKET, PARTITION)
-        return own.join(wanted, [KEY, BUCKET], "left_semi").select(PARTITION).distinct()
+        ids = ids.where(F.col(KEY).isNotNull())
+        numbers = sorted(r[0] for r in ids.select(self.bucket().alias(BUCKET)).distinct().collect())  # at most ``buckets``
+        own = log.where(F.col(BUCKET).isin(numbers)).select(F.xxhash64(KEY).alias("_hash"), PARTITION)
+        return own.join(ids.select(F.xxhash64(KEY).alias("_hash")), "_hash", "left_semi").select(PARTITION).distinct()
 
     def missing(self, fact: DataFrame) -> DataFrame:
         """(review_id, ym) of the fact that the table does not name."""
