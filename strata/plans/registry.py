@@ -59,6 +59,7 @@ TOP_K = 3
 SMALL_FILES = 40                              # landing_rebalance
 CHANGED_EVERY = 7                             # mart_city_refresh: businesses that change
 PUBLISH_RANGES = 200                          # publish_ranges: more than there are months
+PUBLISH_CODEC = "gzip"                        # files of the partitioned publishes
 # ------------------------------------------------------------------------------
 
 
@@ -210,7 +211,7 @@ def q_publish_partitioned_ndjson(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "publish-" + contract.name)
     mart = sanitize_nan_inf(q_mart_business_quality_monthly(spark, sf))
     publish_partitioned(mart, path, table=contract.name, partition_col=contract.partition_col,
-                        sort_key=contract.sort_key)
+                        sort_key=contract.sort_key, compression=PUBLISH_CODEC)
     return read_published(spark, path, contract.schema)
 
 
@@ -222,7 +223,7 @@ def _published_enriched(spark: SparkSession, sf: str, contract) -> DataFrame:
     path = scratch_path(spark, "publish-" + contract.name)
     mart = wire_format(for_contract(q_mart_review_fact_enriched(spark, sf), contract))
     publish_partitioned(mart, path, table=contract.name, partition_col=contract.partition_col,
-                        sort_key=contract.sort_key)
+                        sort_key=contract.sort_key, compression=PUBLISH_CODEC)
     # an empty partition value has the folder of NULL; the contract says which it was
     return for_contract(read_published(spark, path, contract.schema), contract)
 

@@ -88,3 +88,21 @@ def test_incremental_drops_are_gzipped_and_joined_once(spark, star, scratch):
     whole = registry.fact(spark, star).select("review_id").distinct()
     same_rows(got.select("review_id").distinct(), whole)
     assert got.where("funny = 2").select("review_id").distinct().count() >= again.count()
+
+
+# ---------------------------------------------------------------- publishes
+def check_publish(spark, star, scratch, query):
+    got = query(spark, star)
+    out = scratch / "publish-mart_review_fact_enriched"
+    assert files(out, ".txt.gz") and not files(out, ".txt")
+    n = spark.read.schema(SERVING["mart_review_fact_enriched"].schema).json(str(out)).count()
+    assert n == registry.fact(spark, star).count()
+    return got
+
+
+def test_publish_fill_defaults_is_compressed_and_whole(spark, star, scratch):
+    got = check_publish(spark, star, scratch, registry.q_publish_fill_defaults)
+    contract = SERVING["mart_review_fact_enriched"].filled()
+    from strata.sinks.publish import for_contract
+
+    same_rows(got, for_contract(registry.q_mart_review_fact_enriched(spark, star), contract))
