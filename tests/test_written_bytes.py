@@ -106,3 +106,8 @@ def test_publish_fill_defaults_is_compressed_and_whole(spark, star, scratch):
     from strata.sinks.publish import for_contract
 
     same_rows(got, for_contract(registry.q_mart_review_fact_enriched(spark, star), contract))
+
+
+def test_publish_enriched_ndjson_is_compressed_and_whole(spark, star, scratch):
+    got = check_publish(spark, star, scratch, registry.q_publish_enriched_ndjson)
+    same_rows(got, registry.q_mart_review_fact_enriched(spark, star))
