@@ -272,7 +272,7 @@ def q_publish_ranges(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "publish-" + contract.name)
     mart = materialize(wire_format(for_contract(q_mart_review_fact_enriched(spark, sf), contract)), "mart")
     publish_partitioned(mart, path, table=contract.name, partition_col=contract.partition_col,
-                        sort_key=contract.sort_key, ranges=PUBLISH_RANGES)
+                        sort_key=contract.sort_key, ranges=PUBLISH_RANGES, compression=PUBLISH_CODEC)
     key = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in contract.sort_key])
     rows = spark.read.schema(contract.schema).json(path).select("ym", F.input_file_name().alias("file"), key.alias("key"))
     files = rows.groupBy("ym", "file").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first"), F.max("key").alias("last"))

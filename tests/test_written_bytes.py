@@ -111,3 +111,10 @@ def test_publish_fill_defaults_is_compressed_and_whole(spark, star, scratch):
 def test_publish_enriched_ndjson_is_compressed_and_whole(spark, star, scratch):
     got = check_publish(spark, star, scratch, registry.q_publish_enriched_ndjson)
     same_rows(got, registry.q_mart_review_fact_enriched(spark, star))
+
+
+def test_publish_ranges_is_compressed_and_whole(spark, star, scratch):
+    got = check_publish(spark, star, scratch, registry.q_publish_ranges)
+    rows = registry.fact(spark, star).groupBy("ym").agg(F.count("*").alias("n_rows"))
+    same_rows(got.select("ym", "n_rows"), rows)
+    assert got.where("overlapping_files > 0").isEmpty()
