@@ -261,7 +261,7 @@ def q_publish_audit_by_partition(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "publish-" + contract.name)
     mart = materialize(wire_format(for_contract(q_mart_review_fact_enriched(spark, sf), contract)), "mart")
     publish_partitioned(mart, path, table=contract.name, partition_col=contract.partition_col,
-                        sort_key=contract.sort_key, manifest=True)
+                        sort_key=contract.sort_key, manifest=True, compression=PUBLISH_CODEC)
     return audited_partitions(spark, path, contract.partition_col)
 
 

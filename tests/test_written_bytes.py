@@ -118,3 +118,10 @@ def test_publish_ranges_is_compressed_and_whole(spark, star, scratch):
     rows = registry.fact(spark, star).groupBy("ym").agg(F.count("*").alias("n_rows"))
     same_rows(got.select("ym", "n_rows"), rows)
     assert got.where("overlapping_files > 0").isEmpty()
+
+
+def test_publish_audit_by_partition_is_compressed_and_whole(spark, star, scratch):
+    got = check_publish(spark, star, scratch, registry.q_publish_audit_by_partition)
+    rows = registry.fact(spark, star).groupBy(F.col("ym").alias("partition_value")).agg(F.count("*").alias("n"))
+    same_rows(got.select("partition_value", F.col("rows_published").alias("n")), rows)
+    assert got.where("rows_expected <> rows_published").isEmpty()
