@@ -385,7 +385,7 @@ def q_mart_enriched_null_keys(spark: SparkSession, sf: str) -> DataFrame:
 def q_landing_rebalance(spark: SparkSession, sf: str) -> DataFrame:
     """Reviews landed from very many small files; compacting them keeps every row."""
     src, dst = scratch_path(spark, "review-small"), scratch_path(spark, "landing")
-    write_ndjson(feeds.review_feed(spark, sf).repartition(SMALL_FILES), src)
+    write_ndjson(feeds.review_feed(spark, sf, parts=SMALL_FILES), src)
     small = landing_from_ndjson(spark, "review", src).select("*", F.lit(None).cast("string").alias(CORRUPT_COL), F.lit(VALID).alias(STATUS_COL))
     small.repartition(SMALL_FILES).write.partitionBy(STATUS_COL).parquet(dst)
     compact_landing(spark, "review", dst)

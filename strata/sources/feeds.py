@@ -108,13 +108,16 @@ def entity_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*BUSINESS_FIELDS)
 
 
-def review_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw reviews with JSON-like types; ``stars`` is a float such as 3.0."""
+def review_feed(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """Raw reviews with JSON-like types; ``stars`` is a float such as 3.0. ``parts``: the
+    number of partitions; the join itself deals the rows to them, by order."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_returnflag", "l_linestatus", "l_shipdate",
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    if parts:
+        li, orders = li.repartition(parts, "l_orderkey"), orders.repartition(parts, "o_orderkey")
     r = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     s = lambda c: F.col(c).cast("string")
     out = r.select(
@@ -131,8 +134,8 @@ def review_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_suppkey") % 97 == 0, "not a date")
         .when(F.col("l_linenumber") == 3, F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T23:30:00-05:00")))
         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("date"),
-    )
-    return out.select(*REVIEW_FIELDS)
+    ).select(*REVIEW_FIELDS)
+    return out.coalesce(parts) if parts else out  # where the session shuffles to more
 
 
 def as_raw_strings(df: DataFrame) -> DataFrame:

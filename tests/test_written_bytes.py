@@ -125,3 +125,14 @@ def test_publish_audit_by_partition_is_compressed_and_whole(spark, star, scratch
     rows = registry.fact(spark, star).groupBy(F.col("ym").alias("partition_value")).agg(F.count("*").alias("n"))
     same_rows(got.select("partition_value", F.col("rows_published").alias("n")), rows)
     assert got.where("rows_expected <> rows_published").isEmpty()
+
+
+# ---------------------------------------------------------------- landing
+def test_feed_in_parts_needs_no_shuffle_but_the_join(spark, star, scratch):
+    feed = feeds.review_feed(spark, star, parts=7)
+    same_rows(feed, feeds.review_feed(spark, star))
+    assert "RoundRobinPartitioning" not in plan_of(feed) and feed.rdd.getNumPartitions() == 7
+    got = registry.q_landing_rebalance(spark, star)
+    src = files(scratch / "review-small")
+    assert 1 < len(src) <= registry.SMALL_FILES and src == files(scratch / "review-small", ".gz")
+    same_rows(got, registry.review_landing_df(spark, star))
