@@ -56,9 +56,11 @@ class Layout:
         schema = LAYERS[layer][table]
         return spark.read.schema(schema).parquet(self.path(layer, table))
 
-    def write(self, df: DataFrame, layer: str, table: str) -> None:
+    def write(self, df: DataFrame, layer: str, table: str, balanced: bool = False) -> None:
+        """``balanced``: the rows already lie by the table's partition column."""
         part = PARTITIONED_TABLES.get(table)
-        overwrite_parquet(df, self.path(layer, table), LAYERS[layer][table], partition_by=(part,) if part else ())
+        overwrite_parquet(df, self.path(layer, table), LAYERS[layer][table], partition_by=(part,) if part else (),
+                          balanced=balanced)
 
     def replace_months(self, df: DataFrame, layer: str, table: str) -> None:
         """Replace the months present in ``df``, all others stay."""
@@ -99,11 +101,11 @@ class CatalogLayout(Layout):
             return super().read(spark, layer, table)
         return spark.table(self.name(layer, table)).select(*[f.name for f in LAYERS[layer][table].fields])
 
-    def write(self, df: DataFrame, layer: str, table: str) -> None:
+    def write(self, df: DataFrame, layer: str, table: str, balanced: bool = False) -> None:
         df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}_{layer}")
         part = PARTITIONED_TABLES.get(table)
         save_table(df, self.name(layer, table), LAYERS[layer][table], path=self.path(layer, table),
-                   partition_by=(part,) if part else ())
+                   partition_by=(part,) if part else (), balanced=balanced)
         if self.statistics:
             analyze_table(df.sparkSession, self.name(layer, table), JOINED_COLUMNS)
 
@@ -232,6 +234,10 @@ def build_mart(spark: SparkSession, name: str, layout: AnyLayout, dry_run: bool
             return M.refreshed_months(core("review_fact"), layout.read(spark, "mart", name), ym_from, ym_to)[0]
         return M.mart_business_quality_monthly(core("review_fact"))
 
+    # a mart laid out by month as its stored fact is: rows that no join has dealt anew stay where they lie
+    aligned = name == "mart_review_fact_enriched" and not (dry_run or ym_from or ym_to or src_table or dst_table)
+    stored_by = (PARTITIONED_TABLES[name],) if aligned else ()
+
     builders = {
         "mart_city_category_rating": lambda: M.mart_city_category_rating(core("business_core"),
                                                                          core("business_category")),
@@ -242,7 +248,8 @@ def build_mart(spark: SparkSession, name: str, layout: AnyLayout, dry_run: bool
         "mart_category_creditcard_share": lambda: M.mart_category_creditcard_share(
             core("business_category"), core("business_attributes")),
         "mart_business_quality_monthly": monthly,
-        "mart_review_fact_enriched": lambda: M.mart_review_fact_enriched(fact(), core("business_core"), stored=True),
+        "mart_review_fact_enriched": lambda: M.mart_review_fact_enriched(fact(), core("business_core"), stored=True,
+                                                                         balance_by=stored_by),
     }
     if name not in builders:
         raise ValueError(f"unknown mart {name!r}; expected one of {sorted(builders)}")
@@ -268,7 +275,7 @@ def build_mart(spark: SparkSession, name: str, layout: AnyLayout, dry_run: bool
             stored = layout.read(spark, "mart", name)
             _replace_range(spark, layout, name, stored, df.where(M.in_months(ym_from, ym_to)), None, ym_from, ym_to)
         else:
-            layout.write(df, "mart", name)
+            layout.write(df, "mart", name, balanced=aligned)
     return read_table(spark, dst_table) if dst_table else layout.read(spark, "mart", name)
 
 

@@ -25,11 +25,11 @@ def _balanced(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def overwrite_parquet(df: DataFrame, path: str, schema: T.StructType | None = None, rebalance: bool = False,
-                      partition_by: Sequence[str] = ()) -> None:
-    """Replace the dataset at ``path``."""
+                      partition_by: Sequence[str] = (), balanced: bool = False) -> None:
+    """Replace the dataset at ``path``; ``balanced``: the rows already lie by ``partition_by``."""
     if schema is not None:
         df = cast_to_schema(df, schema)
-    if rebalance or partition_by:
+    if (rebalance or partition_by) and not balanced:
         df = _balanced(df, partition_by)
     w = df.write.mode("overwrite").option("compression", parquet_codec(df.sparkSession))
     if partition_by:
@@ -38,12 +38,13 @@ def overwrite_parquet(df: DataFrame, path: str, schema: T.StructType | None = No
 
 
 def save_table(df: DataFrame, name: str, schema: T.StructType | None = None, mode: str = "overwrite",
-               path: str | None = None, partition_by: Sequence[str] = ()) -> None:
+               path: str | None = None, partition_by: Sequence[str] = (), balanced: bool = False) -> None:
     """Parquet table, managed or (with ``path``) external; the frame is cast to
-    ``schema`` first so an overwrite cannot silently change the declared column types."""
+    ``schema`` first so an overwrite cannot silently change the declared column types.
+    ``balanced``: the rows already lie by ``partition_by``."""
     if schema is not None:
         df = cast_to_schema(df, schema)
-    if partition_by:
+    if partition_by and not balanced:
         df = _balanced(df, partition_by)
     w = df.write.mode(mode).format("parquet").option("compression", parquet_codec(df.sparkSession))
     if path:

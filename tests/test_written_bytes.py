@@ -136,3 +136,21 @@ def test_feed_in_parts_needs_no_shuffle_but_the_join(spark, star, scratch):
     src = files(scratch / "review-small")
     assert 1 < len(src) <= registry.SMALL_FILES and src == files(scratch / "review-small", ".gz")
     same_rows(got, registry.review_landing_df(spark, star))
+
+
+# ---------------------------------------------------------------- marts
+def test_rows_without_a_key_stay_where_the_fact_has_them(spark, star, scratch, monkeypatch):
+    written = []
+    write = flows.overwrite_parquet
+    monkeypatch.setattr(flows, "overwrite_parquet", lambda df, *a, **b: (written.append((df, b)), write(df, *a, **b)))
+    got = registry.q_mart_enriched_null_keys(spark, star)
+    df, how = written[-1]
+    assert how["balanced"] and how["partition_by"] == ("ym",)
+    plan = plan_of(df).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert plan.count("RebalancePartitions") == 1 and plan.index("Union") < plan.index("RebalancePartitions")
+    odd = F.split("review_id", "-")[1].cast("int") % 2 == 1
+    full = registry.fact(spark, star)
+    lacking = full.withColumn("business_id", F.when(odd, F.col("business_id")))
+    want = registry.M.mart_review_fact_enriched(lacking, registry.core(spark, star))
+    assert not got.where("business_id IS NULL").isEmpty()
+    same_rows(got.select(*want.columns), want)
