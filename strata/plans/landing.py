@@ -23,7 +23,7 @@ from strata.schemas import (
     REVIEW_LANDING,
     REVIEW_RAW_READ,
 )
-from strata.sinks.writers import materialize
+from strata.sinks.writers import materialize, parquet_codec
 from strata.sources.ndjson import corrupt_text, read_ndjson, valid_rows
 
 STATUS_COL = "_landing_status"
@@ -95,7 +95,7 @@ def land_ndjson(spark: SparkSession, kind: str, src: str | list[str], dst: str,
     out = transform(raw, passthrough=(CORRUPT_COL, STATUS_COL))
     if rebalance:
         out = out.hint("rebalance")
-    out.write.mode("overwrite").partitionBy(STATUS_COL).parquet(dst)
+    out.write.mode("overwrite").option("compression", parquet_codec(spark)).partitionBy(STATUS_COL).parquet(dst)
 
 
 def _stored_schema(kind: str) -> T.StructType:

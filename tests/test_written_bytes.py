@@ -154,3 +154,11 @@ def test_rows_without_a_key_stay_where_the_fact_has_them(spark, star, scratch, m
     want = registry.M.mart_review_fact_enriched(lacking, registry.core(spark, star))
     assert not got.where("business_id IS NULL").isEmpty()
     same_rows(got.select(*want.columns), want)
+
+
+def test_landing_is_compressed_from_gzipped_input(spark, star, scratch):
+    got = registry.q_external_landing_table(spark, star)
+    assert files(scratch / "review-ndjson") and files(scratch / "review-ndjson") == files(scratch / "review-ndjson", ".gz")
+    landed = scratch / "lake" / "landing" / "review_raw"
+    assert files(landed) and files(landed) == files(landed, ".zstd.parquet")
+    same_rows(got, registry.review_landing_df(spark, star))
